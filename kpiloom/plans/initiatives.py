@@ -60,9 +60,6 @@ def _link_base(t: Tables, s: Settings) -> DataFrame:
     return hotel_sales(t, s, min(s.link_launches.values()))
 
 
-IN_SCOPE = F.col("d") >= F.col("ld")
-
-
 def _new_link() -> Column:
     return F.coalesce((~F.col("rf")) & F.col("pm").contains("REMOTE") & F.col("fut"), F.lit(False))
 
