@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import board_queries
 from checks import metric_sql as M
 from checks import roles as R
 from kpiloom.operators import funnel
-from kpiloom.plans import first_half, initiatives, registry, usability
+from kpiloom.plans import first_half, initiatives, registry
 from kpiloom.plans.settings import Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,16 +29,12 @@ def metric_queries() -> dict[str, Query]:
         f"gv_ctr_{g}": metric(lambda t, s, g=g: initiatives.gv_ctr(t, s, g), R.CLICKS) for g in ("d", "w", "m", "t")
     }
     out["h1_kr31_forecast"] = metric(lambda t, s: first_half.kr31(t, s, ("FCST",), align_services=True), R.FIRST)
-    out["filter_usage"] = metric(_usage, R.CLICKS)
-    out["filter_usage_total"] = metric(lambda t, s: funnel.usage_totals(_usage(t, s)), R.CLICKS)
-    out["filter_usage_text"] = metric(lambda t, s: funnel.packed_usage(_usage(t, s)), R.CLICKS)
+    out["filter_usage"] = metric(board_queries.usage, R.CLICKS)
+    out["filter_usage_total"] = metric(lambda t, s: funnel.usage_totals(board_queries.usage(t, s)), R.CLICKS)
+    out["filter_usage_text"] = metric(lambda t, s: funnel.packed_usage(board_queries.usage(t, s)), R.CLICKS)
     return out
 
 
-def _usage(t, s):
-    return usability.filter_usage(t, s, R.USAGE_FROM, R.USAGE_TO)
-
-
 def metric_sql() -> dict[str, str]:
     out = {f"h1_{k}": v for k, v in M.FIRST.items()}
     out |= {f"h2_{k}": v for k, v in M.SECOND.items()}
@@ -48,8 +45,8 @@ def metric_sql() -> dict[str, str]:
 
 
 def queries() -> dict[str, Query]:
-    return metric_queries()
+    return metric_queries() | board_queries.pairs.queries
 
 
 def oracle_sql() -> dict[str, str]:
-    return metric_sql()
+    return metric_sql() | board_queries.pairs.sql

@@ -31,8 +31,8 @@ def rounded(c: Column | str, digits: int = 0) -> Column:
 
 
 def half_even(c: Column | str) -> Column:
-    """Half-even rounding to a whole number."""
-    return F.bround(column(c), 0).cast("long")
+    """Half-even rounding to a whole number; digits past the sixth are noise of summing doubles."""
+    return F.bround(F.round(column(c), 6), 0).cast("long")
 
 
 def zero_if_null(c: Column | str) -> Column:

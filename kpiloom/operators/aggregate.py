@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kpiloom.functions.text import column
+from kpiloom.operators.tables import inline
 
 
 def entity_counts(
@@ -16,55 +18,64 @@ def entity_counts(
     counts: Mapping[str, tuple[str, Column | None]],
     sums: Mapping[str, Column] | None = None,
     maxima: Mapping[str, Column] | None = None,
-    rows: str | None = None,
+    repeats: Mapping[str, tuple[str, Column | None, int]] | None = None,
 ) -> DataFrame:
-    """Exact conditional distinct counts, sums and maxima of one grouping.
+    """Exact conditional distinct counts, sums and maxima of one grouping, in one pass over the rows.
 
     ``counts`` maps an output name to (entity column, predicate). All conditions on one entity are flags that are
     pre-aggregated per (group, entity), so a row is not expanded once per count and a hot group is spread over its
-    entities. Several entity columns are handled in the same pass by one row per entity kind. NULL entities are not
-    counted; their rows still take part in the sums.
+    entities. Several entity columns are handled together by one row per entity kind. NULL entities are not counted;
+    their rows still take part in the sums.
+
+    ``repeats`` maps an output name to (actor, predicate, at_least): actors with at least so many distinct
+    combinations of the entity columns, for instance agencies with two bookings. A NULL actor counts as one actor.
     """
     by = list(by)
-    sums, maxima = dict(sums or {}), dict(maxima or {})
+    sums, maxima, repeats = dict(sums or {}), dict(maxima or {}), dict(repeats or {})
     entities = list(dict.fromkeys(entity for entity, _ in counts.values()))
-    flags = {
-        out: (F.lit(1) if predicate is None else F.when(predicate, F.lit(1)).otherwise(F.lit(0)))
-        for out, (_, predicate) in counts.items()
-    }
+
+    def flag(predicate: Column | None) -> Column:
+        return F.lit(1) if predicate is None else F.when(predicate, F.lit(1)).otherwise(F.lit(0))
+
+    flags = {out: flag(predicate) for out, (_, predicate) in counts.items()}
+    again = {out: flag(predicate) for out, (_, predicate, _) in repeats.items()}
+    if repeats:
+        df = df.groupBy(*by, *entities).agg(
+            *[F.max(f).alias(n) for n, f in {**flags, **again}.items()],
+            *[F.sum(v).alias(n) for n, v in sums.items()], *[F.max(v).alias(n) for n, v in maxima.items()],
+        )
+        flags, again, sums, maxima = ({n: F.col(n) for n in part} for part in (flags, again, sums, maxima))
     values = {**sums, **maxima}
-    if rows:
-        values[rows] = F.lit(1).cast("long")
     if len(entities) == 1:
         flat = df.select(
-            *by, column(entities[0]).alias("_id"), *[f.alias(n) for n, f in flags.items()],
-            *[v.alias(n) for n, v in values.items()],
+            *by, column(entities[0]).alias("_id"),
+            *[v.alias(n) for n, v in {**flags, **again, **values}.items()],
         )
         keys = [*by, "_id"]
     else:
         kinds = []
         for kind, entity in enumerate(entities):
+            owned = {n: f if counts[n][0] == entity else F.lit(None).cast("int") for n, f in flags.items()}
+            owned |= {n: f if repeats[n][0] == entity else F.lit(None).cast("int") for n, f in again.items()}
+            owned |= {n: F.when(F.lit(kind == 0), v) for n, v in values.items()}
             kinds.append(
                 F.struct(
-                    F.lit(kind).alias("_kind"),
-                    column(entity).cast("string").alias("_id"),
-                    *[(f if counts[n][0] == entity else F.lit(None).cast("int")).alias(n) for n, f in flags.items()],
-                    *[F.when(F.lit(kind == 0), v).alias(n) for n, v in values.items()],
+                    F.lit(kind).alias("_kind"), column(entity).cast("string").alias("_id"),
+                    *[v.alias(n) for n, v in owned.items()],
                 )
             )
         flat = df.select(*by, F.inline(F.array(*kinds)))
         keys = [*by, "_kind", "_id"]
-    summed = [*sums, *([rows] if rows else [])]
     per_entity = flat.groupBy(*keys).agg(
-        *[F.max(n).alias(n) for n in flags],
-        *[F.sum(n).alias(n) for n in summed],
+        *[F.max(n).alias(n) for n in flags], *[F.sum(n).alias(n) for n in [*again, *sums]],
         *[F.max(n).alias(n) for n in maxima],
     )
     counted = [
         F.coalesce(F.sum(F.when(F.col("_id").isNotNull(), F.col(n))), F.lit(0)).cast("long").alias(n) for n in flags
     ]
+    repeating = [F.count(F.when(F.col(n) >= repeats[n][2], F.lit(1))).alias(n) for n in again]
     return per_entity.groupBy(*by).agg(
-        *counted, *[F.sum(n).alias(n) for n in summed], *[F.max(n).alias(n) for n in maxima]
+        *counted, *repeating, *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima]
     )
 
 
@@ -73,14 +84,14 @@ def with_total_key(df: DataFrame, key: str, total: str) -> DataFrame:
     return df.withColumn(key, F.explode(F.array(F.col(key), F.lit(total))))
 
 
-def keep_total_row(df: DataFrame, key: str, total: str, zero: Sequence[str] = ()) -> DataFrame:
-    """Make sure the total row exists, as a global aggregate has one row on empty input as well."""
-    spine = df.sparkSession.range(1).select(F.lit(total).alias(key))
-    missing = spine.join(F.broadcast(df.where(F.col(key) == total).select(key)), key, "left_anti")
-    out = df.unionByName(missing, allowMissingColumns=True)
-    return out.withColumns(
-        {c: F.when(F.col(key) == total, F.coalesce(F.col(c), F.lit(0))).otherwise(F.col(c)) for c in zero}
-    )
+def keep_total_rows(df: DataFrame, key: str, totals: Sequence[str], zero: Sequence[str] = ()) -> DataFrame:
+    """Make sure the total rows exist, as a global aggregate has one row on empty input as well.
+
+    ``df`` is an aggregated result of one row per key.
+    """
+    spine = inline(df.sparkSession, [(t,) for t in totals], f"{key} string")
+    out = df.join(spine, key, "full_outer")
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero})
 
 
 def repeaters(df: DataFrame, by: Sequence[str], actor: str, item: str, at_least: int, out: str) -> DataFrame:
@@ -110,16 +121,23 @@ def last_row(df: DataFrame, by: Sequence[str], value: str, position: str) -> Dat
     return last.select(*by, F.col("_b.v").alias(value), F.col("_b.p").alias(position))
 
 
-def least_squares(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
-    """Line fit per group: intercept, slope, residual sd, mean of x, sum of squares of x and number of points."""
-    fit = df.groupBy(*by).agg(
-        F.regr_intercept(y, x).alias("intercept"),
-        F.regr_slope(y, x).alias("slope"),
-        F.regr_sxx(y, x).alias("sxx"),
-        F.regr_syy(y, x).alias("_syy"),
-        F.regr_sxy(y, x).alias("_sxy"),
-        F.regr_avgx(y, x).alias("mean_x"),
-        F.regr_count(y, x).alias("n"),
+def least_squares(df: DataFrame, by: Sequence[str], x: str, y: Column | str) -> DataFrame:
+    """Line fit per group, attached to its rows: intercept, slope, residual sd, mean and sum of squares of x, points.
+
+    Rows with a NULL ``y`` are not fitted but get the line too. A group is one short series (a window partition).
+    """
+    y = column(y)
+    group = W.partitionBy(*by)
+    fit = df.withColumns(
+        {
+            "intercept": F.regr_intercept(y, F.col(x)).over(group),
+            "slope": F.regr_slope(y, F.col(x)).over(group),
+            "sxx": F.regr_sxx(y, F.col(x)).over(group),
+            "_syy": F.regr_syy(y, F.col(x)).over(group),
+            "_sxy": F.regr_sxy(y, F.col(x)).over(group),
+            "mean_x": F.regr_avgx(y, F.col(x)).over(group),
+            "n": F.regr_count(y, F.col(x)).over(group),
+        }
     )
     residual = F.greatest(F.col("_syy") - F.col("slope") * F.col("_sxy"), F.lit(0.0))
     return fit.withColumn("sd", F.sqrt(residual / F.nullif(F.col("n") - 2, F.lit(0)))).drop("_syy", "_sxy")

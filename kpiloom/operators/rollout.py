@@ -57,21 +57,22 @@ def series_blocks(daily: DataFrame, launches: Mapping[str, date], as_of: date, s
     return blocked.select("c", "b", F.inline(long)).groupBy("series", "c", "b").agg(F.sum("value").alias("value"))
 
 
-def _grid(blocks: DataFrame, windows: Sequence[int]) -> DataFrame:
-    """Every block from the start of each fit window to the last complete one, missing blocks as 0."""
-    reach = blocks.groupBy("c").agg(F.max("b").alias("bmax")).where(F.col("bmax") >= 0)
-    spine = (
-        blocks.select("series", "c").distinct().join(F.broadcast(reach), "c")
-        .select("series", "c", "bmax", F.explode(F.array(*[F.lit(w) for w in windows])).alias("w"))
-        .select("series", "c", "w", F.explode(F.sequence(-F.col("w"), F.col("bmax"))).alias("b"))
-    )
-    return spine.join(blocks, ["series", "c", "b"], "left").withColumn("value", F.coalesce(F.col("value"), F.lit(0.0)))
-
-
 def _fitted(blocks: DataFrame, windows: Sequence[int]) -> DataFrame:
-    grid = _grid(blocks, windows)
-    fits = least_squares(grid.where(F.col("b") < 0), ["series", "c", "w"], "b", "value")
-    return grid.join(fits, ["series", "c", "w"]).withColumn("fit", F.col("intercept") + F.col("slope") * F.col("b"))
+    """Every block from the start of each fit window to the last complete one, missing blocks as 0, with the line fitted
+    to the blocks before the launch.
+
+    A series is one row per week of the study, so it is kept as a map while the grid is laid out; ``blocks`` are read once.
+    """
+    series = blocks.groupBy("series", "c").agg(
+        F.max("b").alias("bmax"), F.map_from_entries(F.collect_list(F.struct("b", "value"))).alias("_values")
+    ).where(F.col("bmax") >= 0)
+    grid = (
+        series.select("series", "c", "bmax", "_values", F.explode(F.array(*[F.lit(w) for w in windows])).alias("w"))
+        .select("series", "c", "w", "_values", F.explode(F.sequence(-F.col("w"), F.col("bmax"))).alias("b"))
+        .select("series", "c", "w", "b", F.coalesce(F.col("_values")[F.col("b")], F.lit(0.0)).alias("value"))
+    )
+    lines = least_squares(grid, ["series", "c", "w"], "b", F.when(F.col("b") < 0, F.col("value")))
+    return lines.withColumn("fit", F.col("intercept") + F.col("slope") * F.col("b"))
 
 
 def prediction_half_width(quantiles: Mapping[int, float] = fixed.T_QUANTILES, default: float = fixed.T_DEFAULT) -> Column:

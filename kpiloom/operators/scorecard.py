@@ -128,10 +128,8 @@ def weighted_months(scores: DataFrame) -> DataFrame:
 
 def weighted_total(scores: DataFrame) -> DataFrame:
     """Weighted months and their quarter and half means, as (period, pct)."""
-    months = weighted_months(scores)
-    return months.select(F.col("month").alias("period"), "pct").unionByName(
-        span_means(months, [], "pct").select(F.col("span").alias("period"), "pct")
-    )
+    periods = F.explode(F.array(F.col("month"), F.col("quarter"), F.lit("half")))
+    return weighted_months(scores).select(periods.alias("period"), "pct").groupBy("period").agg(F.avg("pct").alias("pct"))
 
 
 def weight_shares(board: DataFrame, fill_last: bool = True) -> DataFrame:

@@ -11,7 +11,7 @@ from kpiloom.functions import dates, fixed
 from kpiloom.functions.numbers import money, rounded
 from kpiloom.functions.text import classify, exclude_test, recode
 from kpiloom.operators import calendar, funnel, rollout
-from kpiloom.operators.aggregate import entity_counts, keep_total_row, member_list, repeaters, top_k, with_total_key
+from kpiloom.operators.aggregate import entity_counts, keep_total_rows, member_list, top_k, with_total_key
 from kpiloom.operators.joins import flag_join, skew_join
 from kpiloom.plans.settings import Settings
 from kpiloom.sources.tables import Tables, latest_reservations, sales_since
@@ -100,11 +100,9 @@ def ldp_country(t: Tables, s: Settings) -> DataFrame:
     out = entity_counts(
         rows, ["c"], {"nl": ("r", confirmed), "nc": ("r", cancelled), "ag": ("p", confirmed)},
         {"gl": F.when(confirmed, F.col("gb")), "gc": F.when(cancelled, F.col("gb"))}, {"ld": F.col("ld")},
+        {"rep": ("p", confirmed & (F.col("c") != SCOPE_TOTAL), 2)},
     )
-    again = repeaters(rows.where(confirmed & (F.col("c") != SCOPE_TOTAL)), ["c"], "p", "r", 2, "rep")
-    out = out.join(again, "c", "left").withColumn("rep", F.coalesce("rep", F.lit(0)))
-    for total in (TOTAL, SCOPE_TOTAL):
-        out = keep_total_row(out, "c", total, ["nl", "ag", "nc", "rep"])
+    out = keep_total_rows(out, "c", [TOTAL, SCOPE_TOTAL], ["nl", "ag", "nc", "rep"])
     out = _round_sums(out, "gl", "gc")
     return out.select("c", F.coalesce(dates.iso_text("ld"), F.lit("")).alias("ld"), "nl", "gl", "ag", "nc", "gc", "rep")
 
@@ -115,7 +113,7 @@ def ldp_totals(t: Tables, s: Settings) -> DataFrame:
     out = entity_counts(
         with_total_key(rows, "c", TOTAL), ["c"], {"nt": ("r", None), "agt": ("p", None)}, {"gt": F.col("gb")}
     )
-    out = keep_total_row(out, "c", TOTAL, ["nt", "agt"])
+    out = keep_total_rows(out, "c", [TOTAL], ["nt", "agt"])
     return _round_sums(out, "gt").select("c", "gt", "nt", "agt")
 
 
@@ -243,7 +241,7 @@ def hdo_tot(t: Tables, s: Settings) -> DataFrame:
     out = entity_counts(
         with_total_key(rows, "c", TOTAL), ["c"], {"agw": ("p", F.col("w") == 1), "agt": ("p", None)}
     )
-    return keep_total_row(out, "c", TOTAL, ["agw", "agt"])
+    return keep_total_rows(out, "c", [TOTAL], ["agw", "agt"])
 
 
 def hdo_part(t: Tables, s: Settings) -> DataFrame:
