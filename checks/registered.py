@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import board_queries
+from checks import board_queries, operator_queries
 from checks import metric_sql as M
 from checks import roles as R
 from kpiloom.operators import funnel
@@ -45,8 +45,8 @@ def metric_sql() -> dict[str, str]:
 
 
 def queries() -> dict[str, Query]:
-    return metric_queries() | board_queries.pairs.queries
+    return metric_queries() | board_queries.pairs.queries | operator_queries.pairs.queries
 
 
 def oracle_sql() -> dict[str, str]:
-    return metric_sql() | board_queries.pairs.sql
+    return metric_sql() | board_queries.pairs.sql | operator_queries.pairs.sql

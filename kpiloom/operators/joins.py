@@ -7,51 +7,47 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 64
+SLICES = 64
+MAX_HEAVY = 10_000
+ROWS_PER_PART = 2_000_000
 
 
-def _hash(column: str) -> Column:
-    return F.xxhash64(F.col(column))
+def heavy_keys(rows: DataFrame, on: str, spread_by: str, rows_per_part: int, max_parts: int) -> Column:
+    """Map of the heavy keys of ``rows`` to the number of parts they should be split into, as a scalar subquery.
+
+    Keys are counted in a deterministic slice of the rows (by the hash of ``spread_by``), so every use sees the same map.
+    At most ``MAX_HEAVY`` keys are listed, the largest first, which bounds the map.
+    """
+    counted = (
+        rows.where(F.col(on).isNotNull() & (F.pmod(F.xxhash64(spread_by), F.lit(SLICES)) == 0))
+        .groupBy(F.col(on).alias("_key"))
+        .agg((F.count("*") * SLICES).alias("_n"))
+    )
+    largest = counted.where(F.col("_n") > rows_per_part).orderBy(F.col("_n").desc(), "_key").limit(MAX_HEAVY)
+    parts = F.least(F.ceil(F.col("_n") / rows_per_part), F.lit(max_parts)).cast("int")
+    return largest.agg(F.map_from_entries(F.collect_list(F.struct("_key", parts.alias("_parts"))))).scalar()
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: str, how: str, spread_by: str, buckets: int | None = None,
-    probe: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, on: str, how: str, spread_by: str, probe: DataFrame | None = None,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Equi join on one column that may have hot keys (or many NULLs) on the left side.
 
-    Heavy keys are looked up in a deterministic slice of the left rows (by the hash of ``spread_by``). A key that holds
-    more than one of ``buckets`` equal parts of the slice is split into as many parts as it fills; the matching right
-    rows are repeated once per part. NULL keys match nothing, so they are only spread. There are fewer than ``buckets``
-    heavy keys by construction, which bounds the broadcast table. The slice decides the layout only: the result equals
-    that of the plain join for ``how`` in inner, left, left_semi and left_anti.
+    A key with more than about ``rows_per_part`` left rows is split by the hash of ``spread_by``; the matching right rows
+    are repeated once per part. NULL keys match nothing, so they are only spread. The heavy keys decide the layout only:
+    the result equals that of the plain join for ``how`` in inner, left, left_semi and left_anti.
 
-    ``probe`` is a cheaper frame with the key and spread columns to look for heavy keys in (for instance the bare scan);
-    ``buckets`` defaults to ``spark.sql.shuffle.partitions``.
+    ``probe`` is a cheaper frame with the key and spread columns to look for heavy keys in (for instance the bare scan).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    spark = left.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = (
-        (probe if probe is not None else left)
-        .where(F.col(on).isNotNull() & (F.pmod(_hash(spread_by), F.lit(SAMPLE)) == 0))
-        .groupBy(F.col(on).alias("_key"))
-        .agg(F.count("*").alias("_n"))
-    )
-    total = sliced.agg(F.sum("_n"))
-    heavy = F.broadcast(
-        sliced.where(F.col("_n") * buckets > total.scalar()).select(
-            "_key", F.ceil(F.col("_n") * buckets / total.scalar()).cast("int").alias("_parts")
-        )
-    )
-    parts = F.coalesce(F.col("_parts"), F.when(F.col(on).isNull(), F.lit(buckets)), F.lit(1))
-    salted_left = left.join(heavy, F.col(on).eqNullSafe(F.col("_key")), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(F.col(spread_by), F.lit(7)), parts).cast("int")
-    ).drop("_key", "_parts")
-    salted_right = right.where(F.col(on).isNotNull()).join(heavy, F.col(on) == F.col("_key"), "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
-    ).drop("_key", "_parts")
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(left if probe is None else probe, on, spread_by, rows_per_part, 4 * partitions)
+    parts = F.coalesce(heavy[F.col(on)], F.lit(1))
+    spread = F.when(F.col(on).isNull(), F.lit(partitions)).otherwise(parts)
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread_by), F.lit(7)), spread).cast("int"))
+    salted_right = right.where(F.col(on).isNotNull()).withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
 
 

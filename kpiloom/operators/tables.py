@@ -22,4 +22,4 @@ def inline(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFr
         F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, fields)])
         for row in rows
     ]
-    return F.broadcast(spark.range(1).select(F.inline(F.array(*structs))))
+    return F.broadcast(spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs))))

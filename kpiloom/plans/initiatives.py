@@ -29,10 +29,10 @@ def channel_sales(t: Tables, s: Settings, since: date) -> DataFrame:
     return exclude_test(sales, "agency_name")
 
 
-def with_product(sales: DataFrame, t: Tables, *columns: str) -> DataFrame:
+def with_product(sales: DataFrame, t: Tables, *columns: str, probe: DataFrame | None = None) -> DataFrame:
     """Attributes of the booked product; lines without one keep NULLs."""
     products = t.products.select(F.col("transaction_id").alias("origin_product_id"), *columns)
-    return skew_join(sales, products, "origin_product_id", "left", "transaction_code")
+    return skew_join(sales, products, "origin_product_id", "left", "transaction_code", probe=probe)
 
 
 # Payment link in non-refundable hotels --------------------------------------------------------------------------------
@@ -281,7 +281,7 @@ def pkg_daily(t: Tables, s: Settings) -> DataFrame:
     sales = channel_sales(t, s, since).where(
         (F.col("transaction_status") == fixed.CONFIRMED) & F.col("country_code").isin(*s.package_countries)
     ).select("origin_product_id", "creation_date", "country_code", "transaction_code", money("gb").alias("gb"))
-    rows = with_product(with_flow(sales, t, fixed.PACKAGE_FLOW), t, "payment_methods")
+    rows = with_product(with_flow(sales, t, fixed.PACKAGE_FLOW), t, "payment_methods", probe=sales)
     deferred = F.col("payment_methods") == "DEFERRED_PAYMENT"
     out = entity_counts(
         rows, ["creation_date", "country_code"],
@@ -359,7 +359,7 @@ def promise_sales(t: Tables, s: Settings, payment: bool = False) -> DataFrame:
     columns = ["d", "c", "p", "tx", "g", "st", "gb", "prom", "nw"]
     if not payment:
         return rows.select(*columns)
-    rows = with_product(rows, t, "payment_methods", "cancellation_reason")
+    rows = with_product(rows, t, "payment_methods", "cancellation_reason", probe=lines)
     return rows.select(*columns, F.col("payment_methods").alias("pmt"), F.col("cancellation_reason").alias("cr"))
 
 
