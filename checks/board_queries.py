@@ -311,7 +311,7 @@ add(
   select b.*, actual from board b left join ({ACTUALS_SQL}) a on a.id = b.id and a.month = b.month
   where b.month = (select max(month) from board where month <= '{AS_OF:%Y-%m}')),
 y as (select *, {ATTAIN} as pct, if(inverted, target - actual, actual - target) as delta from x), z as (select *, {CAPPED} as e from y)
-select id, month, actual, target, pct, delta, delta >= 0 as good, {chip('e')} as band, coalesce(least(pct, 100e0), 0e0) as bar from z""",
+select id, month, actual, target, pct, delta, delta >= 0 as good, {chip('e')} as band, if(pct is null, 0e0, least(pct, 100e0)) as bar from z""",
 )
 
 # The second-half board: current month scored as partial, targets from the rows.

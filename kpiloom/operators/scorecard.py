@@ -155,7 +155,7 @@ def progress(board: DataFrame, targets: DataFrame, actuals: DataFrame, as_of: da
     pct = attainment("actual", "target", "inverted")
     return rows.select(
         "id", "month", "actual", "target", pct.alias("pct"), delta.alias("delta"), (delta >= 0).alias("good"),
-        band(pct).alias("band"), F.coalesce(F.least(pct, F.lit(100.0)), F.lit(0.0)).alias("bar"),
+        band(pct).alias("band"), F.when(pct.isNull(), F.lit(0.0)).otherwise(F.least(pct, F.lit(100.0))).alias("bar"),
     )
 
 

@@ -87,7 +87,8 @@ def write_each(builders: Mapping[str, Callable[[], DataFrame]], path: str) -> di
 def upsert_weeks(store: DataFrame, new: DataFrame, keys: Sequence[str] = ("week_start",)) -> DataFrame:
     """Stored rows with the given weeks replaced by the new ones."""
     replaced = F.broadcast(new.select(*keys).distinct())  # weeks of one refresh: at most the weeks kept
-    return store.join(replaced, list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
+    kept = store.join(replaced, list(keys), "left_anti").select(store.columns)
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def zero_filled(weekly: DataFrame, products: Sequence[str], countries: Sequence[str], visits: str = "visits") -> DataFrame:
