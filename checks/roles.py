@@ -45,7 +45,14 @@ STAMP = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")"
 
 
 def _reader(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
-    return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    opened: dict[str, DataFrame] = {}
+
+    def read(name: str) -> DataFrame:
+        if name not in opened:
+            opened[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return opened[name]
+
+    return read
 
 
 def _sales(read):

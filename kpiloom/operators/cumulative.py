@@ -36,6 +36,7 @@ def cumulate(seen: DataFrame, period: str, step: str, entity: str, flags: Sequen
     Columns: ``in_step`` (entities in the step itself, ``period_step`` only), ``cumulative`` and ``cumulative_<flag>``.
     ``by="step"`` drops the period from the key: for a step inside two periods, the entities of both are merged.
     """
+    seen = seen.where(F.col(period).isNotNull())
     counts = F.col(entity).isNotNull().cast("int")  # a NULL entity only keeps its step on the spine
     names = ["new", *[f"new_{f}" for f in flags]]
 
@@ -81,7 +82,7 @@ def _merge_periods(seen, totals, period, step, entity, flags):
     shared = totals.select(period, F.col(step)).join(shared, step)
     members = (
         # the test on "steps" keeps that column, so this branch reuses the shuffle of the totals
-        seen.where(F.col(entity).isNotNull() & (F.size("steps") > 0))
+        seen.where(F.size("steps") > 0)
         .select(period, entity, "first", *[f"first_{f}" for f in flags])
         .join(shared, period)
         .where(F.col("first") <= F.col(step))
@@ -94,7 +95,8 @@ def _merge_periods(seen, totals, period, step, entity, flags):
             ],
         )
     )
-    return single.unionByName(members.groupBy(step).agg(*[F.sum(o).alias(o) for o in outs]))
+    known = F.col(entity).isNotNull().cast("int")
+    return single.unionByName(members.groupBy(step).agg(*[F.sum(F.col(o) * known).alias(o) for o in outs]))
 
 
 def cumulative_distinct(

@@ -12,11 +12,11 @@ MAX_HEAVY = 10_000
 ROWS_PER_PART = 2_000_000
 
 
-def heavy_keys(rows: DataFrame, on: str, spread_by: str, rows_per_part: int, max_parts: int) -> Column:
-    """Map of the heavy keys of ``rows`` to the number of parts they should be split into, as a scalar subquery.
+def heavy_keys(rows: DataFrame, on: str, spread_by: str, rows_per_part: int, max_parts: int) -> DataFrame:
+    """Heavy keys of ``rows`` and the number of parts each should be split into: _key, _parts.
 
-    Keys are counted in a deterministic slice of the rows (by the hash of ``spread_by``), so every use sees the same map.
-    At most ``MAX_HEAVY`` keys are listed, the largest first, which bounds the map.
+    Keys are counted in a deterministic slice of the rows (by the hash of ``spread_by``), so every use sees the same keys.
+    At most ``MAX_HEAVY`` keys are listed, the largest first, which bounds the broadcast.
     """
     counted = (
         rows.where(F.col(on).isNotNull() & (F.pmod(F.xxhash64(spread_by), F.lit(SLICES)) == 0))
@@ -24,8 +24,7 @@ def heavy_keys(rows: DataFrame, on: str, spread_by: str, rows_per_part: int, max
         .agg((F.count("*") * SLICES).alias("_n"))
     )
     largest = counted.where(F.col("_n") > rows_per_part).orderBy(F.col("_n").desc(), "_key").limit(MAX_HEAVY)
-    parts = F.least(F.ceil(F.col("_n") / rows_per_part), F.lit(max_parts)).cast("int")
-    return largest.agg(F.map_from_entries(F.collect_list(F.struct("_key", parts.alias("_parts"))))).scalar()
+    return largest.select("_key", F.least(F.ceil(F.col("_n") / rows_per_part), F.lit(max_parts)).cast("int").alias("_parts"))
 
 
 def skew_join(
@@ -43,11 +42,14 @@ def skew_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(left if probe is None else probe, on, spread_by, rows_per_part, 4 * partitions)
-    parts = F.coalesce(heavy[F.col(on)], F.lit(1))
-    spread = F.when(F.col(on).isNull(), F.lit(partitions)).otherwise(parts)
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread_by), F.lit(7)), spread).cast("int"))
-    salted_right = right.where(F.col(on).isNotNull()).withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    # both sides use the same broadcast, so the keys are counted once
+    heavy = F.broadcast(heavy_keys(left if probe is None else probe, on, spread_by, rows_per_part, 4 * partitions))
+    is_heavy = F.col(on) == F.col("_key")
+    parts = F.coalesce(F.col("_parts"), F.when(F.col(on).isNull(), F.lit(partitions)), F.lit(1))
+    salt = F.pmod(F.xxhash64(F.col(spread_by), F.lit(7)), parts).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
+    salted_left = left.join(heavy, is_heavy, "left").select(*left.columns, salt.alias("_salt"))
+    salted_right = right.where(F.col(on).isNotNull()).join(heavy, is_heavy, "left").select(*right.columns, copies.alias("_salt"))
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
 
 

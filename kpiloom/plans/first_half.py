@@ -330,32 +330,31 @@ def kr32_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
 # Booking frequency ----------------------------------------------------------------------------------------------------
 
 
-def valid_bookings(t: Tables, s: Settings, since, inclusive: bool) -> DataFrame:
-    """Distinct (day, partner, booking) of reservations that are not about to be cancelled.
+def valid_bookings(t: Tables, s: Settings, since, inclusive: bool, **grain: Column) -> DataFrame:
+    """Bookings per partner and grain (named columns of the day) of reservations that are not about to be cancelled.
 
-    Only distinct bookings are counted later, so the reservation is a semi join. A reservation without status does not
-    pass, as its status is unknown.
+    Bookings are made distinct first; only their number is asked, so the reservation is a semi join. A reservation
+    without status does not pass, as its status is unknown.
     """
     day = F.col("creation_date")
     sales = sales_since(t.sales, since.strftime("%Y-%m"), s.wide_channels).where(
         (day >= F.lit(since)) if inclusive else (day > F.lit(since))
     )
-    bookings = sales.select("creation_date", "partner_id", "transaction_code").distinct()
+    bookings = sales.select(*[c.alias(n) for n, c in grain.items()], "partner_id", "transaction_code").distinct()
     live = latest_reservations(t.reservations).where(F.col("status") != fixed.TO_CANCEL).select(
         F.col("id").try_cast("bigint").alias("transaction_code")
     )
-    return skew_join(bookings, live, "transaction_code", "left_semi", "partner_id", probe=sales)
+    valid = skew_join(bookings, live, "transaction_code", "left_semi", "partner_id", probe=sales)
+    return valid.groupBy(*grain, "partner_id").agg(F.count("transaction_code").alias("reservas"))
 
 
-def _monthly(bookings: DataFrame) -> DataFrame:
-    keyed = bookings.select(dates.yyyymm("creation_date").alias("mes"), "partner_id", "transaction_code").distinct()
-    return keyed.groupBy("mes", "partner_id").agg(F.count("transaction_code").alias("reservas"))
+def _monthly(t: Tables, s: Settings) -> DataFrame:
+    return valid_bookings(t, s, s.bookings_after, False, mes=dates.yyyymm("creation_date"))
 
 
 def kr33(t: Tables, s: Settings) -> DataFrame:
     """Agencies with 1-3 bookings in a month that made two or more additional ones in the next."""
-    monthly = _monthly(valid_bookings(t, s, s.bookings_after, False))
-    return cohort.uplift(monthly, s.uplift_target).where(F.col("mes_previo") >= s.uplift_month_from)
+    return cohort.uplift(_monthly(t, s), s.uplift_target).where(F.col("mes_previo") >= s.uplift_month_from)
 
 
 def kr33_sem(t: Tables, s: Settings) -> DataFrame:
@@ -369,15 +368,8 @@ def kr33_sem(t: Tables, s: Settings) -> DataFrame:
 
 def kr33_sem_cum(t: Tables, s: Settings, match_month: bool = False) -> DataFrame:
     """Uplift with the bookings accumulated to each week of the evaluated month."""
-    monthly = _monthly(valid_bookings(t, s, s.bookings_after, False)).where(F.col("mes") >= s.uplift_month_from)
-    weekly = (
-        valid_bookings(t, s, s.weeks_from, True)
-        .select(
-            dates.week_start("creation_date").alias("semana_inicio"), dates.yyyymm("creation_date").alias("mes"),
-            "partner_id", "transaction_code",
-        )
-        .distinct()
-        .groupBy("semana_inicio", "mes", "partner_id")
-        .agg(F.count("transaction_code").alias("reservas"))
+    monthly = _monthly(t, s).where(F.col("mes") >= s.uplift_month_from)
+    weekly = valid_bookings(
+        t, s, s.weeks_from, True, semana_inicio=dates.week_start("creation_date"), mes=dates.yyyymm("creation_date")
     )
     return cohort.uplift_cumulative(monthly, weekly, match_month=match_month)

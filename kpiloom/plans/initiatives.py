@@ -199,28 +199,32 @@ def wallet_bookings(t: Tables, s: Settings, since: date) -> DataFrame:
     ).select(F.col("transaction_id").alias("transaction_code"), "partner")
 
 
+def payments_of(t: Tables, s: Settings, since: date) -> DataFrame:
+    """Confirmed payments of the launched countries: transaction_code, d, c, gb."""
+    return t.payments.where(
+        (F.col("reservation_year_month") >= F.lit(since.replace(day=1))) & (F.col("is_confirmed_flg") == 1)
+        & F.col("country_code").isin(*s.wallet_launches)
+    ).select(
+        "transaction_code", F.col("reservation_date").alias("d"), F.col("country_code").alias("c"),
+        money("gross_booking").alias("gb"),
+    )
+
+
 def confirmed_payments(t: Tables, s: Settings, since: date) -> DataFrame:
-    """Confirmed payments of the launched countries with their transaction: d, c, r, p, gb."""
+    """Confirmed payments of the launched countries with the partner of their transaction: transaction_code, d, c, gb, p."""
     month = F.lit(since.replace(day=1))
     transactions = exclude_test(
         t.transactions.where((F.col("reservation_year_month") >= month) & F.col("channel").isin(*s.channels)),
         "agency_fantasy_name",
-    ).select("transaction_code", "partner_data_id")
-    payments = t.payments.where(
-        (F.col("reservation_year_month") >= month) & (F.col("is_confirmed_flg") == 1)
-        & F.col("country_code").isin(*s.wallet_launches)
-    )
-    return payments.join(transactions, "transaction_code").select(
-        "transaction_code", F.col("reservation_date").alias("d"), F.col("country_code").alias("c"),
-        F.col("partner_data_id").alias("p"), money("gross_booking").alias("gb"),
-    )
+    ).select("transaction_code", F.col("partner_data_id").alias("p"))
+    return payments_of(t, s, since).join(transactions, "transaction_code")
 
 
 def hdo_daily(t: Tables, s: Settings) -> DataFrame:
     """Per day and country: bookings and value with the wallet combination, and all; from 60 days before the launch."""
     since = min(s.wallet_launches.values()) - timedelta(days=fixed.WALLET_PRE_DAYS)
     rows = confirmed_payments(t, s, since).where(F.col("d") >= F.lit(since))
-    rows = flag_join(rows, wallet_bookings(t, s, since), "transaction_code", "w", "p", probe=rows)
+    rows = flag_join(rows, wallet_bookings(t, s, since), "transaction_code", "w", "d", probe=payments_of(t, s, since))
     with_wallet = F.col("w") == 1
     out = entity_counts(
         rows, ["d", "c"], {"nw": ("transaction_code", with_wallet), "nt": ("transaction_code", None)},
@@ -229,15 +233,16 @@ def hdo_daily(t: Tables, s: Settings) -> DataFrame:
     return _round_sums(out, "gw", "gt").select(dates.iso_text("d").alias("d"), "c", "nw", "gw", "nt", "gt")
 
 
-def _wallet_scope(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame]:
+def _wallet_scope(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     since = min(s.wallet_launches.values())
-    return rollout.since_launch(confirmed_payments(t, s, since), s.wallet_launches), wallet_bookings(t, s, since)
+    rows = rollout.since_launch(confirmed_payments(t, s, since), s.wallet_launches)
+    return rows, wallet_bookings(t, s, since), payments_of(t, s, since)
 
 
 def hdo_tot(t: Tables, s: Settings) -> DataFrame:
     """Agencies with the wallet combination and with any sale since each launch, per country and in all."""
-    rows, wallet = _wallet_scope(t, s)
-    rows = flag_join(rows, wallet, "transaction_code", "w", "p", probe=rows)
+    rows, wallet, probe = _wallet_scope(t, s)
+    rows = flag_join(rows, wallet, "transaction_code", "w", "d", probe=probe)
     out = entity_counts(
         with_total_key(rows, "c", TOTAL), ["c"], {"agw": ("p", F.col("w") == 1), "agt": ("p", None)}
     )
@@ -246,8 +251,8 @@ def hdo_tot(t: Tables, s: Settings) -> DataFrame:
 
 def hdo_part(t: Tables, s: Settings) -> DataFrame:
     """What the wallet is combined with: bookings and value per country and method set."""
-    rows, wallet = _wallet_scope(t, s)
-    joined = skew_join(rows, wallet, "transaction_code", "inner", "p", probe=rows)
+    rows, wallet, probe = _wallet_scope(t, s)
+    joined = skew_join(rows, wallet, "transaction_code", "inner", "d", probe=probe)
     out = entity_counts(joined, ["c", "partner"], {"n": ("transaction_code", None)}, {"gb": F.col("gb")})
     return _round_sums(out, "gb")
 

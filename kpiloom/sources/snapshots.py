@@ -108,7 +108,8 @@ def retain_last(store: DataFrame, weeks: int = fixed.WEEKS_KEPT, key: str = "wee
 
 def save_weeks(new: DataFrame, path: str, key: str = "week_start") -> None:
     """Write weeks into the partitioned store; stored weeks of the same start are replaced, others stay."""
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    # usage is aggregated: a week is small, so it is one file
+    new.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def week_window(store: DataFrame, key: str = "week_start") -> DataFrame:
