@@ -34,13 +34,21 @@ def link_countries(country: DataFrame, totals: DataFrame, launches: Mapping[str,
     )
 
 
+def _one_row(*parts: DataFrame) -> DataFrame:
+    """Parts of one row each, side by side; a missing part or value is 0."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in stacked.columns])
+
+
 def link_total(country: DataFrame, totals: DataFrame) -> DataFrame:
     """The total row of the board: link rows, non-refundable sale and cancellations of the whole scope."""
-    link = country.where(F.col("c") == "ALL").select("c", "nl", "gl", "ag", "nc", "gc", "rep")
-    scope = country.where(F.col("c") == "TOT").select(F.lit("ALL").alias("c"), F.col("nc").alias("hnc"))
-    sale = totals.where(F.col("c") == "ALL").select("c", "gt", "nt", "agt")
-    out = link.join(sale, "c").join(scope, "c").drop("c")
-    return out.select(*[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in out.columns])
+    return _one_row(
+        country.where(F.col("c") == "ALL").select("nl", "gl", "ag", "nc", "gc", "rep"),
+        country.where(F.col("c") == "TOT").select(F.col("nc").alias("hnc")),
+        totals.where(F.col("c") == "ALL").select("gt", "nt", "agt"),
+    )
 
 
 def link_counterfactual_blocks(daily: DataFrame, launches: Mapping[str, date], as_of: date) -> DataFrame:
@@ -76,9 +84,9 @@ def wallet_countries(daily: DataFrame, totals: DataFrame, launches: Mapping[str,
 
 
 def wallet_total(countries: DataFrame, totals: DataFrame) -> DataFrame:
-    sums = countries.agg(*[F.sum(v).alias(v) for v in ("nw", "gw", "nt", "gt")]).withColumn("c", F.lit("ALL"))
-    return sums.join(totals.where(F.col("c") == "ALL"), "c", "left").select(
-        "nw", "gw", "nt", "gt", F.coalesce("agw", F.lit(0)).alias("agw"), F.coalesce("agt", F.lit(0)).alias("agt")
+    return _one_row(
+        countries.agg(*[F.sum(v).alias(v) for v in ("nw", "gw", "nt", "gt")]),
+        totals.where(F.col("c") == "ALL").select("agw", "agt"),
     )
 
 

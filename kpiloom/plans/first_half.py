@@ -194,14 +194,19 @@ def revenue_lines(t: Tables, s: Settings, since) -> DataFrame:
     lines = t.sales.where(
         (F.col("gestion_date") >= F.lit(since)) & (F.col("partition_period") >= s.revenue_period_from)
         & F.col("lob_gestion").isin(*s.revenue_lines) & (F.col("parent_channel") == fixed.AFFILIATES)
-    ).select("product_id", "partner_id", "country_code", "parent_channel", "product", "buy_type_code", "gestion_date")
+    ).select(
+        "product_id", "transaction_code", "partner_id", "country_code", "parent_channel", "product", "buy_type_code",
+        "gestion_date",
+    )
+    # a product id may be a placeholder that many lines share
     profit = t.profit.where(
         (F.col("line_of_business") == fixed.B2B) & (F.col("date_reservation_year_month") >= s.revenue_period_from[:7])
     ).select("product_id", F.col("transaction_code").cast("string").alias("_tc"), "net_revenues_usd", "affiliates_usd")
     current = t.transactions.where(F.col("reservation_year_month") >= F.lit(s.revenue_from)).select(
         F.col("transaction_code").alias("_tc")
     )
-    return lines.join(profit, "product_id").join(current, "_tc").withColumn("net_revenue", adjusted_revenue())
+    joined = skew_join(lines, profit, "product_id", "inner", "transaction_code")
+    return joined.join(current, "_tc").withColumn("net_revenue", adjusted_revenue())
 
 
 def sheet_revenue(sheet: DataFrame, separator: str, source: str) -> DataFrame:

@@ -33,6 +33,23 @@ INITIATIVES: dict[str, Metric] = {
         "gv_daily", "pp_a", "pp_m", "pp_x", "pp_ctl", "pp_ag", "pp_agw", "gv_ctr", "hdo_tot", "hdo_part",
     )
 }
+# Row order of each result. Metrics return unordered rows; whoever shows them sorts the few that are left.
+ORDER: dict[str, tuple[str, ...]] = {
+    "h1.kr21": ("mes_deadline", "status"), "h1.kr22": ("creation_yearmonth",), "h1.kr31": ("periodo",), "h1.kr32": ("mes",),
+    "h1.kr33": ("mes_previo",), "h1.kr21_sem_cum": ("semana_inicio", "mes_deadline"),
+    **{f"h1.{k}": ("semana_inicio",) for k in FIRST_HALF if "_sem" in k and k != "kr21_sem_cum"},
+    "h2.kr11": ("mes",), "h2.kr21": ("mes",), "h2.kr22": ("mes_comercial",), "h2.kr21_sem": ("semana_inicio", "mes"),
+    "h2.kr22_sem": ("mes_comercial", "semana"), "ldp_daily": ("d", "c"), "hdo_daily": ("d", "c"), "pd_daily": ("d",),
+    "pp_agw": ("w",), "gv_ctr": ("grain", "p", "c"),
+}
+
+
+def ordered(key: str, rows: DataFrame) -> DataFrame:
+    """Rows in the order of their report; results without one are left as they are."""
+    key = key.removesuffix("_prog")
+    return rows.orderBy(*ORDER[key]) if key in ORDER else rows
+
+
 CADENCES: dict[str, tuple[str, ...]] = {
     "diario": ("kr11_prog", "kr21_prog", "kr22_prog"),
     "semanal": ("kr21_sem", "kr22_sem"),

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import sys
 from datetime import date
 from pathlib import Path
@@ -31,5 +33,12 @@ def d(text: str) -> date:
     return date.fromisoformat(text)
 
 
+def plan(df, mode="formatted"):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -124,3 +124,10 @@ def test_text_sheets_stay_text(spark, tmp_path):
     file.write_text("fecha,no_mes_proyectado,producto,pais,lob_canal,net_revenue\n5/3/2026,3,Hotels,Mexico,B2B-MIN,10.5\n")
     sheet = read_sheet(spark, str(file))
     assert dict(sheet.dtypes) == {c: "string" for c in sheet.columns} and sheet.first().net_revenue == "10.5"
+
+
+def test_report_order(spark):
+    df = spark.createDataFrame([("2026-11", 1), ("2026-10", 2)], "mes string, n int")
+    assert [r.mes for r in registry.ordered("h2.kr11_prog", df).collect()] == ["2026-10", "2026-11"]
+    assert registry.ordered("pp_m", df) is df
+    assert all(k.removeprefix("h1.") in registry.FIRST_HALF for k in registry.ORDER if k.startswith("h1."))
