@@ -545,8 +545,8 @@ add(
     over("orders", lambda o: snapshots.upsert_weeks(
         weekly_store(o).where(F.col("week_start") < date(2000, 3, 3)), weekly_store(o.where("o_custkey % 2 = 0")).where(F.col("week_start") >= CUT)
     )),
-    f"""select * from {WS} where week_start < {day(CUT)} union all
-select * from {WS.replace('from (select', 'from (select * from (select').replace('from orders)', 'from orders) where agency % 2 = 0)')} where week_start >= {day(CUT)}""",
+    f"""with new as (select * from {WS.replace('from (select', 'from (select * from (select').replace('from orders)', 'from orders) where agency % 2 = 0)')} where week_start >= {day(CUT)})
+select * from {WS} where week_start < date '2000-03-03' and week_start not in (select week_start from new) union all select * from new""",
 )
 add("retain_weeks", over("orders", lambda o: snapshots.retain_last(weekly_store(o), 26)),
     f"select * from {WS} qualify dense_rank() over (order by week_start desc) <= 26")
