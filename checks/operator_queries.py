@@ -347,7 +347,7 @@ add(
     """with v as (select p, b, cast(count(*) as double) as v from (
   select o_orderpriority as p, cast(floor((cast(o_orderdate as date) - date '1998-01-05') / 7) as int) as b from orders) where b between 0 and 51 group by all)
 select p, round(regr_intercept(v, b), 6) as intercept, round(regr_slope(v, b), 6) as slope, round(regr_avgx(v, b), 6) as mean_x, round(regr_sxx(v, b), 6) as sxx,
-  regr_count(v, b) as n, round(sqrt((regr_syy(v, b) - regr_sxy(v, b) * regr_sxy(v, b) / regr_sxx(v, b)) / (count(*) - 2)), 6) as sd from v group by p""",
+  cast(regr_count(v, b) as bigint) as n, round(sqrt((regr_syy(v, b) - regr_sxy(v, b) * regr_sxy(v, b) / regr_sxx(v, b)) / (count(*) - 2)), 6) as sd from v group by p""",
 )
 add(
     "last_step",
