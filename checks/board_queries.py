@@ -142,18 +142,18 @@ WALLET_SQL = f"""select l.c, cast(l.ld as varchar) as ld, cast(coalesce(sum(nw),
   cast(coalesce(sum(nt), 0) as bigint) as nt, cast(coalesce(sum(gt), 0) as double) as gt, coalesce(any_value(y.agw), 0) as agw,
   coalesce(any_value(y.agt), 0) as agt
 from (select * from {values(list(I.wallet_launches.items()))} v(c, ld)) l
-  left join ({M.HDO_DAILY}) x on x.c = l.c and cast(x.d as date) >= l.ld left join ({M.HDO_TOT}) y on y.c = l.c group by l.c, l.ld"""
+  left join ({M.WALLET_DAILY}) x on x.c = l.c and cast(x.d as date) >= l.ld left join ({M.WALLET_AGENCIES}) y on y.c = l.c group by l.c, l.ld"""
 
 
 def wallet_board(t, s):
-    return boards.wallet_countries(initiatives.hdo_daily(t, s), initiatives.hdo_tot(t, s), s.wallet_launches)
+    return boards.wallet_countries(initiatives.wallet_daily(t, s), initiatives.wallet_agencies(t, s), s.wallet_launches)
 
 
 add("wallet_countries", impact(wallet_board), WALLET_SQL)
 add(
-    "wallet_total", impact(lambda t, s: boards.wallet_total(wallet_board(t, s), initiatives.hdo_tot(t, s))),
+    "wallet_total", impact(lambda t, s: boards.wallet_total(wallet_board(t, s), initiatives.wallet_agencies(t, s))),
     f"""select cast(sum(nw) as bigint) as nw, sum(gw) as gw, cast(sum(nt) as bigint) as nt, sum(gt) as gt,
-  (select agw from ({M.HDO_TOT}) where c = 'ALL') as agw, (select agt from ({M.HDO_TOT}) where c = 'ALL') as agt from ({WALLET_SQL})""",
+  (select agw from ({M.WALLET_AGENCIES}) where c = 'ALL') as agw, (select agt from ({M.WALLET_AGENCIES}) where c = 'ALL') as agt from ({WALLET_SQL})""",
 )
 add(
     "deferred_board",
@@ -165,7 +165,7 @@ add("grid_daily", impact(lambda t, s: boards.grid_daily(initiatives.gv_daily(t,
     f"select d, c, coalesce(gb_f, 0) as gb_f, n_f, coalesce(gb_c, 0) as gb_c, n_c from ({M.GV_DAILY})")
 add("promise_countries", impact(lambda t, s: boards.promise_countries(initiatives.pp_a(t, s))),
     f"select c, sum(coalesce(gb, 0)) as gb from ({M.PP_A}) where g = 'TT' and st = 'C' and c <> '' group by c")
-BOARD_MAP = {"NATION_3|1995-01-01": "ldp", "NATION_7|1995-01-02": "hdo", "NATION_12|1995-01-01": "gv"}
+BOARD_MAP = {"NATION_3|1995-01-01": "ldp", "NATION_7|1995-01-02": "wallet", "NATION_12|1995-01-01": "gv"}
 
 
 def _nation_starts(spark, sf_dir):

@@ -411,12 +411,12 @@ select cast(d as varchar) as d, c, {money('sum(gb) filter (where rf and not isl)
   count(distinct r) filter (where isl) as nl, {money('sum(gb) filter (where inside and not rf)')} as scope_nr
 from x group by all""",
 )
-HDO_DAILY = with_roles(
+WALLET_DAILY = with_roles(
     WALLET_ROLES,
     f"""{wallet_cte(WALLET_PRE, day(WALLET_PRE))} select cast(d as varchar) as d, c, count(distinct r) filter (where w) as nw,
   {money('sum(gb) filter (where w)')} as gw, count(distinct r) as nt, {money('sum(gb)')} as gt from pay group by all""",
 )
-HDO_TOT = with_roles(
+WALLET_AGENCIES = with_roles(
     WALLET_ROLES,
     f"""{WALLET_SCOPE} select c, count(distinct p) filter (where w) as agw, count(distinct p) as agt from pay group by c
 union all select 'ALL', count(distinct p) filter (where w), count(distinct p) from pay""",
@@ -465,9 +465,9 @@ from hotel where d >= ld and st = 'Confirmado' and is_link group by p order by g
     ),
     "ldp_mix": LDP_MIX,
     "cf_daily": CF_DAILY,
-    "hdo_daily": HDO_DAILY,
-    "hdo_tot": HDO_TOT,
-    "hdo_part": with_roles(
+    "wallet_daily": WALLET_DAILY,
+    "wallet_agencies": WALLET_AGENCIES,
+    "wallet_mix": with_roles(
         WALLET_ROLES,
         f"{WALLET_SCOPE} select c, partner, count(distinct r) as n, {money('sum(gb)')} as gb from pay where w group by all",
     ),

@@ -220,7 +220,7 @@ def confirmed_payments(t: Tables, s: Settings, since: date) -> DataFrame:
     return payments_of(t, s, since).join(transactions, "transaction_code")
 
 
-def hdo_daily(t: Tables, s: Settings) -> DataFrame:
+def wallet_daily(t: Tables, s: Settings) -> DataFrame:
     """Per day and country: bookings and value with the wallet combination, and all; from 60 days before the launch."""
     since = min(s.wallet_launches.values()) - timedelta(days=fixed.WALLET_PRE_DAYS)
     rows = confirmed_payments(t, s, since).where(F.col("d") >= F.lit(since))
@@ -239,7 +239,7 @@ def _wallet_scope(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame, DataFra
     return rows, wallet_bookings(t, s, since), payments_of(t, s, since)
 
 
-def hdo_tot(t: Tables, s: Settings) -> DataFrame:
+def wallet_agencies(t: Tables, s: Settings) -> DataFrame:
     """Agencies with the wallet combination and with any sale since each launch, per country and in all."""
     rows, wallet, probe = _wallet_scope(t, s)
     rows = flag_join(rows, wallet, "transaction_code", "w", "d", probe=probe)
@@ -249,7 +249,7 @@ def hdo_tot(t: Tables, s: Settings) -> DataFrame:
     return keep_total_rows(out, "c", [TOTAL], ["agw", "agt"])
 
 
-def hdo_part(t: Tables, s: Settings) -> DataFrame:
+def wallet_mix(t: Tables, s: Settings) -> DataFrame:
     """What the wallet is combined with: bookings and value per country and method set."""
     rows, wallet, probe = _wallet_scope(t, s)
     joined = skew_join(rows, wallet, "transaction_code", "inner", "d", probe=probe)

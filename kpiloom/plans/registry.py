@@ -29,8 +29,8 @@ SECOND_HALF: dict[str, Metric] = {
 INITIATIVES: dict[str, Metric] = {
     name: getattr(initiatives, name)
     for name in (
-        "ldp_daily", "ldp_country", "ldp_totals", "ldp_top", "ldp_mix", "cf_daily", "pd_daily", "pkg_daily", "hdo_daily",
-        "gv_daily", "pp_a", "pp_m", "pp_x", "pp_ctl", "pp_ag", "pp_agw", "gv_ctr", "hdo_tot", "hdo_part",
+        "ldp_daily", "ldp_country", "ldp_totals", "ldp_top", "ldp_mix", "cf_daily", "pd_daily", "pkg_daily", "wallet_daily",
+        "gv_daily", "pp_a", "pp_m", "pp_x", "pp_ctl", "pp_ag", "pp_agw", "gv_ctr", "wallet_agencies", "wallet_mix",
     )
 }
 # Row order of each result. Metrics return unordered rows; whoever shows them sorts the few that are left.
@@ -39,7 +39,7 @@ ORDER: dict[str, tuple[str, ...]] = {
     "h1.kr33": ("mes_previo",), "h1.kr21_sem_cum": ("semana_inicio", "mes_deadline"),
     **{f"h1.{k}": ("semana_inicio",) for k in FIRST_HALF if "_sem" in k and k != "kr21_sem_cum"},
     "h2.kr11": ("mes",), "h2.kr21": ("mes",), "h2.kr22": ("mes_comercial",), "h2.kr21_sem": ("semana_inicio", "mes"),
-    "h2.kr22_sem": ("mes_comercial", "semana"), "ldp_daily": ("d", "c"), "hdo_daily": ("d", "c"), "pd_daily": ("d",),
+    "h2.kr22_sem": ("mes_comercial", "semana"), "ldp_daily": ("d", "c"), "wallet_daily": ("d", "c"), "pd_daily": ("d",),
     "pp_agw": ("w",), "gv_ctr": ("grain", "p", "c"),
 }
 

@@ -109,7 +109,7 @@ def test_repeaters_of_the_total_span_countries(spark):
 def test_totals_stay_on_empty_input(spark):
     got = {r.c: (r.nl, r.gl, r.rep) for r in initiatives.ldp_country(tables(spark), R.IMPACT).collect()}
     assert got == {"ALL": (0, None, 0), "TOT": (0, None, 0)}
-    assert [tuple(r) for r in initiatives.hdo_tot(tables(spark), R.IMPACT).select("c", "agw", "agt").collect()] == [("ALL", 0, 0)]
+    assert [tuple(r) for r in initiatives.wallet_agencies(tables(spark), R.IMPACT).select("c", "agw", "agt").collect()] == [("ALL", 0, 0)]
 
 
 @pytest.mark.parametrize("name", ["", None])

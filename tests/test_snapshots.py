@@ -131,3 +131,12 @@ def test_report_order(spark):
     assert [r.mes for r in registry.ordered("h2.kr11_prog", df).collect()] == ["2026-10", "2026-11"]
     assert registry.ordered("pp_m", df) is df
     assert all(k.removeprefix("h1.") in registry.FIRST_HALF for k in registry.ORDER if k.startswith("h1."))
+
+
+def test_lineage_is_cut_reliably(spark):
+    from kpiloom.session import cut_lineage
+
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    cut = cut_lineage(df)
+    assert rows(cut) == rows(df) and spark.sparkContext.getCheckpointDir()
+    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
