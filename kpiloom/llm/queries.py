@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, packing, warc
+from kpiloom.llm import arrowfiles, packing, pii, quality, simhash, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(pii.of_kinds(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    base = F.sha2(pii.listed(pii.of_kinds(F.col("spans"), *pii.BASE)), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     files, path = warc.write_archives(pages)
@@ -42,15 +49,29 @@ FROM f
 """
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.verdicts(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "longest_repeat"
+    )
+
+
 def op9_arrow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = arrowfiles.write_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return arrowfiles.read_checksums(spark, path)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op5_pii": op5_pii,
     "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
     "op9_arrow_files": op9_arrow_files,
+    "op10_simhash": op10_simhash,
 }
 
 SQL: dict[str, str] = {"op7_warc": OP7_SQL}
