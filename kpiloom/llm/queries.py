@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, packing, pii, quality, simhash, warc
+from kpiloom.llm import arrowfiles, mixing, packing, pii, quality, simhash, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "n_copies")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents"))
     counts = [F.size(pii.of_kinds(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
@@ -67,6 +71,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_mixing": op3_mixing,
     "op5_pii": op5_pii,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
