@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, mixing, packing, pii, quality, simhash, warc
+from kpiloom.llm import arrowfiles, mixing, packing, pii, quality, simhash, topk, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,25 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+OP2_SQL = """
+WITH r AS (
+    SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), v AS (
+    SELECT vec_id, list(CAST(floor(64 * x) AS DOUBLE) ORDER BY d) AS v FROM r GROUP BY vec_id
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM k WHERE r <= 20
+"""
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "n_copies")
 
@@ -71,6 +90,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_topk": op2_topk,
     "op3_mixing": op3_mixing,
     "op5_pii": op5_pii,
     "op7_warc": op7_warc,
@@ -79,4 +99,4 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
 }
 
-SQL: dict[str, str] = {"op7_warc": OP7_SQL}
+SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL}
