@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, mixing, packing, pii, quality, simhash, topk, warc
+from kpiloom.llm import arrowfiles, mixing, packing, pii, quality, simhash, suffixdedup, topk, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,15 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base.alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     files, path = warc.write_archives(pages)
@@ -93,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op2_topk": op2_topk,
     "op3_mixing": op3_mixing,
     "op5_pii": op5_pii,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_arrow_files": op9_arrow_files,
