@@ -11,8 +11,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of an Arrow batch sent to Python; texts may be long, so batches are short.
-BATCH_ROWS = 256
+#: Bytes of an Arrow batch sent to Python.
+BATCH_BYTES = 1 << 21
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,9 +42,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of this session by rows, as one text may hold megabytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by bytes, as one text may hold megabytes (then it is a batch of its own)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def worker_cache(name: str) -> dict:

@@ -42,7 +42,7 @@ def whole_numbers(vector: Column, scale: int) -> Column:
 
 def packed(vectors: DataFrame, rows: int, name: str) -> DataFrame:
     """Rows (id, v: whole numbers) as stored blocks of vectors of equal length: block, shelf (dense), dims, ids, values."""
-    small_batches(vectors.sparkSession, 2048)
+    small_batches(vectors.sparkSession)
     n = max(1, -(-vectors.count() // rows))
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +157,7 @@ def search(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shelves - 1).cast("long"))).alias("shelf"),
         F.col("block").alias("q_block"), F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"),
     )
-    small_batches(spark, 4)
+    small_batches(spark)
     pairs = left.repartition(shelves, "shelf").join(right.repartition(shelves, "shelf"), "shelf").sortWithinPartitions("block")
     schema = pa.schema([(c, pa.int64()) for c in ("q_block", "q_row", "query_id", "vec_id", "score")])
 

@@ -142,7 +142,7 @@ def write_archives(
     row without an id is a response only where no equal payload has one. Rows that share payload and smallest id are all
     responses. A file is named only once its task has ended well; other columns are not read.
     """
-    small_batches(pages.sparkSession, 64)
+    small_batches(pages.sparkSession)
     path = path or fresh_dir(pages.sparkSession, "warc")
     rows = with_verdicts(pages, id_col, url_col, html_col, least_bytes)
 
@@ -174,7 +174,7 @@ def normalise(files: DataFrame, path: str) -> DataFrame:
     Index: file, offset and length of the member, record_id, record_type, target_uri. One file is one task's work; the
     stream is read once, in pieces. Output names carry a fresh id, so a retried task never writes over another's file.
     """
-    small_batches(files.sparkSession, 64)
+    small_batches(files.sparkSession)
     n = max(1, files.count())
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +208,7 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
     Size and digest of a response are taken from its payload and held against its headers; a revisit has no payload, its
     HTTP head and headers carry both. refers_to is a record id, null for responses.
     """
-    small_batches(index.sparkSession, 2048)
+    small_batches(index.sparkSession)
     n = max(1, index.select("file").distinct().count())
     rows = index.select("file", "offset", "length").repartition(n, "file").sortWithinPartitions("file", "offset")
 
