@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, mixing, packing, pii, quality, simhash, suffixdedup, topk, warc
+from kpiloom.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, suffixdedup, topk, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "n_copies")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.find_licences(docs, licenses.train(docs))
+    return found.select("doc_id", "paragraph", "family", F.round("similarity", 6).alias("similarity"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents"))
     counts = [F.size(pii.of_kinds(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
@@ -101,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_topk": op2_topk,
     "op3_mixing": op3_mixing,
+    "op4_licenses": op4_licenses,
     "op5_pii": op5_pii,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
