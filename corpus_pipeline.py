@@ -1,4 +1,7 @@
-"""A corpus pipeline of five stages over the operators in ``kpiloom.llm``."""
+"""A corpus pipeline of five stages over the operators in ``kpiloom.llm``.
+
+Each stage works on all rows its predecessor kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +9,44 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import packing
+from kpiloom.llm import mixing, packing, pii, quality, simhash
 from kpiloom.llm.common import staged, table
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that the base rules or the repetition limits reject go."""
+    return quality.keep(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup: of each group of fingerprints within 3 bits the document of the smallest id stays."""
+    return simhash.keep_one(docs, shingle=3, bits=3)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data: spans are replaced by their kind, n_chars follows the text."""
+    return pii.mask(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: each document as often as its source's target asks for, three times at most, perhaps not at all."""
+    return mixing.repeat_rows(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 ids of all that is left, by best-fit decreasing: a row per piece with its ids."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality_rules", keep_good),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("pii", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
-#: The stages are no SQL.
+#: Fingerprints, suffix arrays, random rounding and tokenizers are no SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
