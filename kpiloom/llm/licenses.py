@@ -154,13 +154,14 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
     spark = docs.sparkSession
     lines = paragraphs(docs, id_col, text_col).where(~F.col("body").rlike(CUE)).select("body")
     ordinary = lines.select("body", F.xxhash64("body").alias("h")).orderBy("h", "body").limit(sample).select(F.lit(NONE).alias("family"), "body")
-    rows = variants(notices(spark)).unionByName(ordinary)
+    given = variants(notices(spark)).withColumn("sampled", F.lit(False))
+    rows = given.unionByName(ordinary.withColumn("sampled", F.lit(True)))
     rows = staged(with_runs(with_words(rows)).withColumn("held", F.pmod(F.xxhash64("body"), F.lit(5)) == 0), "licence-rows")
-    counted = rows.select("family", "body", F.explode(F.array_distinct("words")).alias("word"))
+    counted = rows.select("family", "sampled", F.explode(F.array_distinct("words")).alias("word"))
     counted = counted.groupBy("word").agg(
-        F.count(F.when(F.col("family") == NONE, 1)).alias("plain"), F.count(F.when(F.col("family") != NONE, 1)).alias("licence")
+        F.count(F.when(F.col("sampled"), 1)).alias("plain"), F.count(F.when(F.col("family") != NONE, 1)).alias("licence")
     )
-    n_plain = rows.where(F.col("family") == NONE).count()
+    n_plain = rows.where("sampled").count()
     # collected are the words, and below the runs of words, of a few dozen notices
     marks = sorted(r[0] for r in counted.where((F.col("licence") > 0) & (F.col("plain") <= MAX_ORDINARY * n_plain)).select("word").collect())
     runs = rows.where(F.col("family") != NONE).select(F.explode("runs").alias("run")).distinct()
