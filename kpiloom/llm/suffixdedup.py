@@ -31,12 +31,12 @@ from kpiloom.llm.common import batches, small_batches, staged
 BLOCK_BYTES = 1 << 18
 GROUP_PIECES = 1024
 #: Occurrences from which a key is dealt by content too, the share of texts (1 in ...) they are estimated from, the parts.
-HEAVY_ROWS, HEAVY_SAMPLE, HEAVY_PARTS = 1_000_000, 64, 64
+HEAVY_ROWS, HEAVY_SAMPLE, HEAVY_PARTS = 200_000, 64, 64
 #: Bytes of text hashed at once; a longer text is read in stretches that overlap.
 STRETCH = 1 << 20
 PLACE_BITS = np.uint64(22)
 
-PIECES = "key long, digest long, row long, at int, starts short, ahead short"
+PIECES = "key long, digest long, row long, at int, starts short, ahead short, known boolean"
 FOUND = "candidate boolean, key long, row long, at int, starts short, ahead short"
 
 
@@ -103,7 +103,11 @@ def stretches(rows: list[int], texts: list[bytes], length: int) -> Iterator[tupl
 
 
 def keyed_pieces(texts: DataFrame, length: int, digests: bool = True) -> DataFrame:
-    """All pieces of ``texts`` (row, text): ``PIECES``; digest is 0 where it is not asked for."""
+    """All pieces of ``texts`` (row, text): ``PIECES``; digest is 0 where it is not asked for.
+
+    Of equal pieces in a stretch of text all but the first are known to be repeats: they get a key of their own, so that
+    what occurs very often is not dealt to one task.
+    """
     names = [f.split()[0] for f in PIECES.split(", ")]
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +126,14 @@ def keyed_pieces(texts: DataFrame, length: int, digests: bool = True) -> DataFra
                     right = left + n + length - 1
                     view = memoryview(stretch)
                     digest = np.array([xxhash.xxh64_intdigest(view[a:b]) for a, b in zip(left.tolist(), right.tolist())], np.uint64)
-                columns = [keys.view(np.int64), digest.view(np.int64), row, (at + offset).astype(np.int32), n.astype(np.int16), ahead.astype(np.int16)]
+                at = at + offset
+                known = np.zeros(len(at), bool)
+                if digests:
+                    order = np.lexsort((at, row, digest, keys))
+                    same = (keys[order[1:]] == keys[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]])
+                    known[order[1:]] = same
+                    keys, digest = np.where(known, row.view(np.uint64), keys), np.where(known, np.uint64(0), digest)
+                columns = [keys.view(np.int64), digest.view(np.int64), row, at.astype(np.int32), n.astype(np.int16), ahead.astype(np.int16), known]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return texts.mapInArrow(run, PIECES)
@@ -136,7 +147,7 @@ def heavy_keys(texts: DataFrame, length: int) -> DataFrame:
 
 
 def first_and_others(pieces: DataFrame, extra: str = "") -> DataFrame:
-    """From pieces with a ``part`` (0, or the share of a heavy key): ``FOUND``, and ``bytes`` where ``extra`` names it.
+    """From pieces with a ``part`` (0, the share of a heavy key, or -1: known as a repeat): ``FOUND``, and ``extra``.
 
     A row is a repeat of an equal piece before it (candidate false) or the first of its kind in a key with pieces of
     several kinds (candidate true; always so in a heavy key). First pieces that are alone in their key are left out.
@@ -160,10 +171,11 @@ def first_and_others(pieces: DataFrame, extra: str = "") -> DataFrame:
             key, part, digest = (batch.column(k).to_numpy() for k in range(3))
             new_group = np.r_[(key[0], part[0]) != last[:2], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]
             new_kind = new_group | np.r_[digest[0] != last[2], digest[1:] != digest[:-1]]
-            others = np.flatnonzero(~new_kind)
+            known = part < 0
+            others = np.flatnonzero(~new_kind | known)
             if len(others):
                 yield rows(batch, others, False)
-            leaders = np.flatnonzero(new_kind)
+            leaders = np.flatnonzero(new_kind & ~known)
             group = np.cumsum(new_group)  # 0: the group that the batch before ended with
             n_kinds = np.bincount(group[leaders], minlength=int(group[-1]) + 1)
             heavy = part > 0
@@ -178,7 +190,7 @@ def first_and_others(pieces: DataFrame, extra: str = "") -> DataFrame:
             if len(good):
                 yield rows(batch, good, True)
             if group[-1] > 0:  # the last group began in this batch
-                several = bool(many[-1] or heavy[-1])
+                several = bool(many[-1] or heavy[-1] or known[-1])
                 alone = None if several else batch.slice(int(leaders[group[leaders] == group[-1]][0]), 1)
             last = (key[-1], part[-1], digest[-1])
 
@@ -285,7 +297,7 @@ def refined(pieces: DataFrame, length: int, low: list[int]) -> DataFrame:
     The strings of a piece whose distance lies in a range share a stretch of bytes; with the key it is their new key.
     """
     bounds = list(zip(low, [x - 1 for x in low[1:]] + [length]))
-    names = ["key", "digest", "row", "at", "starts", "ahead", "bytes"]
+    names = ["key", "digest", "row", "at", "starts", "ahead", "known", "bytes"]
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -302,9 +314,9 @@ def refined(pieces: DataFrame, length: int, low: list[int]) -> DataFrame:
                         seed = (key ^ a * 0x9E3779B97F4A7C15) % (1 << 64)
                         own = raw[i : j + length]
                         keys = (xxhash.xxh64_intdigest(common, seed), xxhash.xxh64_intdigest(own))
-                        yield *(k - (1 << 64) if k >> 63 else k for k in keys), row, at + i, j - i + 1, ahead - i, own
+                        yield *(k - (1 << 64) if k >> 63 else k for k in keys), row, at + i, j - i + 1, ahead - i, False, own
 
-        schema = pa.schema(list(zip(names, [pa.int64()] * 3 + [pa.int32(), pa.int16(), pa.int16(), pa.binary()])))
+        schema = pa.schema(list(zip(names, [pa.int64()] * 3 + [pa.int32(), pa.int16(), pa.int16(), pa.bool_(), pa.binary()])))
         yield from batches(made(), schema, max_rows=8192)
 
     return pieces.select("key", "row", "at", "starts", "ahead", "bytes").mapInArrow(run, PIECES + ", bytes binary")
@@ -359,8 +371,11 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     """
     pieces = keyed_pieces(texts, length)
     heavy = heavy_keys(texts, length)
-    part = F.when(F.col("hot").isNull(), 0).otherwise(1 + F.pmod("digest", F.lit(HEAVY_PARTS))).cast("int")
-    pieces = pieces.join(heavy.withColumn("hot", F.lit(1)), "key", "left").withColumn("part", part) if heavy.count() else pieces.withColumn("part", F.lit(0))
+    part = F.when(F.col("known"), -1)
+    if heavy.count():
+        pieces = pieces.join(heavy.withColumn("hot", F.lit(1)), "key", "left")
+        part = part.when(F.col("hot").isNotNull(), 1 + F.pmod("digest", F.lit(HEAVY_PARTS)))
+    pieces = pieces.withColumn("part", part.otherwise(0).cast("int"))
     found = staged(first_and_others(pieces), "pieces")
     spans = [whole_spans(found, length)]
     candidates = staged(with_bytes(found.where("candidate"), texts, length), "candidates")

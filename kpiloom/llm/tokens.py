@@ -26,6 +26,10 @@ CHUNKS = {
     "byte": re.compile(rf" ?[{LETTERS}]++(?=[ \n.,;:!?#*$%&|])| ?[^ \n]+|[ \n]+(?=[ \n][^ \n])|[ \n]+\Z|\n"),
     "word": re.compile(rf"[{LETTERS}]++(?=[ \n.,;:!?#*$%&|])|[^ \n]+"),
 }
+#: White space other than space and line feed; words joined by it stay in one chunk, with all white space around it.
+OTHER = "\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RARE = re.compile(f"[{OTHER}]")
+JOINED = re.compile(rf" ?[^ \n{OTHER}]*(?:[ \n]*[{OTHER}][ \n{OTHER}]*[^ \n{OTHER}]*)+|" + CHUNKS["byte"].pattern)
 PURE = re.compile(rf" ?[{LETTERS}]{{1,40}}")
 
 
@@ -36,6 +40,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def byte_chunks(text: str) -> list[str]:
+    return (JOINED if RARE.search(text) else CHUNKS["byte"]).findall(text)
+
+
 class Encoder(dict):
     """Ids (little-endian, ``dtype``) by chunk of text."""
 
@@ -46,7 +54,7 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
-        self.chunks = CHUNKS["word" if self.drops_space else "byte"].findall
+        self.chunks = CHUNKS["word"].findall if self.drops_space else byte_chunks
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.model = self.tokenizer.model
         self.letters = byte_letters()
