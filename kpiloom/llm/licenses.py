@@ -153,7 +153,8 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
     """
     spark = docs.sparkSession
     lines = paragraphs(docs, id_col, text_col).where(~F.col("body").rlike(CUE)).select("body")
-    ordinary = lines.select("body", F.xxhash64("body").alias("h")).orderBy("h", "body").limit(sample).select(F.lit(NONE).alias("family"), "body")
+    least = lines.select("body", F.xxhash64("body").alias("h")).orderBy("h", "body").limit(sample)
+    ordinary = staged(least, "licence-sample").select(F.lit(NONE).alias("family"), "body")
     given = variants(notices(spark)).withColumn("sampled", F.lit(False))
     rows = given.unionByName(ordinary.withColumn("sampled", F.lit(True)))
     rows = staged(with_runs(with_words(rows)).withColumn("held", F.pmod(F.xxhash64("body"), F.lit(5)) == 0), "licence-rows")
