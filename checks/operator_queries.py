@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
 from checks import roles as R
-from checks.metric_sql import MONTH, WEEK, day, launches, members, pct
+from checks.metric_sql import MONTH, USAGE, USAGE_ROLES, WEEK, day, launches, members, pct
 from checks.pairs import Pairs
 from checks.role_sql import with_roles
 from kpiloom.functions import dates, fixed, text
@@ -16,7 +17,9 @@ from kpiloom.functions.numbers import pct as pct_column
 from kpiloom.operators import aggregate, calendar, cohort, cumulative, joins, rollout, scorecard
 from kpiloom.operators.funnel import clean_pages
 from kpiloom.plans import first_half, initiatives, second_half, usability
+from kpiloom.session import scratch_path
 from kpiloom.sources import snapshots
+from kpiloom.streaming import weekly
 
 pairs = Pairs()
 add = pairs.add
@@ -568,6 +571,50 @@ add(
     f"select strftime(mes, '%Y-%m-%d') as mes, st as o_orderstatus, cast(sum(gb) as double) as gb, coalesce(max(agency) filter (where agency % 90 = 0), 0) as c from {B} group by all",
 )
 
+
+
+def refreshed_snapshot(spark, sf_dir):
+    """Three metrics, of which one is then refreshed and one falls to nothing; read back by key."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    path = scratch_path(spark, "snapshot")
+    status, priority = (orders.groupBy(F.col(c).alias("k")).agg(F.count("*").alias("n")) for c in ("o_orderstatus", "o_orderpriority"))
+    snapshots.write_snapshot({"status": status, "priority": priority, "gone": status}, path)
+    later = priority.withColumn("n", F.col("n") + 1)
+    snapshots.refresh_snapshot({"priority": later, "gone": status.where("n < 0")}, path)
+    parts = [snapshots.read_snapshot(spark, path, key, "k string, n long").withColumn("metric", F.lit(key)) for key in ("status", "priority", "gone")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+add(
+    "snapshot_refresh",
+    refreshed_snapshot,
+    """select o_orderstatus as k, count(*) as n, 'status' as metric from orders group by all
+union all select o_orderpriority, count(*) + 1, 'priority' from orders group by all""",
+)
+
+
+def refreshed_weeks(spark, sf_dir):
+    """The usage store after a first refresh, a second one that finds one more week, and a recomputation."""
+    path, tables = scratch_path(spark, "weeks"), R.roles(spark, sf_dir)
+    weekly.refresh(spark, tables, replace(R.CLICKS, as_of=date(2024, 1, 20)), path)
+    weekly.refresh(spark, tables, R.CLICKS, path)
+    weekly.refresh(spark, tables, R.CLICKS, path, recompute=1)
+    return weekly.current(spark, path)
+
+
+add(
+    "weekly_refresh",
+    refreshed_weeks,
+    with_roles(
+        USAGE_ROLES,
+        f"""{USAGE}, spine as (
+  select * from (select unnest([{', '.join(day(d) for d in (date(2024, 1, 5), date(2024, 1, 12), date(2024, 1, 19)))}]) as week_start) w,
+    (select unnest([{', '.join(repr(p) for p in weekly.PRODUCTS)}]) as product) p, (select unnest([{', '.join(repr(c) for c in weekly.COUNTRIES)}]) as country) c)
+select week_start, product, country, coalesce(visits, 0) as visits, filter_name, coalesce(clicks, 0) as clicks, coalesce(thanks, 0) as thanks
+from spine left join usage using (week_start, product, country)""",
+    ),
+)
+
 # Scorecard columns and scalar functions -------------------------------------------------------------------------------
 
 add(

@@ -103,7 +103,7 @@ def uplift_cumulative(monthly: DataFrame, weekly: DataFrame, partner: str = "par
     key = ["semana_inicio", "mes"] if match_month else ["semana_inicio"]
     so_far = (
         weekly.withColumnRenamed("semana_inicio", "_w")
-        .join(F.broadcast(weeks), "mes")
+        .join(weeks, "mes")
         .where(F.col("_w") <= F.col("semana_inicio"))
         .groupBy("semana_inicio", "mes", partner)
         .agg(F.sum("reservas").alias("acum"))
@@ -111,7 +111,7 @@ def uplift_cumulative(monthly: DataFrame, weekly: DataFrame, partner: str = "par
     base = (
         monthly.where(F.col("reservas").between(low, high))
         .select(partner, F.col("reservas").alias("_prev"), dates.next_yyyymm("mes").alias("mes"))
-        .join(F.broadcast(weeks), "mes")
+        .join(weeks, "mes")
     )
     if not match_month:
         so_far = so_far.groupBy("semana_inicio", partner).agg(F.max("acum").alias("acum"))

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Literal rows up to here are marked for broadcast; longer lists are tables like others.
 SMALL_ROWS = 10_000
 
 
 def inline(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
-    """A table from literal rows, marked for broadcast; more than ``SMALL_ROWS`` rows are refused."""
+    """A table from literal rows; short ones are marked for broadcast."""
     if len(rows) > SMALL_ROWS:
-        raise ValueError(f"{len(rows)} literal rows; write a table instead (limit {SMALL_ROWS})")
+        return spark.createDataFrame([tuple(row) for row in rows], schema)
     fields = T._parse_datatype_string(schema).fields
     if not rows:
         return spark.createDataFrame([], schema)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", name: str = "kpiloom", shuffle_partitions: int = 8) -> SparkSession:
@@ -23,14 +24,21 @@ def local_session(cores: int | str = "*", name: str = "kpiloom", shuffle_partiti
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint, for a base that several metrics of one refresh read.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset, as in tests, a
-    scratch folder is taken. Reliable checkpoints survive the loss of executors.
+    Only a local session, as in tests, may leave both unset; it gets a scratch folder of its own.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kpiloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="kpiloom-shared-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, below a folder of this application so that it can be cleaned as one."""
+    return f"{shared_folder(spark)}/kpiloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"

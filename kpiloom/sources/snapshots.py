@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,19 +37,23 @@ def as_rows(key: str, df: DataFrame) -> DataFrame:
     return json_native(df).select(F.lit(key).alias(KEY), body)
 
 
-def _write(df: DataFrame, path: str, dynamic: bool) -> None:
-    writer = df.write.mode("overwrite").partitionBy(KEY)
-    writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
-
-
 def write_snapshot(results: Mapping[str, DataFrame], path: str) -> None:
     """Write all metrics in one job, replacing the snapshot."""
-    _write(_union(results), path, dynamic=False)
+    _union(results).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(KEY).parquet(path)
 
 
 def refresh_snapshot(results: Mapping[str, DataFrame], path: str) -> None:
-    """Replace the given metrics only; the others stay. A failing metric fails the whole refresh."""
-    _write(_union(results), path, dynamic=True)
+    """Replace the given metrics only, also by no rows; the others stay.
+
+    All results are computed in one job and staged beside the snapshot (readers skip the folder), so a failing metric
+    fails the refresh before anything is replaced; then each key's folder is overwritten.
+    """
+    staged = f"{path}/_staged"
+    write_snapshot(results, staged)
+    spark = SparkSession.active()
+    rows = spark.read.schema(f"row string, {KEY} string").parquet(staged)
+    for key in results:
+        rows.where(F.col(KEY) == key).select("row").write.mode("overwrite").parquet(f"{path}/{KEY}={key}")
 
 
 def _union(results: Mapping[str, DataFrame]) -> DataFrame:
@@ -72,6 +77,7 @@ def write_each(builders: Mapping[str, Callable[[], DataFrame]], path: str) -> di
 
     Returns "ok" or the error text per metric.
     """
+    spark = SparkSession.active()  # of this thread, else the default one
     status: dict[str, str] = {}
     for key, build in builders.items():
         target = f"{path}/{KEY}={key}"
@@ -79,37 +85,53 @@ def write_each(builders: Mapping[str, Callable[[], DataFrame]], path: str) -> di
             as_rows(key, build()).drop(KEY).write.mode("overwrite").parquet(target)
             status[key] = "ok"
         except Exception as error:  # one metric must not stop the others
-            status[key] = f"{type(error).__name__}: {str(error)[:200]}"
-            SparkSession.getActiveSession().createDataFrame([], "row string").write.mode("overwrite").parquet(target)
+            status[key] = f"{type(error).__name__}: {error}"
+            spark.createDataFrame([], "row string").write.mode("overwrite").parquet(target)
     return status
 
 
 def upsert_weeks(store: DataFrame, new: DataFrame, keys: Sequence[str] = ("week_start",)) -> DataFrame:
     """Stored rows with the given weeks replaced by the new ones."""
-    replaced = F.broadcast(new.select(*keys).distinct())  # weeks of one refresh: at most the weeks kept
-    kept = store.join(replaced, list(keys), "left_anti").select(store.columns)
+    kept = store.join(new.select(*keys).distinct(), list(keys), "left_anti").select(store.columns)
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def zero_filled(weekly: DataFrame, products: Sequence[str], countries: Sequence[str], visits: str = "visits") -> DataFrame:
-    """A row for every stored week, product and country; those without data have no filter and 0 visits."""
-    spine = inline(weekly.sparkSession, [(p, c) for p in products for c in countries], "product string, country string")
-    weeks = weekly.select("week_start").distinct().withColumn("_k", F.explode(F.array(*[F.lit(p) for p in products])))
-    full = weeks.withColumnRenamed("_k", "product").join(spine, "product")
+def zero_filled(
+    weekly: DataFrame, products: Sequence[str], countries: Sequence[str], visits: str = "visits",
+    weeks: Sequence[date] | None = None,
+) -> DataFrame:
+    """A row for every week, product and country; those without data have no filter and 0 visits.
+
+    ``weeks``: the weeks to fill, also those without any row; by default the weeks found.
+    """
+    spark = weekly.sparkSession
+    pairs = inline(spark, [(p, c) for p in products for c in countries], "product string, country string")
+    found = weekly.select("week_start").distinct() if weeks is None else inline(spark, [(w,) for w in weeks], "week_start date")
+    every = F.array(*[F.lit(p) for p in products])
+    full = found.withColumn("product", F.explode(every)).join(pairs, "product")
     out = full.join(weekly, ["week_start", "product", "country"], "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in (visits, "clicks", "thanks")})
 
 
 def retain_last(store: DataFrame, weeks: int = fixed.WEEKS_KEPT, key: str = "week_start") -> DataFrame:
     """Rows of the latest ``weeks`` weeks."""
-    kept = F.broadcast(store.select(key).distinct().orderBy(F.col(key).desc()).limit(weeks))
+    kept = store.select(key).distinct().orderBy(F.col(key).desc()).limit(weeks)
     return store.join(kept, key, "left_semi")
 
 
-def save_weeks(new: DataFrame, path: str, key: str = "week_start") -> None:
-    """Write weeks into the partitioned store; stored weeks of the same start are replaced, others stay."""
-    # usage is aggregated: a week is small, so it is one file
-    new.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+def replace_weeks(rows: DataFrame, path: str, key: str = "week_start") -> None:
+    """Make ``rows``, which may be read from it, the store at ``path``; weeks that they lack leave it.
+
+    The rows are written beside the store first (``path``.next), so they are whole when the store is overwritten. Usage is
+    aggregated: a week is small, so it is one file.
+    """
+    beside = f"{path}.next"
+    _write_weeks(rows, beside, key)
+    _write_weeks(SparkSession.active().read.parquet(beside), path, key)
+
+
+def _write_weeks(rows: DataFrame, path: str, key: str) -> None:
+    rows.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key).parquet(path)
 
 
 def week_window(store: DataFrame, key: str = "week_start") -> DataFrame:

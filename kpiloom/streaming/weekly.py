@@ -1,13 +1,15 @@
 """Weekly increment of the usage store.
 
-There is no stream to read; what comes close is this batch job: find the weeks that closed and are missing, compute them
-all in one pass and replace them in the store, whose older weeks are cut off on reading.
+There is no stream to read; this is a batch job: find the weeks that closed and are missing, compute them, replace them
+in the store and let the oldest go.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Sequence
+from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,35 +21,59 @@ from kpiloom.sources import snapshots
 from kpiloom.sources.tables import Tables
 
 
-def closed_weeks(spark: SparkSession, s: Settings) -> DataFrame:
-    return calendar.closed_periods(spark, s.anchor, s.as_of, 7, fixed.WEEK_MARGIN_DAYS)
+PRODUCTS = tuple(dict.fromkeys(label for label, _ in fixed.USAGE_PRODUCTS.values()))
+COUNTRIES = (*fixed.USAGE_COUNTRIES, fixed.OTHER_USAGE_COUNTRY)
+
+
+def closed_weeks(spark: SparkSession, s: Settings, weeks: int = fixed.WEEKS_KEPT) -> DataFrame:
+    """The latest ``weeks`` closed weeks; older ones leave the store and are not fetched again."""
+    closed = calendar.closed_periods(spark, s.anchor, s.as_of, 7, fixed.WEEK_MARGIN_DAYS)
+    return closed.orderBy(F.col("week_start").desc()).limit(weeks)
 
 
 def weeks_to_fetch(spark: SparkSession, s: Settings, store: DataFrame, recompute: int = 0) -> DataFrame:
     return calendar.periods_to_fetch(closed_weeks(spark, s), store, recompute)
 
 
-def increment(t: Tables, s: Settings, weeks: DataFrame) -> DataFrame | None:
-    """Usage of the given weeks, None when there is none. Only the first and last week start reach the driver."""
-    first, last = weeks.agg(F.min("week_start"), F.max("week_start")).first()
-    if first is None:
-        return None
-    usage = usability.filter_usage(t, s, first, last + timedelta(days=6))
-    return usage.join(F.broadcast(weeks), "week_start", "left_semi")
+def increment(t: Tables, s: Settings, weeks: Sequence[date]) -> DataFrame:
+    """Usage of the given weeks, with a row for every week, product and country. Only these weeks are read."""
+    runs: list[list[date]] = []
+    for week in sorted(weeks):
+        if runs and runs[-1][-1] + timedelta(days=7) == week:
+            runs[-1].append(week)
+        else:
+            runs.append([week])
+    usage = None
+    for run in runs:  # weeks in a row are one scan
+        part = usability.filter_usage(t, s, run[0], run[-1] + timedelta(days=6))
+        usage = part if usage is None else usage.unionByName(part)
+    return snapshots.zero_filled(usage, PRODUCTS, COUNTRIES, weeks=sorted(weeks))
 
 
-def refresh(spark: SparkSession, t: Tables, s: Settings, path: str, recompute: int = 0) -> bool:
-    """Bring the store up to date; False when nothing was missing."""
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The store, None before the first refresh."""
     try:
-        store = spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        store = spark.createDataFrame([], "week_start date")
-    new = increment(t, s, weeks_to_fetch(spark, s, store, recompute))
-    if new is None:
+        return None
+
+
+def refresh(spark: SparkSession, t: Tables, s: Settings, path: str, recompute: int = 0) -> bool:
+    """Bring the store up to date; False when nothing was missing.
+
+    Missing weeks and the last ``recompute`` ones are computed and replaced, also where nothing is left of them; weeks
+    beyond those kept leave the store.
+    """
+    store = stored(spark, path)
+    known = spark.createDataFrame([], "week_start date") if store is None else store
+    # at most the weeks kept
+    wanted = [r[0] for r in weeks_to_fetch(spark, s, known, recompute).collect()]
+    if not wanted:
         return False
-    snapshots.save_weeks(new, path)
+    new = increment(t, s, wanted)
+    snapshots.replace_weeks(new if store is None else snapshots.retain_last(snapshots.upsert_weeks(store, new)), path)
     return True
 
 

@@ -133,10 +133,60 @@ def test_report_order(spark):
     assert all(k.removeprefix("h1.") in registry.FIRST_HALF for k in registry.ORDER if k.startswith("h1."))
 
 
-def test_lineage_is_cut_reliably(spark):
-    from kpiloom.session import cut_lineage
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
 
-    df = spark.range(10).withColumn("x", F.col("id") * 2)
-    cut = cut_lineage(df)
-    assert rows(cut) == rows(df) and spark.sparkContext.getCheckpointDir()
-    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    from kpiloom.session import scratch_path, shared_folder
+
+    assert scratch_path(spark, "x").startswith(shared_folder(spark))
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
+
+
+def test_refresh_with_no_rows_leaves_none(spark, results, tmp_path):
+    path = str(tmp_path / "snapshot")
+    snapshots.write_snapshot(results, path)
+    snapshots.refresh_snapshot({"kr21": results["kr21"].limit(0)}, path)
+    assert snapshots.read_snapshot(spark, path, "kr21", "n long").count() == 0
+    assert snapshots.read_snapshot(spark, path, "kr11", "mes string").count() == 2
+    with pytest.raises(Exception, match="absent|DIVIDE"):
+        broken = results["kr21"].select((F.lit(1) / (F.col("n") - F.col("n"))).alias("n"))
+        snapshots.refresh_snapshot({"kr11": results["kr11"].limit(0), "kr21": broken}, path)
+    assert snapshots.read_snapshot(spark, path, "kr11", "mes string").count() == 2
+
+
+def test_errors_are_kept_whole_and_in_other_threads(spark, results, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def broken():
+        raise ValueError("x" * 1000)
+
+    with ThreadPoolExecutor(1) as pool:
+        status = pool.submit(snapshots.write_each, {"bad": broken, "kr21": lambda: results["kr21"]}, str(tmp_path / "s")).result()
+    assert status == {"bad": f"ValueError: {'x' * 1000}", "kr21": "ok"}
+
+
+def test_weekly_store_keeps_empty_weeks_and_drops_old_ones(spark, tmp_path, monkeypatch):
+    from dataclasses import replace
+
+    from checks import roles as R
+
+    path, tables = str(tmp_path / "weeks"), R.roles(spark, "/root/testdata/sf0.001")
+    empty = Tables(lambda role: getattr(tables, role).limit(0))
+    pairs = len(weekly.PRODUCTS) * len(weekly.COUNTRIES)
+    assert weekly.refresh(spark, empty, R.CLICKS, path)
+    stored = weekly.current(spark, path)
+    assert stored.count() == 3 * pairs and stored.agg(F.sum("visits")).first()[0] == 0
+    assert not weekly.refresh(spark, tables, R.CLICKS, path)  # an empty week is known
+    assert weekly.refresh(spark, tables, R.CLICKS, path, recompute=1)
+    full = {r.week_start: r.n for r in weekly.current(spark, path).groupBy("week_start").agg(F.sum("visits").alias("n")).collect()}
+    assert full[date(2024, 1, 5)] == full[date(2024, 1, 12)] == 0 < full[date(2024, 1, 19)]
+    assert weekly.refresh(spark, empty, R.CLICKS, path, recompute=1)  # a week that became empty is replaced
+    assert weekly.current(spark, path).agg(F.sum("visits")).first()[0] == 0
+    monkeypatch.setattr(snapshots.retain_last, "__defaults__", (2, "week_start"))
+    monkeypatch.setattr(weekly.closed_weeks, "__defaults__", (2,))
+    later = replace(R.CLICKS, as_of=date(2024, 2, 3))
+    assert weekly.refresh(spark, tables, later, path)
+    assert {r.week_start for r in spark.read.parquet(path).collect()} == {date(2024, 1, 19), date(2024, 1, 26)}
+    assert not weekly.refresh(spark, tables, later, path)
