@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from kpiloom.llm.common import batches, fresh_dir, small_batches
+from kpiloom.llm.common import batches, small_batches
 from kpiloom.llm.tokens import encoder
+from kpiloom.session import scratch_path
 
 BATCH_SEQUENCES = 256
 MANIFEST = "part long, file string, doc_id {id}, at long, n_tokens long"
@@ -127,7 +128,7 @@ def write_sequences(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    path = path or fresh_dir(spark, "sequences")
+    path = path or scratch_path(spark, "sequences")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")

@@ -1,43 +1,23 @@
-"""Shared helpers: staged tables, the shared folder, worker caches and Arrow batches."""
+"""Shared helpers: staged tables, worker caches and Arrow batches."""
 
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.session import scratch_path
+
 #: Bytes of an Arrow batch sent to Python.
 BATCH_BYTES = 1 << 21
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
-
-    Only a local session (as in tests) may leave both unset; it gets a scratch folder of its own.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local[") and context.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="kpiloom-shared-")
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, below a folder of this application so that it can be cleaned as one."""
-    return f"{shared_dir(spark)}/kpiloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage ends here, lost executors do no harm."""
-    path = fresh_dir(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -18,7 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import batches, fresh_dir, small_batches, staged
+from kpiloom.llm.common import batches, small_batches, staged
+from kpiloom.session import scratch_path
 
 CHUNK = 1 << 20
 #: Fixed values of the format.
@@ -143,7 +144,7 @@ def write_archives(
     responses. A file is named only once its task has ended well; other columns are not read.
     """
     small_batches(pages.sparkSession)
-    path = path or fresh_dir(pages.sparkSession, "warc")
+    path = path or scratch_path(pages.sparkSession, "warc")
     rows = with_verdicts(pages, id_col, url_col, html_col, least_bytes)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
