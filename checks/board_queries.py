@@ -393,7 +393,7 @@ TARGET_SQL = f"select id, month, target from ({board_sql(BOARD, MONTHS)})"
 
 
 def cards(spark, sf_dir):
-    out = scorecard.monitor_cards(scorecard.month_filter(weekly(spark, sf_dir), None).where(F.col("semana_inicio") < F.lit(AS_OF)), tables(spark)[1])
+    out = scorecard.monitor_cards(scorecard.month_filter(weekly(spark, sf_dir), None), tables(spark)[1])
     return out.select(
         "id", "best", "best_week", "worst", "worst_week", "last", "last_week", "month", "weeks_in_month", "target", "gap",
         F.round("mean", 4).alias("mean"), F.round("mean_complete", 4).alias("mean_complete"), F.round("mean_gap", 4).alias("mean_gap"),
@@ -402,7 +402,7 @@ def cards(spark, sf_dir):
 
 add(
     "monitor_cards", cards,
-    f"""with r as (select * from ({WEEKLY_SQL}) where value is not null and semana_inicio < {day(AS_OF)}),
+    f"""with r as (select * from ({WEEKLY_SQL}) where value is not null),
 c as (
   select id, max(value) as best, min(value) as worst, arg_max(value, semana_inicio) as last, max(semana_inicio) as last_week, avg(value) as mean from r group by id)
 select c.id, best, (select min(semana_inicio) from r where r.id = c.id and value = best) as best_week, worst,
@@ -418,11 +418,11 @@ add(
 )
 add(
     "frequency_cards",
-    lambda spark, sf_dir: scorecard.frequency_cards(first_half.kr33(R.roles(spark, sf_dir), R.FIRST).where(F.col("mes_evaluacion") <= 199911), AS_OF, 3.0),
-    f"""with r as (select * from ({M.FIRST['kr33']}) where mes_evaluacion <= 199911)
+    lambda spark, sf_dir: scorecard.frequency_cards(first_half.kr33(R.roles(spark, sf_dir), R.FIRST), R.MAX_DAY, 3.0),
+    f"""with r as (select * from ({M.FIRST['kr33']}))
 select max(pct_aumento) as best, min(mes_evaluacion) filter (where pct_aumento = (select max(pct_aumento) from r)) as best_month,
   arg_max(pct_aumento, mes_evaluacion) as last, max(mes_evaluacion) as last_month, arg_max(pct_aumento, mes_evaluacion) >= 3 as last_good,
-  if(bool_or(mes_evaluacion = 199911), arg_max(pct_aumento, mes_evaluacion), 0e0) as current from r""",
+  if(bool_or(mes_evaluacion = 200006), arg_max(pct_aumento, mes_evaluacion), 0e0) as current from r""",
 )
 
 

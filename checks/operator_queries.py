@@ -19,6 +19,7 @@ from kpiloom.operators.funnel import clean_pages
 from kpiloom.plans import first_half, initiatives, second_half, usability
 from kpiloom.session import scratch_path
 from kpiloom.sources import snapshots
+from kpiloom.sources.tables import repeated_side_keys
 from kpiloom.streaming import weekly
 
 pairs = Pairs()
@@ -185,6 +186,17 @@ add(
     ),
 )
 
+add(
+    "repeated_side_keys",
+    role(lambda t, s: repeated_side_keys(t)),
+    with_roles(
+        "corrections,marketing_funds,marketing_funds_2",
+        " union all ".join(
+            f"select '{r}' as role, product_id, count(*) as n from {r} group by all having count(*) > 1" for r in ("corrections", "marketing_funds", "marketing_funds_2")
+        ),
+    ),
+)
+
 # Joins ----------------------------------------------------------------------------------------------------------------
 
 add(
@@ -192,7 +204,7 @@ add(
     lambda spark, sf_dir: joins.skew_join(
         spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("k"), "l_suppkey", "l_extendedprice"),
         spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"), "o_orderpriority"),
-        "k", "left", "l_suppkey", rows_per_part=100,
+        "k", "left", rows_per_part=100,
     ).groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("double").alias("v")),
     "select o_orderpriority, count(*) as n, cast(sum(cast(l_extendedprice as decimal(15,2))) as double) as v from lineitem left join orders on l_orderkey = o_orderkey group by all",
 )
@@ -201,7 +213,7 @@ add(
     lambda spark, sf_dir: joins.skew_join(
         spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_orderstatus"),
         spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("k")),
-        "k", "left_semi", "o_orderkey", rows_per_part=100,
+        "k", "left_semi", rows_per_part=100,
     ).groupBy("o_orderstatus").agg(F.count("*").alias("n")),
     "select o_orderstatus, count(*) as n from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING') group by all",
 )
@@ -209,7 +221,7 @@ add(
     "flag_join",
     role(
         lambda t, s: joins.flag_join(
-            t.reservations.select(F.col("oid").alias("k"), "country_code", "id"), t.deferred.select(F.col("reservation_id").alias("k")), "k", "promised", "id"
+            t.reservations.select(F.col("oid").alias("k"), "country_code", "id"), t.deferred.select(F.col("reservation_id").alias("k")), "k", "promised"
         ).groupBy("country_code", "promised").agg(F.count("*").alias("n"))
     ),
     with_roles("reservations,deferred", "select country_code, if(oid in (select reservation_id from deferred), 1, 0) as promised, count(*) as n from reservations group by all"),
@@ -218,10 +230,10 @@ add(
     "spine_join",
     lambda spark, sf_dir: joins.on_spine(
         spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("k"), "n_name"),
-        spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_acctbal > 9000 and c_nationkey % 5 <> 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n")),
+        spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n")).where("n % 3 <> 0"),
         "k", zero=["n"],
     ).select("n_name", "n"),
-    "select n_name, count(c_custkey) as n from nation left join customer on c_nationkey = n_nationkey and c_acctbal > 9000 and c_nationkey % 5 <> 0 group by n_name",
+    "select n_name, if(count(c_custkey) % 3 = 0, 0, count(c_custkey)) as n from nation left join customer on c_nationkey = n_nationkey group by n_name",
 )
 add(
     "paired_periods",
@@ -336,10 +348,10 @@ from r where k = 1""",
 
 
 def lines_of_weeks(o):
-    """Weekly order values by priority, numbered from 1998-01-05; the first 52 weeks are fitted."""
+    """Orders per week and priority, numbered from 1998-01-05 in both directions."""
     start = date(1998, 1, 5)
     rows = o.select(F.col("o_orderpriority").alias("p"), dates.block_index(F.to_date("o_orderdate"), F.lit(start)).alias("b"))
-    return rows.where(F.col("b").between(0, 51)).groupBy("p", "b").agg(F.count("*").cast("double").alias("v"))
+    return rows.groupBy("p", "b").agg(F.count("*").cast("double").alias("v"))
 
 
 add(
@@ -348,7 +360,7 @@ add(
         *[F.round(F.max(c), 6).alias(c) for c in ("intercept", "slope", "sd", "mean_x", "sxx")], F.max("n").alias("n")
     )),
     """with v as (select p, b, cast(count(*) as double) as v from (
-  select o_orderpriority as p, cast(floor((cast(o_orderdate as date) - date '1998-01-05') / 7) as int) as b from orders) where b between 0 and 51 group by all)
+  select o_orderpriority as p, cast(floor((cast(o_orderdate as date) - date '1998-01-05') / 7) as int) as b from orders) group by all)
 select p, round(regr_intercept(v, b), 6) as intercept, round(regr_slope(v, b), 6) as slope, round(regr_avgx(v, b), 6) as mean_x, round(regr_sxx(v, b), 6) as sxx,
   cast(regr_count(v, b) as bigint) as n, round(sqrt((regr_syy(v, b) - regr_sxy(v, b) * regr_sxy(v, b) / regr_sxx(v, b)) / (count(*) - 2)), 6) as sd from v group by p""",
 )
@@ -470,11 +482,12 @@ add(
 
 
 def stored_weeks(o):
-    """Weeks that hold an urgent order of customer group 0, as a store with gaps."""
-    return o.where("o_custkey % 50 = 0").groupBy(calendar.period_of(F.to_date("o_orderdate"), ANCHOR).alias("week_start")).agg(F.count("*").alias("n"))
+    """Weeks with a number of orders that three does not divide, as a store with gaps."""
+    weeks = o.groupBy(calendar.period_of(F.to_date("o_orderdate"), ANCHOR).alias("week_start")).agg(F.count("*").alias("n"))
+    return weeks.where("n % 3 <> 0")
 
 
-STORED = f"select distinct {day(ANCHOR)} + 7 * cast(floor((d - {day(ANCHOR)}) / 7) as int) as w from {B} where agency % 50 = 0"
+STORED = f"select {day(ANCHOR)} + 7 * cast(floor((d - {day(ANCHOR)}) / 7) as int) as w from {B} group by w having count(*) % 3 <> 0"
 CLOSED = f"select cast(unnest(generate_series({day(ANCHOR)}, {day(AS_OF - timedelta(days=7))}, interval 7 days)) as date) as w"
 add("missing_weeks", over("orders", lambda o: calendar.missing_periods(calendar.closed_periods(o.sparkSession, ANCHOR, AS_OF, 7, 1), stored_weeks(o))),
     f"select w as week_start from ({CLOSED}) where w not in ({STORED})")
@@ -542,23 +555,23 @@ def weekly_store(o):
 
 WS = f"""(select {day(ANCHOR)} + 7 * cast(floor((d - {day(ANCHOR)}) / 7) as int) as week_start, pm as product, st as country, count(*) as visits,
   count(distinct agency) as clicks, max(agency) as thanks from {B} group by all)"""
-CUT = date(2000, 1, 7)
 add(
     "upsert_weeks",
     over("orders", lambda o: snapshots.upsert_weeks(
-        weekly_store(o).where(F.col("week_start") < date(2000, 3, 3)), weekly_store(o.where("o_custkey % 2 = 0")).where(F.col("week_start") >= CUT)
+        weekly_store(o), weekly_store(o).where("country <> 'P'").withColumn("visits", F.col("visits") + 1).join(stored_weeks(o), "week_start", "left_semi")
     )),
-    f"""with new as (select * from {WS.replace('from (select', 'from (select * from (select').replace('from orders)', 'from orders) where agency % 2 = 0)')} where week_start >= {day(CUT)})
-select * from {WS} where week_start < date '2000-03-03' and week_start not in (select week_start from new) union all select * from new""",
+    f"""with new as (select * replace (visits + 1 as visits) from {WS} where country <> 'P' and week_start in (select w from ({STORED})))
+select * from {WS} where week_start not in (select week_start from new) union all select * from new""",
 )
 add("retain_weeks", over("orders", lambda o: snapshots.retain_last(weekly_store(o), 26)),
     f"select * from {WS} qualify dense_rank() over (order by week_start desc) <= 26")
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 add(
     "zero_filled_weeks",
-    over("orders", lambda o: snapshots.zero_filled(weekly_store(o).where("product < '3' and country <> 'P'"), ["1-URGENT", "2-HIGH"], ["F", "O", "P"])),
-    f"""with s as (select * from {WS} where product < '3' and country <> 'P')
+    over("orders", lambda o: snapshots.zero_filled(weekly_store(o), PRIORITIES, ["F", "O", "P", "X"])),
+    f"""with s as (select * from {WS})
 select w.week_start, p.product, c.country, coalesce(visits, 0) as visits, coalesce(clicks, 0) as clicks, coalesce(thanks, 0) as thanks
-from (select distinct week_start from s) w, (select unnest(['1-URGENT', '2-HIGH']) as product) p, (select unnest(['F', 'O', 'P']) as country) c
+from (select distinct week_start from s) w, (select unnest({PRIORITIES}) as product) p, (select unnest(['F', 'O', 'P', 'X']) as country) c
   left join s on s.week_start = w.week_start and s.product = p.product and s.country = c.country""",
 )
 add(

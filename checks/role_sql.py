@@ -27,12 +27,12 @@ PAGEVIEW = "'p' || user_id || '-' || (dayofyear(ts) // 2)"
 STAMP = "strftime(ts, '%Y-%m-%dT%H:%M:%S')"
 ORDERS = "orders join customer on o_custkey = c_custkey"
 DEADLINE = "case when o_orderkey % 33 <> 0 then cast(o_orderdate + to_days(cast(o_custkey % 40 + {0} as int)) as timestamp) end as deadline"
-PROMISE = "select 'R' || o_orderkey as reservation_id, if(o_orderkey % 6 = 0, 'OTHER', 'PROMISE-B2B') as reason, "
+PROMISE = "select 'R' || o_orderkey as reservation_id, if(o_orderkey % 6 = 3, 'PROMISE-B2B', if(o_orderkey % 3 = 0, 'OTHER', 'NONE')) as reason, "
 CANCEL = "select 'R' || o_orderkey as reservation_id, if(o_orderkey % 5 < 3, 'TIMEOUT_CLIENT', 'CLIENT') as type from orders where o_orderstatus = 'P'"
 NET = "cast(l_extendedprice as decimal(15,2))"
 SHEET = (
     f"cast(month(o_orderdate) as varchar) as no_mes_proyectado, {pick(SHEET_PRODUCTS, 'o_orderkey % 9')} as producto, "
-    f"{pick(SHEET_COUNTRIES, 'c_nationkey % 10')} as pais, if(o_custkey % 6 = 0, 'OTHER', 'B2B-MIN') as lob_canal, "
+    f"{pick(SHEET_COUNTRIES, 'c_nationkey % 10')} as pais, if(o_custkey % 6 = 0 or {{other}}, 'OTHER', 'B2B-MIN') as lob_canal, "
     f"cast(cast(o_totalprice as decimal(15,2)) as varchar) as net_revenue from {ORDERS}"
 )
 CLICK = "from events where event_type in ('click', 'error')"
@@ -57,7 +57,7 @@ select cast(o_orderkey as varchar) as id, 'R' || o_orderkey as oid,
 from {ORDERS}""",
     "cancellations": f"{CANCEL} union all {CANCEL} and o_orderkey % 10 = 0",
     "deferred": (
-        f"{PROMISE} {DEADLINE.format(0)} from orders where o_orderkey % 3 = 0 union all "
+        f"{PROMISE} {DEADLINE.format(0)} from orders union all "
         f"{PROMISE} {DEADLINE.format(35)} from orders where o_orderkey % 15 = 0"
     ),
     "requests": f"""
@@ -72,28 +72,31 @@ select cast(o_orderkey as varchar) as transaction_code,
   {DAY} as reservation_date, if(o_orderstatus <> 'O', {DAY} + cast(o_orderkey % 3 as int), null) as confirmation_date,
   if(o_orderstatus = 'P', {DAY} + cast(o_orderkey % 23 as int), null) as cancelation_date
 from {ORDERS}""",
-    "payroll": "select if(s_suppkey % 2 = 0, 'ext.', '') || 'u' || s_suppkey as ad_username from supplier where s_suppkey % 3 <> 2",
-    "forecast": f"select day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate) as fecha, {SHEET}",
+    "payroll": "select if(s_suppkey % 2 = 0, 'ext.', '') || if(s_suppkey % 3 = 2, 'left', 'u') || s_suppkey as ad_username from supplier",
+    "forecast": f"select day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate) as fecha, {SHEET.format(other='false')}",
     "budget": f"""
 select day(o_orderdate) || '-' || month(o_orderdate) || '-' || if(year(o_orderdate) >= 2000,
-  lpad(cast(year(o_orderdate) - 2000 as varchar), 2, '0'), cast(year(o_orderdate) as varchar)) as fecha, {SHEET} where o_orderkey % 2 = 0""",
+  lpad(cast(year(o_orderdate) - 2000 as varchar), 2, '0'), cast(year(o_orderdate) as varchar)) as fecha, {SHEET.format(other='o_orderkey % 2 <> 0')}""",
     "profit": f"""
 select l_orderkey * 8 + l_linenumber as product_id, l_orderkey as transaction_code, {NET} as net_revenues_usd,
   {NET} * cast(l_discount as decimal(4,2)) as affiliates_usd, if(l_suppkey % 10 = 0, 'OTHER', 'B2B') as line_of_business,
   strftime(l_shipdate, '%Y-%m') as date_reservation_year_month from lineitem""",
+    "corrections": "select cast(l_orderkey * 8 + l_linenumber as varchar) as product_id from lineitem",
+    "marketing_funds": "select cast(l_orderkey * 8 + least(l_linenumber, 5) as varchar) as product_id from lineitem",
+    "marketing_funds_2": "select cast(l_partkey as varchar) as product_id from lineitem",
     "quotations": f"""
 select o_orderdate as created_at, case when o_custkey % 37 = 0 then '' when o_custkey % 41 = 0 then null
     else if(o_orderkey % 2 = 0, 'ag', 'AG') || (o_custkey // 7) end as agency_code,
-  {pick((*CHANNELS, 'office'), 'o_custkey % 5')} as channel_code from orders where o_orderkey % 3 <> 0""",
+  if(o_orderkey % 3 = 0, 'office', {pick((*CHANNELS, 'office'), 'o_custkey % 5')}) as channel_code from orders""",
     "products": f"""
-select 'P' || o_orderkey as transaction_id,
+select if(o_orderkey % 19 = 0, 'Q', 'P') || o_orderkey as transaction_id,
   case o_orderpriority when '1-URGENT' then 'REMOTE' when '2-HIGH' then 'CREDIT_CARD' when '3-MEDIUM' then 'WALLET'
     when '4-NOT SPECIFIED' then {pick(('DEFERRED_PAYMENT', 'DEFERRED_X', 'CASH', 'DEBIT_CARD'), 'o_orderkey % 4')}
     else (case o_orderkey % 4 when 0 then 'AGENCY_ACCOUNT' when 1 then 'CURRENT_ACCOUNT' when 3 then 'OTHER' end) end as payment_methods,
   if(o_orderkey % 5 = 0, null, o_orderkey % 5 < 3) as refundable,
   if(o_orderkey % 17 = 0, null, {DAY} + cast(o_custkey % 30 - 10 as int)) as penalty_start_date,
   case o_orderkey % 5 when 0 then 'AGENCY_CANCELED' when 1 then 'TIMEOUT_48' when 2 then 'BOOKING_ERROR' when 3 then 'OTHER' end as cancellation_reason
-from orders where o_orderkey % 19 <> 0""",
+from orders""",
     "schedules": """
 select 'S' || o_orderkey as id, cast(o_orderkey as varchar) as transaction_id, if(o_orderkey % 4 = 0, 'OPEN', 'CLOSED') as status,
   o_orderdate as created_at from orders""",
@@ -117,7 +120,7 @@ select 'v' || user_id || '-' || (dayofyear(ts) // 4) as visit, {PAGEVIEW} as pag
   {pick(VISIT_COUNTRIES, 'user_id % 8')} as country, {pick((*CHANNELS, 'office'), 'user_id % 5')} as channel,
   strftime(ts, '%Y-%m-%d') as date, if(event_id % 17 = 0, 0, 1) as ispageview, if(event_id % 13 = 0, 1, 0) as flg_detalle_cp,
   if(user_id % 19 = 0, 1, 0) as is_bot
-from events where event_type in ('view', 'purchase', 'signup')""",
+from events""",
     # one row per filter name that carries a value, per source
     "used_filters": f"""
 select source, cast(ts as date) as d, pageview_id, name from (

@@ -95,9 +95,9 @@ def _cancellations(read):
 
 
 def _deferred(read):
-    rows = read("orders").where("o_orderkey % 3 = 0")
+    rows = read("orders")
     deadline = "case when o_orderkey % 33 = 0 then null else o_orderdate + make_dt_interval(cast(o_custkey % 40 + {0} as int)) end as deadline"
-    columns = ["concat('R', o_orderkey) as reservation_id", "if(o_orderkey % 6 = 0, 'OTHER', 'PROMISE-B2B') as reason"]
+    columns = ["concat('R', o_orderkey) as reservation_id", "if(o_orderkey % 6 = 3, 'PROMISE-B2B', if(o_orderkey % 3 = 0, 'OTHER', 'NONE')) as reason"]
     return rows.selectExpr(*columns, deadline.format(0)).unionByName(
         rows.where("o_orderkey % 15 = 0").selectExpr(*columns, deadline.format(35))
     )
@@ -125,27 +125,32 @@ def _transactions(read):
 
 
 def _payroll(read):
-    return read("supplier").where("s_suppkey % 3 <> 2").selectExpr(
-        "concat(if(s_suppkey % 2 = 0, 'ext.', ''), 'u', s_suppkey) as ad_username"
+    return read("supplier").selectExpr(
+        "concat(if(s_suppkey % 2 = 0, 'ext.', ''), if(s_suppkey % 3 = 2, 'left', 'u'), s_suppkey) as ad_username"
     )
 
 
-def _sheet(read, fecha: str, where: str):
-    return _order_customer(read).where(where).selectExpr(
+def _sheet(read, fecha: str, other: str):
+    """Sheet lines; those for which ``other`` holds are of another line of business."""
+    return _order_customer(read).selectExpr(
         f"{fecha} as fecha", "cast(month(o_orderdate) as string) as no_mes_proyectado",
         f"{pick(SHEET_PRODUCTS, 'o_orderkey % 9')} as producto", f"{pick(SHEET_COUNTRIES, 'c_nationkey % 10')} as pais",
-        "if(o_custkey % 6 = 0, 'OTHER', 'B2B-MIN') as lob_canal",
+        f"if(o_custkey % 6 = 0 or {other}, 'OTHER', 'B2B-MIN') as lob_canal",
         "cast(cast(o_totalprice as decimal(15,2)) as string) as net_revenue",
     )
 
 
 def _forecast(read):
-    return _sheet(read, "concat(day(o_orderdate), '/', month(o_orderdate), '/', year(o_orderdate))", "true")
+    return _sheet(read, "concat(day(o_orderdate), '/', month(o_orderdate), '/', year(o_orderdate))", "false")
 
 
 def _budget(read):
     year = "if(year(o_orderdate) >= 2000, lpad(cast(year(o_orderdate) - 2000 as string), 2, '0'), cast(year(o_orderdate) as string))"
-    return _sheet(read, f"concat(day(o_orderdate), '-', month(o_orderdate), '-', {year})", "o_orderkey % 2 = 0")
+    return _sheet(read, f"concat(day(o_orderdate), '-', month(o_orderdate), '-', {year})", "o_orderkey % 2 <> 0")
+
+
+def _side_table(product_id: str):
+    return lambda read: read("lineitem").selectExpr(f"cast({product_id} as string) as product_id")
 
 
 def _profit(read):
@@ -159,18 +164,18 @@ def _profit(read):
 
 
 def _quotations(read):
-    return read("orders").where("o_orderkey % 3 <> 0").selectExpr(
+    return read("orders").selectExpr(
         "o_orderdate as created_at",
         "case when o_custkey % 37 = 0 then '' when o_custkey % 41 = 0 then null "
         "else concat(if(o_orderkey % 2 = 0, 'ag', 'AG'), o_custkey div 7) end as agency_code",
-        f"{pick((*CHANNELS, 'office'), 'o_custkey % 5')} as channel_code",
+        f"if(o_orderkey % 3 = 0, 'office', {pick((*CHANNELS, 'office'), 'o_custkey % 5')}) as channel_code",
     )
 
 
 def _products(read):
     rare = pick(("DEFERRED_PAYMENT", "DEFERRED_X", "CASH", "DEBIT_CARD"), "o_orderkey % 4")
-    return read("orders").where("o_orderkey % 19 <> 0").selectExpr(
-        "concat('P', o_orderkey) as transaction_id",
+    return read("orders").selectExpr(
+        "concat(if(o_orderkey % 19 = 0, 'Q', 'P'), o_orderkey) as transaction_id",
         "case o_orderpriority when '1-URGENT' then 'REMOTE' when '2-HIGH' then 'CREDIT_CARD' when '3-MEDIUM' then 'WALLET' "
         f"when '4-NOT SPECIFIED' then {rare} else (case o_orderkey % 4 when 0 then 'AGENCY_ACCOUNT' "
         "when 1 then 'CURRENT_ACCOUNT' when 3 then 'OTHER' end) end as payment_methods",
@@ -218,7 +223,7 @@ def _payments(read):
 
 
 def _traffic(read):
-    return read("events").where("event_type in ('view', 'purchase', 'signup')").selectExpr(
+    return read("events").selectExpr(
         "concat('v', user_id, '-', dayofyear(ts) div 4) as visit", f"{PAGEVIEW} as pageview_id",
         f"{pick(TRAFFIC_PRODUCTS, f'{K} % 6')} as product",
         "case event_type when 'view' then 'SEARCH' when 'purchase' then 'THANKS' else 'HOME' end as flow",
@@ -228,25 +233,25 @@ def _traffic(read):
     )
 
 
-def _clicks(read, where: str):
-    return read("events").where("event_type in ('click', 'error')").where(where)
+CLICK = "event_type in ('click', 'error')"
 
 
-def _map_events(where: str):
+def _map_events(own: str):
+    """Every event; those that are no click of this source carry no filter value."""
     def build(read):
-        return _clicks(read, where).selectExpr(
+        return read("events").selectExpr(
             f"{STAMP} as datetime",
-            f"named_struct('pageview_id', {PAGEVIEW}, 'filters', map('price', array_repeat('v', {K} % 3), "
-            f"'stars', array_repeat('5', {K} % 2), concat('f', {K} % 5), array('x'))) as event",
+            f"named_struct('pageview_id', {PAGEVIEW}, 'filters', if({CLICK} and {own}, map('price', array_repeat('v', {K} % 3), "
+            f"'stars', array_repeat('5', {K} % 2), concat('f', {K} % 5), array('x')), map('price', cast(array() as array<string>)))) as event",
         )
 
     return build
 
 
 def _array_events(read):
-    return _clicks(read, "event_id % 4 < 2").selectExpr(
+    return read("events").selectExpr(
         f"{STAMP} as datetime",
-        f"named_struct('pageview_id', {PAGEVIEW}, 'type', if({K} % 7 = 0, 'sort', 'filter'), 'selected', "
+        f"named_struct('pageview_id', {PAGEVIEW}, 'type', if({K} % 7 = 0 or not ({CLICK} and event_id % 4 < 2), 'sort', 'filter'), 'selected', "
         f"if({K} % 5 = 0, '0', '1'), 'event', named_struct('name', concat('n', {K} % 4), 'values', "
         f"array_repeat('v', {K} % 3))) as event",
     )
@@ -254,19 +259,20 @@ def _array_events(read):
 
 def _label_events(read):
     label = pick(("sorting", "ai-search", "zone", "length", "price"), f"{K} % 5")
-    return _clicks(read, "event_id % 4 >= 2").selectExpr(
+    return read("events").selectExpr(
         f"{STAMP} as datetime",
-        f"named_struct('pageview_id', {PAGEVIEW}, 'action', if({K} % 8 = 0, 'open', 'apply'), 'label', {label}, "
+        f"named_struct('pageview_id', {PAGEVIEW}, 'action', if({K} % 8 = 0 or not ({CLICK} and event_id % 4 >= 2), 'open', 'apply'), 'label', {label}, "
         f"'data', map(if({K} % 6 = 0, 'other', 'filter'), 'v')) as event",
     )
 
 
 def _flight_events(read):
     code = pick((fixed.GRID_SHOW, fixed.GRID_SHOW, fixed.GRID_TAB, fixed.GRID_CHEAPEST), f"{K} % 4")
-    return read("events").where("event_type in ('view', 'click', 'error')").selectExpr(
+    return read("events").selectExpr(
         f"{STAMP} as datetime",
         f"named_struct('pageview_id', {PAGEVIEW}, 'cc', {pick(VISIT_COUNTRIES, 'user_id % 8')}, 'type', "
-        f"if(event_type = 'click', 'click', 'show'), 'code', {code}, 'fl', if(event_id % 11 = 0, 'detail', 'search'), "
+        f"if(event_type = 'click', 'click', 'show'), 'code', {code}, 'fl', "
+        f"if(event_id % 11 = 0 or event_type not in ('view', 'click', 'error'), 'detail', 'search'), "
         f"'ft', {pick(('ONEWAY', 'ROUNDTRIP', 'MULTI'), f'{K} % 3')}) as event",
     )
 
@@ -278,7 +284,8 @@ BUILDERS: dict[str, Callable] = {
     "intentions": _intentions, "scheduled_collections": _scheduled_collections, "collections": _collections,
     "payments": _payments, "traffic": _traffic, "map_a_events": _map_events("event_id % 3 = 0"),
     "map_b_events": _map_events("event_id % 3 = 1"), "array_events": _array_events, "label_events": _label_events,
-    "flight_events": _flight_events,
+    "flight_events": _flight_events, "corrections": _side_table("l_orderkey * 8 + l_linenumber"),
+    "marketing_funds": _side_table("l_orderkey * 8 + least(l_linenumber, 5)"), "marketing_funds_2": _side_table("l_partkey"),
 }
 
 

@@ -56,7 +56,7 @@ def iso_day(c: Column | str) -> Column:
 def sheet_year(c: Column | str, separator: str) -> Column:
     """Year of a ``d<sep>m<sep>y`` text; two digits count from 2000."""
     part = F.split_part(column(c), F.lit(separator), F.lit(3))
-    year = part.try_cast("int")
+    year = part.cast("int")
     return F.when(F.length(part) == 2, year + 2000).otherwise(year)
 
 

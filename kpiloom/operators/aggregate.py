@@ -28,7 +28,8 @@ def entity_counts(
     their rows still take part in the sums.
 
     ``repeats`` maps an output name to (actor, predicate, at_least): actors with at least so many distinct
-    combinations of the entity columns, for instance agencies with two bookings. A NULL actor counts as one actor.
+    combinations of the other entity columns, for instance agencies with two bookings. A NULL actor counts as one actor;
+    a combination with a NULL does not count.
     """
     by = list(by)
     sums, maxima, repeats = dict(sums or {}), dict(maxima or {}), dict(repeats or {})
@@ -38,7 +39,13 @@ def entity_counts(
         return F.lit(1) if predicate is None else F.when(predicate, F.lit(1)).otherwise(F.lit(0))
 
     flags = {out: flag(predicate) for out, (_, predicate) in counts.items()}
-    again = {out: flag(predicate) for out, (_, predicate, _) in repeats.items()}
+    again = {}
+    for out, (actor, predicate, _) in repeats.items():
+        known = F.lit(True) if predicate is None else predicate
+        for entity in entities:
+            if entity != actor:
+                known = known & column(entity).isNotNull()
+        again[out] = flag(known)
     if repeats:
         df = df.groupBy(*by, *entities).agg(
             *[F.max(f).alias(n) for n, f in {**flags, **again}.items()],

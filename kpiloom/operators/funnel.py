@@ -16,7 +16,6 @@ from kpiloom.functions import dates, fixed
 from kpiloom.functions.text import recode
 from kpiloom.operators.aggregate import packed_list
 from kpiloom.operators.calendar import by_grains, period_of
-from kpiloom.operators.joins import skew_join
 
 
 def _in_window(events: DataFrame, since: date, until: date) -> DataFrame:
@@ -93,20 +92,20 @@ def filter_usage(
     """
     pages = _usage_pages(traffic, channels, anchor, since, until)
     key = ["product", "week_start", "cg"]
-    search = pages.where(F.col("flow") == "SEARCH")
-    keyed = search.select(
-        *key, "visit", F.concat_ws("|", "source", F.col("week_start").cast("string"), "pageview_id").alias("page_key")
-    ).where(F.col("pageview_id").isNotNull()).distinct()
+    # what a visit did, as bits: 1 searched, 2 reached the thank-you page; both groupings are used twice and read once
+    flow = F.when(F.col("flow") == "SEARCH", 1).otherwise(2)
+    views = pages.groupBy(*key, "source", "visit", "pageview_id").agg(F.bit_or(flow).alias("did"))
+    visited = views.groupBy(*key, "visit").agg(F.bit_or("did").alias("did"))
+    searched, thanked = F.col("did").bitwiseAND(1) > 0, F.col("did").bitwiseAND(2) > 0
     used = clicks.where(F.col("d").between(F.lit(since), F.lit(until)) & F.col("pageview_id").isNotNull()).select(
-        F.concat_ws("|", "source", period_of("d", anchor).cast("string"), "pageview_id").alias("page_key"), "filter_name"
+        "source", period_of("d", anchor).alias("week_start"), "pageview_id", "filter_name"
     ).distinct()
-    using = skew_join(keyed, used, "page_key", "inner", "visit").select(*key, "filter_name", "visit").distinct()
-    thanked = pages.where(F.col("flow") == "THANKS").select(*key, "visit").distinct().withColumn("_t", F.lit(1))
+    using = views.where(searched).join(used, ["source", "week_start", "pageview_id"]).select(*key, "filter_name", "visit").distinct()
     per_filter = (
-        using.join(thanked, [*key, "visit"], "left").groupBy(*key, "filter_name")
-        .agg(F.count("visit").alias("clicks"), F.count("_t").alias("thanks"))
+        using.join(visited, [*key, "visit"], "left").groupBy(*key, "filter_name")
+        .agg(F.count("visit").alias("clicks"), F.count(F.when(thanked, 1)).alias("thanks"))
     )
-    visits = search.select(*key, "visit").distinct().groupBy(*key).agg(F.count("visit").alias("visits"))
+    visits = visited.where(searched).groupBy(*key).agg(F.count("visit").alias("visits"))
     return visits.join(per_filter, key, "left").select(
         "product", "week_start", F.col("cg").alias("country"), "visits", "filter_name",
         F.coalesce("clicks", F.lit(0)).alias("clicks"), F.coalesce("thanks", F.lit(0)).alias("thanks"),
@@ -164,7 +163,7 @@ def click_through(
         )
         .agg(*flags)
     )
-    visits = skew_join(pages, shown, "pageview_id", "inner", "visit")
+    visits = pages.join(shown, "pageview_id")
     per_day = visits.groupBy("day", "c", "visit").agg(*merged)
     per_visit = by_grains(per_day, "day", grains).groupBy("grain", "p", "c", "visit").agg(*merged)
     return per_visit.where(F.col("s") == 1).groupBy("grain", "p", "c").agg(

@@ -4,59 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Heavy keys are estimated from one row in so many, and split into parts of so many rows.
 SLICES = 64
-MAX_HEAVY = 10_000
 ROWS_PER_PART = 2_000_000
 
 
-def heavy_keys(rows: DataFrame, on: str, spread_by: str, rows_per_part: int, max_parts: int) -> DataFrame:
+def heavy_keys(rows: DataFrame, on: str, rows_per_part: int) -> DataFrame:
     """Heavy keys of ``rows`` and the number of parts each should be split into: _key, _parts.
 
-    Keys are counted in a deterministic slice of the rows (by the hash of ``spread_by``), so every use sees the same keys.
-    At most ``MAX_HEAVY`` keys are listed, the largest first, which bounds the broadcast.
+    Keys are counted in a slice of the rows (by the hash of all their columns), so every use sees the same keys. Each
+    listed key stands for more than ``rows_per_part`` rows by that estimate, which bounds their number.
     """
     counted = (
-        rows.where(F.col(on).isNotNull() & (F.pmod(F.xxhash64(spread_by), F.lit(SLICES)) == 0))
+        rows.where(F.col(on).isNotNull() & (F.pmod(F.xxhash64(*rows.columns), F.lit(SLICES)) == 0))
         .groupBy(F.col(on).alias("_key"))
         .agg((F.count("*") * SLICES).alias("_n"))
     )
-    largest = counted.where(F.col("_n") > rows_per_part).orderBy(F.col("_n").desc(), "_key").limit(MAX_HEAVY)
-    return largest.select("_key", F.least(F.ceil(F.col("_n") / rows_per_part), F.lit(max_parts)).cast("int").alias("_parts"))
+    return counted.where(F.col("_n") > rows_per_part).select("_key", F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts"))
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: str, how: str, spread_by: str, probe: DataFrame | None = None,
-    rows_per_part: int = ROWS_PER_PART,
+    left: DataFrame, right: DataFrame, on: str, how: str, probe: DataFrame | None = None, rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
-    """Equi join on one column that may have hot keys (or many NULLs) on the left side.
+    """Equi join of a fact with its foreign key, which may have hot values (or many NULLs) on the left side.
 
-    A key with more than about ``rows_per_part`` left rows is split by the hash of ``spread_by``; the matching right rows
-    are repeated once per part. NULL keys match nothing, so they are only spread. The heavy keys decide the layout only:
-    the result equals that of the plain join for ``how`` in inner, left, left_semi and left_anti.
+    A key with more than about ``rows_per_part`` left rows is split by the hash of the row; the matching right rows are
+    repeated once per part. NULL keys match nothing, so they are only spread. The heavy keys decide the layout only: the
+    result equals that of the plain join for ``how`` in inner, left, left_semi and left_anti. A left side that is distinct
+    in the key, or joined by its own id, needs no splitting; Spark's own skew handling is enough for it.
 
-    ``probe`` is a cheaper frame with the key and spread columns to look for heavy keys in (for instance the bare scan).
+    ``probe`` is a cheaper frame with the key to look for heavy keys in (for instance the bare scan).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # both sides use the same broadcast, so the keys are counted once
-    heavy = F.broadcast(heavy_keys(left if probe is None else probe, on, spread_by, rows_per_part, 4 * partitions))
+    # one entry per rows_per_part rows at most: a few megabytes for 10^12 rows
+    heavy = F.broadcast(heavy_keys(left if probe is None else probe, on, rows_per_part))
     is_heavy = F.col(on) == F.col("_key")
-    parts = F.coalesce(F.col("_parts"), F.when(F.col(on).isNull(), F.lit(partitions)), F.lit(1))
-    salt = F.pmod(F.xxhash64(F.col(spread_by), F.lit(7)), parts).cast("int")
+    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = F.coalesce(F.col("_parts"), F.when(F.col(on).isNull(), F.lit(spread)), F.lit(1))
+    salt = F.pmod(F.xxhash64(F.lit(7), *left.columns), parts).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
     salted_left = left.join(heavy, is_heavy, "left").select(*left.columns, salt.alias("_salt"))
     salted_right = right.where(F.col(on).isNotNull()).join(heavy, is_heavy, "left").select(*right.columns, copies.alias("_salt"))
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
 
 
-def flag_join(left: DataFrame, keys: DataFrame, on: str, flag: str, spread_by: str, probe: DataFrame | None = None) -> DataFrame:
-    """``flag`` = 1 where the key occurs in ``keys``, else 0; ``keys`` are made unique first so no row is multiplied."""
+def flag_join(left: DataFrame, keys: DataFrame, on: str, flag: str, split: bool = False, probe: DataFrame | None = None) -> DataFrame:
+    """``flag`` = 1 where the key occurs in ``keys``, else 0; ``keys`` are made unique first so no row is multiplied.
+
+    ``split``: the key is a foreign key that may be hot (``skew_join``).
+    """
     marked = keys.select(on).distinct().withColumn(flag, F.lit(1))
-    joined = skew_join(left, marked, on, "left", spread_by, probe=probe)
+    joined = skew_join(left, marked, on, "left", probe) if split else left.join(marked, on, "left")
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 

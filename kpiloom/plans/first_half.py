@@ -5,6 +5,8 @@ Every metric takes the role tables and the settings and returns a DataFrame; not
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,17 +38,21 @@ def promise_status(t: Tables, s: Settings, deadline: Column) -> DataFrame:
         .groupBy("oid", "day").agg(F.count("*").alias("_n_promise"))
     )
     cancelled = t.cancellations.groupBy(F.col("reservation_id").alias("oid"), "type").agg(F.count("*").alias("_n_cancel"))
-    sold = (
-        sales_since(t.sales, s.promise_sales_from, s.channels)
-        .groupBy(F.col("transaction_code").alias("_tc"), "transaction_status")
-        .agg(F.sum(money("gb")).alias("_gb"))
-    )
     reservations = (
         latest_reservations(t.reservations)
         .where(F.col("channel").startswith(s.channel_prefix))
         .select("id", "oid", "status", F.col("id").try_cast("bigint").alias("_tc"))
     )
-    joined = reservations.join(promised, "oid").join(cancelled, "oid", "left").join(sold, "_tc", "left")
+    held = reservations.join(promised, "oid")
+    # only the sales of the promised reservations are grouped
+    sold = (
+        sales_since(t.sales, s.promise_sales_from, s.channels)
+        .select(F.col("transaction_code").alias("_tc"), "transaction_status", money("gb").alias("_v"))
+        .join(held.select("_tc"), "_tc", "left_semi")
+        .groupBy("_tc", "transaction_status")
+        .agg(F.sum("_v").alias("_gb"))
+    )
+    joined = held.join(cancelled, "oid", "left").join(sold, "_tc", "left")
     timed_out = (F.col("transaction_status") == fixed.CANCELLED) & (F.col("type") == fixed.TIMEOUT_TYPE)
     return joined.select(
         F.col("id").alias("reservation_id"),
@@ -116,7 +122,7 @@ def kr22(t: Tables, s: Settings) -> DataFrame:
     agencies = _request_transactions(t, s).groupBy("transaction_code", "agency_code").agg(F.count("*").alias("_m"))
     staff = t.payroll.select(strip_prefix("ad_username", fixed.STAFF_PREFIX, 5).alias("user"))
     joined = requests.join(agencies, "transaction_code").withColumn("n", F.col("_n") * F.col("_m"))
-    flagged = flag_join(joined, staff, "user", "staff", "transaction_code", probe=requests)
+    flagged = flag_join(joined, staff, "user", "staff", split=True, probe=requests)
     out = entity_counts(
         flagged, ["creation_yearmonth"], {"cant_agencias_unicas": ("agency_code", None)},
         {
@@ -190,7 +196,7 @@ def revenue_product(services: str = fixed.SERVICES) -> Column:
 
 def revenue_lines(t: Tables, s: Settings, since) -> DataFrame:
     """Sale lines with their adjusted net revenue. Side tables that are joined but never read are left out; their keys
-    must be unique (``sources.tables.assert_unique``)."""
+    must be unique (``sources.tables.repeated_keys``)."""
     lines = t.sales.where(
         (F.col("gestion_date") >= F.lit(since)) & (F.col("partition_period") >= s.revenue_period_from)
         & F.col("lob_gestion").isin(*s.revenue_lines) & (F.col("parent_channel") == fixed.AFFILIATES)
@@ -205,17 +211,17 @@ def revenue_lines(t: Tables, s: Settings, since) -> DataFrame:
     current = t.transactions.where(F.col("reservation_year_month") >= F.lit(s.revenue_from)).select(
         F.col("transaction_code").alias("_tc")
     )
-    joined = skew_join(lines, profit, "product_id", "inner", "transaction_code")
+    joined = skew_join(lines, profit, "product_id", "inner")
     return joined.join(current, "_tc").withColumn("net_revenue", adjusted_revenue())
 
 
 def sheet_revenue(sheet: DataFrame, separator: str, source: str) -> DataFrame:
-    """Monthly net revenue of a text sheet per product and country."""
+    """Monthly net revenue of a text sheet per product and country. A text that is no number or date fails the query."""
     rows = sheet.where(F.col("lob_canal") == fixed.SHEET_LINE).select(
-        dates.sheet_year("fecha", separator).alias("year"), F.col("no_mes_proyectado").try_cast("int").alias("month"),
+        dates.sheet_year("fecha", separator).alias("year"), F.col("no_mes_proyectado").cast("int").alias("month"),
         recode("producto", fixed.SHEET_PRODUCTS).alias("producto"),
         recode("pais", fixed.SHEET_COUNTRIES, fixed.OTHER_COUNTRY).alias("pais"),
-        F.col("net_revenue").try_cast("decimal(15,6)").alias("_v"),
+        F.col("net_revenue").cast("decimal(15,6)").alias("_v"),
     )
     return rows.groupBy("year", "month", "producto", "pais").agg(F.sum("_v").alias("net_revenue_target")).withColumn(
         "source", F.lit(source)
@@ -335,26 +341,26 @@ def kr32_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
 # Booking frequency ----------------------------------------------------------------------------------------------------
 
 
-def valid_bookings(t: Tables, s: Settings, since, inclusive: bool, **grain: Column) -> DataFrame:
+def valid_bookings(t: Tables, s: Settings, since: date, **grain: Column) -> DataFrame:
     """Bookings per partner and grain (named columns of the day) of reservations that are not about to be cancelled.
 
     Bookings are made distinct first; only their number is asked, so the reservation is a semi join. A reservation
     without status does not pass, as its status is unknown.
     """
-    day = F.col("creation_date")
-    sales = sales_since(t.sales, since.strftime("%Y-%m"), s.wide_channels).where(
-        (day >= F.lit(since)) if inclusive else (day > F.lit(since))
-    )
+    sales = sales_since(t.sales, since.strftime("%Y-%m"), s.wide_channels).where(F.col("creation_date") >= F.lit(since))
     bookings = sales.select(*[c.alias(n) for n, c in grain.items()], "partner_id", "transaction_code").distinct()
     live = latest_reservations(t.reservations).where(F.col("status") != fixed.TO_CANCEL).select(
         F.col("id").try_cast("bigint").alias("transaction_code")
     )
-    valid = skew_join(bookings, live, "transaction_code", "left_semi", "partner_id", probe=sales)
+    valid = bookings.join(live, "transaction_code", "left_semi")
     return valid.groupBy(*grain, "partner_id").agg(F.count("transaction_code").alias("reservas"))
 
 
 def _monthly(t: Tables, s: Settings) -> DataFrame:
-    return valid_bookings(t, s, s.bookings_after, False, mes=dates.yyyymm("creation_date"))
+    """Bookings per month, from the first month that counts."""
+    first = date(s.uplift_month_from // 100, s.uplift_month_from % 100, 1)
+    since = max(first, s.bookings_after + timedelta(days=1))
+    return valid_bookings(t, s, since, mes=dates.yyyymm("creation_date"))
 
 
 def kr33(t: Tables, s: Settings) -> DataFrame:
@@ -373,8 +379,8 @@ def kr33_sem(t: Tables, s: Settings) -> DataFrame:
 
 def kr33_sem_cum(t: Tables, s: Settings, match_month: bool = False) -> DataFrame:
     """Uplift with the bookings accumulated to each week of the evaluated month."""
-    monthly = _monthly(t, s).where(F.col("mes") >= s.uplift_month_from)
+    monthly = _monthly(t, s)
     weekly = valid_bookings(
-        t, s, s.weeks_from, True, semana_inicio=dates.week_start("creation_date"), mes=dates.yyyymm("creation_date")
+        t, s, s.weeks_from, semana_inicio=dates.week_start("creation_date"), mes=dates.yyyymm("creation_date")
     )
     return cohort.uplift_cumulative(monthly, weekly, match_month=match_month)

@@ -32,7 +32,7 @@ def channel_sales(t: Tables, s: Settings, since: date) -> DataFrame:
 def with_product(sales: DataFrame, t: Tables, *columns: str, probe: DataFrame | None = None) -> DataFrame:
     """Attributes of the booked product; lines without one keep NULLs."""
     products = t.products.select(F.col("transaction_id").alias("origin_product_id"), *columns)
-    return skew_join(sales, products, "origin_product_id", "left", "transaction_code", probe=probe)
+    return skew_join(sales, products, "origin_product_id", "left", probe)
 
 
 # Payment link in non-refundable hotels --------------------------------------------------------------------------------
@@ -224,7 +224,7 @@ def wallet_daily(t: Tables, s: Settings) -> DataFrame:
     """Per day and country: bookings and value with the wallet combination, and all; from 60 days before the launch."""
     since = min(s.wallet_launches.values()) - timedelta(days=fixed.WALLET_PRE_DAYS)
     rows = confirmed_payments(t, s, since).where(F.col("d") >= F.lit(since))
-    rows = flag_join(rows, wallet_bookings(t, s, since), "transaction_code", "w", "d", probe=payments_of(t, s, since))
+    rows = flag_join(rows, wallet_bookings(t, s, since), "transaction_code", "w")
     with_wallet = F.col("w") == 1
     out = entity_counts(
         rows, ["d", "c"], {"nw": ("transaction_code", with_wallet), "nt": ("transaction_code", None)},
@@ -233,16 +233,16 @@ def wallet_daily(t: Tables, s: Settings) -> DataFrame:
     return _round_sums(out, "gw", "gt").select(dates.iso_text("d").alias("d"), "c", "nw", "gw", "nt", "gt")
 
 
-def _wallet_scope(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _wallet_scope(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame]:
     since = min(s.wallet_launches.values())
     rows = rollout.since_launch(confirmed_payments(t, s, since), s.wallet_launches)
-    return rows, wallet_bookings(t, s, since), payments_of(t, s, since)
+    return rows, wallet_bookings(t, s, since)
 
 
 def wallet_agencies(t: Tables, s: Settings) -> DataFrame:
     """Agencies with the wallet combination and with any sale since each launch, per country and in all."""
-    rows, wallet, probe = _wallet_scope(t, s)
-    rows = flag_join(rows, wallet, "transaction_code", "w", "d", probe=probe)
+    rows, wallet = _wallet_scope(t, s)
+    rows = flag_join(rows, wallet, "transaction_code", "w")
     out = entity_counts(
         with_total_key(rows, "c", TOTAL), ["c"], {"agw": ("p", F.col("w") == 1), "agt": ("p", None)}
     )
@@ -251,8 +251,8 @@ def wallet_agencies(t: Tables, s: Settings) -> DataFrame:
 
 def wallet_mix(t: Tables, s: Settings) -> DataFrame:
     """What the wallet is combined with: bookings and value per country and method set."""
-    rows, wallet, probe = _wallet_scope(t, s)
-    joined = skew_join(rows, wallet, "transaction_code", "inner", "d", probe=probe)
+    rows, wallet = _wallet_scope(t, s)
+    joined = rows.join(wallet, "transaction_code")
     out = entity_counts(joined, ["c", "partner"], {"n": ("transaction_code", None)}, {"gb": F.col("gb")})
     return _round_sums(out, "gb")
 
@@ -277,7 +277,7 @@ def with_flow(sales: DataFrame, t: Tables, *flows: str) -> DataFrame:
         F.col("id").alias("_id"), "shopping_flow_source"
     )
     keyed = sales.withColumn("_id", F.col("transaction_code").cast("string"))
-    return skew_join(keyed, reservations, "_id", "inner", "origin_product_id")
+    return keyed.join(reservations, "_id")
 
 
 def pkg_daily(t: Tables, s: Settings) -> DataFrame:
@@ -323,10 +323,6 @@ def gv_ctr(t: Tables, s: Settings, *grains: str) -> DataFrame:
     )
 
 
-def gv_ctr_grain(t: Tables, s: Settings, grain: str) -> DataFrame:
-    return gv_ctr(t, s, grain).drop("grain")
-
-
 # Payment promise ------------------------------------------------------------------------------------------------------
 
 
@@ -358,7 +354,7 @@ def promise_sales(t: Tables, s: Settings, payment: bool = False) -> DataFrame:
         recode("transaction_status", fixed.STATUS_CODES).alias("st"), money("gb").alias("gb"), "origin_product_id",
         F.col("transaction_code").cast("string").alias("_id"), "transaction_code",
     ).where(F.col("st").isNotNull())
-    rows = flag_join(lines, promised_ids(t, s, since), "_id", "prom", "origin_product_id", probe=lines)
+    rows = flag_join(lines, promised_ids(t, s, since), "_id", "prom")
     new = F.col("g").isin(*fixed.NEW_GROUPS)
     rows = rows.where((F.col("prom") == 1) | F.col("st").isin("C", "A") | new).withColumn("nw", new.cast("int"))
     columns = ["d", "c", "p", "tx", "g", "st", "gb", "prom", "nw"]
@@ -444,8 +440,8 @@ def promise_history(t: Tables, s: Settings) -> DataFrame:
     sales = exclude_test(
         sales_since(t.sales, s.promise_history_from.strftime("%Y-%m"), s.channels).where(F.col("creation_date") < F.lit(until)),
         "agency_name",
-    ).select("partner_id", F.col("transaction_code").cast("string").alias("_id")).distinct()
-    return skew_join(sales, ids, "_id", "left_semi", "partner_id").select(F.col("partner_id").alias("p")).distinct()
+    ).select(F.col("partner_id").alias("p"), F.col("transaction_code").cast("string").alias("_id"))
+    return sales.join(ids, "_id", "left_semi").select("p").distinct()
 
 
 def pp_ag(t: Tables, s: Settings) -> DataFrame:

@@ -30,7 +30,7 @@ def kr11(t: Tables, s: Settings) -> DataFrame:
     products = t.products.select(F.col("transaction_id").alias("origin_product_id"), "payment_methods")
     own = contains_any("payment_methods", fixed.OWN_METHODS)
     actual = (
-        skew_join(sales, products, "origin_product_id", "inner", "transaction_code")
+        skew_join(sales, products, "origin_product_id", "inner")
         .groupBy(F.col("partition_period").alias("mes"))
         .agg(
             rounded(F.sum(F.when(own, F.col("gb"))), 2).alias("gb_metodo_propio"),

@@ -38,6 +38,9 @@ SCHEMAS: dict[str, str] = {
         "product_id bigint, transaction_code bigint, net_revenues_usd decimal(24,6), affiliates_usd decimal(24,6), "
         "line_of_business string, date_reservation_year_month string"
     ),
+    "corrections": "product_id string",
+    "marketing_funds": "product_id string",
+    "marketing_funds_2": "product_id string",
     "quotations": "created_at timestamp, agency_code string, channel_code string",
     "products": (
         "transaction_id string, payment_methods string, refundable boolean, penalty_start_date date, "
@@ -69,6 +72,9 @@ SCHEMAS: dict[str, str] = {
     ),
 }
 
+#: Tables joined to the revenue by product that no column is read from.
+SIDE_TABLES = ("corrections", "marketing_funds", "marketing_funds_2")
+
 
 class Tables:
     """Role tables as attributes, opened on first use."""
@@ -86,7 +92,11 @@ class Tables:
 
 
 def conform(df: DataFrame, role: str) -> DataFrame:
-    """The columns of the role in their declared types; text that is no number becomes NULL in a numeric key."""
+    """The columns of the role in their declared types.
+
+    A text that is no whole number becomes NULL in a key (bigint), as such keys match nothing; ``rejected_keys`` lists
+    these rows. Amounts, dates and all other values are cast strictly: one that does not fit fails the query.
+    """
     fields = T._parse_datatype_string(SCHEMAS[role]).fields
     have = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in fields if f.name not in have]
@@ -95,12 +105,21 @@ def conform(df: DataFrame, role: str) -> DataFrame:
     return df.select(
         *[
             F.col(f.name) if have[f.name] == f.dataType
-            else (F.col(f.name).try_cast(f.dataType) if isinstance(f.dataType, T.AtomicType) else F.col(f.name).cast(f.dataType)).alias(f.name)
+            else (F.col(f.name).try_cast(f.dataType) if f.dataType == T.LongType() else F.col(f.name).cast(f.dataType)).alias(f.name)
             for f in fields
         ]
     )
 
 
+def rejected_keys(df: DataFrame, role: str) -> DataFrame:
+    """Rows of a role's table in which a key is given but is no whole number: they lose it in ``conform``."""
+    keys = [f.name for f in T._parse_datatype_string(SCHEMAS[role]).fields if f.dataType == T.LongType()]
+    lost = F.lit(False)
+    for k in keys:
+        lost = lost | (F.col(k).isNotNull() & F.col(k).cast("string").try_cast("bigint").isNull())
+    return df.where(lost)
+
+
 def open_tables(spark: SparkSession, locations: Mapping[str, str], fmt: str = "parquet") -> Tables:
     """Roles from paths (anything with a slash) or catalog table names."""
 
@@ -115,7 +134,7 @@ def open_tables(spark: SparkSession, locations: Mapping[str, str], fmt: str = "p
 
 
 def read_sheet(spark: SparkSession, path: str, role: str = "forecast") -> DataFrame:
-    """A text sheet saved as CSV with a header; every column stays text."""
+    """A text sheet saved as CSV with a header, for ``Tables``; every column stays text."""
     return spark.read.schema(SCHEMAS[role]).option("header", True).csv(path)
 
 
@@ -129,8 +148,12 @@ def sales_since(sales: DataFrame, period: str, channels=None) -> DataFrame:
     return out if channels is None else out.where(F.col("channel").isin(*channels))
 
 
-def assert_unique(df: DataFrame, key: str) -> None:
-    """Refuse a side table whose key repeats, as a join with it would multiply rows."""
-    doubled = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).limit(1).take(1)
-    if doubled:
-        raise ValueError(f"{key} is not unique, e.g. {doubled[0][0]!r}")
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys of a side table that occur more than once, with their number: a join with it would multiply rows."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+
+
+def repeated_side_keys(t: Tables) -> DataFrame:
+    """Repeated keys of the side tables that the revenue leaves out (role, product_id, n); empty if that is right."""
+    parts = [repeated_keys(getattr(t, role), "product_id").select(F.lit(role).alias("role"), "product_id", "n") for role in SIDE_TABLES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
