@@ -12,8 +12,10 @@ from checks.metric_sql import day, launches, members, pct, values
 from checks.pairs import Pairs
 from kpiloom.functions import fixed
 from kpiloom.functions.numbers import half_even
-from kpiloom.operators import cumulative, rollout, scorecard
-from kpiloom.plans import boards, first_half, initiatives, usability
+from kpiloom.operators import cumulative, funnel, rollout, scorecard
+from kpiloom.operators.calendar import symmetric_window
+from kpiloom.plans import boards, first_half, initiatives, registry, second_half, usability
+from kpiloom.session import scratch_path
 from kpiloom.sources import snapshots
 
 pairs = Pairs()
@@ -29,6 +31,19 @@ def impact(function):
     return lambda spark, sf_dir: function(R.roles(spark, sf_dir), I)
 
 
+def from_stored(metrics, keys, settings, function):
+    """A query over metric results that are computed once and stored."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "board")
+        return function(registry.stored(metrics, keys, R.roles(spark, sf_dir), settings, path), settings)
+
+    return run
+
+
+def board(keys, function):
+    return from_stored(registry.INITIATIVES, keys, I, function)
+
+
 # Link board -----------------------------------------------------------------------------------------------------------
 
 LINK_VALUES = ("ref", "non", "link", "sd", "scope", "nl", "scope_nr")
@@ -47,13 +62,13 @@ add(
 LAUNCH = f"(select * from {values([(c, d) for c, d in I.link_launches.items()])} l(c, ld))"
 add(
     "link_countries",
-    impact(lambda t, s: boards.link_countries(initiatives.ldp_country(t, s), initiatives.ldp_totals(t, s), s.link_launches)),
+    board(("ldp_country", "ldp_totals"), lambda r, s: boards.link_countries(r["ldp_country"], r["ldp_totals"], s.link_launches)),
     f"""select l.c, cast(l.ld as varchar) as ld, coalesce(x.nl, 0) as nl, coalesce(x.gl, 0) as gl, coalesce(x.ag, 0) as ag,
   coalesce(y.gt, 0) as gt, coalesce(y.nt, 0) as nt, coalesce(x.nc, 0) as nc, coalesce(x.rep, 0) as rep
 from {LAUNCH} l left join ({M.LDP_COUNTRY}) x on x.c = l.c left join ({M.LDP_TOTALS}) y on y.c = l.c""",
 )
 add(
-    "link_total", impact(lambda t, s: boards.link_total(initiatives.ldp_country(t, s), initiatives.ldp_totals(t, s))),
+    "link_total", board(("ldp_country", "ldp_totals"), lambda r, s: boards.link_total(r["ldp_country"], r["ldp_totals"])),
     f"""select x.nl, coalesce(x.gl, 0) as gl, x.ag, x.nc, coalesce(x.gc, 0) as gc, x.rep, coalesce(y.gt, 0) as gt, y.nt, y.agt, z.nc as hnc
 from ({M.LDP_COUNTRY}) x, ({M.LDP_TOTALS}) y, ({M.LDP_COUNTRY}) z where x.c = 'ALL' and y.c = 'ALL' and z.c = 'TOT'""",
 )
@@ -145,19 +160,22 @@ from (select * from {values(list(I.wallet_launches.items()))} v(c, ld)) l
   left join ({M.WALLET_DAILY}) x on x.c = l.c and cast(x.d as date) >= l.ld left join ({M.WALLET_AGENCIES}) y on y.c = l.c group by l.c, l.ld"""
 
 
-def wallet_board(t, s):
-    return boards.wallet_countries(initiatives.wallet_daily(t, s), initiatives.wallet_agencies(t, s), s.wallet_launches)
+WALLET = ("wallet_daily", "wallet_agencies")
+
+
+def wallet_board(r, s):
+    return boards.wallet_countries(r["wallet_daily"], r["wallet_agencies"], s.wallet_launches)
 
 
-add("wallet_countries", impact(wallet_board), WALLET_SQL)
+add("wallet_countries", board(WALLET, wallet_board), WALLET_SQL)
 add(
-    "wallet_total", impact(lambda t, s: boards.wallet_total(wallet_board(t, s), initiatives.wallet_agencies(t, s))),
+    "wallet_total", board(WALLET, lambda r, s: boards.wallet_total(wallet_board(r, s), r["wallet_agencies"])),
     f"""select cast(sum(nw) as bigint) as nw, sum(gw) as gw, cast(sum(nt) as bigint) as nt, sum(gt) as gt,
   (select agw from ({M.WALLET_AGENCIES}) where c = 'ALL') as agw, (select agt from ({M.WALLET_AGENCIES}) where c = 'ALL') as agt from ({WALLET_SQL})""",
 )
 add(
     "deferred_board",
-    impact(lambda t, s: boards.deferred_board(initiatives.pd_daily(t, s), initiatives.pkg_daily(t, s), s.deferred_country)),
+    board(("pd_daily", "pkg_daily"), lambda r, s: boards.deferred_board(r["pd_daily"], r["pkg_daily"], s.deferred_country)),
     f"""select x.d, x.n, x.gb, coalesce(y.gb, 0) as pkg_gb, coalesce(y.n, 0) as pkg_n, coalesce(y.gb_pd, 0) as pkg_gb_pd, coalesce(y.n_pd, 0) as pkg_n_pd
 from ({M.PD_DAILY}) x left join (select * from ({M.PKG_DAILY}) where c = '{I.deferred_country}') y on y.d = x.d""",
 )
@@ -165,6 +183,19 @@ add("grid_daily", impact(lambda t, s: boards.grid_daily(initiatives.gv_daily(t,
     f"select d, c, coalesce(gb_f, 0) as gb_f, n_f, coalesce(gb_c, 0) as gb_c, n_c from ({M.GV_DAILY})")
 add("promise_countries", impact(lambda t, s: boards.promise_countries(initiatives.pp_a(t, s))),
     f"select c, sum(coalesce(gb, 0)) as gb from ({M.PP_A}) where g = 'TT' and st = 'C' and c <> '' group by c")
+PRE_DAYS, PRE_FROM = symmetric_window(I.promise_launch, I.as_of)
+add(
+    "promise_board",
+    board([m for m, _, _ in boards.PROMISE_PARTS.values()], lambda r, s: boards.promise_board(r, s.promise_launch, s.as_of)),
+    f"""select 'window' as part, '{PRE_FROM}' as key, 'n' as measure, {float(PRE_DAYS)}e0 as value
+union all select 'countries', c, 'rank', cast(row_number() over (order by gb desc, c) as double)
+  from (select c, sum(coalesce(gb, 0)) as gb from ({M.PP_A}) where g = 'TT' and st = 'C' and c <> '' group by c)"""
+    + "".join(
+        f" union all select '{part}', concat_ws('|', {', '.join(f'cast({k} as varchar)' for k in keys)}), '{v}', coalesce(cast({v} as double), 0e0) "
+        f"from ({M.INITIATIVES[metric]})"
+        for part, (metric, keys, measures) in boards.PROMISE_PARTS.items() for v in measures
+    ),
+)
 BOARD_MAP = {"NATION_3|1995-01-01": "ldp", "NATION_7|1995-01-02": "wallet", "NATION_12|1995-01-01": "gv"}
 
 
@@ -190,6 +221,31 @@ from ({M.CLICKS['filter_usage']})""",
 
 
 
+ORDERED_SQL = f"""select 'filter_usage_text' as report, product || ' ' || week_start || ' ' || country as label,
+  row_number() over (order by visits desc, product, week_start, country) as position from ({M.CLICKS['filter_usage_text']})
+union all select 'h2.kr21_sem', mes || ' ' || semana_inicio, row_number() over (order by semana_inicio, mes) from ({M.SECOND['kr21_sem']})
+union all select 'h1.kr21', mes_deadline || ' ' || status, row_number() over (order by mes_deadline, status) from ({M.FIRST['kr21']})"""
+
+
+def report_order(spark, sf_dir):
+    """Rows of three reports with their place in them."""
+    t = R.roles(spark, sf_dir)
+    reports = {
+        "filter_usage_text": (funnel.packed_usage(usage(t, R.CLICKS)), ("product", "week_start", "country")),
+        "h2.kr21_sem": (second_half.kr21_sem(t, R.SECOND), ("mes", "semana_inicio")),
+        "h1.kr21": (first_half.kr21(t, R.FIRST), ("mes_deadline", "status")),
+    }
+    out = None
+    for key, (rows, label) in reports.items():
+        text = F.when(F.col(label[-1]).isNotNull(), F.concat_ws(" ", *[F.col(c).cast("string") for c in label]))
+        part = registry.numbered(key, rows).select(F.lit(key).alias("report"), text.alias("label"), "position")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+add("report_order", report_order, ORDERED_SQL)
+
+
 # Scorecards -----------------------------------------------------------------------------------------------------------
 
 AS_OF = date(1999, 11, 17)
@@ -251,11 +307,12 @@ SCORES = scores_sql(ACTUALS_SQL, board_sql(BOARD, MONTHS), "<")
 
 
 def first(function):
-    def run(spark, sf_dir):
-        t = R.roles(spark, sf_dir)
-        return function(spark, t, boards.first_half_actuals(t, R.FIRST))
+    """Over the stored monthly results and the actuals from them."""
+    def run(r, _):
+        actuals = boards.first_half_actuals(r)
+        return function(actuals.sparkSession, r, actuals)
 
-    return run
+    return from_stored(registry.FIRST_HALF, boards.FIRST_HALF_MONTHLY, R.FIRST, run)
 
 
 def tables(spark):
@@ -298,7 +355,7 @@ add(
             tables(spark)[0],
             scorecard.row_targets(
                 tables(spark)[1],
-                first_half.kr31(t, R.FIRST).select(F.lit("kr31").alias("id"), F.col("periodo").alias("month"), F.col("net_rev_target").alias("target")),
+                t["kr31"].select(F.lit("kr31").alias("id"), F.col("periodo").alias("month"), F.col("net_rev_target").alias("target")),
             ),
             a, AS_OF,
         )
@@ -328,12 +385,14 @@ H2_ACTUALS = f"""select 'kr11' as id, mes as month, gb_metodo_propio as actual,
   union all select 'kr22', mes_comercial, if(estado <> 'PENDIENTE', agencias_frecuentes, null), target from ({M.SECOND['kr22']})"""
 
 
-def h2_scores(spark, sf_dir):
-    actuals, own = boards.second_half_actuals(R.roles(spark, sf_dir), R.SECOND)
+def second_scores(r, _):
+    actuals, own = boards.second_half_actuals(r)
+    spark = actuals.sparkSession
     targets = scorecard.row_targets(scorecard.target_table(spark, H2_MONTHS, H2_BOARD), own)
     return scorecard.month_scores(scorecard.board_table(spark, H2_BOARD), targets, actuals, H2_AS_OF, closed_only=False)
 
 
+h2_scores = from_stored(registry.SECOND_HALF, boards.SECOND_HALF_MONTHLY, R.SECOND, second_scores)
 H2_SQL = scores_sql(
     f"select id, month, cast(actual as double) as actual from ({H2_ACTUALS})", board_sql(H2_BOARD, H2_MONTHS), "<=",
     f"select id, month, cast(own as double) as own from ({H2_ACTUALS})",
@@ -355,12 +414,8 @@ WEEKLY_SQL = f"""select 'kr21' as id, semana_inicio, pct_timeout_client as value
   union all select 'kr32', semana_inicio, pct_activacion_comercial from ({M.FIRST['kr32_sem']})"""
 
 
-def weekly(spark, sf_dir):
-    return boards.weekly_series(R.roles(spark, sf_dir), R.FIRST)
-
-
-def running(spark, sf_dir):
-    return boards.cumulative_series(R.roles(spark, sf_dir), R.FIRST)
+weekly = from_stored(registry.FIRST_HALF, boards.FIRST_HALF_WEEKLY, R.FIRST, lambda r, _: boards.weekly_series(r))
+running = from_stored(registry.FIRST_HALF, boards.FIRST_HALF_RUNNING, R.FIRST, lambda r, _: boards.cumulative_series(r))
 
 
 add(
@@ -441,7 +496,11 @@ select id, inv, last, prev, if(inv, last < prev, last > prev) as up,
   coalesce(if(inv, last > prev and prev > prev2, last < prev and prev < prev2), false) as declining from r where k = 1 and prev is not null""",
 )
 add(
-    "chart_series", lambda spark, sf_dir: scorecard.chart_series(weekly(spark, sf_dir), running(spark, sf_dir), tables(spark)[1]),
+    "chart_series",
+    from_stored(
+        registry.FIRST_HALF, (*boards.FIRST_HALF_WEEKLY, *boards.FIRST_HALF_RUNNING), R.FIRST,
+        lambda r, _: scorecard.chart_series(boards.weekly_series(r), boards.cumulative_series(r), tables(r["kr21_sem"].sparkSession)[1]),
+    ),
     f"""select w.id, w.semana_inicio, w.value, strftime(w.semana_inicio, '%Y-%m') as month, c.value as cumulative, target
 from ({WEEKLY_SQL}) w left join ({CUMULATIVE_SQL}) c on c.id = w.id and c.semana_inicio = w.semana_inicio
   left join ({TARGET_SQL}) t on t.id = w.id and t.month = strftime(w.semana_inicio, '%Y-%m')""",

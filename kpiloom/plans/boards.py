@@ -5,16 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import dates, fixed
 from kpiloom.functions.numbers import half_even
-from kpiloom.operators import rollout, scorecard
+from kpiloom.operators import calendar, rollout, scorecard
 from kpiloom.operators.joins import on_spine
-from kpiloom.plans import first_half, second_half
-from kpiloom.plans.settings import Settings
-from kpiloom.sources.tables import Tables
+from kpiloom.operators.tables import inline
 
 
 def link_daily(daily: DataFrame) -> DataFrame:
@@ -42,13 +40,15 @@ def _one_row(*parts: DataFrame) -> DataFrame:
     return stacked.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in stacked.columns])
 
 
+def _of(key: str, columns: Mapping[str, str]) -> list[Column]:
+    """Values of the row with this key, for an aggregate over all rows."""
+    return [F.max(F.when(F.col("c") == key, F.col(source))).alias(name) for name, source in columns.items()]
+
+
 def link_total(country: DataFrame, totals: DataFrame) -> DataFrame:
     """The total row of the board: link rows, non-refundable sale and cancellations of the whole scope."""
-    return _one_row(
-        country.where(F.col("c") == "ALL").select("nl", "gl", "ag", "nc", "gc", "rep"),
-        country.where(F.col("c") == "TOT").select(F.col("nc").alias("hnc")),
-        totals.where(F.col("c") == "ALL").select("gt", "nt", "agt"),
-    )
+    own = {v: v for v in ("nl", "gl", "ag", "nc", "gc", "rep")}
+    return _one_row(country.agg(*_of("ALL", own), *_of("TOT", {"hnc": "nc"})), totals.agg(*_of("ALL", {v: v for v in ("gt", "nt", "agt")})))
 
 
 def link_counterfactual_blocks(daily: DataFrame, launches: Mapping[str, date], as_of: date) -> DataFrame:
@@ -86,7 +86,7 @@ def wallet_countries(daily: DataFrame, totals: DataFrame, launches: Mapping[str,
 def wallet_total(countries: DataFrame, totals: DataFrame) -> DataFrame:
     return _one_row(
         countries.agg(*[F.sum(v).alias(v) for v in ("nw", "gw", "nt", "gt")]),
-        totals.where(F.col("c") == "ALL").select("agw", "agt"),
+        totals.agg(*_of("ALL", {"agw": "agw", "agt": "agt"})),
     )
 
 
@@ -109,6 +109,41 @@ def promise_countries(sales: DataFrame) -> DataFrame:
     return totals.where(F.col("c").isNotNull() & (F.col("c") != "")).orderBy(F.col("gb").desc(), "c")
 
 
+PROMISE_PARTS = {
+    # part: (metric, key columns, values)
+    "a": ("pp_a", ("d", "c", "g", "st", "prom"), ("n", "gb")),
+    "mix": ("pp_m", ("d", "c", "m"), ("n", "gb")),
+    "canc": ("pp_x", ("d", "c", "g2", "r"), ("n",)),
+    "ctl": ("pp_ctl", ("p", "c"), ("pre_n", "pre_gb", "post_n", "post_gb", "post_prom", "post_prom_c")),
+    "ag": (
+        "pp_ag", ("p", "c"),
+        ("pre_h_a", "pre_h_c", "post_h_a", "post_h_c", "post_n_a", "post_n_c", "act_pre", "hist_prom"),
+    ),
+    "weeks": ("pp_agw", ("w",), ("ag_ac", "ag_c")),
+}
+
+
+def promise_board(r: Mapping[str, DataFrame], launch: date, as_of: date) -> DataFrame:
+    """The whole promise board in one long result: part, key (texts joined by "|"), measure, value (missing: 0).
+
+    Parts: the window (days since the launch, keyed by the first day before it), the rank of each country, and the parts
+    of ``PROMISE_PARTS`` from their (stored) results.
+    """
+    n, pre_from = calendar.symmetric_window(launch, as_of)
+    ranked = promise_countries(r["pp_a"]).withColumn("rank", F.row_number().over(Window.orderBy(F.col("gb").desc(), "c")))
+    out = inline(r["pp_a"].sparkSession, [("window", pre_from.isoformat(), "n", float(n))], "part string, key string, measure string, value double")
+    out = out.unionByName(_measures("countries", ranked, ("c",), ("rank",)))
+    for part, (metric, keys, values) in PROMISE_PARTS.items():
+        out = out.unionByName(_measures(part, r[metric], keys, values))
+    return out
+
+
+def _measures(part: str, rows: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    pairs = [F.struct(F.lit(v).alias("measure"), F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias("value")) for v in values]
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return rows.select(F.lit(part).alias("part"), key.alias("key"), F.inline(F.array(*pairs)))
+
+
 def attach_boards(initiatives: DataFrame, boards: Mapping[str, str]) -> DataFrame:
     """Board key of each initiative, looked up by ``name|launch date``."""
     keys = F.concat_ws("|", F.col("name"), dates.iso_text("launch"))
@@ -119,30 +154,35 @@ def attach_boards(initiatives: DataFrame, boards: Mapping[str, str]) -> DataFram
 # Scorecards -----------------------------------------------------------------------------------------------------------
 
 
-def first_half_actuals(t: Tables, s: Settings) -> DataFrame:
-    """Monthly actual of the five first-half metrics."""
+FIRST_HALF_MONTHLY = ("kr21", "kr22", "kr31", "kr32", "kr33")
+FIRST_HALF_WEEKLY = ("kr21_sem", "kr22_sem", "kr31_sem", "kr32_sem")
+FIRST_HALF_RUNNING = ("kr21_sem_cum", "kr22_sem_cum", "kr31_sem_cum", "kr32_sem_cum", "kr33_sem_cum")
+SECOND_HALF_MONTHLY = ("kr11", "kr21", "kr22")
+
+
+def first_half_actuals(r: Mapping[str, DataFrame]) -> DataFrame:
+    """Monthly actual of the five first-half metrics, from their (stored) results."""
     evaluated = F.concat_ws(
         "-", F.substring(F.col("mes_evaluacion").cast("string"), 1, 4), F.substring(F.col("mes_evaluacion").cast("string"), 5, 2)
     )
     return scorecard.actuals_long(
         {
-            "kr21": (scorecard.timeout_share(first_half.kr21(t, s)), F.col("mes_deadline"), F.col("pct_timeout")),
-            "kr22": (first_half.kr22(t, s), F.col("creation_yearmonth"), F.col("cant_agencias_unicas")),
-            "kr31": (first_half.kr31(t, s), F.col("periodo"), F.col("net_rev_real")),
-            "kr32": (first_half.kr32(t, s), F.col("mes"), F.col("pct_activacion_comercial")),
-            "kr33": (first_half.kr33(t, s), evaluated, F.col("pct_aumento")),
+            "kr21": (scorecard.timeout_share(r["kr21"]), F.col("mes_deadline"), F.col("pct_timeout")),
+            "kr22": (r["kr22"], F.col("creation_yearmonth"), F.col("cant_agencias_unicas")),
+            "kr31": (r["kr31"], F.col("periodo"), F.col("net_rev_real")),
+            "kr32": (r["kr32"], F.col("mes"), F.col("pct_activacion_comercial")),
+            "kr33": (r["kr33"], evaluated, F.col("pct_aumento")),
         }
     )
 
 
-def second_half_actuals(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame]:
+def second_half_actuals(r: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Monthly actuals and row targets of the second-half metrics; a pending month has no actual."""
-    own, quoting, frequent = second_half.kr11(t, s), second_half.kr21(t, s), second_half.kr22(t, s)
     buyers = F.when(F.col("estado") != fixed.PENDING_STATE, F.col("agencias_frecuentes"))
     columns = {
-        "kr11": (own, F.col("mes"), F.col("gb_metodo_propio")),
-        "kr21": (quoting, F.col("mes"), F.col("agencias_cotizadoras")),
-        "kr22": (frequent, F.col("mes_comercial"), buyers),
+        "kr11": (r["kr11"], F.col("mes"), F.col("gb_metodo_propio")),
+        "kr21": (r["kr21"], F.col("mes"), F.col("agencias_cotizadoras")),
+        "kr22": (r["kr22"], F.col("mes_comercial"), buyers),
     }
     targets = {key: (rows, month, F.col("target")) for key, (rows, month, _) in columns.items()}
     return (
@@ -151,28 +191,28 @@ def second_half_actuals(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def weekly_series(t: Tables, s: Settings) -> DataFrame:
+def weekly_series(r: Mapping[str, DataFrame]) -> DataFrame:
     """Weekly values of the first-half metrics in long form: id, semana_inicio, value."""
     return _long(
         {
-            "kr21": (first_half.kr21_sem(t, s), "pct_timeout_client"),
-            "kr22": (first_half.kr22_sem(t, s), "cant_agencias_unicas"),
-            "kr31": (first_half.kr31_sem(t, s), "net_revenue_real"),
-            "kr32": (first_half.kr32_sem(t, s), "pct_activacion_comercial"),
+            "kr21": (r["kr21_sem"], "pct_timeout_client"),
+            "kr22": (r["kr22_sem"], "cant_agencias_unicas"),
+            "kr31": (r["kr31_sem"], "net_revenue_real"),
+            "kr32": (r["kr32_sem"], "pct_activacion_comercial"),
         }
     )
 
 
-def cumulative_series(t: Tables, s: Settings) -> DataFrame:
+def cumulative_series(r: Mapping[str, DataFrame]) -> DataFrame:
     """Month-to-date values of the first-half metrics; the time-out share is that of the month of the week's Monday."""
-    timeouts = first_half.kr21_sem_cum(t, s).where(dates.month_start("semana_inicio") == F.col("mes_deadline"))
+    timeouts = r["kr21_sem_cum"].where(dates.month_start("semana_inicio") == F.col("mes_deadline"))
     return _long(
         {
             "kr21": (timeouts, "pct_timeout_acum"),
-            "kr22": (first_half.kr22_sem_cum(t, s), "cant_agencias_acum_mes"),
-            "kr31": (first_half.kr31_sem_cum(t, s), "net_revenue_acum_mes"),
-            "kr32": (first_half.kr32_sem_cum(t, s), "pct_activacion_acum"),
-            "kr33": (first_half.kr33_sem_cum(t, s), "pct_aumento_acum"),
+            "kr22": (r["kr22_sem_cum"], "cant_agencias_acum_mes"),
+            "kr31": (r["kr31_sem_cum"], "net_revenue_acum_mes"),
+            "kr32": (r["kr32_sem_cum"], "pct_activacion_acum"),
+            "kr33": (r["kr33_sem_cum"], "pct_aumento_acum"),
         }
     )
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from kpiloom.plans import first_half, initiatives, second_half
 from kpiloom.plans.settings import Settings
@@ -41,13 +43,28 @@ ORDER: dict[str, tuple[str, ...]] = {
     "h2.kr11": ("mes",), "h2.kr21": ("mes",), "h2.kr22": ("mes_comercial",), "h2.kr21_sem": ("semana_inicio", "mes"),
     "h2.kr22_sem": ("mes_comercial", "semana"), "ldp_daily": ("d", "c"), "wallet_daily": ("d", "c"), "pd_daily": ("d",),
     "pp_agw": ("w",), "gv_ctr": ("grain", "p", "c"),
+    # a leading minus: falling
+    "filter_usage": ("product", "week_start", "country", "-clicks", "filter_name"),
+    "filter_usage_text": ("-visits", "product", "week_start", "country"),
+    "filter_usage_total": ("product", "week_start", "-clicks_sum", "filter_name"),
 }
 
 
+def order_of(key: str) -> list[Column]:
+    """Sort columns of a report; none where it has no order."""
+    names = ORDER.get(key.removesuffix("_prog"), ())
+    return [F.col(n[1:]).desc() if n.startswith("-") else F.col(n).asc() for n in names]
+
+
 def ordered(key: str, rows: DataFrame) -> DataFrame:
     """Rows in the order of their report; results without one are left as they are."""
-    key = key.removesuffix("_prog")
-    return rows.orderBy(*ORDER[key]) if key in ORDER else rows
+    order = order_of(key)
+    return rows.orderBy(*order) if order else rows
+
+
+def numbered(key: str, rows: DataFrame) -> DataFrame:
+    """Rows of a report with their place in it, from 1. Reports are results: a few rows, in one window."""
+    return rows.withColumn("position", F.row_number().over(Window.orderBy(*order_of(key))))
 
 
 CADENCES: dict[str, tuple[str, ...]] = {
@@ -73,6 +90,21 @@ def refresh(mode: str, t: Tables, s: Settings, path: str) -> None:
     snapshots.refresh_snapshot(run(SECOND_HALF, keys_of(mode), t, s), path)
 
 
+def stored(metrics: Mapping[str, Metric], keys: Iterable[str], t: Tables, s: Settings, path: str) -> dict[str, DataFrame]:
+    """Compute each metric once into a table below ``path`` and return the stored results, for boards to read.
+
+    Independent jobs, so a few run at a time.
+    """
+    spark, keys = SparkSession.active(), list(dict.fromkeys(keys))
+
+    def write(key: str) -> None:
+        metrics[key](t, s).write.mode("overwrite").parquet(f"{path}/{key}")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, keys))
+    return {key: spark.read.parquet(f"{path}/{key}") for key in keys}
+
+
 def build(metrics: Mapping[str, Metric], t: Tables, s: Settings, path: str) -> dict[str, str]:
     """Compute all metrics one by one; a failing one is left empty and reported."""
     return snapshots.write_each({key: (lambda metric=metric: metric(t, s)) for key, metric in metrics.items()}, path)
