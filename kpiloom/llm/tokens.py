@@ -19,8 +19,8 @@ import numpy as np
 
 from kpiloom.llm.common import worker_cache
 
-#: Words kept by one worker; beyond it the store starts anew.
-KEPT_WORDS = 600_000
+#: Words kept by one worker, in each of two generations: a full one becomes the older, from which words are taken back.
+KEPT_WORDS = 400_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 CHUNKS = {
     "byte": re.compile(rf" ?[{LETTERS}]++(?=[ \n.,;:!?#*$%&|])| ?[^ \n]+|[ \n]+(?=[ \n][^ \n])|[ \n]+\Z|\n"),
@@ -51,6 +51,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
@@ -60,14 +61,17 @@ class Encoder(dict):
         self.letters = byte_letters()
 
     def __missing__(self, chunk: str) -> bytes:
-        if PURE.fullmatch(chunk):  # one word: straight to the merges
-            word = chunk.lower() if self.drops_space else chunk
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-        else:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        value = np.array(ids, self.dtype).tobytes()
+        value = self.older.pop(chunk, None)
+        if value is None:
+            if PURE.fullmatch(chunk):  # one word: straight to the merges
+                word = chunk.lower() if self.drops_space else chunk
+                ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+            else:
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            value = np.array(ids, self.dtype).tobytes()
         if len(chunk) <= 48:
             if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = value
         return value
