@@ -68,6 +68,10 @@ def country_group(country: Column | str) -> Column:
     return F.when(c.isin(*fixed.USAGE_COUNTRIES), c).otherwise(fixed.OTHER_USAGE_COUNTRY)
 
 
+#: Stands for a missing id among page views, so that branches of the plan add no filters of their own and share reads.
+NO_ID = "\u0000"
+
+
 def _usage_pages(traffic: DataFrame, channels: Sequence[str], anchor: date, since: date, until: date) -> DataFrame:
     labels = {k: v[0] for k, v in fixed.USAGE_PRODUCTS.items()}
     sources = {k: v[1] for k, v in fixed.USAGE_PRODUCTS.items()}
@@ -75,11 +79,12 @@ def _usage_pages(traffic: DataFrame, channels: Sequence[str], anchor: date, sinc
         F.col("product").isin(*fixed.USAGE_PRODUCTS) & F.col("flow").isin("SEARCH", "THANKS")
         & F.col("date").between(since.isoformat(), until.isoformat())
     )
-    return pages.select(
+    named = pages.select(
         recode("product", labels).alias("product"), recode("product", sources).alias("source"),
         period_of(F.to_date("date"), anchor).alias("week_start"), country_group("country").alias("cg"),
-        "visit", "pageview_id", "flow",
+        *[F.coalesce(F.col(c), F.lit(NO_ID)).alias(c) for c in ("visit", "pageview_id")], "flow",
     )
+    return named.where(F.col("product").isNotNull() & F.col("source").isNotNull() & F.col("week_start").isNotNull())
 
 
 def filter_usage(
@@ -92,20 +97,21 @@ def filter_usage(
     """
     pages = _usage_pages(traffic, channels, anchor, since, until)
     key = ["product", "week_start", "cg"]
-    # what a visit did, as bits: 1 searched, 2 reached the thank-you page; both groupings are used twice and read once
+    # what a visit did, as bits: 1 searched, 2 reached the thank-you page; both groupings are used twice and shared
     flow = F.when(F.col("flow") == "SEARCH", 1).otherwise(2)
     views = pages.groupBy(*key, "source", "visit", "pageview_id").agg(F.bit_or(flow).alias("did"))
     visited = views.groupBy(*key, "visit").agg(F.bit_or("did").alias("did"))
     searched, thanked = F.col("did").bitwiseAND(1) > 0, F.col("did").bitwiseAND(2) > 0
+    known = F.col("visit") != NO_ID
     used = clicks.where(F.col("d").between(F.lit(since), F.lit(until)) & F.col("pageview_id").isNotNull()).select(
         "source", period_of("d", anchor).alias("week_start"), "pageview_id", "filter_name"
     ).distinct()
     using = views.where(searched).join(used, ["source", "week_start", "pageview_id"]).select(*key, "filter_name", "visit").distinct()
     per_filter = (
         using.join(visited, [*key, "visit"], "left").groupBy(*key, "filter_name")
-        .agg(F.count("visit").alias("clicks"), F.count(F.when(thanked, 1)).alias("thanks"))
+        .agg(F.count(F.when(known, 1)).alias("clicks"), F.count(F.when(known & thanked, 1)).alias("thanks"))
     )
-    visits = visited.where(searched).groupBy(*key).agg(F.count("visit").alias("visits"))
+    visits = visited.where(searched).groupBy(*key).agg(F.count(F.when(known, 1)).alias("visits"))
     return visits.join(per_filter, key, "left").select(
         "product", "week_start", F.col("cg").alias("country"), "visits", "filter_name",
         F.coalesce("clicks", F.lit(0)).alias("clicks"), F.coalesce("thanks", F.lit(0)).alias("thanks"),

@@ -29,7 +29,7 @@ def test_entity_counts_equal_the_plain_definition(spark, data):
     assert rows(got.drop("again").select(want.columns)) == rows(want)
     groups = defaultdict(set)
     for g, r, p, f, _ in data:
-        if f:
+        if f and r is not None:
             groups[g, p].add(r)
     again = {g: 0 for g, *_ in data}
     for (g, _), items in groups.items():
@@ -95,3 +95,10 @@ def test_least_squares_against_numpy(spark):
     residual = np.array(y) - (intercept + slope * np.array(x))
     assert got.slope == pytest.approx(slope) and got.intercept == pytest.approx(intercept)
     assert got.sd == pytest.approx((residual @ residual / 10) ** 0.5) and got.n == 12
+
+
+def test_a_booking_without_id_makes_no_repeater(spark):
+    df = spark.createDataFrame([("g", "p1", "r1"), ("g", "p1", None), ("g", "p2", "r2"), ("g", "p2", "r3")], "g string, p string, r string")
+    counted = aggregate.entity_counts(df, ["g"], {"n": ("r", None), "ag": ("p", None)}, repeats={"rep": ("p", None, 2)})
+    assert rows(counted.select("n", "ag", "rep")) == [(3, 2, 1)]
+    assert rows(aggregate.repeaters(df, ["g"], "p", "r", 2, "rep")) == [("g", 1)]

@@ -67,3 +67,64 @@ def test_tables_open_once(spark):
     t = Tables(lambda name: opened.append(name) or spark.range(1))
     t.sales, t.sales
     assert opened == ["sales"]
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_page_views_are_read_twice_at_most(spark):
+    from checks.board_queries import usage
+
+    text = final_plan(usage(R.roles(spark, SF), R.CLICKS))
+    views = [line for line in text.splitlines() if "FileScan" in line]
+    # the four event tables; the page views for all visits, and for the sources that have clicks
+    assert len(views) <= 6 and text.count("ReusedExchange") >= 1
+
+
+def test_bookings_are_read_from_the_first_month_that_counts(partitioned, spark):
+    tables = Tables(lambda role: getattr(partitioned, role) if role == "sales" else getattr(R.roles(spark, SF), role))
+    text = plan(first_half.kr33(tables, R.FIRST))
+    assert ">= 1997-01)]" in text and text.count("Join type: LeftSemi") == 1
+
+
+def test_only_the_sales_of_promised_reservations_are_grouped(spark):
+    text = plan(first_half.kr21(R.roles(spark, SF), R.FIRST), "simple")
+    grouped = [k for k, line in enumerate(text.splitlines()) if "keys=[_tc" in line]
+    assert grouped and any("LeftSemi" in line for line in text.splitlines()[grouped[-1]:])
+
+
+def test_a_board_computes_each_metric_once(spark, tmp_path):
+    from kpiloom.plans import boards, registry
+
+    calls = []
+
+    def metric(key, rows):
+        return lambda t, s: calls.append(key) or spark.createDataFrame(rows, "c string, n long")
+
+    kept = registry.stored({k: metric(k, [("AR", 1)]) for k in "xyz"}, ["x", "y", "x"], None, None, str(tmp_path))
+    assert sorted(calls) == ["x", "y"] and kept["x"].union(kept["y"]).count() == 2
+    stored = {k: spark.createDataFrame([], s) for k, s in (
+        ("kr21_sem", "semana_inicio date, pct_timeout_client double"), ("kr22_sem", "semana_inicio date, cant_agencias_unicas long"),
+        ("kr31_sem", "semana_inicio date, net_revenue_real double"), ("kr32_sem", "semana_inicio date, pct_activacion_comercial double"),
+    )}
+    assert boards.weekly_series(stored).count() == 0
+
+
+def test_a_bad_amount_or_date_fails_and_is_not_lost(spark):
+    from pyspark.errors import PySparkException
+
+    from kpiloom.sources.tables import conform, rejected_keys
+
+    schema = SCHEMAS["forecast"]
+    good, amount, day = ("5/3/2026", "3", "Hotels", "Mexico", "B2B-MIN", "10"), ("5/3/2026", "3", "Hotels", "Mexico", "B2B-MIN", "1,234.5"), ("5/3/x", "3", "Hotels", "Mexico", "B2B-MIN", "1")
+    assert first_half.sheet_revenue(spark.createDataFrame([good], schema), "/", "F").first().net_revenue_target == 10
+    for bad in (amount, day):
+        with pytest.raises(PySparkException):
+            first_half.sheet_revenue(spark.createDataFrame([good, bad], schema), "/", "F").collect()
+    text = spark.createDataFrame([("7", "12", "x1", "B2B", "1.5", "2026-01"), ("8", "q", "1", "B2B", "2", "2026-01")],
+                                 "product_id string, transaction_code string, net_revenues_usd string, line_of_business string, affiliates_usd string, date_reservation_year_month string")
+    assert [r.product_id for r in rejected_keys(text, "profit").collect()] == ["8"]
+    with pytest.raises(PySparkException):
+        conform(text, "profit").collect()
