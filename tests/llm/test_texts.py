@@ -56,9 +56,9 @@ def test_added_spans_and_mask():
     assert pii.masked_text(None) is None and pii.masked_text("") == ""
 
 
-def test_pii_query(spark, documents, corpus, odd, empty):
-    documents.write.mode("overwrite").parquet("/tmp/kpiloom-test-pii/documents.parquet")
-    for r in queries.op5_pii(spark, "/tmp/kpiloom-test-pii").collect():
+def test_pii_query(spark, documents, corpus, odd, empty, tmp_path):
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op5_pii(spark, str(tmp_path)).collect():
         base = base_spans(corpus[r.doc_id][1])
         count = Counter(k for k, _, _ in base)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(count[k] for k in RULES)
