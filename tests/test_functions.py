@@ -19,7 +19,7 @@ def test_strip_prefix(one):
 
 
 @pytest.mark.parametrize(
-    ("fecha", "separator", "year"), [("5/3/2026", "/", 2026), ("5-3-26", "-", 2026), ("5-3-2025", "-", 2025), ("x", "/", None)]
+    ("fecha", "separator", "year"), [("5/3/2026", "/", 2026), ("5-3-26", "-", 2026), ("5-3-2025", "-", 2025), (None, "/", None)]
 )
 def test_sheet_year(one, fecha, separator, year):
     assert one(dates.sheet_year(F.lit(fecha), separator)) == year
