@@ -89,9 +89,39 @@ FROM f
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.verdicts(table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "longest_repeat"
-    )
+    return found.drop("longest_repeat")
+
+
+# The longest repeat is within its limit where no run of one word more than the limit (of 8 at least) occurs twice.
+OP8_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), n AS (
+    SELECT *, len(words) AS n_words, greatest(8, {quality.MAX_LONGEST_PERCENT} * len(words) // 100 + 1) AS too_long,
+           list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM d
+), places AS (SELECT r, n_words, too_long, words, unnest(range(1, n_words - 6)) AS i FROM n),
+runs AS (SELECT r, i, array_to_string(words[i : i + 7], ' ') AS run FROM places),
+again AS (SELECT r, i FROM runs QUALIFY count(*) OVER (PARTITION BY r, run) > 1),
+covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS j FROM again) GROUP BY r),
+long_runs AS (
+    SELECT r, array_to_string(words[i : i + too_long - 1], ' ') AS run FROM places
+    WHERE i <= n_words - too_long + 1 AND r IN (SELECT r FROM again)
+), too_long AS (SELECT r FROM long_runs GROUP BY r HAVING count(*) > count(DISTINCT run)),
+counted AS (
+    SELECT n.r, doc_id, n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+           CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+    FROM n LEFT JOIN covered ON covered.r = n.r
+), judged AS (
+    SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_COVERED_PERCENT} * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND r NOT IN (SELECT r FROM too_long) AS kept
+FROM judged
+"""
 
 
 def op9_arrow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,4 +146,4 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
 }
 
-SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL}
+SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL, "op8_quality": OP8_SQL}

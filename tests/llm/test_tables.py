@@ -262,13 +262,13 @@ def test_pipeline(spark, documents, corpus, tmp_path):
     assert sum(r.start == 0 for r in packed) == len(seen[3])
 
 
-@pytest.mark.parametrize("name", ["op2_topk", "op7_warc"])
+@pytest.mark.parametrize("name", ["op2_topk", "op7_warc", "op8_quality"])
 def test_queries_agree_with_their_sql(spark, name):
     import duckdb
 
     sf_dir = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     expected = con.execute(queries.SQL[name])
     columns = sorted(c[0] for c in expected.description)
