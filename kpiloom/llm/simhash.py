@@ -90,26 +90,34 @@ def cells(fingerprints: DataFrame) -> DataFrame:
     return fingerprints.select("fp", F.explode(F.array(*rows)).alias("c")).where("c.cell is not null").select("c.cell", "c.home", "fp")
 
 
-def spanning_links(marks: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Links that join every group of fingerprints within ``bits`` of one another, one fewer than a group has members.
+def spanning_links(marks: np.ndarray, home: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Links within ``bits`` that join what the links of a cell's own fingerprints join, fewer than there are marks.
 
-    Groups grow breadth first; a fingerprint is compared only with those no group has reached yet.
+    Groups grow breadth first from the cell's own; a fingerprint is compared only with those no group has reached yet, and
+    a neighbour's (not ``home``) only with the cell's own: links among neighbours are found in their cells.
     """
     wide = marks.view(np.uint64)
     counts = ((wide | wide >> np.uint64(1)) & EVEN) | ((wide & wide << np.uint64(1)) & ODD)
-    left = np.arange(len(marks))
     out = []
-    while len(left) > 1:
-        frontier, left = [int(left[0])], left[1:]
-        while frontier and len(left):
+
+    def reached(k: int, left: np.ndarray) -> tuple[list[int], np.ndarray]:
+        near = np.bitwise_count(counts[left] ^ counts[k]) <= bits  # Manhattan distance, a lower bound
+        if near.any():
+            near[near] = np.bitwise_count(wide[left[near]] ^ wide[k]) <= bits
+        found = left[near].tolist()
+        out.extend((int(marks[k]), int(marks[i])) for i in found)
+        return found, left[~near] if found else left
+
+    own, others = np.flatnonzero(home), np.flatnonzero(~home)
+    while len(own):
+        frontier, own = [int(own[0])], own[1:]
+        while frontier:
             k = frontier.pop()
-            near = np.bitwise_count(counts[left] ^ counts[k]) <= bits  # Manhattan distance, a lower bound
-            if near.any():
-                near[near] = np.bitwise_count(wide[left[near]] ^ wide[k]) <= bits
-                reached = left[near].tolist()
-                out += [(int(marks[k]), int(marks[i])) for i in reached]
-                frontier += reached
-                left = left[~near]
+            found, own = reached(k, own)
+            frontier += found
+            if home[k]:
+                found, others = reached(k, others)
+                frontier += found
     return out
 
 
@@ -144,11 +152,11 @@ def links(fingerprints: DataFrame, bits: int = 3) -> DataFrame:
             starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
             sizes = np.diff(np.r_[starts, len(cell)])
             wanted = (sizes > 1) & (np.add.reduceat(home.astype(np.int64), starts) > 0)
-            pair = starts[wanted & (sizes == 2)]
+            pair = starts[wanted & (sizes == 2)]  # most cells that hold more than one
             near = np.bitwise_count((marks[pair] ^ marks[pair + 1]).view(np.uint64)) <= bits
             yield from zip(marks[pair[near]].tolist(), marks[pair[near] + 1].tolist())
             for s, n in zip(starts[wanted & (sizes > 2)].tolist(), sizes[wanted & (sizes > 2)].tolist()):
-                yield from spanning_links(np.unique(marks[s : s + n]), bits)
+                yield from spanning_links(marks[s : s + n], home[s : s + n], bits)
 
         def found() -> Iterator[tuple[int, int]]:
             held: list[tuple[np.ndarray, ...]] = []  # rows of the last cell, which the next batch may go on with

@@ -92,7 +92,9 @@ def test_counts_bound_the_distance(pair):
 def test_a_dense_group_has_few_links():
     centre = random.Random(1).getrandbits(63)
     marks = np.array([centre ^ (1 << b) for b in range(60)], np.int64)
-    assert len(simhash.spanning_links(marks, 3)) == 59
+    assert len(simhash.spanning_links(marks, np.ones(60, bool), 3)) == 59
+    first = np.arange(60) == 0
+    assert len(simhash.spanning_links(marks, first, 3)) == 59 and simhash.spanning_links(marks, first & ~first, 3) == []
 
 
 def test_near_duplicates_edge_cases(odd, empty):
