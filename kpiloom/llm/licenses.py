@@ -1,7 +1,7 @@
 """Licence statements in paragraphs: a sparse n-gram logistic regression names the family, templates confirm it.
 
 The classifier is trained when it is asked for, on the notices below, on variants of them and on a bounded number of
-paragraphs of the corpus without a licence word. Its features are runs of one to three words of the notices. A run counts
+paragraphs of the corpus without a licence word that resemble no notice. Its features are runs of one to three words of the notices. A run counts
 only if it holds a word that ordinary paragraphs lack, so a paragraph without such a word has no feature, is no licence
 by the intercept alone, and is left out before runs are built. Everything is DataFrame and ML functions.
 """
@@ -92,10 +92,12 @@ GENERIC = (
 
 #: Paragraphs of the corpus that train the class of ordinary text, at most.
 SAMPLE = 3000
-#: A family needs so much of a notice's runs of two words; a run of one word is dropped if so many of the sampled
-#: paragraphs hold it.
+#: A family needs so much of a notice's runs of two words; a run of one word is dropped if so many of the distinct
+#: ordinary paragraphs hold it.
 MIN_SIMILARITY = 0.6
 MAX_ORDINARY = 0.002
+#: Share of the held-out ordinary paragraphs that lie below the threshold.
+BELIEVED = 0.95
 
 CUE = r"(?i)licen[sc]|copyright|copyleft|reserved|public domain|creative commons"
 
@@ -145,26 +147,50 @@ def variants(rows: DataFrame) -> DataFrame:
     return rows.select("family", F.explode(several).alias("body")).distinct()
 
 
+def words_of(rows: DataFrame, column: str) -> list[str]:
+    """The distinct entries of a column of lists, sorted; for the few dozen notices."""
+    return sorted(r[0] for r in rows.select(F.explode(column)).distinct().collect())
+
+
+def ordinary_lines(lines: DataFrame, known: Column) -> DataFrame:
+    """The distinct ``lines`` (body, h: its hash) that resemble no notice: h, held_words (those among ``known``).
+
+    The words and pairs of notices alone are kept of a line before equal lines become one, so that little is shuffled;
+    these are stored, as a filter would else move below the shuffle and cut every line into words again for each notice.
+    """
+    named = notices(lines.sparkSession).where(~F.col("family").isin(NONE, UNKNOWN))
+    pairs = [r[0] for r in NGram(n=2, inputCol="words", outputCol="pairs").transform(with_words(named)).select(F.array_distinct("pairs")).collect()]
+    every = F.array(*[F.lit(p) for p in sorted({p for own in pairs for p in own})])
+    paired = NGram(n=2, inputCol="words", outputCol="pairs").transform(with_words(lines))
+    kinds = paired.select("h", F.array_intersect(known, "words").alias("held_words"), F.array_intersect(every, "pairs").alias("held_pairs"))
+    kinds = staged(kinds.distinct(), "licence-lines")
+    alike = [F.size(F.array_intersect("held_pairs", F.array(*map(F.lit, own)))) / len(own) for own in pairs]
+    resembles = F.when(F.size("held_pairs") > 0, F.greatest(*alike)).otherwise(0.0) >= MIN_SIMILARITY
+    return kinds.where(~resembles).select("h", "held_words")
+
+
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Classifier:
     """Fit the classifier; at most ``sample`` paragraphs of ``docs`` (those of the smallest hash) stand for ordinary text.
 
-    One row in five is held out. The class of unknown licences is calibrated on it: a family is believed only above the
-    largest probability that any family gets on held-out ordinary text, and never below one half.
+    Ordinary text are the distinct paragraphs without a cue that resemble no notice. The marks come from all of them, not
+    from the sample, so a licence header that many documents carry takes no mark away. One row in five is held out. The
+    class of unknown licences is calibrated on it: a family is believed only above the probability that ``BELIEVED`` of the
+    held-out ordinary paragraphs with a mark stay within for their likeliest family, and never below one half.
     """
     spark = docs.sparkSession
-    lines = paragraphs(docs, id_col, text_col).where(~F.col("body").rlike(CUE)).select("body")
-    least = lines.select("body", F.xxhash64("body").alias("h")).orderBy("h", "body").limit(sample)
-    ordinary = staged(least, "licence-sample").select(F.lit(NONE).alias("family"), "body")
-    given = variants(notices(spark)).withColumn("sampled", F.lit(False))
-    rows = given.unionByName(ordinary.withColumn("sampled", F.lit(True)))
-    rows = staged(with_runs(with_words(rows)).withColumn("held", F.pmod(F.xxhash64("body"), F.lit(5)) == 0), "licence-rows")
-    counted = rows.select("family", "sampled", F.explode(F.array_distinct("words")).alias("word"))
-    counted = counted.groupBy("word").agg(
-        F.count(F.when(F.col("sampled"), 1)).alias("plain"), F.count(F.when(F.col("family") != NONE, 1)).alias("licence")
-    )
-    n_plain = rows.where("sampled").count()
+    given = staged(with_runs(with_words(variants(notices(spark)))), "licence-notices")
+    known = F.array(*map(F.lit, words_of(given.where(F.col("family") != NONE), "words")))
+    lines = paragraphs(docs, id_col, text_col).where(~F.col("body").rlike(CUE)).select("body", F.xxhash64("body").alias("h"))
+    kinds = ordinary_lines(lines, known)
+    least = staged(kinds.select("h").orderBy("h").limit(sample), "licence-sample")
+    ordinary = lines.join(least, "h", "left_semi").select("body").distinct().select(F.lit(NONE).alias("family"), "body")
+    rows = given.withColumn("sampled", F.lit(False)).unionByName(with_runs(with_words(ordinary)).withColumn("sampled", F.lit(True)))
+    rows = staged(rows.withColumn("held", F.pmod(F.xxhash64("body"), F.lit(5)) == 0), "licence-rows")
     # collected are the words, and below the runs of words, of a few dozen notices
-    marks = sorted(r[0] for r in counted.where((F.col("licence") > 0) & (F.col("plain") <= MAX_ORDINARY * n_plain)).select("word").collect())
+    n_plain = kinds.count()
+    plain = kinds.select(F.explode("held_words").alias("word")).groupBy("word").count()
+    common = {r[0] for r in plain.where(F.col("count") > MAX_ORDINARY * n_plain).collect()}
+    marks = [w for w in words_of(given.where(F.col("family") != NONE), "words") if w not in common]
     runs = rows.where(F.col("family") != NONE).select(F.explode("runs").alias("run")).distinct()
     runs = runs.where(F.arrays_overlap(F.split("run", " "), F.array(*map(F.lit, marks))))
     vectors = CountVectorizerModel.from_vocabulary(sorted(r[0] for r in runs.collect()), inputCol="runs", outputCol="features")
@@ -178,7 +204,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
     rows = vectors.transform(rows).select("family", "held", "features", label.alias("label"), weight.alias("weight"))
     model = LogisticRegression(family="multinomial", maxIter=60, regParam=0.001, weightCol="weight").fit(rows.where("not held").coalesce(1))
     held = scored(model.transform(rows.where("held")), families)
-    best = F.max(F.when(F.col("family") == NONE, F.col("likely")))
+    best = F.percentile(F.when(F.col("family") == NONE, F.col("likely")), F.lit(BELIEVED))
     top, accuracy = held.agg(best, F.avg((F.col("predicted") == F.col("family")).cast("double"))).first()
     return Classifier(families, tuple(marks), vectors, model, max(0.5, top or 0.0), accuracy or 0.0)
 

@@ -187,3 +187,22 @@ def test_queries_on_the_smallest_tables(spark):
     assert queries.op8_quality(spark, sf_dir).count() == n
     assert queries.op6_suffix_dedup(spark, sf_dir).count() == n
     assert "family" in queries.op4_licenses(spark, sf_dir).columns
+
+
+def test_licence_headers_in_a_tenth_of_the_documents_are_found(spark):
+    rng = random.Random(5)
+    vocabulary = [f"{a}{b}" for a in "ba ce di fo gu ka le mi no ru".split() for b in "lan mer tis vok zun dar".split()] + "of the to and in is a".split()
+    headers = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "agpl": "GNU AGPL v3 or later",
+        "lgpl": "GNU LGPL v3 or later",
+    }
+    families, rows = [*headers], []
+    for i in range(2000):
+        lines = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(6, 14))) for _ in range(3)]
+        family = families[i // 10 % 4] if i % 10 == 0 else None
+        rows.append((i, "\n".join(([headers[family]] if family else []) + lines), family))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, family string").repartition(3)
+    found = licenses.find_licences(docs, licenses.train(docs))
+    assert {(r.doc_id, r.family) for r in found.collect()} == {(i, f) for i, _, f in rows if f}
