@@ -8,7 +8,8 @@ where the tokenizer cuts too:
   punctuation after them;
 * ``word`` (white space dropped): at spaces and line feeds, and between Latin letters and the punctuation after them.
 
-Everything else stays inside a chunk and is encoded by the library as it is.
+Everything else stays inside a chunk and is encoded by the library as it is. A text that holds the string of an added token
+(such as ``<|endoftext|>``) goes through the library whole, as the library cuts at these strings before all else.
 """
 
 from __future__ import annotations
@@ -45,15 +46,17 @@ def byte_chunks(text: str) -> list[str]:
 
 
 class Encoder(dict):
-    """Ids (little-endian, ``dtype``) by chunk of text."""
+    """Ids (little-endian, ``dtype``) by chunk of text; without ``added``, strings of added tokens are ordinary text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        tokens = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile("|".join(map(re.escape, tokens))) if tokens else None
         self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
         self.chunks = CHUNKS["word"].findall if self.drops_space else byte_chunks
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -77,12 +80,14 @@ class Encoder(dict):
         return value
 
     def encode(self, text: str | None) -> bytes:
+        if text and self.added and self.added.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         return b"".join(map(self.__getitem__, self.chunks(text))) if text else b""
 
 
 def encoder(path: str) -> Encoder:
-    """This worker's encoder for a vocabulary file."""
+    """This worker's encoder for a vocabulary file, with the library's own reading of added tokens."""
     kept = worker_cache("encoders")
     if path not in kept:
-        kept[path] = Encoder(path)
+        kept[path] = Encoder(path, added=True)
     return kept[path]

@@ -128,3 +128,23 @@ def test_queries_on_the_smallest_tables(spark):
     packed = queries.op1_packing(spark, "/root/testdata/sf0.001").toPandas()
     stored = queries.op9_arrow_files(spark, "/root/testdata/sf0.001").toPandas()
     assert packed.doc_id.nunique() == len(stored) == stored.doc_id.nunique()
+
+
+ADDED = ["a<|endoftext|>b", "x <|endoftext|> y", " <|endoftext|>\n\n b", "<|startoftext|> a<|startoftext|>", "no token <|here|>", "<|ENDOFTEXT|>"]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_added_tokens_are_read_as_the_library_reads_them(path):
+    tokenizer, own = Tokenizer.from_file(path), Encoder(path, added=True)
+    for text in ADDED:
+        assert ids_of(own, text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_operators_read_added_tokens(spark):
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    word, byte = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    packed = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pack(docs, WORD).collect()}
+    assert packed == {i: [*word.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(ADDED)}
+    stored = arrowfiles.read_checksums(spark, arrowfiles.write_sequences(docs, BYTE, parts=2)).collect()
+    expected = {i: [*byte.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(ADDED)}
+    assert {r.doc_id: r.ids_crc32 for r in stored} == {i: zlib.crc32(np.array(ids, "<u4").tobytes()) for i, ids in expected.items()}
