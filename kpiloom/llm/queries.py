@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, suffixdedup, topk, warc
+from kpiloom.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, suffixdedup, tokencount, topk, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_topk": op2_topk,
@@ -144,6 +148,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_arrow_files": op9_arrow_files,
     "op10_simhash": op10_simhash,
+    "op13_token_count": op13_token_count,
 }
 
 SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL, "op8_quality": OP8_SQL}
