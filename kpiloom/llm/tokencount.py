@@ -13,6 +13,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,14 +52,14 @@ class Merges(dict):
         if spec["normalizer"] or model["ignore_merges"] or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{path} has settings that are not counted here")
         symbols = {letter: byte for byte, letter in byte_letters().items()}  # bytes, then one symbol per rank
-        self.ranks: dict[tuple[int, int], int] = {}
+        self.ranks: dict[int, int] = {}  # by the two symbols in one number
         self.pairs: list[tuple[int, int]] = []
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             if left not in symbols or right not in symbols:
                 raise ValueError(f"{path}: {left} {right} is merged before its parts are made")
             self.pairs.append((symbols[left], symbols[right]))
-            self.ranks.setdefault(self.pairs[-1], rank)
+            self.ranks.setdefault(symbols[left] << 32 | symbols[right], rank)
             symbols.setdefault(left + right, 256 + rank)
         self.made = [symbols["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
@@ -66,15 +67,43 @@ class Merges(dict):
         self.library = pre_tokenizers.ByteLevel(add_prefix_space=False)
 
     def tokens(self, word: bytes) -> int:
-        """Symbols left of ``word`` when no pair can be merged any more. Memory: some 30 bytes for each of its bytes."""
+        """Symbols left of ``word`` when no pair can be merged any more."""
+        return self.of_short(word) if len(word) < 256 else self.of_long(word)
+
+    def of_short(self, word: bytes) -> int:
+        """The heap holds rank and place of every pair in one number."""
+        n, rank_of, made = len(word), self.ranks.get, self.made
+        symbols, left, right = list(word), list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [r << 8 | i for i, r in enumerate(map(rank_of, [a << 32 | b for a, b in pairwise(word)])) if r is not None]
+        heapify(heap)
+        merges = 0
+        while heap:
+            top = heappop(heap)
+            rank, i = top >> 8, top & 255
+            j = right[i]
+            if j >= n or rank_of(symbols[i] << 32 | symbols[j]) != rank:
+                continue  # merged meanwhile
+            symbols[i] = new = made[rank]
+            symbols[j] = -1
+            merges += 1
+            right[i] = after = right[j]
+            before = left[i]
+            if after < n:
+                left[after] = i
+                if (r := rank_of(new << 32 | symbols[after])) is not None:
+                    heappush(heap, r << 8 | i)
+            if before >= 0 and (r := rank_of(symbols[before] << 32 | new)) is not None:
+                heappush(heap, r << 8 | before)
+        return n - merges
+
+    def of_long(self, word: bytes) -> int:
+        """The heap holds ranks, each with the places of its pairs: some 30 bytes of memory for each byte of the word."""
         n = len(word)
-        if n < 2:
-            return n
         ranks, symbols = self.ranks, array("i", iter(word))
         left, right = array("i", range(-1, n - 1)), array("i", range(1, n + 1))
         places: dict[int, array] = {}
         for i in range(n - 1):
-            rank = ranks.get((symbols[i], symbols[i + 1]))
+            rank = ranks.get(symbols[i] << 32 | symbols[i + 1])
             if rank is not None:
                 places.setdefault(rank, array("i")).append(i)
         heap = list(places)
@@ -99,7 +128,7 @@ class Merges(dict):
         return n - merges
 
     def note(self, first: int, second: int, place: int, places: dict[int, array], heap: list[int]) -> None:
-        rank = self.ranks.get((first, second))
+        rank = self.ranks.get(first << 32 | second)
         if rank is not None:
             if rank not in places:
                 places[rank] = array("i")
