@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, suffixdedup, tokencount, topk, warc
+from kpiloom.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, suffixdedup, tokencount, topk, vectorcodes, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,53 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    return vectorcodes.with_label_error(rows).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256() if books else None).alias("codebooks_sha256")
+    )
+
+
+def op12_sql(rounds: int = 2) -> str:
+    """Books c0 (the smallest ids), c1 and c2, with the nearest entries a0, a1 and a2 of all parts."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+    SELECT n, p, min(least) AS least, min(e) AS e FROM (
+        SELECT n, parts.p, e, dist AS least FROM (
+            SELECT n, parts.p, e, list_sum(list_transform(range(1, len(v) + 1), lambda j: (v[j] - w[j]) * (v[j] - w[j]))) AS dist
+            FROM parts JOIN c{i} ON parts.p = c{i}.p
+        ) AS parts QUALIFY rank() OVER (PARTITION BY n, parts.p ORDER BY dist) = 1
+    ) GROUP BY n, p
+)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+    SELECT p, e, list(m ORDER BY j) AS w FROM (
+        SELECT p, e, j, CAST(floor(sum(v[j]) / count(*)) AS BIGINT) AS m
+        FROM (SELECT a{i}.p, a{i}.e, v, unnest(range(1, len(v) + 1)) AS j FROM a{i} JOIN parts ON a{i}.n = parts.n AND a{i}.p = parts.p)
+        GROUP BY p, e, j
+    ) GROUP BY p, e
+), c{i + 1} AS (SELECT c{i}.p, c{i}.e, coalesce(m{i}.w, c{i}.w) AS w FROM c{i} LEFT JOIN m{i} ON c{i}.p = m{i}.p AND c{i}.e = m{i}.e)""")
+    return f"""
+WITH x AS (
+    SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), k AS (SELECT *, row_number() OVER (ORDER BY vec_id, v) AS n, len(v) // 16 AS size FROM x),
+parts AS (SELECT n, p, v[p * size + 1 : (p + 1) * size] AS v FROM k, range(16) AS t(p)),
+c0 AS (SELECT p, n - 1 AS e, v AS w FROM parts WHERE n <= 64),
+{", ".join(steps)},
+book AS (
+    SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds}
+), done AS (
+    SELECT n, string_agg(lpad(to_hex(e), 2, '0'), '' ORDER BY p) AS code, sum(least) AS error FROM a{rounds} GROUP BY n
+)
+SELECT vec_id, lower(code) AS code, CAST(error AS BIGINT) AS error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k JOIN done USING (n), book
+"""
+
+
 def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
@@ -148,7 +195,8 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_arrow_files": op9_arrow_files,
     "op10_simhash": op10_simhash,
+    "op12_vector_codes": op12_vector_codes,
     "op13_token_count": op13_token_count,
 }
 
-SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL, "op8_quality": OP8_SQL}
+SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL, "op8_quality": OP8_SQL, "op12_vector_codes": op12_sql()}
