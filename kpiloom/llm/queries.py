@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import arrowfiles, licenses, mixing, packing, pii, quality, simhash, suffixdedup, tokencount, topk, vectorcodes, warc
+from kpiloom.llm import arrowfiles, conversations, licenses, mixing, packing, pii, quality, simhash, suffixdedup, tokencount, topk, vectorcodes, warc
 from kpiloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,108 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults, by a checksum of id and turn; nulls are one space."""
+    id_turn = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    by = F.crc32(F.concat(id_turn[0], F.lit(":"), id_turn[1]).cast("binary")) % 20
+    new_text = F.when(by == 1, "").when(by == 2, F.translate(text, ".!?", "")).otherwise(text)
+    made = rows.where(by != 0).select(
+        "conv_id", "turn", F.when(by == 4, "user").otherwise(role).alias("role"), new_text.alias("text"), by.alias("by")
+    )
+    return made.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.when(F.col("by") == 3, 2).otherwise(1)))).drop("by", "copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(damaged(given))
+    parts = given.select(F.col("conv_id").alias("id")).distinct()
+    for part in (repaired.faults, conversations.digests(repaired.edits)):
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    whole = parts.groupBy("id").agg(*[F.max(c).alias(c) for c in (*counts, "audit", "repaired_sha256")])
+    return whole.select(
+        F.col("id").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+# States: 0 nothing yet, 1 after a system turn, 2 after user, 3 after assistant. ``ins``: up to three turns put in before one.
+OP11_SQL = """
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), n)) AS t
+), g AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id_turn
+    FROM conversations
+), b AS (
+    SELECT *, xor(list_reduce(
+        list_transform(range(1, length(id_turn) + 1), lambda i: CAST(ascii(id_turn[i]) AS BIGINT)),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295
+    ), 4294967295) % 20 AS spot
+    FROM g, crc
+), d AS (
+    SELECT conv_id, turn, CASE WHEN spot = 4 THEN 'user' ELSE role END AS role,
+           CASE spot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN spot = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM b WHERE spot <> 0
+), o AS (
+    SELECT *, left(role, 1) AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last_letter
+    FROM d
+), f AS (
+    SELECT *, last_letter = '' AS blank,
+           last_letter <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           lag(k) OVER (PARTITION BY conv_id ORDER BY i) || k AS pair
+    FROM o
+), t AS (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND last_letter NOT IN ('.', '!', '?') AS late FROM f),
+ins AS (
+    SELECT * FROM (VALUES
+        (0, 0, 0, '', ''), (1, 0, 1, '', ''), (2, 0, 2, '', ''), (3, 0, 3, '', ''),
+        (0, 2, 2, 'I', 'u'), (1, 2, 2, 'I', 'u'), (2, 2, 3, 'I', 'a'), (3, 2, 2, 'I', 'u'),
+        (0, 4, 3, 'II', 'ua'), (1, 4, 3, 'II', 'ua'), (2, 4, 2, 'II', 'au'), (3, 4, 3, 'II', 'ua'),
+        (0, 6, 2, 'III', 'uau'), (1, 6, 2, 'III', 'uau'), (2, 6, 3, 'III', 'aua'), (3, 6, 2, 'III', 'uau')
+    ) AS v(source, price, st, letters, added)
+), way AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS st, 0 AS cost, '' AS audit, '' AS lines FROM t
+    UNION ALL
+    SELECT conv_id, i, st, cost, audit, lines FROM (
+        SELECT way.conv_id, t.i, CASE WHEN e = 'D' THEN ins.st WHEN e = 'K' AND k = 's' THEN 1 WHEN ins.st = 2 THEN 3 ELSE 2 END AS st,
+               cost + price + CASE e WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END + CASE WHEN late AND e <> 'D' THEN 1 ELSE 0 END AS cost,
+               audit || letters || e AS audit,
+               lines || replace(replace(added, 'u', 'user:' || chr(10)), 'a', 'assistant:' || chr(10)) || CASE e
+                   WHEN 'D' THEN ''
+                   WHEN 'K' THEN role || ':' || text || chr(10)
+                   ELSE CASE WHEN ins.st = 2 THEN 'assistant:' ELSE 'user:' END || text || chr(10)
+               END AS lines
+        FROM way
+        JOIN t ON way.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = way.i + 1
+        JOIN ins ON ins.source = way.st
+        JOIN (VALUES ('D'), ('R'), ('K')) AS edits(e) ON e = 'D' OR NOT gone AND (
+            e = 'R' OR k = 's' AND ins.st = 0 OR k = 'u' AND ins.st <> 2 OR k = 'a' AND ins.st = 2
+        )
+    ) QUALIFY row_number() OVER (PARTITION BY conv_id, st ORDER BY cost, audit) = 1
+), ended AS (
+    SELECT conv_id, cost + price AS cost, audit || letters AS audit,
+           lines || replace(replace(added, 'u', 'user:' || chr(10)), 'a', 'assistant:' || chr(10)) AS lines
+    FROM (SELECT * FROM way QUALIFY i = max(i) OVER (PARTITION BY conv_id)) AS w JOIN ins ON ins.source = w.st
+    WHERE ins.st = 3 OR ins.st = 0
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost + price, audit || letters) = 1
+), counted AS (
+    SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate, count(*) FILTER (late) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM t GROUP BY conv_id
+)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(left(lines, length(lines) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS ids
+LEFT JOIN counted ON ids.conv_id IS NOT DISTINCT FROM counted.conv_id
+LEFT JOIN ended ON ids.conv_id IS NOT DISTINCT FROM ended.conv_id
+"""
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
     return vectorcodes.with_label_error(rows).select(
@@ -195,8 +297,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_arrow_files": op9_arrow_files,
     "op10_simhash": op10_simhash,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_vector_codes": op12_vector_codes,
     "op13_token_count": op13_token_count,
 }
 
-SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL, "op8_quality": OP8_SQL, "op12_vector_codes": op12_sql()}
+SQL: dict[str, str] = {"op2_topk": OP2_SQL, "op7_warc": OP7_SQL, "op8_quality": OP8_SQL, "op11_conversation_repair": OP11_SQL, "op12_vector_codes": op12_sql()}
