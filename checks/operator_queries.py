@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from checks import roles as R
-from checks.metric_sql import MONTH, USAGE, USAGE_ROLES, WEEK, day, launches, members, pct
+from checks.metric_sql import MONTH, SECOND, USAGE, USAGE_ROLES, WEEK, day, launches, members, pct
 from checks.pairs import Pairs
 from checks.role_sql import with_roles
 from kpiloom.functions import dates, fixed, text
@@ -16,10 +16,10 @@ from kpiloom.functions.numbers import half_even, money, ratio, rounded
 from kpiloom.functions.numbers import pct as pct_column
 from kpiloom.operators import aggregate, calendar, cohort, cumulative, joins, rollout, scorecard
 from kpiloom.operators.funnel import clean_pages
-from kpiloom.plans import first_half, initiatives, second_half, usability
+from kpiloom.plans import first_half, initiatives, registry, second_half, usability
 from kpiloom.session import scratch_path
 from kpiloom.sources import snapshots
-from kpiloom.sources.tables import repeated_side_keys
+from kpiloom.sources.tables import Tables, repeated_side_keys
 from kpiloom.streaming import weekly
 
 pairs = Pairs()
@@ -594,7 +594,7 @@ def refreshed_snapshot(spark, sf_dir):
     snapshots.write_snapshot({"status": status, "priority": priority, "gone": status}, path)
     later = priority.withColumn("n", F.col("n") + 1)
     snapshots.refresh_snapshot({"priority": later, "gone": status.where("n < 0")}, path)
-    parts = [snapshots.read_snapshot(spark, path, key, "k string, n long").withColumn("metric", F.lit(key)) for key in ("status", "priority", "gone")]
+    parts = [snapshots.read_snapshot(spark, path, key).withColumn("metric", F.lit(key)) for key in ("status", "priority", "gone")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -606,6 +606,60 @@ union all select o_orderpriority, count(*) + 1, 'priority' from orders group by
 )
 
 
+def isolated_failures(spark, sf_dir):
+    """A full build of three metrics, and a second one in which two fail: one by its plan, one while it runs."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    path = scratch_path(spark, "build")
+    counts = {c: orders.groupBy(F.col(c).alias("k")).agg(F.count("*").alias("n")) for c in ("o_orderstatus", "o_orderpriority", "o_custkey")}
+    snapshots.write_each({c: (lambda df=df: df) for c, df in counts.items()}, path)
+    status = snapshots.write_each({
+        "o_orderstatus": lambda: counts["o_orderstatus"].withColumn("n", F.col("n") + 1),
+        "o_orderpriority": lambda: counts["o_orderpriority"].select("absent"),
+        "o_custkey": lambda: counts["o_custkey"].withColumn("n", F.raise_error(F.lit("late")).cast("long")),
+    }, path)
+    parts = [
+        snapshots.read_snapshot(spark, path, c).groupBy().agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+        .select(F.lit(c).alias("metric"), F.lit(status[c] == "ok").alias("fine"), "rows", "n")
+        for c in counts
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+add(
+    "failure_isolation",
+    isolated_failures,
+    """select 'o_orderstatus' as metric, true as fine, count(distinct o_orderstatus) as rows, cast(count(*) + count(distinct o_orderstatus) as bigint) as n from orders
+union all select 'o_orderpriority', false, 0, null union all select 'o_custkey', false, 0, null""",
+)
+
+
+def cadences(spark, sf_dir):
+    """The monthly group, the weekly one beside it, and the monthly one again on a later day: rows and agencies of each key."""
+    path, tables = scratch_path(spark, "cadences"), R.roles(spark, sf_dir)
+    registry.refresh("mensual", tables, replace(R.SECOND, as_of=R.SECOND.as_of - timedelta(days=40)), path)
+    registry.refresh("semanal", tables, R.SECOND, path)
+    registry.refresh("mensual", tables, R.SECOND, path)
+    parts = []
+    for key in snapshots.snapshot_keys(spark, path):
+        rows = snapshots.read_snapshot(spark, path, key)
+        total = F.sum("agencias_cotizadoras") if key == "kr21" else F.lit(None).cast("long")
+        parts.append(rows.groupBy().agg(F.count("*").alias("rows"), total.alias("agencies")).withColumn("metric", F.lit(key)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+add(
+    "cadence_refresh",
+    cadences,
+    " union all ".join(
+        f"""select '{key}' as metric, count(*) as rows, {'cast(sum(agencias_cotizadoras) as bigint)' if key == 'kr21' else 'null::bigint'} as agencies
+from ({SECOND[key]})""" for key in ("kr11", "kr21", "kr22", "kr21_sem", "kr22_sem")
+    ),
+)
+
+
 def refreshed_weeks(spark, sf_dir):
     """The usage store after a first refresh, a second one that finds one more week, and a recomputation."""
     path, tables = scratch_path(spark, "weeks"), R.roles(spark, sf_dir)
@@ -615,18 +669,26 @@ def refreshed_weeks(spark, sf_dir):
     return weekly.current(spark, path)
 
 
-add(
-    "weekly_refresh",
-    refreshed_weeks,
-    with_roles(
-        USAGE_ROLES,
-        f"""{USAGE}, spine as (
+def late_rows(spark, sf_dir):
+    """A store that lacked a third of one old week's page views, after the refresh that finds them by their marks."""
+    path, tables = scratch_path(spark, "weeks"), R.roles(spark, sf_dir)
+    late = F.col("date").between("2024-01-05", "2024-01-11") & (F.xxhash64("visit") % 3 == 0)
+    early = Tables(lambda role: tables.traffic.where(~late) if role == "traffic" else getattr(tables, role))
+    weekly.refresh(spark, early, R.CLICKS, path, changed=True)
+    weekly.refresh(spark, tables, R.CLICKS, path, changed=True)
+    return weekly.current(spark, path)
+
+
+STORED_WEEKS = with_roles(
+    USAGE_ROLES,
+    f"""{USAGE}, spine as (
   select * from (select unnest([{', '.join(day(d) for d in (date(2024, 1, 5), date(2024, 1, 12), date(2024, 1, 19)))}]) as week_start) w,
     (select unnest([{', '.join(repr(p) for p in weekly.PRODUCTS)}]) as product) p, (select unnest([{', '.join(repr(c) for c in weekly.COUNTRIES)}]) as country) c)
 select week_start, product, country, coalesce(visits, 0) as visits, filter_name, coalesce(clicks, 0) as clicks, coalesce(thanks, 0) as thanks
 from spine left join usage using (week_start, product, country)""",
-    ),
 )
+add("weekly_refresh", refreshed_weeks, STORED_WEEKS)
+add("late_rows_refresh", late_rows, STORED_WEEKS)
 
 # Scorecard columns and scalar functions -------------------------------------------------------------------------------
 

@@ -18,7 +18,7 @@ from kpiloom.operators.aggregate import packed_list
 from kpiloom.operators.calendar import by_grains, period_of
 
 
-def _in_window(events: DataFrame, since: date, until: date) -> DataFrame:
+def in_window(events: DataFrame, since: date, until: date) -> DataFrame:
     """Events of the days ``since``..``until``, compared as ISO text so the bound reaches the scan."""
     return events.where(F.col("datetime").between(since.isoformat(), f"{until.isoformat()}T23:59:59.999"))
 
@@ -32,7 +32,7 @@ def _distinct_clicks(events: DataFrame, source: str, name: str) -> DataFrame:
 
 def clicks_from_map(events: DataFrame, source: str, since: date, until: date) -> DataFrame:
     """Map shape: every filter name that carries at least one value."""
-    flat = _in_window(events, since, until).select(
+    flat = in_window(events, since, until).select(
         "datetime", "event.pageview_id", F.explode("event.filters").alias("filter_name", "_values")
     )
     return _distinct_clicks(
@@ -43,7 +43,7 @@ def clicks_from_map(events: DataFrame, source: str, since: date, until: date) ->
 def clicks_from_array(events: DataFrame, source: str, since: date, until: date) -> DataFrame:
     """Array shape: selected filters with at least one value."""
     chosen = (F.col("event.type") == "filter") & (F.col("event.selected") == "1") & (F.size("event.event.values") > 0)
-    return _distinct_clicks(_in_window(events, since, until).where(chosen), source, "event.event.name")
+    return _distinct_clicks(in_window(events, since, until).where(chosen), source, "event.event.name")
 
 
 def clicks_from_label(events: DataFrame, source: str, since: date, until: date) -> DataFrame:
@@ -53,7 +53,7 @@ def clicks_from_label(events: DataFrame, source: str, since: date, until: date)
         & ~F.col("event.label").isin(*fixed.NOT_FILTER_LABELS)
         & F.element_at("event.data", F.lit("filter")).isNotNull()
     )
-    return _distinct_clicks(_in_window(events, since, until).where(chosen), source, "event.label")
+    return _distinct_clicks(in_window(events, since, until).where(chosen), source, "event.label")
 
 
 def clean_pages(traffic: DataFrame, channels: Sequence[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from kpiloom.functions import fixed
 from kpiloom.operators.tables import inline
+from kpiloom.sources.versions import Part, Store, layout_changes
 
 KEY = "metric_key"
 
@@ -38,55 +41,79 @@ def as_rows(key: str, df: DataFrame) -> DataFrame:
 
 
 def write_snapshot(results: Mapping[str, DataFrame], path: str) -> None:
-    """Write all metrics in one job, replacing the snapshot."""
-    _union(results).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(KEY).parquet(path)
+    """Write all metrics in one job; they replace the snapshot at once."""
+    store = Store(SparkSession.active(), path)
+    store.publish(_staged(store, results), whole=True)
 
 
-def refresh_snapshot(results: Mapping[str, DataFrame], path: str) -> None:
+def refresh_snapshot(results: Mapping[str, DataFrame], path: str, new_layout: bool = False) -> None:
     """Replace the given metrics only, also by no rows; the others stay.
 
-    All results are computed in one job and staged beside the snapshot (readers skip the folder), so a failing metric
-    fails the refresh before anything is replaced; then each key's folder is overwritten.
+    All results are computed in one job before any counts, and then they count together: a metric that fails, or a run
+    that is lost, leaves the snapshot as it was. A metric whose columns differ from those stored fails with their names,
+    unless ``new_layout``.
     """
-    staged = f"{path}/_staged"
-    write_snapshot(results, staged)
-    spark = SparkSession.active()
-    rows = spark.read.schema(f"row string, {KEY} string").parquet(staged)
-    for key in results:
-        rows.where(F.col(KEY) == key).select("row").write.mode("overwrite").parquet(f"{path}/{KEY}={key}")
+    store = Store(SparkSession.active(), path)
+    if not new_layout:
+        check_layouts(store, {key: json_native(df).schema for key, df in results.items()})
+    store.publish(_staged(store, results))
 
 
-def _union(results: Mapping[str, DataFrame]) -> DataFrame:
+def check_layouts(store: Store, layouts: Mapping[str, T.StructType]) -> None:
+    known = store.parts()
+    changed = []
+    for key, layout in layouts.items():
+        if key in known and known[key].schema:
+            changed += [f"{key}.{c}" for c in layout_changes(known[key].struct, layout)]
+    if changed:
+        raise ValueError(f"columns differ from those stored: {'; '.join(changed)}")
+
+
+def _staged(store: Store, results: Mapping[str, DataFrame]) -> dict[str, Part]:
+    """Rows as JSON text, all in one layout; each part keeps its own schema."""
     if not results:
         raise ValueError("no metric given")
-    out = None
+    rows = None
     for key, df in results.items():
-        rows = as_rows(key, df)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+        own = as_rows(key, df)
+        rows = own if rows is None else rows.unionByName(own)
+    parts = store.stage(rows, F.col(KEY), list(results))
+    return {key: replace(part, schema=json.dumps(json_native(results[key]).schema.jsonValue())) for key, part in parts.items()}
+
 
+def snapshot_keys(spark: SparkSession, path: str) -> list[str]:
+    return sorted(Store(spark, path).parts())
 
-def read_snapshot(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
-    """Rows of one metric; only its partition is read."""
-    rows = spark.read.schema(f"row string, {KEY} string").parquet(path).where(F.col(KEY) == key)
-    return rows.select(F.from_json("row", schema).alias("r")).select("r.*")
+
+def read_snapshot(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Rows of one metric in the columns it was stored with; only its folder is read. A metric that failed has no rows."""
+    store = Store(spark, path)
+    parts = store.parts()
+    if key not in parts:
+        raise KeyError(f"{key} is not in {path}")
+    part = parts[key]
+    if not part.folder:
+        return spark.createDataFrame([], part.struct)
+    rows = spark.read.schema(f"{KEY} string, row string").parquet(f"{store.folder.path}/{part.folder}")
+    return rows.select(F.from_json("row", part.struct).alias("r")).select("r.*")
 
 
 def write_each(builders: Mapping[str, Callable[[], DataFrame]], path: str) -> dict[str, str]:
     """Full build that survives failing metrics: each is written by itself and a failed one is left without rows.
 
-    Returns "ok" or the error text per metric.
+    The metrics count together when all have been tried. Returns "ok" or the error text per metric.
     """
-    spark = SparkSession.active()  # of this thread, else the default one
-    status: dict[str, str] = {}
+    store = Store(SparkSession.active(), path)  # of this thread, else the default one
+    known, parts, status = store.parts(), {}, {}
     for key, build in builders.items():
-        target = f"{path}/{KEY}={key}"
         try:
-            as_rows(key, build()).drop(KEY).write.mode("overwrite").parquet(target)
+            df = build()
+            parts |= _staged(store, {key: df})
             status[key] = "ok"
         except Exception as error:  # one metric must not stop the others
             status[key] = f"{type(error).__name__}: {error}"
-            spark.createDataFrame([], "row string").write.mode("overwrite").parquet(target)
+            parts[key] = Part(None, known[key].schema if key in known else None, {"error": status[key]})
+    store.publish(parts)
     return status
 
 
@@ -119,19 +146,19 @@ def retain_last(store: DataFrame, weeks: int = fixed.WEEKS_KEPT, key: str = "wee
     return store.join(kept, key, "left_semi")
 
 
-def replace_weeks(rows: DataFrame, path: str, key: str = "week_start") -> None:
-    """Make ``rows``, which may be read from it, the store at ``path``; weeks that they lack leave it.
+def refresh_weeks(
+    store: Store, rows: DataFrame, weeks: Sequence[date], notes: Mapping[date, Mapping] | None = None, keep: int = fixed.WEEKS_KEPT,
+    key: str = "week_start",
+) -> None:
+    """Replace the given weeks by ``rows``, also by none, and let all but the latest ``keep`` weeks go, in one step.
 
-    The rows are written beside the store first (``path``.next), so they are whole when the store is overwritten. Usage is
-    aggregated: a week is small, so it is one file.
+    Only the given weeks are written. Columns that differ from those stored fail with their names.
     """
-    beside = f"{path}.next"
-    _write_weeks(rows, beside, key)
-    _write_weeks(SparkSession.active().read.parquet(beside), path, key)
-
-
-def _write_weeks(rows: DataFrame, path: str, key: str) -> None:
-    rows.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key).parquet(path)
+    names = [w.isoformat() for w in weeks]
+    check_layouts(store, {k: rows.schema for k in list(store.parts())[-1:]})
+    new = store.stage(rows, F.date_format(key, "yyyy-MM-dd"), names, {w.isoformat(): n for w, n in (notes or {}).items()})
+    outdated = sorted({*store.parts(), *names}, reverse=True)[keep:]
+    store.publish(new, drop=outdated)
 
 
 def week_window(store: DataFrame, key: str = "week_start") -> DataFrame:

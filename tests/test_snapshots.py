@@ -22,12 +22,14 @@ def results(spark):
 def test_refresh_replaces_only_the_given_metric(spark, results, tmp_path):
     path = str(tmp_path / "snapshot")
     snapshots.write_snapshot(results, path)
-    assert rows(snapshots.read_snapshot(spark, path, "kr11", "mes string, gb double, w string")) == [("2026-10", 1.5, "2026-10-05"), ("2026-11", None, None)]
+    assert rows(snapshots.read_snapshot(spark, path, "kr11")) == [("2026-10", 1.5, "2026-10-05"), ("2026-11", None, None)]
     snapshots.refresh_snapshot({"kr21": spark.createDataFrame([(7419, 96.1)], "n long, pct double")}, path)
-    assert rows(snapshots.read_snapshot(spark, path, "kr21", "n long, pct double")) == [(7419, 96.1)]
-    assert snapshots.read_snapshot(spark, path, "kr11", "mes string").count() == 2
+    assert rows(snapshots.read_snapshot(spark, path, "kr21")) == [(7419, 96.1)]
+    assert snapshots.read_snapshot(spark, path, "kr11").count() == 2
     snapshots.write_snapshot({"kr21": results["kr21"]}, path)
-    assert snapshots.read_snapshot(spark, path, "kr11", "mes string").count() == 0
+    assert snapshots.snapshot_keys(spark, path) == ["kr21"]
+    with pytest.raises(KeyError, match="kr11"):
+        snapshots.read_snapshot(spark, path, "kr11")
 
 
 def test_failing_metric_is_left_empty(spark, results, tmp_path):
@@ -38,8 +40,8 @@ def test_failing_metric_is_left_empty(spark, results, tmp_path):
 
     status = snapshots.write_each({"bad": broken, "kr21": lambda: results["kr21"]}, path)
     assert status["kr21"] == "ok" and "AnalysisException" in status["bad"]
-    assert snapshots.read_snapshot(spark, path, "bad", "mes string").count() == 0
-    assert rows(snapshots.read_snapshot(spark, path, "kr21", "n long, pct double")) == [(7375, 98.3)]
+    assert snapshots.read_snapshot(spark, path, "bad").count() == 0
+    assert rows(snapshots.read_snapshot(spark, path, "kr21")) == [(7375, 98.3)]
 
 
 def test_null_numbers_become_zero_on_request(spark):
@@ -78,11 +80,10 @@ def test_second_half_refresh_end_to_end(spark, tmp_path):
     path = str(tmp_path / "board")
     registry.refresh("mensual", R.roles(spark, "/root/testdata/sf0.001"), R.SECOND, path)
     registry.refresh("semanal", R.roles(spark, "/root/testdata/sf0.001"), R.SECOND, path)
-    keys = {r.metric_key for r in spark.read.parquet(path).select("metric_key").distinct().collect()}
-    assert keys == {"kr11", "kr21", "kr22", "kr21_sem", "kr22_sem"}
-    monthly = {r.mes: r.agencias_cotizadoras for r in snapshots.read_snapshot(spark, path, "kr21", "mes string, agencias_cotizadoras long").collect()}
+    assert set(snapshots.snapshot_keys(spark, path)) == {"kr11", "kr21", "kr22", "kr21_sem", "kr22_sem"}
+    monthly = {r.mes: r.agencias_cotizadoras for r in snapshots.read_snapshot(spark, path, "kr21").collect()}
     last = {}
-    for r in snapshots.read_snapshot(spark, path, "kr21_sem", "mes string, semana_inicio string, agencias_acum_mes long").collect():
+    for r in snapshots.read_snapshot(spark, path, "kr21_sem").collect():
         last[r.mes] = max(last.get(r.mes, ("", 0)), (r.semana_inicio, r.agencias_acum_mes))
     assert last and all(monthly[mes] == n for mes, (_, n) in last.items())
 
@@ -95,7 +96,7 @@ def test_weekly_store_is_brought_up_to_date(spark, tmp_path):
     path, tables = str(tmp_path / "weeks"), R.roles(spark, "/root/testdata/sf0.01")
     early = replace(R.CLICKS, as_of=date(2024, 1, 20))
     assert weekly.refresh(spark, tables, early, path)
-    assert {r.week_start for r in spark.read.parquet(path).collect()} == {date(2024, 1, 5), date(2024, 1, 12)}
+    assert {r.week_start for r in weekly.stored(spark, path).collect()} == {date(2024, 1, 5), date(2024, 1, 12)}
     assert not weekly.refresh(spark, tables, early, path)
     assert weekly.refresh(spark, tables, R.CLICKS, path)
     stored = weekly.current(spark, path)
@@ -148,12 +149,12 @@ def test_refresh_with_no_rows_leaves_none(spark, results, tmp_path):
     path = str(tmp_path / "snapshot")
     snapshots.write_snapshot(results, path)
     snapshots.refresh_snapshot({"kr21": results["kr21"].limit(0)}, path)
-    assert snapshots.read_snapshot(spark, path, "kr21", "n long").count() == 0
-    assert snapshots.read_snapshot(spark, path, "kr11", "mes string").count() == 2
+    assert snapshots.read_snapshot(spark, path, "kr21").count() == 0
+    assert snapshots.read_snapshot(spark, path, "kr11").count() == 2
     with pytest.raises(Exception, match="absent|DIVIDE"):
-        broken = results["kr21"].select((F.lit(1) / (F.col("n") - F.col("n"))).alias("n"))
+        broken = results["kr21"].select((F.lit(1) / (F.col("n") - F.col("n"))).cast("long").alias("n"), "pct")
         snapshots.refresh_snapshot({"kr11": results["kr11"].limit(0), "kr21": broken}, path)
-    assert snapshots.read_snapshot(spark, path, "kr11", "mes string").count() == 2
+    assert snapshots.read_snapshot(spark, path, "kr11").count() == 2
 
 
 def test_errors_are_kept_whole_and_in_other_threads(spark, results, tmp_path):
@@ -184,9 +185,9 @@ def test_weekly_store_keeps_empty_weeks_and_drops_old_ones(spark, tmp_path, monk
     assert full[date(2024, 1, 5)] == full[date(2024, 1, 12)] == 0 < full[date(2024, 1, 19)]
     assert weekly.refresh(spark, empty, R.CLICKS, path, recompute=1)  # a week that became empty is replaced
     assert weekly.current(spark, path).agg(F.sum("visits")).first()[0] == 0
-    monkeypatch.setattr(snapshots.retain_last, "__defaults__", (2, "week_start"))
+    monkeypatch.setattr(snapshots.refresh_weeks, "__defaults__", (None, 2, "week_start"))
     monkeypatch.setattr(weekly.closed_weeks, "__defaults__", (2,))
     later = replace(R.CLICKS, as_of=date(2024, 2, 3))
     assert weekly.refresh(spark, tables, later, path)
-    assert {r.week_start for r in spark.read.parquet(path).collect()} == {date(2024, 1, 19), date(2024, 1, 26)}
+    assert {r.week_start for r in weekly.stored(spark, path).collect()} == {date(2024, 1, 19), date(2024, 1, 26)}
     assert not weekly.refresh(spark, tables, later, path)
