@@ -278,8 +278,8 @@ add(
     "subtotals",
     over("customer", lambda c: aggregate.keep_total_rows(
         aggregate.entity_counts(
-            aggregate.with_total_key(c.select(F.col("c_mktsegment").alias("c"), "c_nationkey", "c_acctbal"), "c", "ALL"), ["c"],
-            {"nations": ("c_nationkey", None)}, {"balance": F.col("c_acctbal").cast("decimal(15,2)")},
+            c.select(F.col("c_mktsegment").alias("c"), "c_nationkey", "c_acctbal"), ["c"],
+            {"nations": ("c_nationkey", None)}, {"balance": F.col("c_acctbal").cast("decimal(15,2)")}, totals=("c", {"ALL": None}),
         ), "c", ["ALL", "NONE"], ["nations"],
     ).withColumn("balance", rounded("balance", 2))),
     """select c_mktsegment as c, count(distinct c_nationkey) as nations, cast(sum(cast(c_acctbal as decimal(15,2))) as double) as balance from customer group by 1

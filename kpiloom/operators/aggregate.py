@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kpiloom.functions.text import column
+from kpiloom.operators.ranking import with_places
 from kpiloom.operators.tables import inline
 
 
@@ -19,6 +20,7 @@ def entity_counts(
     sums: Mapping[str, Column] | None = None,
     maxima: Mapping[str, Column] | None = None,
     repeats: Mapping[str, tuple[str, Column | None, int]] | None = None,
+    totals: tuple[str, Mapping[str, Column | None]] | None = None,
 ) -> DataFrame:
     """Exact conditional distinct counts, sums and maxima of one grouping, in one pass over the rows.
 
@@ -30,6 +32,10 @@ def entity_counts(
     ``repeats`` maps an output name to (actor, predicate, at_least): actors with at least so many distinct
     combinations of the other entity columns, for instance agencies with two bookings. A NULL actor counts as one actor;
     a combination with a NULL does not count.
+
+    ``totals``: one of the columns in ``by``, and the total rows to add under it, each with a predicate on that column (or
+    None) that tells which groups it covers. Totals are merged from the rows per (group, entity), never from the input. A
+    group that is named like a total only takes part in totals.
     """
     by = list(by)
     sums, maxima, repeats = dict(sums or {}), dict(maxima or {}), dict(repeats or {})
@@ -53,13 +59,17 @@ def entity_counts(
         )
         flags, again, sums, maxima = ({n: F.col(n) for n in part} for part in (flags, again, sums, maxima))
     values = {**sums, **maxima}
-    if len(entities) == 1:
-        flat = df.select(
-            *by, column(entities[0]).alias("_id"),
-            *[v.alias(n) for n, v in {**flags, **again, **values}.items()],
-        )
-        keys = [*by, "_id"]
-    else:
+    merged = [
+        *[F.max(n).alias(n) for n in flags], *[F.sum(n).alias(n) for n in [*again, *sums]], *[F.max(n).alias(n) for n in maxima],
+    ]
+
+    def per_entity(rows: DataFrame) -> DataFrame:
+        """One row per group and entity (and kind of entity, if there are several)."""
+        if len(entities) == 1:
+            flat = rows.select(
+                *by, column(entities[0]).alias("_id"), *[v.alias(n) for n, v in {**flags, **again, **values}.items()]
+            )
+            return flat.groupBy(*by, "_id").agg(*merged)
         kinds = []
         for kind, entity in enumerate(entities):
             owned = {n: f if counts[n][0] == entity else F.lit(None).cast("int") for n, f in flags.items()}
@@ -71,24 +81,33 @@ def entity_counts(
                     *[v.alias(n) for n, v in owned.items()],
                 )
             )
-        flat = df.select(*by, F.inline(F.array(*kinds)))
-        keys = [*by, "_kind", "_id"]
-    per_entity = flat.groupBy(*keys).agg(
-        *[F.max(n).alias(n) for n in flags], *[F.sum(n).alias(n) for n in [*again, *sums]],
-        *[F.max(n).alias(n) for n in maxima],
-    )
-    counted = [
-        F.coalesce(F.sum(F.when(F.col("_id").isNotNull(), F.col(n))), F.lit(0)).cast("long").alias(n) for n in flags
-    ]
-    repeating = [F.count(F.when(F.col(n) >= repeats[n][2], F.lit(1))).alias(n) for n in again]
-    return per_entity.groupBy(*by).agg(
-        *counted, *repeating, *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima]
-    )
-
+        return rows.select(*by, F.inline(F.array(*kinds))).groupBy(*by, "_kind", "_id").agg(*merged)
+
+    def counted(entity_rows: DataFrame) -> DataFrame:
+        known = [
+            F.coalesce(F.sum(F.when(F.col("_id").isNotNull(), F.col(n))), F.lit(0)).cast("long").alias(n) for n in flags
+        ]
+        repeating = [F.count(F.when(F.col(n) >= repeats[n][2], F.lit(1))).alias(n) for n in again]
+        return entity_rows.groupBy(*by).agg(
+            *known, *repeating, *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima]
+        )
 
-def with_total_key(df: DataFrame, key: str, total: str) -> DataFrame:
-    """Each row twice, under its own key and under the total, so one grouping gives detail and total rows."""
-    return df.withColumn(key, F.explode(F.array(F.col(key), F.lit(total))))
+    partials = per_entity(df)
+    if totals is None:
+        return counted(partials)
+    key, parts = totals
+    labels = [F.when(F.lit(True) if chosen is None else chosen, F.lit(label)) for label, chosen in parts.items()]
+    label = F.explode(F.array_compact(F.array(*labels)))
+    if repeats:  # a combination of entities may lie in several groups, and counts once in the total
+        whole = per_entity(
+            df.withColumn(key, label).groupBy(*by, *entities).agg(
+                *[F.max(n).alias(n) for n in [*flags, *again]], *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima]
+            )
+        )
+    else:
+        whole = partials.withColumn(key, label).groupBy(*by, *[c for c in ("_kind", "_id") if c in partials.columns]).agg(*merged)
+    detail = counted(partials).where(F.col(key).isNull() | ~F.col(key).isin(*parts))
+    return detail.unionByName(counted(whole))
 
 
 def keep_total_rows(df: DataFrame, key: str, totals: Sequence[str], zero: Sequence[str] = ()) -> DataFrame:
@@ -156,17 +175,35 @@ def weighted_mean(value: Column | str, weight: Column | str) -> Column:
     return F.sum(value * weight) / F.nullif(F.sum(F.when(value.isNotNull(), weight)), F.lit(0))
 
 
-def packed_list(df: DataFrame, by: Sequence[str], name: str, numbers: Sequence[str], order: str) -> DataFrame:
-    """Text "name n1 n2;..." per group, largest ``order`` first and the name deciding ties.
+#: Names in one chunk of an ordered text.
+CHUNK_NAMES = 1000
 
-    The input holds one aggregated row per (group, name).
+
+def packed_chunks(df: DataFrame, by: Sequence[str], name: str, numbers: Sequence[str], order: str, size: int = CHUNK_NAMES) -> DataFrame:
+    """Text "name n1 n2;..." per group in numbered chunks of at most ``size`` names, largest ``order`` first, then by name.
+
+    The input holds one aggregated row per (group, name). Names are ranked by a range sort over all groups, so a group of
+    any length is spread over tasks; a group without names has one empty chunk.
     """
-    entry = F.struct(
-        (-F.col(order)).alias("o"), F.col(name).alias("n"),
-        F.concat_ws(" ", F.col(name), *[F.col(c).cast("string") for c in numbers]).alias("s"),
+    text = F.concat_ws(" ", F.col(name), *[F.col(c).cast("string") for c in numbers])
+    named = df.where(F.col(name).isNotNull()).select(*by, F.col(order).alias("_o"), F.col(name).alias("_n"), text.alias("_s"))
+    placed = with_places(named, [*[F.col(c).asc() for c in by], F.col("_o").desc(), F.col("_n").asc()], "_p")
+    entries = F.sort_array(F.collect_list(F.struct("_p", "_s")))
+    joined = F.array_join(F.transform(entries, lambda e: e["_s"]), ";").alias("s")
+    chunks = placed.groupBy(*by, F.floor((F.col("_p") - 1) / size).alias("_b")).agg(joined)
+    first = chunks.groupBy(*[F.col(c).alias(f"_{k}") for k, c in enumerate(by)]).agg(F.min("_b").alias("_first"))
+    same = [chunks[c].eqNullSafe(first[f"_{k}"]) for k, c in enumerate(by)]
+    numbered = chunks.join(first, same).select(*by, (F.col("_b") - F.col("_first") + 1).alias("chunk"), "s")
+    bare = df.groupBy(*by).agg(F.count(name).alias("_n")).where("_n = 0")
+    return numbered.unionByName(bare.select(*by, F.lit(1).cast("long").alias("chunk"), F.lit("").alias("s")))
+
+
+def packed_list(df: DataFrame, by: Sequence[str], name: str, numbers: Sequence[str], order: str) -> DataFrame:
+    """The chunks of ``packed_chunks`` as one text per group, for export."""
+    chunks = F.sort_array(F.collect_list(F.struct("chunk", "s")))
+    return packed_chunks(df, by, name, numbers, order).groupBy(*by).agg(
+        F.array_join(F.transform(chunks, lambda c: c["s"]), ";").alias("s")
     )
-    listed = F.sort_array(F.collect_list(F.when(F.col(name).isNotNull(), entry)))
-    return df.groupBy(*by).agg(F.array_join(F.transform(listed, lambda e: e["s"]), ";").alias("s"))
 
 
 def member_list(values: Column | str, without: str, separator: str = "+") -> Column:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions import dates, fixed
 from kpiloom.functions.numbers import half_even
 from kpiloom.operators import calendar, rollout, scorecard
 from kpiloom.operators.joins import on_spine
+from kpiloom.operators.ranking import with_places
 from kpiloom.operators.tables import inline
 
 
@@ -102,11 +103,16 @@ def grid_daily(daily: DataFrame) -> DataFrame:
     return daily.withColumns({v: F.coalesce(F.col(v), F.lit(0)) for v in ("gb_f", "n_f", "gb_c", "n_c")})
 
 
-def promise_countries(sales: DataFrame) -> DataFrame:
-    """Countries by falling confirmed value of all groups; rows without a country are left out."""
+def promise_totals(sales: DataFrame) -> DataFrame:
+    """Confirmed value of all groups per country; rows without a country are left out."""
     rows = sales.where((F.col("g") == fixed.ALL_GROUPS) & (F.col("st") == "C"))
     totals = rows.groupBy("c").agg(F.sum(F.coalesce(F.col("gb"), F.lit(0.0))).alias("gb"))
-    return totals.where(F.col("c").isNotNull() & (F.col("c") != "")).orderBy(F.col("gb").desc(), "c")
+    return totals.where(F.col("c").isNotNull() & (F.col("c") != ""))
+
+
+def promise_countries(sales: DataFrame) -> DataFrame:
+    """Countries by falling confirmed value."""
+    return promise_totals(sales).orderBy(F.col("gb").desc(), "c")
 
 
 PROMISE_PARTS = {
@@ -130,7 +136,7 @@ def promise_board(r: Mapping[str, DataFrame], launch: date, as_of: date) -> Data
     of ``PROMISE_PARTS`` from their (stored) results.
     """
     n, pre_from = calendar.symmetric_window(launch, as_of)
-    ranked = promise_countries(r["pp_a"]).withColumn("rank", F.row_number().over(Window.orderBy(F.col("gb").desc(), "c")))
+    ranked = with_places(promise_totals(r["pp_a"]), [F.col("gb").desc(), F.col("c").asc()], "rank")
     out = inline(r["pp_a"].sparkSession, [("window", pre_from.isoformat(), "n", float(n))], "part string, key string, measure string, value double")
     out = out.unionByName(_measures("countries", ranked, ("c",), ("rank",)))
     for part, (metric, keys, values) in PROMISE_PARTS.items():

@@ -11,7 +11,7 @@ from kpiloom.functions import dates, fixed
 from kpiloom.functions.numbers import money, rounded
 from kpiloom.functions.text import classify, exclude_test, recode
 from kpiloom.operators import calendar, funnel, rollout
-from kpiloom.operators.aggregate import entity_counts, keep_total_rows, member_list, top_k, with_total_key
+from kpiloom.operators.aggregate import entity_counts, keep_total_rows, member_list, top_k
 from kpiloom.operators.joins import flag_join, skew_join
 from kpiloom.plans.settings import Settings
 from kpiloom.sources.tables import Tables, latest_reservations, sales_since
@@ -93,15 +93,16 @@ def ldp_country(t: Tables, s: Settings) -> DataFrame:
 
     ALL sums up the link rows and counts its agencies across countries; TOT is the whole hotel sale in scope.
     """
-    scope = _link_base(t, s).where(F.col("d") >= F.col("ld")).withColumn("_link", _new_link())
-    keys = F.when(F.col("_link"), F.array(F.col("c"), F.lit(TOTAL), F.lit(SCOPE_TOTAL))).otherwise(F.array(F.lit(SCOPE_TOTAL)))
-    rows = scope.withColumn("c", F.explode(keys)).withColumn("ld", F.when(~F.col("c").isin(TOTAL, SCOPE_TOTAL), F.col("ld")))
+    # rows without the link belong to the scope only
+    rows = _link_base(t, s).where(F.col("d") >= F.col("ld")).withColumn("c", F.when(_new_link(), F.col("c")).otherwise(SCOPE_TOTAL))
     confirmed, cancelled = F.col("st") == fixed.CONFIRMED, F.col("st") == fixed.CANCELLED
     out = entity_counts(
         rows, ["c"], {"nl": ("r", confirmed), "nc": ("r", cancelled), "ag": ("p", confirmed)},
         {"gl": F.when(confirmed, F.col("gb")), "gc": F.when(cancelled, F.col("gb"))}, {"ld": F.col("ld")},
-        {"rep": ("p", confirmed & (F.col("c") != SCOPE_TOTAL), 2)},
+        {"rep": ("p", confirmed, 2)}, ("c", {TOTAL: F.col("c") != SCOPE_TOTAL, SCOPE_TOTAL: None}),
     )
+    own = F.when(~F.col("c").isin(TOTAL, SCOPE_TOTAL), F.col("ld"))
+    out = out.withColumns({"ld": own, "rep": F.when(F.col("c") == SCOPE_TOTAL, F.lit(0)).otherwise(F.col("rep"))})
     out = keep_total_rows(out, "c", [TOTAL, SCOPE_TOTAL], ["nl", "ag", "nc", "rep"])
     out = _round_sums(out, "gl", "gc")
     return out.select("c", F.coalesce(dates.iso_text("ld"), F.lit("")).alias("ld"), "nl", "gl", "ag", "nc", "gc", "rep")
@@ -111,7 +112,7 @@ def ldp_totals(t: Tables, s: Settings) -> DataFrame:
     """Non-refundable confirmed sale since each launch, per country and in all."""
     rows = _link_base(t, s).where((F.col("d") >= F.col("ld")) & (F.col("st") == fixed.CONFIRMED) & ~F.col("rf"))
     out = entity_counts(
-        with_total_key(rows, "c", TOTAL), ["c"], {"nt": ("r", None), "agt": ("p", None)}, {"gt": F.col("gb")}
+        rows, ["c"], {"nt": ("r", None), "agt": ("p", None)}, {"gt": F.col("gb")}, totals=("c", {TOTAL: None})
     )
     out = keep_total_rows(out, "c", [TOTAL], ["nt", "agt"])
     return _round_sums(out, "gt").select("c", "gt", "nt", "agt")
@@ -244,7 +245,7 @@ def wallet_agencies(t: Tables, s: Settings) -> DataFrame:
     rows, wallet = _wallet_scope(t, s)
     rows = flag_join(rows, wallet, "transaction_code", "w")
     out = entity_counts(
-        with_total_key(rows, "c", TOTAL), ["c"], {"agw": ("p", F.col("w") == 1), "agt": ("p", None)}
+        rows, ["c"], {"agw": ("p", F.col("w") == 1), "agt": ("p", None)}, totals=("c", {TOTAL: None})
     )
     return keep_total_rows(out, "c", [TOTAL], ["agw", "agt"])
 
@@ -366,8 +367,10 @@ def promise_sales(t: Tables, s: Settings, payment: bool = False) -> DataFrame:
 
 def pp_a(t: Tables, s: Settings) -> DataFrame:
     """Sale per day, country, product group, status and promise; TT holds the distinct bookings of all groups."""
-    rows = with_total_key(promise_sales(t, s), "g", fixed.ALL_GROUPS)
-    out = entity_counts(rows, ["d", "c", "g", "st", "prom"], {"n": ("tx", None)}, {"gb": F.col("gb")})
+    out = entity_counts(
+        promise_sales(t, s), ["d", "c", "g", "st", "prom"], {"n": ("tx", None)}, {"gb": F.col("gb")},
+        totals=("g", {fixed.ALL_GROUPS: None}),
+    )
     return _round_sums(out, "gb").withColumn("d", dates.iso_text("d"))
 
 

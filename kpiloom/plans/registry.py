@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.operators.ranking import with_places
 from kpiloom.plans import first_half, initiatives, second_half
 from kpiloom.plans.settings import Settings
 from kpiloom.sources import snapshots
@@ -63,8 +64,8 @@ def ordered(key: str, rows: DataFrame) -> DataFrame:
 
 
 def numbered(key: str, rows: DataFrame) -> DataFrame:
-    """Rows of a report with their place in it, from 1. Reports are results: a few rows, in one window."""
-    return rows.withColumn("position", F.row_number().over(Window.orderBy(*order_of(key))))
+    """Rows of a report with their place in it, from 1. Usage reports grow with labels and weeks, so no task gets all rows."""
+    return with_places(rows, order_of(key), "position")
 
 
 CADENCES: dict[str, tuple[str, ...]] = {

@@ -51,11 +51,54 @@ def test_total_rows_exist_without_data(spark):
 
 def test_total_counts_an_agency_once_across_countries(spark):
     df = spark.createDataFrame([("AR", "p1", 1), ("BR", "p1", 2)], "c string, p string, r int")
-    total = aggregate.with_total_key(df, "c", "ALL")
-    got = aggregate.entity_counts(total, ["c"], {"n": ("r", None), "ag": ("p", None)}, repeats={"rep": ("p", None, 2)})
+    got = aggregate.entity_counts(
+        df, ["c"], {"n": ("r", None), "ag": ("p", None)}, repeats={"rep": ("p", None, 2)}, totals=("c", {"ALL": None})
+    )
     assert rows(got.select("c", "ag", "rep")) == [("ALL", 1, 1), ("AR", 1, 0), ("BR", 1, 0)]
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ROW, min_size=1, max_size=30), st.booleans(), st.booleans())
+def test_totals_equal_a_grouping_of_doubled_rows(spark, data, two, again):
+    df = spark.createDataFrame(data, "g string, r int, p int, f boolean, v int")
+    df = df.withColumn("g", F.when(F.col("v") == 5, None).otherwise(F.col("g")))
+    counts = {"nr": ("r", F.col("f"))} | ({"np": ("p", None)} if two else {})
+    rest = {"sums": {"s": F.when(F.col("f"), F.col("v"))}, "maxima": {"m": F.col("v")}}
+    rest |= {"repeats": {"again": ("p", F.col("f"), 2)}} if again and two else {}
+    got = aggregate.entity_counts(df, ["g"], counts, **rest, totals=("g", {"ALL": None, "b": F.col("g") == "b", "NOT": F.col("g") == "a"}))
+    b, a = (F.coalesce(F.col("g") == x, F.lit(False)) for x in "ba")
+    groups = [df.where(~b), df.withColumn("g", F.lit("ALL")), df.where(b), df.where(a).withColumn("g", F.lit("NOT"))]
+    want = None
+    for group in groups:
+        part = aggregate.entity_counts(group, ["g"], counts, **rest)
+        want = part if want is None else want.unionByName(part)
+    assert rows(got.select(want.columns)) == rows(want)
+
+
+def test_a_long_group_is_packed_in_chunks(spark):
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("x").alias("k"), F.format_string("f%07d", F.col("id")).alias("f"), (F.col("id") % 7).alias("c"), F.lit(1).alias("t"))
+    small = spark.createDataFrame([("y", "b", 1, 1), ("y", "a", 1, 2), ("z", None, 0, 0), (None, "q", 3, 3)], "k string, f string, c long, t int")
+    chunks = aggregate.packed_chunks(df.unionByName(small), ["k"], "f", ["c", "t"], "c")
+    sizes = chunks.select("k", "chunk", F.size(F.split("s", ";")).alias("n"), F.substring_index("s", ";", 1).alias("first")).collect()
+    big = sorted((r.chunk, r.n, r.first) for r in sizes if r.k == "x")
+    assert [r[0] for r in big] == list(range(1, len(big) + 1)) and sum(r[1] for r in big) == n and max(r[1] for r in big) <= 1000
+    assert big[0][2] == "f0000006 6 1" and [(-int(r[2].split()[1]), r[2]) for r in big] == sorted((-int(r[2].split()[1]), r[2]) for r in big)
+    assert rows(chunks.where("k is null or k <> 'x'")) == [("y", 1, "a 1 2;b 1 1"), ("z", 1, ""), (None, 1, "q 3 3")]
+
+
+def test_places(spark):
+    from kpiloom.operators.ranking import with_places
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g")).repartition(7)
+    got = with_places(df, [F.col("g").desc(), F.col("v").asc()], "place").orderBy("place").collect()
+    assert [r.place for r in got] == list(range(1, 5001))
+    assert [(r.g, r.v) for r in got] == [(r.g, r.v) for r in df.orderBy(F.col("g").desc(), "v").collect()]
+    assert with_places(df.limit(0), [F.col("v").asc()], "place").columns == ["v", "g", "place"]
+    with pytest.raises(ValueError, match="place"):
+        with_places(df.withColumn("place", F.lit(1)), [F.col("v").asc()], "place")
+
+
 def test_top_k_breaks_ties_by_id(spark):
     df = spark.createDataFrame([("c", 5.0), ("a", 5.0), ("b", 9.0), ("d", 1.0)], "p string, g double")
     assert [r.p for r in aggregate.top_k(df, "g", 2, "p").collect()] == ["b", "a"]

@@ -128,3 +128,30 @@ def test_a_bad_amount_or_date_fails_and_is_not_lost(spark):
     assert [r.product_id for r in rejected_keys(text, "profit").collect()] == ["8"]
     with pytest.raises(PySparkException):
         conform(text, "profit").collect()
+
+
+@pytest.mark.parametrize("name, label", [("ldp_totals", "ALL"), ("ldp_country", "ALL"), ("wallet_agencies", "ALL"), ("pp_a", "TT")])
+def test_totals_come_from_rows_per_entity(spark, name, label):
+    from kpiloom.plans import initiatives
+
+    df = getattr(initiatives, name)(R.roles(spark, SF), R.IMPACT)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    doubled = [k for k, line in enumerate(lines) if "Generate explode" in line and label in line]
+    assert doubled
+    for k in doubled:  # below it, that is deeper and later, rows have been grouped
+        depth = len(lines[k]) - len(lines[k].lstrip(" :+-"))
+        below = []
+        for line in lines[k + 1 :]:
+            if len(line) - len(line.lstrip(" :+-")) <= depth:
+                break
+            below.append(line)
+        assert any("Aggregate" in line for line in below)
+    assert final_plan(df).count("ReusedExchange") >= 1
+
+
+def test_places_need_no_single_task(spark):
+    from kpiloom.plans import registry
+    from pyspark.sql import functions as F
+
+    rows = spark.range(100).select(F.lit("p").alias("product"), F.lit("w").alias("week_start"), F.lit("c").alias("country"), "id", F.col("id").alias("clicks"), F.col("id").cast("string").alias("filter_name"))
+    assert "SinglePartition" not in final_plan(registry.numbered("filter_usage", rows))
