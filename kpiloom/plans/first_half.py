@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import dates, fixed
 from kpiloom.functions.numbers import money, pct, rounded
-from kpiloom.functions.text import classify, filled, recode, strip_prefix
+from kpiloom.functions.text import classify, column, filled, recode, strip_prefix
 from kpiloom.operators import cohort
 from kpiloom.operators.aggregate import entity_counts
 from kpiloom.operators.cumulative import cumulative_distinct, cumulative_sum
@@ -62,32 +62,37 @@ def promise_status(t: Tables, s: Settings, deadline: Column) -> DataFrame:
     )
 
 
-def kr21(t: Tables, s: Settings) -> DataFrame:
-    """Promised reservations and their value by deadline month and status."""
-    base = promise_status(t, s, F.col("day") <= F.lit(s.as_of)).withColumn("mes_deadline", dates.month_start("day"))
-    out = entity_counts(base, ["mes_deadline", "status"], {"reservas": ("reservation_id", None)}, {"gb": F.col("gb")})
-    return out.withColumn("gb", rounded("gb", 2))
+def promise_base(t: Tables, s: Settings) -> DataFrame:
+    """The promised reservations that the three promise metrics look at."""
+    return promise_status(t, s, (F.col("day") <= F.lit(s.as_of)) | (F.col("day") >= F.lit(s.weeks_from)))
+
+
+def _promises(t: Tables, s: Settings, base: DataFrame | None, deadline: Column) -> DataFrame:
+    rows = promise_status(t, s, deadline) if base is None else base.where(deadline)
+    return rows.withColumns({"semana_inicio": dates.week_start("day"), "mes_deadline": dates.month_start("day")})
 
 
-def _timeouts(t: Tables, s: Settings) -> DataFrame:
-    base = promise_status(t, s, F.col("day") >= F.lit(s.weeks_from))
-    return base.withColumns({"semana_inicio": dates.week_start("day"), "mes_deadline": dates.month_start("day")})
+def kr21(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
+    """Promised reservations and their value by deadline month and status. ``base``: a stored ``promise_base``."""
+    rows = _promises(t, s, base, F.col("day") <= F.lit(s.as_of))
+    out = entity_counts(rows, ["mes_deadline", "status"], {"reservas": ("reservation_id", None)}, {"gb": F.col("gb")})
+    return out.withColumn("gb", rounded("gb", 2))
 
 
-def kr21_sem(t: Tables, s: Settings) -> DataFrame:
+def kr21_sem(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Time-out share per deadline week."""
     timed_out = F.col("status") == fixed.TIMEOUT_STATUS
     out = entity_counts(
-        _timeouts(t, s), ["semana_inicio"],
+        _promises(t, s, base, F.col("day") >= F.lit(s.weeks_from)), ["semana_inicio"],
         {"total_reservas": ("reservation_id", None), "reservas_timeout_client": ("reservation_id", timed_out)},
     )
     return out.withColumn("pct_timeout_client", pct("reservas_timeout_client", "total_reservas"))
 
 
-def kr21_sem_cum(t: Tables, s: Settings) -> DataFrame:
+def kr21_sem_cum(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Time-out share accumulated in the month, per week and month."""
     out = cumulative_distinct(
-        _timeouts(t, s), "mes_deadline", "semana_inicio", "reservation_id",
+        _promises(t, s, base, F.col("day") >= F.lit(s.weeks_from)), "mes_deadline", "semana_inicio", "reservation_id",
         {"timeout": F.col("status") == fixed.TIMEOUT_STATUS},
     )
     return out.select(
@@ -244,19 +249,21 @@ def kr31(t: Tables, s: Settings, sources=("FCST", "BDGT"), align_services: bool
     it once. ``align_services`` gives the services of the actuals the label of the sheets.
     """
     services = fixed.SHEET_PRODUCTS["Dest. Serv."] if align_services else fixed.SERVICES
+    # the years are chosen on each side: a filter above the full join would reach neither
     actual = (
         revenue_lines(t, s, s.revenue_from)
+        .where(F.year("gestion_date").isin(*s.revenue_years))
         .groupBy(
             F.year("gestion_date").alias("year"), F.month("gestion_date").alias("month"),
             revenue_country().alias("pais"), revenue_product(services).alias("producto"),
         )
         .agg(F.sum("net_revenue").alias("net_revenue_real"))
     )
-    both = revenue_targets(t, sources).join(actual, ["year", "month", "pais", "producto"], "full_outer")
+    targets = revenue_targets(t, sources).where(F.col("year").isin(*s.revenue_years))
+    both = targets.join(actual, ["year", "month", "pais", "producto"], "full_outer")
     period = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
     return (
-        both.where(F.col("year").isin(*s.revenue_years))
-        .groupBy(period.alias("periodo"))
+        both.groupBy(period.alias("periodo"))
         .agg(
             F.sum(F.round("net_revenue_real", 2)).cast("double").alias("net_rev_real"),
             F.sum(F.round("net_revenue_target", 2)).cast("double").alias("net_rev_target"),
@@ -341,46 +348,77 @@ def kr32_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
 # Booking frequency ----------------------------------------------------------------------------------------------------
 
 
-def valid_bookings(t: Tables, s: Settings, since: date, **grain: Column) -> DataFrame:
-    """Bookings per partner and grain (named columns of the day) of reservations that are not about to be cancelled.
+def _uplift_from(s: Settings) -> date:
+    """The first day of the first month that counts."""
+    return max(date(s.uplift_month_from // 100, s.uplift_month_from % 100, 1), s.bookings_after + timedelta(days=1))
+
+
+def booking_base(
+    t: Tables, s: Settings, since: date | None = None, days: bool = True, grain: Column | str = "creation_date"
+) -> DataFrame:
+    """Distinct bookings (day, partner_id, transaction_code) of reservations that are not about to be cancelled.
 
     Bookings are made distinct first; only their number is asked, so the reservation is a semi join. A reservation
-    without status does not pass, as its status is unknown.
+    without status does not pass, as its status is unknown. With ``days`` every day that has any sale, of whatever
+    channel, has a row without booking, so weeks with sales are known without another read. ``grain``: the day, or the first
+    day of its period.
     """
-    sales = sales_since(t.sales, since.strftime("%Y-%m"), s.wide_channels).where(F.col("creation_date") >= F.lit(since))
-    bookings = sales.select(*[c.alias(n) for n, c in grain.items()], "partner_id", "transaction_code").distinct()
+    since = since or min(_uplift_from(s), s.weeks_from)
+    sales = sales_since(t.sales, since.strftime("%Y-%m"), None if days else s.wide_channels)
+    sales = sales.where(F.col("creation_date") >= F.lit(since))
+    ours = F.col("channel").isin(*s.wide_channels)
+    bookings = sales.select(
+        column(grain).alias("day"), *[F.when(ours, F.col(c)).alias(c) for c in ("partner_id", "transaction_code")]
+    ).distinct()
     live = latest_reservations(t.reservations).where(F.col("status") != fixed.TO_CANCEL).select(
         F.col("id").try_cast("bigint").alias("transaction_code")
     )
-    valid = bookings.join(live, "transaction_code", "left_semi")
-    return valid.groupBy(*grain, "partner_id").agg(F.count("transaction_code").alias("reservas"))
+    if not days:
+        return bookings.join(live, "transaction_code", "left_semi").select("day", "partner_id", "transaction_code")
+    known = flag_join(bookings, live, "transaction_code", "_live")
+    booked = F.col("_live") == 1
+    return known.select("day", *[F.when(booked, F.col(c)).alias(c) for c in ("partner_id", "transaction_code")]).distinct()
+
+
+def bookings_per(base: DataFrame, since: date, **grain: Column) -> DataFrame:
+    """Bookings per partner and grain (named columns of ``day``)."""
+    own = base.where((F.col("day") >= F.lit(since)) & F.col("transaction_code").isNotNull())
+    distinct = own.select(*[c.alias(n) for n, c in grain.items()], "partner_id", "transaction_code").distinct()
+    return distinct.groupBy(*grain, "partner_id").agg(F.count("transaction_code").alias("reservas"))
 
 
-def _monthly(t: Tables, s: Settings) -> DataFrame:
-    """Bookings per month, from the first month that counts."""
-    first = date(s.uplift_month_from // 100, s.uplift_month_from % 100, 1)
-    since = max(first, s.bookings_after + timedelta(days=1))
-    return valid_bookings(t, s, since, mes=dates.yyyymm("creation_date"))
+def _monthly(base: DataFrame, s: Settings) -> DataFrame:
+    return bookings_per(base, _uplift_from(s), mes=dates.yyyymm("day"))
 
 
-def kr33(t: Tables, s: Settings) -> DataFrame:
-    """Agencies with 1-3 bookings in a month that made two or more additional ones in the next."""
-    return cohort.uplift(_monthly(t, s), s.uplift_target).where(F.col("mes_previo") >= s.uplift_month_from)
+def kr33(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
+    """Agencies with 1-3 bookings in a month that made two or more additional ones in the next. ``base``: a stored ``booking_base``."""
+    if base is None:  # alone, bookings are made distinct by month at once
+        by_month = booking_base(t, s, _uplift_from(s), days=False, grain=dates.month_start("creation_date"))
+        monthly = by_month.groupBy(dates.yyyymm("day").alias("mes"), "partner_id").agg(F.count("transaction_code").alias("reservas"))
+    else:
+        monthly = _monthly(base, s)
+    return cohort.uplift(monthly, s.uplift_target).where(F.col("mes_previo") >= s.uplift_month_from)
 
 
-def kr33_sem(t: Tables, s: Settings) -> DataFrame:
-    """Monthly uplift shown on the weeks of the evaluated month; a week in two months has two rows."""
-    weeks = sales_since(t.sales, s.weeks_from.strftime("%Y-%m")).where(F.col("creation_date") >= F.lit(s.weeks_from))
-    weeks = weeks.select(
-        dates.week_start("creation_date").alias("semana_inicio"), dates.yyyymm("creation_date").alias("mes_evaluacion")
+def kr33_sem(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
+    """Monthly uplift shown on the weeks of the evaluated month that have sales; a week in two months has two rows."""
+    base = booking_base(t, s) if base is None else base
+    weeks = base.where(F.col("day") >= F.lit(s.weeks_from)).select(
+        dates.week_start("day").alias("semana_inicio"), dates.yyyymm("day").alias("mes_evaluacion")
     ).distinct()
-    return weeks.join(kr33(t, s).select("mes_evaluacion", "pct_aumento"), "mes_evaluacion").select("semana_inicio", "pct_aumento")
+    return weeks.join(kr33(t, s, base).select("mes_evaluacion", "pct_aumento"), "mes_evaluacion").select("semana_inicio", "pct_aumento")
 
 
-def kr33_sem_cum(t: Tables, s: Settings, match_month: bool = False) -> DataFrame:
+def kr33_sem_cum(t: Tables, s: Settings, match_month: bool = False, base: DataFrame | None = None) -> DataFrame:
     """Uplift with the bookings accumulated to each week of the evaluated month."""
-    monthly = _monthly(t, s)
-    weekly = valid_bookings(
-        t, s, s.weeks_from, semana_inicio=dates.week_start("creation_date"), mes=dates.yyyymm("creation_date")
-    )
-    return cohort.uplift_cumulative(monthly, weekly, match_month=match_month)
+    base = booking_base(t, s, days=False) if base is None else base
+    weekly = bookings_per(base, s.weeks_from, semana_inicio=dates.week_start("day"), mes=dates.yyyymm("day"))
+    return cohort.uplift_cumulative(_monthly(base, s), weekly, match_month=match_month)
+
+
+#: What several metrics are derived from; a board stores it once and hands it to each of them.
+BASES = {
+    "kr21": promise_base, "kr21_sem": promise_base, "kr21_sem_cum": promise_base,
+    "kr33": booking_base, "kr33_sem": booking_base, "kr33_sem_cum": booking_base,
+}

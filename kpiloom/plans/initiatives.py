@@ -170,14 +170,18 @@ def cf_daily(t: Tables, s: Settings) -> DataFrame:
 # Wallet combined with other methods -----------------------------------------------------------------------------------
 
 
-def wallet_bookings(t: Tables, s: Settings, since: date) -> DataFrame:
+def wallet_methods(t: Tables, s: Settings, since: date, again_since: date) -> DataFrame:
     """Transactions collected with two or more methods, the wallet among them, and the others as sorted text.
 
-    The number of methods per booking is that of the payment channels.
+    ``partner_before`` looks at the schedules from ``since`` on, ``partner`` only at those from ``again_since`` on; each is
+    NULL where it finds no such combination. The number of methods per booking is that of the payment channels.
     """
     schedules = t.schedules.where(
         (F.col("status") == "CLOSED") & (F.col("created_at") >= F.lit(since).cast("timestamp"))
-    ).select(F.col("id").alias("payment_schedule_id"), "transaction_id")
+    ).select(
+        F.col("id").alias("payment_schedule_id"), "transaction_id",
+        (F.col("created_at") >= F.lit(again_since).cast("timestamp")).alias("_late"),
+    )
     intentions = t.intentions.where(F.col("status") == "COLLECTED").select(
         "payment_schedule_id", F.col("id").alias("payment_intention_id")
     )
@@ -189,44 +193,52 @@ def wallet_bookings(t: Tables, s: Settings, since: date) -> DataFrame:
     collected = t.collections.join(live, "reservation_id", "left_semi").select("cobra_id", "channel_id")
     methods = (
         schedules.join(intentions, "payment_schedule_id").join(scheduled, "payment_intention_id")
-        .join(collected, "cobra_id").select("transaction_id", "channel_id")
-    )
-    grouped = methods.groupBy("transaction_id").agg(
-        F.collect_set("channel_id").alias("methods"), member_list("channel_id", fixed.WALLET_CHANNEL).alias("partner")
-    )
-    return grouped.where(
-        F.col("transaction_id").isNotNull() & (F.size("methods") >= 2)
-        & F.array_contains("methods", fixed.WALLET_CHANNEL)
-    ).select(F.col("transaction_id").alias("transaction_code"), "partner")
+        .join(collected, "cobra_id").select("transaction_id", F.col("channel_id").alias("_m"), F.when(F.col("_late"), F.col("channel_id")).alias("_l"))
+    ).where(F.col("transaction_id").isNotNull())
 
+    def partner(column: str) -> Column:
+        found = F.collect_set(column)
+        combined = (F.size(found) >= 2) & F.array_contains(found, fixed.WALLET_CHANNEL)
+        return F.when(combined, member_list(column, fixed.WALLET_CHANNEL))
 
-def payments_of(t: Tables, s: Settings, since: date) -> DataFrame:
-    """Confirmed payments of the launched countries: transaction_code, d, c, gb."""
-    return t.payments.where(
-        (F.col("reservation_year_month") >= F.lit(since.replace(day=1))) & (F.col("is_confirmed_flg") == 1)
-        & F.col("country_code").isin(*s.wallet_launches)
-    ).select(
-        "transaction_code", F.col("reservation_date").alias("d"), F.col("country_code").alias("c"),
-        money("gross_booking").alias("gb"),
+    grouped = methods.groupBy(F.col("transaction_id").alias("transaction_code")).agg(
+        partner("_m").alias("partner_before"), partner("_l").alias("partner")
     )
+    return grouped.where(F.col("partner_before").isNotNull())
 
 
-def confirmed_payments(t: Tables, s: Settings, since: date) -> DataFrame:
-    """Confirmed payments of the launched countries with the partner of their transaction: transaction_code, d, c, gb, p."""
-    month = F.lit(since.replace(day=1))
+def wallet_base(t: Tables, s: Settings) -> DataFrame:
+    """Confirmed payments of the launched countries, from 60 days before the first launch: what the wallet metrics look at.
+
+    transaction_code, d, c, gb, p, partner_before and partner (see ``wallet_methods``), and late: payment and transaction
+    belong to months from that of the first launch on.
+    """
+    launch = min(s.wallet_launches.values())
+    since = launch - timedelta(days=fixed.WALLET_PRE_DAYS)
+    month, late_month = (F.lit(day.replace(day=1)) for day in (since, launch))
     transactions = exclude_test(
         t.transactions.where((F.col("reservation_year_month") >= month) & F.col("channel").isin(*s.channels)),
         "agency_fantasy_name",
-    ).select("transaction_code", F.col("partner_data_id").alias("p"))
-    return payments_of(t, s, since).join(transactions, "transaction_code")
+    ).select("transaction_code", F.col("partner_data_id").alias("p"), (F.col("reservation_year_month") >= late_month).alias("_late"))
+    payments = t.payments.where(
+        (F.col("reservation_year_month") >= month) & (F.col("is_confirmed_flg") == 1) & F.col("country_code").isin(*s.wallet_launches)
+    ).select(
+        "transaction_code", F.col("reservation_date").alias("d"), F.col("country_code").alias("c"),
+        money("gross_booking").alias("gb"), (F.col("reservation_year_month") >= late_month).alias("_late_payment"),
+    ).where(F.col("d") >= F.lit(since))
+    rows = payments.join(transactions, "transaction_code").join(wallet_methods(t, s, since, launch), "transaction_code", "left")
+    return rows.select(
+        "transaction_code", "d", "c", "gb", "p", "partner_before", "partner", (F.col("_late") & F.col("_late_payment")).alias("late")
+    )
+
 
+def wallet_daily(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
+    """Per day and country: bookings and value with the wallet combination, and all; from 60 days before the launch.
 
-def wallet_daily(t: Tables, s: Settings) -> DataFrame:
-    """Per day and country: bookings and value with the wallet combination, and all; from 60 days before the launch."""
-    since = min(s.wallet_launches.values()) - timedelta(days=fixed.WALLET_PRE_DAYS)
-    rows = confirmed_payments(t, s, since).where(F.col("d") >= F.lit(since))
-    rows = flag_join(rows, wallet_bookings(t, s, since), "transaction_code", "w")
-    with_wallet = F.col("w") == 1
+    ``base``: a stored ``wallet_base``, also in the next two.
+    """
+    rows = wallet_base(t, s) if base is None else base
+    with_wallet = F.col("partner_before").isNotNull()
     out = entity_counts(
         rows, ["d", "c"], {"nw": ("transaction_code", with_wallet), "nt": ("transaction_code", None)},
         {"gw": F.when(with_wallet, F.col("gb")), "gt": F.col("gb")},
@@ -234,27 +246,24 @@ def wallet_daily(t: Tables, s: Settings) -> DataFrame:
     return _round_sums(out, "gw", "gt").select(dates.iso_text("d").alias("d"), "c", "nw", "gw", "nt", "gt")
 
 
-def _wallet_scope(t: Tables, s: Settings) -> tuple[DataFrame, DataFrame]:
-    since = min(s.wallet_launches.values())
-    rows = rollout.since_launch(confirmed_payments(t, s, since), s.wallet_launches)
-    return rows, wallet_bookings(t, s, since)
+def _wallet_scope(t: Tables, s: Settings, base: DataFrame | None) -> DataFrame:
+    rows = wallet_base(t, s) if base is None else base
+    return rollout.since_launch(rows.where("late"), s.wallet_launches)
 
 
-def wallet_agencies(t: Tables, s: Settings) -> DataFrame:
+def wallet_agencies(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Agencies with the wallet combination and with any sale since each launch, per country and in all."""
-    rows, wallet = _wallet_scope(t, s)
-    rows = flag_join(rows, wallet, "transaction_code", "w")
     out = entity_counts(
-        rows, ["c"], {"agw": ("p", F.col("w") == 1), "agt": ("p", None)}, totals=("c", {TOTAL: None})
+        _wallet_scope(t, s, base), ["c"], {"agw": ("p", F.col("partner").isNotNull()), "agt": ("p", None)},
+        totals=("c", {TOTAL: None}),
     )
     return keep_total_rows(out, "c", [TOTAL], ["agw", "agt"])
 
 
-def wallet_mix(t: Tables, s: Settings) -> DataFrame:
+def wallet_mix(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """What the wallet is combined with: bookings and value per country and method set."""
-    rows, wallet = _wallet_scope(t, s)
-    joined = rows.join(wallet, "transaction_code")
-    out = entity_counts(joined, ["c", "partner"], {"n": ("transaction_code", None)}, {"gb": F.col("gb")})
+    rows = _wallet_scope(t, s, base).where(F.col("partner").isNotNull())
+    out = entity_counts(rows, ["c", "partner"], {"n": ("transaction_code", None)}, {"gb": F.col("gb")})
     return _round_sums(out, "gb")
 
 
@@ -474,3 +483,7 @@ def pp_agw(t: Tables, s: Settings) -> DataFrame:
     return entity_counts(
         rows, ["w"], {"ag_ac": ("p", F.col("st").isin("A", "C")), "ag_c": ("p", F.col("st") == "C")}
     )
+
+
+#: What several metrics are derived from; a board stores it once and hands it to each of them.
+BASES = {"wallet_daily": wallet_base, "wallet_agencies": wallet_base, "wallet_mix": wallet_base}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +13,11 @@ from pyspark.sql import functions as F
 from kpiloom.operators.ranking import with_places
 from kpiloom.plans import first_half, initiatives, second_half
 from kpiloom.plans.settings import Settings
+from kpiloom.session import scratch_path
 from kpiloom.sources import snapshots
 from kpiloom.sources.tables import Tables
 
-Metric = Callable[[Tables, Settings], DataFrame]
+Metric = Callable[..., DataFrame]  # of the tables and the settings
 
 FIRST_HALF: dict[str, Metric] = {
     name: getattr(first_half, name)
@@ -81,9 +84,41 @@ def keys_of(mode: str) -> list[str]:
     return [key for group in groups for key in CADENCES[group]]
 
 
+#: The base of a metric, by its function; each is stored once for all metrics of a run that share it.
+BASES: dict[Metric, Metric] = {
+    getattr(module, name): base for module in (first_half, initiatives) for name, base in module.BASES.items()
+}
+
+
+class Shared:
+    """Metrics of one run, with the bases that two or more of them share; a base is stored when it is first asked for."""
+
+    def __init__(self, metrics: Mapping[str, Metric], keys: Iterable[str], t: Tables, s: Settings) -> None:
+        self.metrics, self.t, self.s = metrics, t, s
+        uses = Counter(BASES[m] for m in {metrics[k] for k in keys} if m in BASES)
+        self.locks = {base: Lock() for base, n in uses.items() if n > 1}
+        self.stored: dict[Metric, DataFrame] = {}
+
+    def rows(self, key: str) -> DataFrame:
+        metric = self.metrics[key]
+        base = BASES.get(metric)
+        return metric(self.t, self.s, base=self.base(base)) if base in self.locks else metric(self.t, self.s)
+
+    def base(self, base: Metric) -> DataFrame:
+        with self.locks[base]:
+            if base not in self.stored:
+                spark = SparkSession.active()
+                rows, path = base(self.t, self.s), scratch_path(spark, base.__name__)
+                rows.write.parquet(path)
+                self.stored[base] = spark.read.schema(rows.schema).parquet(path)
+            return self.stored[base]
+
+
 def run(metrics: Mapping[str, Metric], keys: Iterable[str], t: Tables, s: Settings) -> dict[str, DataFrame]:
-    """The plans of the chosen metrics; nothing is computed before they are written."""
-    return {key: metrics[key](t, s) for key in keys}
+    """The plans of the chosen metrics; only shared bases are computed before they are written."""
+    keys = list(keys)
+    shared = Shared(metrics, keys, t, s)
+    return {key: shared.rows(key) for key in keys}
 
 
 def refresh(mode: str, t: Tables, s: Settings, path: str) -> None:
@@ -97,9 +132,10 @@ def stored(metrics: Mapping[str, Metric], keys: Iterable[str], t: Tables, s: Set
     Independent jobs, so a few run at a time.
     """
     spark, keys = SparkSession.active(), list(dict.fromkeys(keys))
+    shared = Shared(metrics, keys, t, s)
 
     def write(key: str) -> None:
-        metrics[key](t, s).write.mode("overwrite").parquet(f"{path}/{key}")
+        shared.rows(key).write.mode("overwrite").parquet(f"{path}/{key}")
 
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(write, keys))
@@ -108,4 +144,5 @@ def stored(metrics: Mapping[str, Metric], keys: Iterable[str], t: Tables, s: Set
 
 def build(metrics: Mapping[str, Metric], t: Tables, s: Settings, path: str) -> dict[str, str]:
     """Compute all metrics one by one; a failing one is left empty and reported."""
-    return snapshots.write_each({key: (lambda metric=metric: metric(t, s)) for key, metric in metrics.items()}, path)
+    shared = Shared(metrics, metrics, t, s)
+    return snapshots.write_each({key: (lambda key=key: shared.rows(key)) for key in metrics}, path)

@@ -128,4 +128,6 @@ def test_wallet_needs_a_second_method(spark):
         intentions=[(f"I{k}{i}", f"S{k}", "COLLECTED" if (k, i) != (4, 0) else "PENDING") for k, i, _ in pairs],
         scheduled_collections=[(f"I{k}{i}", f"C{k}{i}") for k, i, _ in pairs], collections=[(f"C{k}{i}", f"R{k}", m) for k, i, m in pairs],
     )
-    assert rows(initiatives.wallet_bookings(t, R.IMPACT, d("1999-04-26"))) == [("1", "CARD")]
+    assert rows(initiatives.wallet_methods(t, R.IMPACT, d("1999-04-26"), d("1999-04-27"))) == [("1", "CARD", "CARD")]
+    assert rows(initiatives.wallet_methods(t, R.IMPACT, d("1999-04-26"), d("1999-05-02"))) == [("1", "CARD", None)]
+    assert rows(initiatives.wallet_methods(t, R.IMPACT, d("1999-05-02"), d("1999-05-03"))) == []

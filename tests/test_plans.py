@@ -155,3 +155,32 @@ def test_places_need_no_single_task(spark):
 
     rows = spark.range(100).select(F.lit("p").alias("product"), F.lit("w").alias("week_start"), F.lit("c").alias("country"), "id", F.col("id").alias("clicks"), F.col("id").cast("string").alias("filter_name"))
     assert "SinglePartition" not in final_plan(registry.numbered("filter_usage", rows))
+
+
+FAMILIES = {
+    "wallet": (("wallet_daily", "wallet_agencies", "wallet_mix"), ("schedules", "intentions", "scheduled_collections", "collections", "reservations", "payments", "transactions")),
+    "promises": (("kr21", "kr21_sem", "kr21_sem_cum"), ("deferred", "cancellations", "reservations", "sales")),
+    "uplift": (("kr33", "kr33_sem", "kr33_sem_cum"), ("sales", "reservations")),
+}
+
+
+@pytest.mark.parametrize("family", FAMILIES)
+def test_a_family_reads_its_facts_once(spark, family, tmp_path, monkeypatch):
+    """Of metrics that share a base only the base reads facts; results equal those of each metric alone."""
+    from kpiloom.plans import initiatives, registry
+    from tests.conftest import rows
+
+    keys, facts = FAMILIES[family]
+    metrics, settings = (registry.INITIATIVES, R.IMPACT) if family == "wallet" else (registry.FIRST_HALF, R.FIRST)
+    opened = []
+    tables = R.roles(spark, SF)
+
+    class EachTime:  # notes a role whenever it is asked for
+        def __getattr__(self, role):
+            opened.append(role)
+            return getattr(tables, role)
+
+    kept = registry.stored(metrics, keys, EachTime(), settings, str(tmp_path))
+    assert sorted(r for r in opened if r in facts) == sorted(facts)
+    for key in keys:
+        assert rows(kept[key]) == rows(metrics[key](tables, settings))
