@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from checks import roles as R
-from checks.metric_sql import MONTH, SECOND, USAGE, USAGE_ROLES, WEEK, day, launches, members, pct
+from checks.metric_sql import FIRST, MONTH, SECOND, USAGE, USAGE_ROLES, WEEK, day, launches, members, pct
 from checks.pairs import Pairs
 from checks.role_sql import with_roles
 from kpiloom.functions import dates, fixed, text
@@ -20,7 +20,7 @@ from kpiloom.plans import first_half, initiatives, registry, second_half, usabil
 from kpiloom.session import scratch_path
 from kpiloom.sources import snapshots
 from kpiloom.sources.tables import Tables, repeated_side_keys
-from kpiloom.streaming import weekly
+from kpiloom.streaming import running, weekly
 
 pairs = Pairs()
 add = pairs.add
@@ -690,6 +690,24 @@ from spine left join usage using (week_start, product, country)""",
 add("weekly_refresh", refreshed_weeks, STORED_WEEKS)
 add("late_rows_refresh", late_rows, STORED_WEEKS)
 
+def in_three_steps(name, settings, until):
+    """A running count whose state is brought to the last day in three portions; the second one repeats a week."""
+    def run(spark, sf_dir):
+        path, tables = scratch_path(spark, "running"), R.roles(spark, sf_dir)
+        first = running.running_counts()[name].start(settings)
+        third = (until - first) // 3
+        running.advance(spark, name, tables, settings, path, first + third)
+        running.advance(spark, name, tables, settings, path, first + 2 * third, again_from=first + third - timedelta(days=7))
+        running.advance(spark, name, tables, settings, path, until)
+        return running.current(spark, name, path)
+
+    return run
+
+
+add("running_requests", in_three_steps("h1.kr22_sem_cum", R.FIRST, R.MAX_DAY), FIRST["kr22_sem_cum"])
+add("running_activation", in_three_steps("h1.kr32_sem_cum", R.FIRST, R.FIRST.weeks_to), FIRST["kr32_sem_cum"])
+add("running_quotes", in_three_steps("h2.kr21_sem", R.SECOND, R.SECOND.quoting_to), SECOND["kr21_sem"])
+
 # Scorecard columns and scalar functions -------------------------------------------------------------------------------
 
 add(

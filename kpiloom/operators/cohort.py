@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import dates
 from kpiloom.functions.numbers import pct
-from kpiloom.operators.cumulative import cumulate
+from kpiloom.operators.cumulative import cumulate, first_steps
 
 
 def paired(left: DataFrame, right: DataFrame, by: list[str], left_n: str, right_n: str) -> DataFrame:
@@ -33,20 +33,27 @@ def activation(quotes: DataFrame, sales: DataFrame, period: str, entity: str) ->
     return counted.withColumn("pct", pct("converted", "quoting"))
 
 
-def activation_cumulative(quotes: DataFrame, sales: DataFrame, period: str, step: str, entity: str, by: str = "step") -> DataFrame:
-    """Entities that quoted up to each step of the period, and of those the ones that sold up to it."""
-    both = quotes.select(period, entity, F.col(step).alias("_q"), F.lit(None).cast("date").alias("_s")).unionByName(
+def activation_rows(quotes: DataFrame, sales: DataFrame, period: str, step: str, entity: str) -> DataFrame:
+    """Both series in one: the step of a quote in ``_q``, of a sale in ``_s``."""
+    return quotes.select(period, entity, F.col(step).alias("_q"), F.lit(None).cast("date").alias("_s")).unionByName(
         sales.select(period, entity, F.lit(None).cast("date").alias("_q"), F.col(step).alias("_s"))
     )
-    seen = both.groupBy(period, entity).agg(
-        F.collect_set("_q").alias("steps"), F.min("_q").alias("first"), F.min("_s").alias("_sold")
-    ).where(F.col("first").isNotNull())
-    both_done = F.when(F.col("_sold").isNotNull(), F.greatest("first", "_sold"))
-    seen = seen.withColumn("first_sold", both_done).drop("_sold")
-    out = cumulate(seen, period, step, entity, ["sold"], by)
+
+
+def activation_counts(seen: DataFrame, period: str, step: str, entity: str, by: str = "step") -> DataFrame:
+    """Running counts from the first steps of ``activation_rows`` with the least ``_s`` as ``sold``."""
+    both_done = F.when(F.col("sold").isNotNull(), F.greatest("first", "sold"))
+    quoting = seen.where(F.col("first").isNotNull()).withColumn("first_sold", both_done).drop("sold")
+    out = cumulate(quoting, period, step, entity, ["sold"], by)
     return out.withColumn("pct", pct("cumulative_sold", "cumulative"))
 
 
+def activation_cumulative(quotes: DataFrame, sales: DataFrame, period: str, step: str, entity: str, by: str = "step") -> DataFrame:
+    """Entities that quoted up to each step of the period, and of those the ones that sold up to it."""
+    both = activation_rows(quotes, sales, period, step, entity)
+    return activation_counts(first_steps(both, period, "_q", entity, {"sold": F.col("_s")}), period, step, entity, by)
+
+
 def booking_pairs(bookings: DataFrame, partner: str = "partner_id") -> DataFrame:
     """Bookings of each partner in a month beside those of the month before it.
 

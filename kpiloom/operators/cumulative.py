@@ -22,11 +22,26 @@ def first_seen(
 
     The number of steps in a period is that of the calendar (at most six weeks touch a month).
     """
-    flags = dict(flags or {})
+    marks = {f"first_{name}": F.when(predicate, F.col(step)) for name, predicate in (flags or {}).items()}
+    return first_steps(df, period, step, entity, marks)
+
+
+def first_steps(df: DataFrame, period: str, step: str, entity: str, marks: Mapping[str, Column] | None = None) -> DataFrame:
+    """What a running count has to remember: per (period, entity) its steps, the first one, and the least of each mark.
+
+    ``marks`` give a step or NULL per row, for instance the step under a condition. Rows may be added in any number of
+    portions, in any order and more than once (``merged_steps``).
+    """
     return df.groupBy(period, entity).agg(
-        F.collect_set(step).alias("steps"),
-        F.min(step).alias("first"),
-        *[F.min(F.when(predicate, F.col(step))).alias(f"first_{name}") for name, predicate in flags.items()],
+        F.collect_set(step).alias("steps"), F.min(step).alias("first"), *[F.min(c).alias(n) for n, c in (marks or {}).items()]
+    )
+
+
+def merged_steps(seen: DataFrame, period: str, entity: str) -> DataFrame:
+    """One row per (period, entity) from the rows of several portions."""
+    least = [c for c in seen.columns if c not in (period, entity, "steps")]
+    return seen.groupBy(period, entity).agg(
+        F.array_distinct(F.flatten(F.collect_list("steps"))).alias("steps"), *[F.min(c).alias(c) for c in least]
     )
 
 

@@ -15,7 +15,7 @@ from kpiloom.functions.numbers import money, pct, rounded
 from kpiloom.functions.text import classify, column, filled, recode, strip_prefix
 from kpiloom.operators import cohort
 from kpiloom.operators.aggregate import entity_counts
-from kpiloom.operators.cumulative import cumulative_distinct, cumulative_sum
+from kpiloom.operators.cumulative import cumulate, cumulative_distinct, cumulative_sum, first_seen, first_steps
 from kpiloom.operators.joins import flag_join, skew_join
 from kpiloom.plans.settings import Settings
 from kpiloom.sources.tables import Tables, latest_reservations, sales_since
@@ -139,8 +139,12 @@ def kr22(t: Tables, s: Settings) -> DataFrame:
     return out.select("cant_staff", "cant_no_staff", "cant_total", "cant_agencias_unicas", "creation_yearmonth")
 
 
-def _agency_requests(t: Tables, s: Settings) -> DataFrame:
-    requests = _requests(t, s, s.request_week_months).select("transaction_code", "creation_date").distinct()
+def agency_requests(t: Tables, s: Settings, since: date | None = None, until: date | None = None) -> DataFrame:
+    """Agencies with a request, by month and week; of the days ``since``..``until`` if given."""
+    requests = _requests(t, s, s.request_week_months)
+    if since is not None:
+        requests = requests.where(F.to_date("creation_date").between(F.lit(since), F.lit(until)))
+    requests = requests.select("transaction_code", "creation_date").distinct()
     agencies = _request_transactions(t, s).select("transaction_code", "agency_code").distinct()
     return requests.join(agencies, "transaction_code").select(
         dates.month_start("creation_date").alias("mes_inicio"), dates.week_start("creation_date").alias("semana_inicio"),
@@ -150,13 +154,17 @@ def _agency_requests(t: Tables, s: Settings) -> DataFrame:
 
 def kr22_sem(t: Tables, s: Settings) -> DataFrame:
     """Agencies with requests per week."""
-    return entity_counts(_agency_requests(t, s), ["semana_inicio"], {"cant_agencias_unicas": ("agency_code", None)})
+    return entity_counts(agency_requests(t, s), ["semana_inicio"], {"cant_agencias_unicas": ("agency_code", None)})
 
 
 def kr22_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
     """Agencies with requests accumulated in the month. A week in two months counts the agencies of both; with
     ``by="period_step"`` there is a row per week and month."""
-    out = cumulative_distinct(_agency_requests(t, s), "mes_inicio", "semana_inicio", "agency_code", by=by)
+    return requests_so_far(first_seen(agency_requests(t, s), "mes_inicio", "semana_inicio", "agency_code"), by)
+
+
+def requests_so_far(seen: DataFrame, by: str = "step") -> DataFrame:
+    out = cumulate(seen, "mes_inicio", "semana_inicio", "agency_code", by=by)
     keys = ["semana_inicio"] if by == "step" else ["semana_inicio", "mes_inicio"]
     return out.select(*keys, F.col("cumulative").alias("cant_agencias_acum_mes"))
 
@@ -317,17 +325,16 @@ def kr32(t: Tables, s: Settings) -> DataFrame:
     )
 
 
-def _weekly_sides(t: Tables, s: Settings):
+def weekly_sides(t: Tables, s: Settings, since: date | None = None, until: date | None = None) -> tuple[DataFrame, DataFrame]:
+    """Quotes and sales by month and week, of the reported weeks or of the days ``since``..``until`` among them."""
     keys = {"mes_inicio": dates.month_start("d"), "semana_inicio": dates.week_start("d")}
-    return (
-        quotes_between(t, s, s.weeks_from, s.weeks_to).withColumns(keys),
-        confirmed_between(t, s, s.weeks_from, s.weeks_to).withColumns(keys),
-    )
+    first, last = max(since or s.weeks_from, s.weeks_from), min(until or s.weeks_to, s.weeks_to)
+    return quotes_between(t, s, first, last).withColumns(keys), confirmed_between(t, s, first, last).withColumns(keys)
 
 
 def kr32_sem(t: Tables, s: Settings) -> DataFrame:
     """Share of the quoting agencies that sold in the same week."""
-    quotes, sold = _weekly_sides(t, s)
+    quotes, sold = weekly_sides(t, s)
     return cohort.activation(quotes, sold, "semana_inicio", "agency").select(
         "semana_inicio", F.col("quoting").alias("agencias_cotizadoras"),
         F.col("converted").alias("agencias_cotizaron_y_vendieron"), F.col("pct").alias("pct_activacion_comercial"),
@@ -336,8 +343,12 @@ def kr32_sem(t: Tables, s: Settings) -> DataFrame:
 
 def kr32_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
     """Agencies that quoted and bought up to each week of the month."""
-    quotes, sold = _weekly_sides(t, s)
-    out = cohort.activation_cumulative(quotes, sold, "mes_inicio", "semana_inicio", "agency", by)
+    both = cohort.activation_rows(*weekly_sides(t, s), "mes_inicio", "semana_inicio", "agency")
+    return activation_so_far(first_steps(both, "mes_inicio", "_q", "agency", {"sold": F.col("_s")}), by)
+
+
+def activation_so_far(seen: DataFrame, by: str = "step") -> DataFrame:
+    out = cohort.activation_counts(seen, "mes_inicio", "semana_inicio", "agency", by)
     keys = ["semana_inicio"] if by == "step" else ["semana_inicio", "mes_inicio"]
     return out.select(
         *keys, F.col("cumulative").alias("agencias_cotizadoras_acum"),

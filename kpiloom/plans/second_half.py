@@ -10,7 +10,7 @@ from kpiloom.functions.numbers import money, pct, rounded
 from kpiloom.functions.text import contains_any, strip_prefix
 from kpiloom.operators import calendar
 from kpiloom.operators.aggregate import entity_counts
-from kpiloom.operators.cumulative import cumulative_distinct
+from kpiloom.operators.cumulative import cumulate, first_seen
 from kpiloom.operators.joins import on_spine, skew_join
 from kpiloom.operators.tables import inline
 from kpiloom.plans.first_half import quotes_between
@@ -57,10 +57,17 @@ def kr21(t: Tables, s: Settings) -> DataFrame:
 
 def kr21_sem(t: Tables, s: Settings) -> DataFrame:
     """Agencies that quote per week and month, in the week and accumulated in the month."""
-    quotes = quotes_between(t, s, s.quoting_from, s.quoting_to).withColumns(
-        {"mes": dates.month_start("d"), "semana_inicio": dates.week_start("d")}
-    )
-    out = cumulative_distinct(quotes, "mes", "semana_inicio", "agency")
+    return quoting_so_far(first_seen(weekly_quotes(t, s), "mes", "semana_inicio", "agency"))
+
+
+def weekly_quotes(t: Tables, s: Settings, since: date | None = None, until: date | None = None) -> DataFrame:
+    """Quotes by month and week, of the reported days or of the days ``since``..``until`` among them."""
+    first, last = max(since or s.quoting_from, s.quoting_from), min(until or s.quoting_to, s.quoting_to)
+    return quotes_between(t, s, first, last).withColumns({"mes": dates.month_start("d"), "semana_inicio": dates.week_start("d")})
+
+
+def quoting_so_far(seen: DataFrame) -> DataFrame:
+    out = cumulate(seen, "mes", "semana_inicio", "agency")
     return out.select(
         "mes", "semana_inicio", F.col("in_step").alias("agencias_semana"), F.col("cumulative").alias("agencias_acum_mes")
     )
