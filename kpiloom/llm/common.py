@@ -7,7 +7,8 @@ import types
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kpiloom.session import scratch_path
 
@@ -22,6 +23,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def named(name: str) -> Column:
+    """A column by its whole name, which may hold dots and blanks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_rows(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``docs`` as one struct column ``row`` beside helper columns, so that no name of a user can meet one of a helper.
+
+    ``select("row.*")`` gives the rows back as they were.
+    """
+    return docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session by bytes, as one text may hold megabytes (then it is a batch of its own)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")

@@ -4,15 +4,17 @@ A document of a source with rate r (target over size of the source) is due r cop
 fraction is rounded so that the source's words stay where they are. Two fractions meet: a random direction is drawn and
 words move from one to the other until one fraction is 0 or 1, which is final; the chance of each direction keeps both
 expectations, the moved words keep their sum. What is left of a group of documents, one fraction, meets the rest of other
-groups on the next level of a tree, until a source has one fraction left. Everything is DataFrame functions.
+groups on the next level of a tree, and last some documents that waited, until a source has one fraction left. Everything
+is DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import staged
+from kpiloom.llm.common import as_rows, named, staged
+from kpiloom.operators.ranking import with_places
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -21,6 +23,11 @@ MAX_REPEAT = 3
 #: Fractions that meet in one group of the tree.
 FAN_IN = 16
 
+#: Fractions of a source that the rest of its tree meets last, about.
+LATE = 1024
+#: Equal rows that are written out at once.
+SPAN = 10_000
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -32,25 +39,27 @@ def word_count(text: Column) -> Column:
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """From rows (source, size): source, n, source_size, target; a row per source, the null source among them.
 
-    Sources by code point, null last, share the words of all by weight; none gets more than ``max_repeat`` times its own.
-    Filled in order of limit over weight, those at their limit come first; the level of the others is the largest of what
-    the rest would get. The windows run over sources, a row each.
+    Sources by code point, null last, share the words of all by weight; none gets more than ``max_repeat`` times its own,
+    and what is too much for some is shared by the others until none is above. Sources may be many (hosts): they are
+    numbered by a range sort, and each sharing is one sum over them, so no task holds all.
     """
     by_source = sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
-    order = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    choice = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (order % len(weights) + 1).cast("int"))
+    placed = with_places(by_source, [F.col("source").asc_nulls_last()], "place")
+    choice = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
     cap = (F.col("source_size") * max_repeat).cast("double")
-    weighted = by_source.withColumn("weight", choice).withColumn("cap", cap)
-    every = Window.partitionBy()
-    filled = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = F.sum("cap").over(filled.rowsBetween(Window.unboundedPreceding, 0)) - F.col("cap")
-    rest = F.sum("weight").over(filled.rowsBetween(0, Window.unboundedFollowing))
-    level = (F.sum("source_size").over(every) - before) / rest
-    return (
-        weighted.withColumn("level", level)
-        .withColumn("target", F.least("cap", F.max("level").over(every) * F.col("weight")))
-        .select("source", "n", "source_size", "target")
-    )
+    weighted = staged(placed.select("source", "n", "source_size", choice.alias("weight"), cap.alias("cap")), "sources")
+    level, full = 0.0, -1
+    while True:  # each round fills at least one more source
+        above = F.col("cap") <= F.lit(level) * F.col("weight")
+        row = weighted.agg(
+            F.sum("source_size").alias("all"), F.sum(F.when(above, F.col("cap"))).alias("given"),
+            F.sum(F.when(~above, F.col("weight"))).alias("open"), F.count(F.when(above, 1)).alias("full"),
+        ).first()
+        if not row["open"] or row["full"] == full:
+            break
+        full, level = row["full"], (row["all"] - (row["given"] or 0.0)) / row["open"]
+    target = F.least("cap", F.lit(level) * F.col("weight"))
+    return weighted.select("source", "n", "source_size", target.alias("target"))
 
 
 def met(acc: Column, x: Column) -> Column:
@@ -73,33 +82,42 @@ def met(acc: Column, x: Column) -> Column:
 
 
 def rounded(items: DataFrame) -> DataFrame:
-    """Round the fractions of ``items`` (source, groups, slot, item: struct of size, u, key, f with 0 < f < 1): source, item.
+    """Round the fractions of ``items`` (source, groups, slot, late, item: struct of size, u, key, f with 0 < f < 1): source, item.
 
-    ``groups`` is the number of groups of the source, ``slot`` the item's group. f is 0 or 1 in the result. One shuffle of
-    all items, then a tree over one rest per group; a group of the tree holds at most ``FAN_IN`` rests. The last
-    fraction of a source goes to the nearer side, so a source is off its target by half a document at most.
+    ``groups`` is the number of groups of the source, ``slot`` the item's group; ``late`` items, about ``LATE`` of a source
+    at most, wait for the rest of its tree. f is 0 or 1 in the result. One shuffle of all items, then a tree over one rest
+    per group; a group of the tree holds at most ``FAN_IN`` rests. In a group large documents meet first and small ones
+    last; at the end the rest of the tree meets the late ones, so what is left of a source is a small document. That one
+    goes to the nearer side: a source is off its target by half of it.
     """
+    late, items = items.where("late").select("source", "item"), items.where("not late")
     most = items.agg(F.max("groups")).first()[0]
     out, level = [], 0
-    while most:
-        grouped = items.groupBy("source", "groups", "slot").agg(F.sort_array(F.collect_list("item")).alias("items"))
+
+    def fold(grouped: DataFrame, *keys: str) -> DataFrame:
+        listed = grouped.groupBy(*keys).agg(F.sort_array(F.collect_list("item"), asc=False).alias("items"))
         first = F.struct(F.col("items")[0].alias("carry"), F.slice("items", 1, 0).alias("done"))
         folded = F.aggregate(F.slice("items", F.lit(2), F.size("items")), first, met)
-        grouped = staged(grouped.select("source", "groups", "slot", folded.alias("s")), f"rounded-{level}")
-        out.append(grouped.select("source", F.explode("s.done").alias("item")))
-        carried = grouped.select("source", "groups", "slot", F.col("s.carry").alias("item"))
+        done = staged(listed.select(*keys, folded.alias("s")), f"rounded-{level}")
+        out.append(done.select("source", F.explode("s.done").alias("item")))
+        return done.select(*keys, F.col("s.carry").alias("item"))
+
+    while most:
+        carried = fold(items, "source", "groups", "slot")
         level += 1
         if most == 1:
-            last = F.col("item").withField("f", F.when(F.col("item.f") >= 0.5, 1.0).otherwise(0.0))  # nearest: half a document off at most
-            out.append(carried.select("source", last.alias("item")))
+            late = late.unionByName(carried.select("source", "item"))
             break
         again = F.col("item").withField("u", uniform(F.col("item.u"), F.lit(level)))
         items = carried.select(
             "source", F.ceil(F.col("groups") / FAN_IN).alias("groups"), F.floor(F.col("slot") / FAN_IN).alias("slot"), again.alias("item")
         )
         most = -(-most // FAN_IN)
-    whole = out[0] if out else items.select("source", "item")
-    for part in out[1:]:
+    again = F.col("item").withField("u", uniform(F.col("item.u"), F.lit(-1)))
+    last = fold(late.select("source", again.alias("item")), "source")
+    nearest = F.col("item").withField("f", F.when(F.col("item.f") >= 0.5, 1.0).otherwise(0.0))
+    whole = last.select("source", nearest.alias("item"))
+    for part in out:
         whole = whole.union(part)
     return whole
 
@@ -118,7 +136,7 @@ def copies(
     A null text has size 0, a null source is a source, a null id an id like others. Documents without words take no part
     in the rounding, their copies are rounded alone. Reruns agree: chance is a hash of id, size and ``seed``.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows = docs.select(named(id_col).alias("doc_id"), named(source_col).alias("source"), word_count(named(text_col)).alias("size"))
     lines = staged(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n_rows")), "sizes")
     per_source = lines.select("source", (F.col("size") * F.col("n_rows")).alias("size"))
     shares = staged(targets(per_source), "targets").withColumnRenamed("source", "of")
@@ -139,6 +157,7 @@ def copies(
         "source",
         groups.alias("groups"),
         F.pmod(mark, groups).alias("slot"),
+        (uniform(mark, F.lit("late")) * F.col("n") < LATE).alias("late"),
         F.struct(F.col("size").cast("double").alias("size"), uniform(mark).alias("u"), key.alias("key"), "f").alias("item"),
     )
     done = rounded(open_items).select(
@@ -153,7 +172,10 @@ def mix(docs: DataFrame, **columns: object) -> DataFrame:
 
     Rows of one line of ``copies`` share its copies as evenly as can be. An empty table gives no rows.
     """
-    lines = copies(docs, **columns).withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
+    spans = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_rows") - 1) / SPAN)))  # no array as long as a hot line
+    first = F.col("span") * SPAN + 1
+    each = F.explode(F.sequence(first, F.least(first + SPAN - 1, F.col("n_rows"))))
+    lines = copies(docs, **columns).withColumn("span", spans).withColumn("k", each).drop("span")
     own = share(F.col("n_copies"), F.col("n_rows"), F.col("k"))
     return lines.withColumn("n_copies", own).withColumn("taken", F.col("n_copies") * F.col("size")).drop("n_rows", "k")
 
@@ -166,16 +188,25 @@ def share(n_copies: Column, n_rows: Column, k: Column) -> Column:
 def repeat_rows(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0
 ) -> DataFrame:
-    """The mixed corpus: each row of ``docs``, with all its columns, as often as the mix takes it."""
+    """The mixed corpus: each row of ``docs``, with all its columns as they are, as often as the mix takes it.
+
+    Null sources are a source, null ids an id like others, null texts have no words (see ``copies``). Rows equal in id,
+    source and size share their copies as evenly as can be, in the order of their texts' hashes; they are numbered by a
+    range sort, so any number of them is spread over tasks. An empty table gives no rows.
+    """
     found = copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed)
-    found = found.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "n_rows", "n_copies")
-    found = found.select("__id", "__source", "__size", F.col("n_rows").alias("__rows"), F.col("n_copies").alias("__copies"))
-    sized = docs.withColumn("__words", word_count(F.col(text_col)))
-    same = (
-        F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
-    )
-    joined = sized.join(found, same)
-    single = joined.where("__rows = 1").withColumn("__own", F.col("__copies"))
-    place = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(text_col)))
-    several = joined.where("__rows > 1").withColumn("__own", share(F.col("__copies"), F.col("__rows"), place))
-    return single.unionByName(several).withColumn("__k", F.explode(F.array_repeat(F.lit(1), F.col("__own").cast("int")))).select(*docs.columns)
+    key = ("id", "source", "size")
+    lines = found.select(F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), F.col("size").alias("of_size"), "n_rows", "n_copies")
+    sized = as_rows(docs, id=named(id_col), source=named(source_col), size=word_count(named(text_col)), mark=F.xxhash64(named(text_col)))
+
+    def same(rows: DataFrame, line: DataFrame) -> Column:
+        return rows["id"].eqNullSafe(line["of_id"]) & rows["source"].eqNullSafe(line["of_source"]) & (rows["size"] == line["of_size"])
+
+    single = sized.join(lines.where("n_rows = 1"), same(sized, lines)).select("row", F.col("n_copies").alias("own"))
+    repeated = staged(sized.join(lines.where("n_rows > 1"), same(sized, lines)).select("row", "mark", *key, "n_rows", "n_copies"), "repeated")
+    placed = with_places(repeated, [*[F.col(c).asc_nulls_first() for c in key], F.col("mark").asc()], "place")
+    starts = placed.groupBy(*[F.col(c).alias(f"of_{c}") for c in key]).agg(F.min("place").alias("start"))
+    numbered = placed.join(starts, same(placed, starts))
+    own = share(F.col("n_copies"), F.col("n_rows"), F.col("place") - F.col("start") + 1)
+    every = single.unionByName(numbered.select("row", own.alias("own")))
+    return every.withColumn("k", F.explode(F.array_repeat(F.lit(1), F.col("own").cast("int")))).select("row.*")

@@ -13,9 +13,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_type
 
-from kpiloom.llm.common import small_batches, worker_cache
+from kpiloom.llm.common import as_rows, named, small_batches, worker_cache
 
 #: Kinds in the order in which spans of one start are listed; the first four are the base.
 BASE = ("email", "ip", "card", "phone")
@@ -107,9 +107,11 @@ def spans_of(text: str | None) -> list[tuple[str, int, int]]:
         elif kind == "url":
             if at >= done["url"] and (m := URL.match(text, at)):
                 end = at + len(m.group().rstrip(".,;:!?)]"))
+                done["url"] = end
                 if "." in text[at:end].partition("://")[2]:
                     found.append(("url", at, end))
-                    done["url"] = end
+                else:  # what follows in the match has no dot either
+                    done["url"] = m.end()
         elif last + 1 >= done["account"] and (at == 0 or not text[at - 1].isalnum()):
             if kind == "iban":
                 if (m := IBAN.match(text, last + 1)) and iban_holds(m.group(1)):
@@ -129,7 +131,7 @@ def find_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     table gives no rows. Other columns are not read. No shuffle: rows stay in the partition they were read in.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(named(id_col).alias("doc_id"), named(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     schema = pa.schema([("doc_id", to_arrow_type(id_type)), ("spans", pa.list_(span))])
@@ -169,15 +171,19 @@ def masked_text(text: str | None) -> str | None:
 
 
 def mask(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with personal data in ``text_col`` masked; every other column, row and null stays as it is."""
+    """``docs`` with personal data in ``text_col`` masked; every other column, whatever its name, and row stays as it is.
+
+    A null text stays null, an empty one empty. Repeated rows stay repeated; an empty table gives no rows.
+    """
     small_batches(docs.sparkSession)
-    schema = to_arrow_schema(docs.schema)
+    rows = as_rows(docs)
     k = docs.columns.index(text_col)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            columns = list(batch.columns)
-            columns[k] = pa.array([masked_text(t) for t in columns[k].to_pylist()], schema.field(k).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            own = batch.column(0)
+            columns = [own.field(i) for i in range(own.type.num_fields)]
+            columns[k] = pa.array([masked_text(t) for t in columns[k].to_pylist()], columns[k].type)
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, fields=list(own.type))], ["row"])
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).select("row.*")

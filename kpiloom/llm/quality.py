@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from kpiloom.llm.common import small_batches
+from kpiloom.llm.common import as_rows, named, small_batches
 
 SPACE = b"\t\n\x0b\x0c\r "
 SYMBOLS = b"#*$%&|<>"
@@ -148,7 +148,7 @@ def verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     Null ids and repeated rows are rows like others; an empty table gives no rows; other columns are not read.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(named(id_col).alias("doc_id"), named(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType
     names = ["doc_id", *COUNTS, "base_failed", "kept"]
     types = [to_arrow_type(id_type), *[pa.int64()] * len(COUNTS), pa.bool_(), pa.bool_()]
@@ -164,13 +164,18 @@ def verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep(docs: DataFrame, *, text_col: str = "text", window: int = 8) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns as they are, whatever their names.
+
+    A null, empty or blank text goes, as it has fewer words than the least. Ids are not looked at, so null and repeated ids
+    and repeated rows are judged like others. An empty table gives no rows.
+    """
     small_batches(docs.sparkSession)
+    rows = as_rows(docs)
     k = docs.columns.index(text_col)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            good = [verdict(c[0], c[4], c[5])[1] for c in counts_of(batch.column(k).to_pylist(), window)]
+            good = [verdict(c[0], c[4], c[5])[1] for c in counts_of(batch.column(0).field(k).to_pylist(), window)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).select("row.*")

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from kpiloom.llm.common import batches, small_batches, staged
+from kpiloom.llm.common import as_rows, batches, named, small_batches, staged
 from kpiloom.llm.graph import components
 
 SEED = 42
@@ -60,9 +61,7 @@ def with_fingerprint(docs: DataFrame, name: str, *, text_col: str = "text", shin
             marks = [fingerprint(shingle_hashes(t, shingle)) for t in batch.column(k).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64())], [*batch.schema.names, name])
 
-    from pyspark.sql.types import LongType, StructType
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(name, LongType()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def embedding(bits: Column) -> Column:
@@ -196,7 +195,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     never the smallest; a group of such rows alone has a null component. Repeated rows are in one group. An empty table
     gives no rows; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
+    rows = docs.select(named(id_col).alias("row_id"), named(text_col).alias("text"))
     marked = staged(with_fingerprint(rows, "fp", shingle=shingle).select("row_id", "fp"), "marked")
     found = groups(marked, bits)
     return marked.join(found, "fp").select(
@@ -205,12 +204,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3) -> DataFrame:
-    """One row of each group of near duplicates, that of the smallest id (null last), with all its columns."""
-    names = docs.columns
-    fp, row = "__fp", "__row"
-    marked = staged(with_fingerprint(docs.withColumn(row, F.monotonically_increasing_id()), fp, text_col=text_col, shingle=shingle), "marked")
-    keyed = marked.select(F.col(row).alias("row_id"), F.col(fp).alias("fp"), F.col(id_col).alias("id"))
+    """One row of each group of near duplicates (see ``near_duplicates``), that of the smallest id, with all its columns.
+
+    Null, empty and blank texts are one group with whatever links to fingerprint zero. Rows without an id come last; of
+    rows with equal ids, as of repeated rows, the first one read stays. All columns are kept as they are, whatever their
+    names. An empty table gives no rows.
+    """
+    small_batches(docs.sparkSession)
+    rows = as_rows(docs, row_id=F.monotonically_increasing_id(), id=named(id_col))
+    k = docs.columns.index(text_col)
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in given:
+            marks = [fingerprint(shingle_hashes(t, shingle)) for t in batch.column(0).field(k).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64())], ["row", "row_id", "id", "fp"])
+
+    marked = staged(rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("fp", LongType())])), "marked")
+    keyed = marked.select("row_id", "fp", "id")
     found = groups(keyed.select("row_id", "fp"), bits)
     best = F.min(F.struct(F.col("id").isNull(), "id", "row_id"))["row_id"]
-    kept = keyed.join(found, "fp").groupBy("component_id").agg(best.alias(row))
-    return marked.join(kept, row, "left_semi").select(*names)
+    kept = keyed.join(found, "fp").groupBy("component_id").agg(best.alias("row_id"))
+    return marked.join(kept, "row_id", "left_semi").select("row.*")

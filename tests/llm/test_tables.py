@@ -8,10 +8,12 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from kpiloom.llm import graph, mixing, pii, quality, queries, simhash, topk, warc
@@ -188,6 +190,69 @@ def test_mix(documents, corpus):
     assert not re.search("Python|Arrow|Pandas", mixing.mix(documents)._jdf.queryExecution().toString())
 
 
+def test_sources_stay_within_a_hundredth_of_their_targets(spark):
+    rng = random.Random(8)
+    rows = [(i, "w " * int(2 ** rng.uniform(0, 12)), "abc"[i % 3]) for i in range(3000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    due, taken = {r.source: r.target for r in out}, defaultdict(int)
+    for r in out:
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - due[s]) <= 0.01 * due[s] for s in due)
+
+
+def test_many_sources(spark):
+    rows = [(i, "w " * (i % 9), f"host{i % 400:03}") for i in range(2000)]
+    sizes = defaultdict(int)
+    for i, text, source in rows:
+        sizes[source] += i % 9
+    found = mixing.targets(spark.createDataFrame([(s, len(WORDS.findall(t))) for _, t, s in rows], "source string, size long")).collect()
+    due = plain_targets(sizes)
+    assert {r.source: r.target for r in found} == pytest.approx(due)
+
+
+NAMES = ("__row", "__fp", "__words", "__id", "__k", "__own", "__source", "__copies", "__Size", "row", "ROW_ID", "a.b", "text.x", "size", "Mark", "place", "k", "own", "of_id", "start")
+
+
+@pytest.fixture(scope="module")
+def clashing(documents):
+    """The corpus with columns named like helpers, dotted and in mixed case, each with values of its own."""
+    from pyspark.sql import functions as F
+
+    return documents.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in NAMES])
+
+
+@pytest.mark.parametrize("stage", [
+    quality.keep, pii.mask, simhash.keep_one, mixing.repeat_rows,
+], ids=lambda f: f.__name__)
+def test_stages_keep_every_column(clashing, documents, stage):
+    out, plain = stage(clashing), stage(documents)
+    assert out.schema.names == clashing.columns
+    rows = out.collect()
+    own = documents.columns
+    order = lambda rows: sorted((tuple(r)[: len(own)] for r in rows), key=repr)
+    assert order(rows) == order(plain.collect())
+    for r in rows:
+        assert list(r[len(own) :]) == [f"{n}-{r.doc_id}" for n in NAMES]
+
+
+def test_pipeline_keeps_every_column(spark, clashing):
+    docs = clashing
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, ""), name)
+        assert docs.schema.names == clashing.columns
+    rows = docs.collect()
+    assert rows and all(list(r[5:]) == [f"{n}-{r.doc_id}" for n in NAMES] for r in rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= len(rows)
+
+
+def test_many_equal_rows_share_copies(spark):
+    rows = [(None, f"w{i % 3} " * 4, "s") for i in range(300)] + [(i, "w " * 50, "t") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    lines = {(r.doc_id, r.n_copies) for r in mixing.mix(df).collect() if r.doc_id is None}
+    assert max(n for _, n in lines) - min(n for _, n in lines) <= 1
+    assert mixing.repeat_rows(df).where("doc_id is null").count() == sum(r.n_copies for r in mixing.mix(df).collect() if r.doc_id is None)
+
+
 def test_rounding_keeps_expectations(spark):
     rows = [(i, "w " * (1 + i % 7), "b" if i % 3 else "a") for i in range(90)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -250,7 +315,7 @@ def test_pipeline(spark, documents, corpus, tmp_path):
         docs = staged(stage(spark, docs, str(tmp_path)), name)
         assert docs.columns == documents.columns
         seen.append([r.asDict() for r in docs.collect()])
-    good = {i for i, t in texts.items() if quality.verdict(*(quality.counts_of([t])[0][k] for k in (0, 4, 5)))[1]}
+    good = {i for i, t in texts.items() if plain_keep(t)}
     assert {r["doc_id"] for r in seen[0]} == good
     marks = {i: plain_fingerprint(texts[i]) for i in good}
     roots = plain_components(sorted(set(marks.values())), near)
@@ -258,10 +323,73 @@ def test_pipeline(spark, documents, corpus, tmp_path):
     for i in sorted(good):
         least.setdefault(roots[marks[i]], i)
     assert sorted(r["doc_id"] for r in seen[1]) == sorted(least.values())
-    assert {(r["doc_id"], r["text"], r["n_chars"]) for r in seen[2]} == {(i, m := pii.masked_text(texts[i]), len(m)) for i in least.values()}
-    assert {r["doc_id"] for r in seen[3]} <= set(least.values())
-    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert sum(r.start == 0 for r in packed) == len(seen[3])
+    masked = {i: plain_mask(texts[i]) for i in least.values()}
+    assert any(masked[i] != texts[i] for i in masked)
+    assert {(r["doc_id"], r["text"], r["n_chars"]) for r in seen[2]} == {(i, m, len(m)) for i, m in masked.items()}
+    copies = {r.doc_id: r.n_copies for r in mixing.mix(spark.createDataFrame(seen[2], documents.schema)).collect()}
+    times = defaultdict(int)
+    for r in seen[3]:
+        assert r["text"] == masked[r["doc_id"]]
+        times[r["doc_id"]] += 1
+    assert dict(times) == {i: n for i, n in copies.items() if n}
+    sizes = defaultdict(int)
+    for r in seen[2]:
+        sizes[r["source"]] += len(WORDS.findall(r["text"]))
+    due, taken, largest = plain_targets(sizes), defaultdict(int), defaultdict(int)
+    for r in seen[3]:
+        taken[r["source"]] += len(WORDS.findall(r["text"]))
+    for r in seen[2]:
+        largest[r["source"]] = max(largest[r["source"]], len(WORDS.findall(r["text"])))
+    assert all(abs(taken[s] - due[s]) <= largest[s] / 2 + 1e-6 for s in due)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = defaultdict(list)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        assert r.offset + r.length <= 2048
+        pieces[r.doc_id, r.sequence_id, r.start].append(np.frombuffer(r.ids, "<u4").tolist())
+    for i, n in times.items():
+        ids = [*library.encode(masked[i], add_special_tokens=False).ids, 1]
+        got = sorted((start, x) for (doc, _, start), own in pieces.items() if doc == i for x in own)
+        assert sum((x for _, x in got), []) == sum((ids[a : a + 2048] for a in range(0, len(ids), 2048) for _ in range(n)), [])
+
+
+def plain_keep(text):
+    words = WORDS.findall(text)
+    runs = defaultdict(list)
+    for i in range(len(words) - 7):
+        runs[" ".join(words[i : i + 8])].append(i)
+    covered = {k for places in runs.values() if len(places) > 1 for i in places for k in range(i, i + 8)}
+    limit = max(8, quality.MAX_LONGEST_PERCENT * len(words) // 100 + 1)
+    long_runs = [" ".join(words[i : i + limit]) for i in range(len(words) - limit + 1)]
+    return len(words) >= 20 and 100 * len(covered) <= 30 * len(words) and len(long_runs) == len(set(long_runs))
+
+
+RULES = {
+    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "IP": r"[0-9]+(?:\.[0-9]+){3}",
+    "CARD": r"[0-9](?:[ -]?[0-9])+", "PHONE": r"\+[0-9][ ().0-9-]+[0-9]",
+}
+
+
+def plain_mask(text):
+    """Base kinds only; the corpus holds no others."""
+    spans = []
+    for order, (kind, rule) in enumerate(RULES.items()):
+        for m in re.finditer(rule, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            total = sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(digits[::-1]))
+            good = {
+                "EMAIL": True, "IP": kind == "IP" and all(int(p) <= 255 for p in m.group().split(".")),
+                "CARD": 14 <= len(digits) <= 19 and total % 10 == 0, "PHONE": 10 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                spans.append((m.start(), order, m.end(), kind))
+    out, at = "", 0
+    for start, _, end, kind in sorted(spans):
+        if start >= at:
+            out += text[at:start] + f"<{kind}>"
+            at = end
+        else:
+            at = max(at, end)
+    return out + text[at:]
 
 
 @pytest.mark.parametrize("name", ["op2_topk", "op7_warc", "op8_quality"])

@@ -56,6 +56,24 @@ def test_added_spans_and_mask():
     assert pii.masked_text(None) is None and pii.masked_text("") == ""
 
 
+@pytest.mark.parametrize("text", ["http://a/", "HTTP://a:1/?", "a@", "x.y@", "+1 ", "1.", "account ", "iban DE89 ", "1 ", "+1(("])
+def test_long_texts_take_linear_time(text):
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        pii.spans_of(text * (n // len(text)))
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(1_000_000) < 0.5 + 40 * max(seconds(100_000), 0.01)
+
+
+def test_addresses_without_a_dot_hide_no_other():
+    text = "http://a/http://b/c http://x/http://y.z/q http://h/, http://i.j."
+    assert [text[s:e] for k, s, e in pii.spans_of(text) if k == "url"] == ["http://x/http://y.z/q", "http://i.j"]
+
+
 def test_pii_query(spark, documents, corpus, odd, empty, tmp_path):
     documents.write.parquet(f"{tmp_path}/documents.parquet")
     for r in queries.op5_pii(spark, str(tmp_path)).collect():
