@@ -8,6 +8,7 @@ the places that are left, over a whole batch of texts at once.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from itertools import count
 
@@ -24,10 +25,11 @@ SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat")
 
 #: Limits. A text fails the base rules with fewer words, or with a larger share of its words in repeats; the method also
-#: rejects one whose longest single repeat is a larger share of its words.
+#: rejects one whose longest single repeat is a larger share of its words. A passage that stands twice covers twice its
+#: length, so this limit decides by itself between a tenth and three twentieths of the words.
 MIN_WORDS = 20
 MAX_COVERED_PERCENT = 30
-MAX_LONGEST_PERCENT = 15
+MAX_LONGEST_PERCENT = 10
 #: Words put into one suffix array; texts are added whole, so only a longer text makes a larger array.
 ARRAY_WORDS = 200_000
 
@@ -56,19 +58,40 @@ def repeats_somewhere(codes: np.ndarray, owner: np.ndarray, window: int) -> np.n
         h *= 2
 
 
+def dense(keys: np.ndarray) -> np.ndarray:
+    """Each key's place among the distinct keys."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    place = np.cumsum(np.r_[False, keys[1:] != keys[:-1]][: len(keys)], dtype=np.int32)
+    out = np.empty(len(keys), np.int32)
+    out[order] = place
+    return out
+
+
 def neighbour_prefixes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array by prefix doubling, and the longest common prefix of each suffix with the one before it."""
+    """Suffix array by prefix doubling, and the longest common prefix of each suffix with the one before it.
+
+    The prefixes come from the ranks of all doubling steps; an array of more than ``ARRAY_WORDS`` words, one long text,
+    keeps no ranks and walks along the text instead.
+    """
     n = len(codes)
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64)
+    rank = dense(codes.astype(np.int64))
     ranks, h = [rank], 1
     while rank.max(initial=0) + 1 < n:
-        after = np.full(n, 0, np.int64)
-        after[: n - h] = rank[h:] + 1
-        rank = np.unique(rank * np.int64(n + 1) + after, return_inverse=True)[1]
-        ranks.append(rank)
+        keys = rank.astype(np.int64)
+        keys *= n + 1
+        keys[: n - h] += rank[h:]
+        keys[: n - h] += 1
+        rank = dense(keys)
+        if n <= ARRAY_WORDS:
+            ranks.append(rank)
         h *= 2
-    order = np.argsort(rank)
-    left, right = order[:-1].copy(), order[1:].copy()
+    keys = None
+    order = np.empty(n, np.int32)
+    order[rank] = np.arange(n, dtype=np.int32)
+    if n > ARRAY_WORDS:
+        return order, walked_prefixes(codes, order, rank)
+    left, right = order[:-1].astype(np.int64), order[1:].astype(np.int64)
     common = np.zeros(n, np.int64)
     for k in range(len(ranks) - 2, -1, -1):
         inside = (left < n) & (right < n)
@@ -79,6 +102,23 @@ def neighbour_prefixes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
+def walked_prefixes(codes: np.ndarray, order: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Common prefixes of neighbours in one walk along the text: the next place's prefix is one word shorter at most."""
+    n = len(codes)
+    text, before = (array("i", x.astype(np.int32).tobytes()) for x in (codes, np.r_[np.int32(-1), order[:-1]][place]))
+    lengths, h = array("i", bytes(4 * n)), 0
+    for i in range(n):
+        j = before[i]
+        if j < 0:
+            h = 0
+            continue
+        while i + h < n and j + h < n and text[i + h] == text[j + h]:
+            h += 1
+        lengths[i] = h
+        h = max(h - 1, 0)
+    return np.frombuffer(lengths, np.int32)[order]
+
+
 def repeat_measures(codes: np.ndarray, sizes: list[int], window: int) -> list[tuple[int, int]]:
     """For texts whose codes stand in a row: words inside repeats of ``window`` words or more, and the longest repeat."""
     ends = np.cumsum(sizes)
@@ -112,9 +152,10 @@ def counts_of(texts: list[str | None], window: int = 8) -> list[tuple[int, ...]]
         spaces = len(raw) - len(raw.translate(None, SPACE))
         symbols = len(raw) - len(raw.translate(None, SYMBOLS))
         rows.append((len(words), len(text or "") - spaces, symbols, len(lines) - len(set(lines))))
-        codes.append(word_codes(words))
+        codes.append(np.array(word_codes(words), np.int64))
         sizes.append(len(words))
-    flat = np.concatenate([np.array(c, np.int64) + a for c, a in zip(codes, np.cumsum([0, *sizes]).tolist())] or [np.zeros(0, np.int64)])
+        del words, lines  # as objects they take many times the text
+    flat = np.concatenate([c + a for c, a in zip(codes, np.cumsum([0, *sizes]).tolist())] or [np.zeros(0, np.int64)])
     owner = np.repeat(np.arange(len(sizes)), sizes)
     found = dict.fromkeys(range(len(sizes)), (0, 0))
     ends = np.cumsum(sizes) if sizes else np.zeros(0, int)

@@ -125,12 +125,27 @@ def test_quality_verdicts(documents, corpus, odd, empty):
     assert quality.keep(empty).count() == 0
 
 
-def test_one_long_repeat_is_rejected_though_little_is_covered(monkeypatch):
+def test_one_long_repeat_is_rejected_though_little_is_covered():
+    """The longest-repeat limit decides by itself: a passage of an eighth of the words that stands twice."""
     rng = random.Random(1)
     words = [f"w{rng.random()}" for _ in range(120)]
-    assert quality.verdict(*(quality.counts_of([" ".join(words + words[:18])])[0][k] for k in (0, 4, 5))) == (False, True)
-    monkeypatch.setattr(quality, "MAX_LONGEST_PERCENT", 10)
-    assert quality.verdict(*(quality.counts_of([" ".join(words + words[:18])])[0][k] for k in (0, 4, 5))) == (False, False)
+
+    def judged(words):
+        return quality.verdict(*(quality.counts_of([" ".join(words)])[0][k] for k in (0, 4, 5)))
+
+    assert judged(words + words[:18]) == (False, False)  # 13 % of 138 words, 26 % covered
+    assert judged(words + words[:12]) == (False, True)  # 9 %
+    assert judged(words + words[:9] + words[40:49]) == (False, True)  # as much covered, in two passages
+    assert judged(words) == (False, True)
+
+
+@pytest.mark.parametrize("kind", ["plain", "loop", "twice"])
+def test_long_texts_are_walked(monkeypatch, kind):
+    rng = random.Random(2)
+    words = {"plain": [str(rng.randrange(90)) for _ in range(900)], "loop": ["a", "b", "c"] * 300, "twice": [str(i) for i in range(400)] * 2}[kind]
+    whole = quality.counts_of([" ".join(words), "x y " * 30])
+    monkeypatch.setattr(quality, "ARRAY_WORDS", 10)
+    assert quality.counts_of([" ".join(words), "x y " * 30]) == whole
 
 
 def test_licences(spark, documents, corpus, odd, empty):
