@@ -11,8 +11,10 @@ before a string of length l, so a boundary between two of them is a boundary of
 ``length`` the expansion stops: suffixes with no boundary between them share at least so many bytes.
 
 Hot keys are split twice: a key with very many occurrences (found in a fraction of the texts; this only steers the
-layout) is dealt by key and content; a key with too many different pieces for one block is refined, its strings keyed
-anew by all bytes that a half of them have in common, until no key is too full. Nothing is capped.
+layout) is dealt by key and text, and each share finds its own first pieces; a key with too many different pieces for one
+block is refined, its strings keyed anew by all bytes that a half of them have in common, until no key is too full. In a
+refined key equal pieces are reduced to the first one before they are shuffled, so a passage that very many texts share
+never meets in one task. Nothing is capped. Pieces are equal if their key and 128 bits of their digest are.
 """
 
 from __future__ import annotations
@@ -30,13 +32,13 @@ from kpiloom.llm.common import batches, small_batches, staged
 #: Bytes of a block, and different pieces of one key that go into one block.
 BLOCK_BYTES = 1 << 18
 GROUP_PIECES = 1024
-#: Occurrences from which a key is dealt by content too, the share of texts (1 in ...) they are estimated from, the parts.
-HEAVY_ROWS, HEAVY_SAMPLE, HEAVY_PARTS = 200_000, 64, 64
+#: Occurrences of a key that one task gets, and the share of texts (1 in ...) they are estimated from.
+HEAVY_ROWS, HEAVY_SAMPLE = 200_000, 64
 #: Bytes of text hashed at once; a longer text is read in stretches that overlap.
 STRETCH = 1 << 20
 PLACE_BITS = np.uint64(22)
 
-PIECES = "key long, digest long, row long, at int, starts short, ahead short, known boolean"
+PIECES = "key long, digest long, digest2 long, row long, at int, starts short, ahead short, known boolean"
 FOUND = "candidate boolean, key long, row long, at int, starts short, ahead short"
 
 
@@ -120,57 +122,59 @@ def keyed_pieces(texts: DataFrame, length: int, digests: bool = True) -> DataFra
                 if not len(at):
                     continue
                 row, offset = (np.array(x, np.int64)[owner] for x in zip(*marks))
-                digest = np.zeros(len(at), np.uint64)
+                digest = np.zeros((len(at), 2), np.uint64)
                 if digests:
                     left = at + (np.cumsum(sizes) - sizes)[owner]
                     right = left + n + length - 1
                     view = memoryview(stretch)
-                    digest = np.array([xxhash.xxh64_intdigest(view[a:b]) for a, b in zip(left.tolist(), right.tolist())], np.uint64)
+                    raws = b"".join([xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(left.tolist(), right.tolist())])
+                    digest = np.frombuffer(raws, np.uint64).reshape(-1, 2)
                 at = at + offset
                 known = np.zeros(len(at), bool)
                 if digests:
-                    order = np.lexsort((at, row, digest, keys))
-                    same = (keys[order[1:]] == keys[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]])
+                    order = np.lexsort((at, row, digest[:, 1], digest[:, 0], keys))
+                    same = (keys[order[1:]] == keys[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]]).all(axis=1)
                     known[order[1:]] = same
-                    keys, digest = np.where(known, row.view(np.uint64), keys), np.where(known, np.uint64(0), digest)
-                columns = [keys.view(np.int64), digest.view(np.int64), row, at.astype(np.int32), n.astype(np.int16), ahead.astype(np.int16), known]
+                    keys, digest = np.where(known, row.view(np.uint64), keys), np.where(known[:, None], np.uint64(0), digest)
+                halves = [np.ascontiguousarray(digest[:, k]).view(np.int64) for k in (0, 1)]
+                columns = [keys.view(np.int64), *halves, row, at.astype(np.int32), n.astype(np.int16), ahead.astype(np.int16), known]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return texts.mapInArrow(run, PIECES)
 
 
 def heavy_keys(texts: DataFrame, length: int) -> DataFrame:
-    """Keys that are likely to occur more than ``HEAVY_ROWS`` times, from a fraction of the texts."""
+    """Keys that are likely to occur more than ``HEAVY_ROWS`` times, from a fraction of the texts, and the shares for each."""
     some = texts.where(F.pmod(F.xxhash64("row"), F.lit(HEAVY_SAMPLE)) == 0)
     counts = keyed_pieces(some, length, digests=False).groupBy("key").count()
-    return staged(counts.where(F.col("count") * HEAVY_SAMPLE > HEAVY_ROWS).select("key"), "heavy-keys")
+    likely = F.col("count") * HEAVY_SAMPLE
+    return staged(counts.where(likely > HEAVY_ROWS).select("key", F.ceil(likely / HEAVY_ROWS).alias("shares")), "heavy-keys")
 
 
-def first_and_others(pieces: DataFrame, extra: str = "") -> DataFrame:
-    """From pieces with a ``part`` (0, the share of a heavy key, or -1: known as a repeat): ``FOUND``, and ``extra``.
+def first_and_others(pieces: DataFrame) -> DataFrame:
+    """From pieces with a ``part`` (0, the share of a heavy key, or -1: known as a repeat): ``FOUND``.
 
     A row is a repeat of an equal piece before it (candidate false) or the first of its kind in a key with pieces of
-    several kinds (candidate true; always so in a heavy key). First pieces that are alone in their key are left out.
+    several kinds (candidate true). First pieces that are alone in their key are left out. In a share of a heavy key the
+    first of each kind in the share is a candidate; the next steps find out which of them repeat those of other shares.
     """
-    names = ["key", "part", "digest", "row", "at", "starts", "ahead", *([extra] if extra else [])]
-    dealt = pieces.select(*names).repartition("key", "part").sortWithinPartitions("key", "part", "digest", "row", "at")
+    names = ["key", "part", "digest", "digest2", "row", "at", "starts", "ahead"]
+    dealt = pieces.select(*names).repartition("key", "part").sortWithinPartitions("key", "part", "digest", "digest2", "row", "at")
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(batch: pa.RecordBatch, chosen: np.ndarray, candidate: bool) -> pa.RecordBatch:
             took = batch.take(pa.array(chosen))
             columns = [pa.array(np.full(len(chosen), candidate)), *(took.column(c) for c in ("key", "row", "at", "starts", "ahead"))]
             labels = ["candidate", "key", "row", "at", "starts", "ahead"]
-            if extra:
-                columns.append(took.column(extra))
-                labels.append(extra)
             return pa.RecordBatch.from_arrays(columns, labels)
 
-        last, alone = (None, None, None), None  # the last row's group and digest; its group's only first piece so far
+        last, alone = (None,) * 4, None  # the last row's group and digest; its group's only first piece so far
         several = False  # whether the last group has shown pieces of several kinds
         for batch in given:
-            key, part, digest = (batch.column(k).to_numpy() for k in range(3))
+            key, part, digest, digest2 = (batch.column(k).to_numpy() for k in range(4))
             new_group = np.r_[(key[0], part[0]) != last[:2], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]
             new_kind = new_group | np.r_[digest[0] != last[2], digest[1:] != digest[:-1]]
+            new_kind |= np.r_[digest2[0] != last[3], digest2[1:] != digest2[:-1]]
             known = part < 0
             others = np.flatnonzero(~new_kind | known)
             if len(others):
@@ -192,9 +196,25 @@ def first_and_others(pieces: DataFrame, extra: str = "") -> DataFrame:
             if group[-1] > 0:  # the last group began in this batch
                 several = bool(many[-1] or heavy[-1] or known[-1])
                 alone = None if several else batch.slice(int(leaders[group[leaders] == group[-1]][0]), 1)
-            last = (key[-1], part[-1], digest[-1])
+            last = (key[-1], part[-1], digest[-1], digest2[-1])
 
-    return dealt.mapInArrow(run, FOUND + (f", {extra} binary" if extra else ""))
+    return dealt.mapInArrow(run, FOUND)
+
+
+def first_and_others_of_hot(pieces: DataFrame) -> DataFrame:
+    """As ``first_and_others``, for stored pieces of refined keys, with their bytes; any key may be very frequent.
+
+    The first of each kind is a minimum, made before the shuffle; the other pieces find by their own place, not by their
+    key, that they are not the first.
+    """
+    identity = ["key", "row", "at", "starts"]
+    kinds = pieces.groupBy("key", "digest", "digest2").agg(F.min(F.struct(*identity[1:])).alias("first"))
+    kinds = staged(kinds.select("key", "first.*"), "first-pieces")
+    several = kinds.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    candidates = kinds.join(several, "key").withColumn("kept", F.lit(True))
+    marked = pieces.join(kinds.withColumn("candidate", F.lit(True)), identity, "left").join(candidates, identity, "left")
+    chosen = marked.where("kept or candidate is null")
+    return chosen.select(F.coalesce("candidate", F.lit(False)).alias("candidate"), "key", "row", "at", "starts", "ahead", "bytes")
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -297,7 +317,7 @@ def refined(pieces: DataFrame, length: int, low: list[int]) -> DataFrame:
     The strings of a piece whose distance lies in a range share a stretch of bytes; with the key it is their new key.
     """
     bounds = list(zip(low, [x - 1 for x in low[1:]] + [length]))
-    names = ["key", "digest", "row", "at", "starts", "ahead", "known", "bytes"]
+    names = ["key", "digest", "digest2", "row", "at", "starts", "ahead", "known", "bytes"]
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -313,10 +333,11 @@ def refined(pieces: DataFrame, length: int, low: list[int]) -> DataFrame:
                         common = raw[ahead - a : ahead - b + length]
                         seed = (key ^ a * 0x9E3779B97F4A7C15) % (1 << 64)
                         own = raw[i : j + length]
-                        keys = (xxhash.xxh64_intdigest(common, seed), xxhash.xxh64_intdigest(own))
+                        wide = xxhash.xxh3_128_intdigest(own)
+                        keys = (xxhash.xxh64_intdigest(common, seed), wide >> 64, wide % (1 << 64))
                         yield *(k - (1 << 64) if k >> 63 else k for k in keys), row, at + i, j - i + 1, ahead - i, False, own
 
-        schema = pa.schema(list(zip(names, [pa.int64()] * 3 + [pa.int32(), pa.int16(), pa.int16(), pa.bool_(), pa.binary()])))
+        schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [pa.int32(), pa.int16(), pa.int16(), pa.bool_(), pa.binary()])))
         yield from batches(made(), schema, max_rows=8192)
 
     return pieces.select("key", "row", "at", "starts", "ahead", "bytes").mapInArrow(run, PIECES + ", bytes binary")
@@ -373,8 +394,8 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     heavy = heavy_keys(texts, length)
     part = F.when(F.col("known"), -1)
     if heavy.count():
-        pieces = pieces.join(heavy.withColumn("hot", F.lit(1)), "key", "left")
-        part = part.when(F.col("hot").isNotNull(), 1 + F.pmod("digest", F.lit(HEAVY_PARTS)))
+        pieces = pieces.join(heavy, "key", "left")
+        part = part.when(F.col("shares").isNotNull(), 1 + F.pmod(F.xxhash64("row"), "shares"))
     pieces = pieces.withColumn("part", part.otherwise(0).cast("int"))
     found = staged(first_and_others(pieces), "pieces")
     spans = [whole_spans(found, length)]
@@ -389,8 +410,8 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         spans.append(staged(spans_by_transform(candidates.join(full, "key", "left_anti"), length), "spans"))
         most = length - gram_size(length)
         ranges = sorted({*ranges, *((a + b) // 2 for a, b in zip(ranges, [*ranges[1:], most + 1]))})
-        again = refined(candidates.join(full, "key"), length, ranges).withColumn("part", F.lit(0))
-        found = staged(first_and_others(again, "bytes"), "pieces")
+        again = staged(refined(candidates.join(full, "key"), length, ranges).drop("known"), "refined")
+        found = staged(first_and_others_of_hot(again), "pieces")
         spans.append(whole_spans(found, length))
         candidates = found.where("candidate").drop("candidate")
     out = spans[0]

@@ -192,6 +192,37 @@ def test_repeated_strings(spark, corpus, monkeypatch, limits):
         assert [(s.start, s.end) for s in r.spans or []] == [m.span() for m in re.finditer(b"\1+", gone)]
 
 
+@pytest.mark.parametrize("heavy", [200, 10**6])
+def test_a_passage_of_very_many_texts_meets_in_no_task(spark, monkeypatch, heavy):
+    for name, value in {"GROUP_PIECES": 40, "HEAVY_ROWS": heavy, "HEAVY_SAMPLE": 2}.items():
+        monkeypatch.setattr(suffixdedup, name, value)
+    rng = random.Random(6)
+    letters = "abcdefghijklmnop "
+    passage = "".join(rng.choice(letters) for _ in range(400))
+    around = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(60, 160)))
+    rows = [(i, around() + passage[rng.randint(0, 30) : 400 - rng.randint(0, 30)] + around()) for i in range(1200)]
+    rounds = []
+    own = suffixdedup.first_and_others_of_hot
+
+    def noted(pieces):
+        together = pieces.groupBy("key", "digest", "digest2").count().agg({"count": "max"}).first()[0]
+        found = own(pieces)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        dealt = set(re.findall(r"hashpartitioning\(([^)]*), \d+\)", plan))
+        names = {tuple(re.sub("#\\d+L?", "", c).strip() for c in d.split(",")) for d in dealt}
+        rounds.append((together, names))
+        return found
+
+    monkeypatch.setattr(suffixdedup, "first_and_others_of_hot", noted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    expected = plain_removal(rows, 100)
+    for r in suffixdedup.remove_repeats(df).collect():
+        assert bytes(r.kept) == expected[r.doc_id][2]
+    assert max(n for n, _ in rounds) > 200  # as many equal pieces of one key, reduced before any shuffle
+    for _, names in rounds:  # pieces are only dealt by their own place; by key alone only keys, and first pieces (split by Spark)
+        assert names <= {("key", "row", "at", "starts"), ("key",)}
+
+
 @given(st.lists(st.text(st.sampled_from("abé"), max_size=60), min_size=1, max_size=5), st.integers(4, 12))
 @settings(max_examples=200, deadline=None)
 def test_groups_of_equal_strings(texts, length):
