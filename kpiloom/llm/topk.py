@@ -1,11 +1,13 @@
 """Exact top-k search by inner product, by no-random-access aggregation over sorted lists.
 
 A block of rows has one list per dimension, its rows sorted by their value. A query reads each list from the end that helps
-it, the same depth in all lists and never out of order. What it has not read of a row lies between the last value read and
-the far end of the list; that gives each row a lower and an upper bound. Reading stops for a query when only few rows can
-still reach the k-th best lower bound; their final scores are then resolved. Bounds of a block of queries are computed
-together, as products of matrices of whole numbers. Every block of queries meets every block of rows; each pair yields at
-most k rows per query, and the best k of these are the answer.
+it, in small steps, the same depth in all lists and never out of order. What it has not read of a row lies between the last
+value read and the far end of the list; that gives each row a lower and an upper bound. A row whose upper bound is below
+the k-th best lower bound, or below the k-th best score of a first pass over a small sample of rows, is out for good.
+Nothing can be out before a row that no list has shown yet is out. Reading stops for a query when the rows still open are
+few; their final scores are then resolved. While many rows are open the bounds of a block of queries are computed together, as products of matrices of whole numbers; a query with fewer open
+rows goes on alone, with these. Every block of queries meets every block of rows; each pair yields at most k rows per
+query, and the best k of these are the answer.
 """
 
 from __future__ import annotations
@@ -17,15 +19,21 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from kpiloom.llm.common import batches, small_batches, staged
 
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 512
-#: Depths of reading, as shares of a list.
-DEPTHS = (0.5, 0.75, 0.875, 1.0)
-#: A query whose open rows are at most so many times k reads no further.
-FEW = 4
+#: Steps in which a list is read.
+STEPS = 16
+#: A query whose open rows are at most so many times k reads no further; with at most this share of rows open it goes on alone.
+FEW, ALONE = 4, 0.1
+#: The sample whose scores give each query a first bound, in rows and in bytes. It decides how soon reading stops, not what is found.
+SAMPLE_ROWS, SAMPLE_BYTES = 4096, 8 << 20
+
+#: Stands for no score.
+NONE = np.int64(-(1 << 62))
 
 BLOCK = pa.schema(
     [("block", pa.int64()), ("shelf", pa.int64()), ("dims", pa.int64()), ("ids", pa.binary()), ("values", pa.binary())]
@@ -87,47 +95,116 @@ class Lists:
         self.place = np.empty((n, dims), np.int32)
         np.put_along_axis(self.place, order, np.arange(n, dtype=np.int32)[:, None].repeat(dims, 1), 0)
 
-    def bounds(self, q: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bound of every row's score for each query after ``depth`` entries of each list."""
-        x, n = self.x, self.n
+    def depth(self, step: int) -> int:
+        return -(-self.n * step // STEPS)
+
+    def bounds(self, q: np.ndarray, depth: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bound of the given rows' scores for each query after ``depth`` entries of each list."""
+        x, n = self.x[rows], self.n
+        place = self.place[rows]
         up, down = np.maximum(q, 0), np.minimum(q, 0)
-        if depth >= n:
-            exact = q @ x.T
-            return exact, exact
-        top, bottom = self.place < depth, self.place >= n - depth
+        top, bottom = place < depth, place >= n - depth
         low = up @ np.where(top, x, self.falling[-1]).T
         low += down @ np.where(bottom, x, self.falling[0]).T
         high = up @ np.where(top, x, self.falling[depth - 1]).T
         high += down @ np.where(bottom, x, self.falling[n - depth]).T
         return low, high
 
+    def bounds_alone(self, q: np.ndarray, depth: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one query, which reads each list from one end only."""
+        up = q >= 0
+        read = np.where(up, self.place[rows] < depth, self.place[rows] >= self.n - depth)
+        least = np.where(up, self.falling[-1], self.falling[0])
+        most = np.where(up, self.falling[depth - 1], self.falling[self.n - depth])
+        return np.where(read, self.x[rows], least) @ q, np.where(read, self.x[rows], most) @ q
+
+
+def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row; the least number of all with fewer than k."""
+    if scores.shape[-1] < k:
+        return np.full(scores.shape[:-1], NONE)
+    found = np.partition(scores, scores.shape[-1] - k, axis=-1)[..., scores.shape[-1] - k]
+    return np.where(np.isfinite(found), found, NONE).astype(np.int64)
 
-def best(lists: Lists, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-    """(number of the query, row id, score) of the k best rows of a block for each query, its own row left out."""
-    own = q_ids[:, None] == ids[None, :] if len(np.intersect1d(q_ids, ids)) else None
-    waiting = np.arange(len(q))
-    for share in DEPTHS if lists.n > 8 * k else DEPTHS[-1:]:
-        depth = lists.n if share == 1 else max(1, int(share * lists.n))
-        low, high = lists.bounds(q[waiting], depth)
-        if own is not None:
-            hidden = own[waiting]
-            low = np.where(hidden, -np.inf, low)
-            high = np.where(hidden, -np.inf, high)
-        if lists.n > k:
-            least = np.partition(low, lists.n - k, axis=1)[:, lists.n - k]
-            can = (high >= least[:, None]) & (high > -np.inf)
-        else:
-            can = high > -np.inf
-        few = np.ones(len(waiting), bool) if depth == lists.n else can.sum(axis=1) <= FEW * k
-        for i in np.flatnonzero(few).tolist():
-            rows = np.flatnonzero(can[i])
-            scores = (lists.x[rows] @ q[waiting[i]]).astype(np.int64)  # resolved for what can still qualify
-            order = np.lexsort((ids[rows], -scores))[:k]
-            for r, score in zip(ids[rows][order].tolist(), scores[order].tolist()):
-                yield int(waiting[i]), r, score
-        waiting = waiting[~few]
+
+def best(
+    lists: Lists, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, known: np.ndarray
+) -> Iterator[tuple[int, int, int]]:
+    """(number of the query, row id, score) of the rows of a block that can be among the k best of each query, k at most.
+
+    ``known``: a score that k other rows reach, by query. A query's own rows are left out.
+    """
+    known, is_open = known.copy(), q_ids[:, None] != ids[None, :]
+    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    # the block as a whole: nothing is read where its largest values cannot reach what is known
+    waiting = np.flatnonzero(up @ lists.falling[0] + down @ lists.falling[-1] >= known)
+    rows = np.arange(lists.n)
+    for step in range(1, STEPS + 1):
         if not len(waiting):
             return
+        depth = lists.depth(step)
+        # no row's upper bound is below that of a row which no list has shown yet: until that one is out, none is
+        unseen = up[waiting] @ lists.falling[depth - 1] + down[waiting] @ lists.falling[lists.n - depth]
+        ready = (unseen < known[waiting]) | (known[waiting] == NONE) | (step == STEPS)
+        if not ready.any():
+            continue
+        now = waiting[ready]
+        low, high = lists.bounds(q[now], depth, rows)
+        still = is_open[np.ix_(now, rows)]
+        low = np.where(still, low, -np.inf)
+        rising = np.flatnonzero((low >= known[now][:, None]).sum(axis=1) >= k)
+        known[now[rising]] = np.maximum(known[now[rising]], kth_best(low[rising], k))
+        still &= high >= known[now][:, None]
+        alone = still.sum(axis=1) <= max(FEW * k, ALONE * lists.n) if step < STEPS else np.ones(len(now), bool)
+        for i, own in zip(now[alone].tolist(), still[alone]):
+            for row, score in read_alone(lists, ids, q[i], rows[own], step, k, known[i]):
+                yield i, row, score
+        is_open[np.ix_(now, rows)] = still
+        waiting = np.setdiff1d(waiting, now[alone])
+        rows = rows[is_open[np.ix_(waiting, rows)].any(axis=0)]
+
+
+def read_alone(
+    lists: Lists, ids: np.ndarray, q: np.ndarray, rows: np.ndarray, step: int, k: int, known: np.int64
+) -> list[tuple[int, int]]:
+    """Go on reading for one query, with its open rows alone; (row id, score) of those that are resolved in the end."""
+    while len(rows) > FEW * k and step < STEPS:
+        step += 1
+        low, high = lists.bounds_alone(q, lists.depth(step), rows)
+        known = max(known, kth_best(low, k))
+        rows = rows[high >= known]
+    return resolved(lists, ids, q, rows, k, step)
+
+
+def resolved(lists: Lists, ids: np.ndarray, q: np.ndarray, rows: np.ndarray, k: int, step: int) -> list[tuple[int, int]]:
+    """Final scores of the open rows, the k best."""
+    scores = (lists.x[rows] @ q).astype(np.int64)
+    order = np.lexsort((ids[rows], -scores))[:k]
+    return list(zip(ids[rows][order].tolist(), scores[order].tolist()))
+
+
+def with_known(queries: DataFrame, sample: list, k: int) -> DataFrame:
+    """Blocks of queries with ``known``: for each query a score that k rows of the sample (id, v) reach."""
+    dims = max((len(r["v"]) for r in sample), default=0)
+    x = np.zeros((len(sample), dims), np.int64)
+    for own, r in zip(x, sample):
+        own[: len(r["v"])] = r["v"]
+    ids = np.array([r["id"] for r in sample], np.int64)
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in given:
+            found = []
+            for row in batch.select(["dims", "ids", "values"]).to_pylist():
+                n = min(dims, row["dims"])
+                q = np.frombuffer(row["values"], np.int64).reshape(-1, row["dims"])[:, :n]
+                kind = exact_type(x[:, :n], q) if len(x) else np.int64
+                scores = (q.astype(kind) @ x[:, :n].T.astype(kind)).astype(np.float64 if kind is not np.int64 else np.int64)
+                own = np.frombuffer(row["ids"], np.int64)[:, None] == ids[None, :]
+                scores = np.where(own, NONE if kind is np.int64 else -np.inf, scores)
+                found.append(kth_best(scores, k).astype(np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, "known"])
+
+    return queries.mapInArrow(run, StructType([*queries.schema.fields, StructField("known", BinaryType())]))
 
 
 def exact_type(x: np.ndarray, q: np.ndarray) -> type:
@@ -151,11 +228,14 @@ def search(
     rows = rows.where("id is not null and v is not null")
     row_blocks = packed(rows, BLOCK_ROWS, "row-blocks")
     query_blocks = packed(rows.where(F.col("id") % every == 0).distinct(), BLOCK_QUERIES, "query-blocks")
+    longest = rows.agg(F.max(F.size("v"))).first()[0] or 1
+    sample = rows.orderBy(F.xxhash64("id"), "v").limit(max(k + 1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * longest)))).collect()
+    query_blocks = with_known(query_blocks, sample, k)
     shelves = max(1, row_blocks.count())
     left = row_blocks.select((F.col("shelf") % shelves).alias("shelf"), "block", "dims", "ids", "values")
     right = query_blocks.select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shelves - 1).cast("long"))).alias("shelf"),
-        F.col("block").alias("q_block"), F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"),
+        F.col("block").alias("q_block"), F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), "known",
     )
     small_batches(spark)
     pairs = left.repartition(shelves, "shelf").join(right.repartition(shelves, "shelf"), "shelf").sortWithinPartitions("block")
@@ -173,12 +253,13 @@ def search(
                     kind = exact_type(x, q)
                     if kept[:3] != (row["block"], dims, kind):
                         kept = (row["block"], dims, kind, Lists(x.astype(kind)))
-                    for i, vec_id, score in best(kept[3], ids, q.astype(kind), q_ids, k):
+                    known = np.frombuffer(row["known"], np.int64)
+                    for i, vec_id, score in best(kept[3], ids, q.astype(kind), q_ids, k, known):
                         yield row["q_block"], i, int(q_ids[i]), vec_id, score
 
         yield from batches(found(), schema, max_rows=8192)
 
-    near = pairs.select("block", "dims", "ids", "values", "q_block", "q_dims", "q_ids", "q_values").mapInArrow(
+    near = pairs.select("block", "dims", "ids", "values", "q_block", "q_dims", "q_ids", "q_values", "known").mapInArrow(
         run, "q_block long, q_row long, query_id long, vec_id long, score long"
     )
     ranked = Window.partitionBy("q_block", "q_row").orderBy(F.desc("score"), "vec_id")

@@ -130,11 +130,14 @@ def plain_search(rows, every, k):
     return out
 
 
-@pytest.mark.parametrize("block, depths", [(8192, topk.DEPTHS), (40, (0.3, 0.6, 0.9, 1.0))])
-def test_search(spark, monkeypatch, block, depths):
+@pytest.mark.parametrize("block, steps, alone, sample", [(8192, 16, 0.25, 4096), (40, 3, 0.9, 0), (40, 50, 0.0, 30), (300, 1, 0.5, 7)])
+def test_search(spark, monkeypatch, block, steps, alone, sample):
     monkeypatch.setattr(topk, "BLOCK_ROWS", block)
     monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
-    monkeypatch.setattr(topk, "DEPTHS", depths)
+    monkeypatch.setattr(topk, "STEPS", steps)
+    monkeypatch.setattr(topk, "ALONE", alone)
+    monkeypatch.setattr(topk, "SAMPLE_ROWS", sample)
+    monkeypatch.setattr(topk, "FEW", 1)
     rng = random.Random(4)
     rows = [(i, [rng.gauss(0, 0.2) for _ in range(6)]) for i in range(200)]
     rows += [(1000 + i, rows[20][1]) for i in range(30)]  # ties
@@ -145,6 +148,25 @@ def test_search(spark, monkeypatch, block, depths):
     assert topk.search(df.limit(0), every=20, k=5).count() == 0
 
 
+def test_reading_stops_before_the_end_and_resolves_few(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.floor(64 * rng.normal(0, 0.12, (4000, 32))).astype(np.float32)
+    stops = []
+    own = topk.resolved
+    monkeypatch.setattr(topk, "resolved", lambda lists, ids, q, rows, k, step: stops.append((step, len(rows))) or own(lists, ids, q, rows, k, step))
+    ids, q_ids = np.arange(4000), np.arange(0, 4000, 100)
+    scores = x[q_ids] @ x[:800].T
+    scores[q_ids[:, None] == ids[None, :800]] = -np.inf
+    known = topk.kth_best(scores, 10)
+    found = list(topk.best(topk.Lists(x), ids, x[q_ids], q_ids, 10, known))
+    assert len(stops) == len(q_ids) and all(step < topk.STEPS and n <= topk.FEW * 10 for step, n in stops)
+    for i, q in enumerate(q_ids):
+        every = sorted((-float(x[q] @ x[r]), r) for r in range(4000) if r != q)[:10]
+        assert [(r, s) for j, r, s in found if j == i] == [(r, int(-s)) for s, r in every]
+    none = list(topk.best(topk.Lists(x), ids, x[q_ids], q_ids, 10, np.full(len(q_ids), 10**7)))
+    assert none == [] and len(stops) == len(q_ids)  # a block that cannot reach what is known is not read
+
+
 def test_search_with_few_rows_and_large_numbers(spark):
     rows = [(i, [1e7 * i, -2e7]) for i in range(4)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
