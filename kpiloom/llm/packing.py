@@ -9,12 +9,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from kpiloom.llm.common import batches, small_batches
+from kpiloom.llm.common import batches, named, small_batches
 from kpiloom.llm.tokens import encoder
 
-#: Documents packed together; a group ends with a few open windows, so thousands keep the padding near nothing.
-GROUP_DOCUMENTS = 20_000
+#: Documents and bytes of text packed together, some thousands of windows; a group ends with a few open ones, so the padding
+#: stays near nothing.
+GROUP_DOCUMENTS, GROUP_BYTES = 20_000, 32 << 20
+#: Shares into which rows of equal id and length are dealt.
+SALTS = 1024
 
 TOKENS = "row_id {id}, n_tokens long, ids binary"
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -78,7 +82,7 @@ def place(documents: Iterator[tuple], window: int, first_sequence: int) -> Itera
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """Each row's ids with the end id: row_id, n_tokens, ids (16-bit little-endian where the vocabulary allows, else 32)."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
+    rows = docs.select(named(id_col).alias("row_id"), named(text_col).alias("text"))
     kind = rows.schema["row_id"].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,23 +107,28 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     group_documents: int = GROUP_DOCUMENTS,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """Pack all rows of ``docs`` into sequences of at most ``window`` ids.
 
     A document is its text's ids and ``end_id``. Documents of more than a window are first cut into full windows; what
-    is left goes, by descending length, into the tightest open window. Groups of about ``group_documents`` rows, dealt
-    by a hash of id and length, are packed independently; rows stream through a group in sorted order, so a task holds
-    its open windows and nothing else.
+    is left goes, by descending length, into the tightest open window. Groups of about ``group_documents`` rows or
+    ``group_bytes`` of text, whichever is less, are packed independently; rows stream through a group in sorted order, so a
+    task holds its open windows and nothing else. Rows are dealt by a hash of id, length and, as these may be equal for
+    very many, their place in the input.
 
     Returns a row per piece: doc_id, start, length, ids (32-bit little-endian), doc_tokens, sequence_id, offset.
     Null or empty text: the end id alone. Null ids and repeated rows are packed like any other row, ties in any order.
     An empty table gives no rows. Columns other than the two named are not read.
     """
     tokens = tokenized(docs, vocabulary, end_id, id_col, text_col)
-    groups = max(1, -(-docs.count() // group_documents))
+    n, size = docs.agg(F.count("*"), F.sum(F.octet_length(named(text_col)).cast("long"))).first()
+    groups = max(1, -(-n // group_documents), -(-(size or 0) // group_bytes))
+    salt = F.monotonically_increasing_id() % SALTS
     kind = tokens.schema["row_id"].dataType.simpleString()
     ordered = (
-        tokens.repartition(groups, F.col("row_id"), F.col("n_tokens"))
+        tokens.withColumn("salt", salt)
+        .repartition(groups, "row_id", "n_tokens", "salt")
         .withColumn("rest", F.col("n_tokens") % window)
         .sortWithinPartitions(F.desc("rest"), "n_tokens", "row_id")
         .select("row_id", "n_tokens", "ids")
@@ -142,8 +151,6 @@ def pack(
         )
         yield from batches(pieces(), schema)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     id_type = to_arrow_type(tokens.schema["row_id"].dataType)
     return ordered.mapInArrow(run, PIECES.format(id=kind))
 
@@ -151,7 +158,8 @@ def pack(
 def sequences(pieces: DataFrame, window: int = 2048) -> DataFrame:
     """The packed sequences: sequence_id, n_tokens, ids (the pieces in a row, padded with zero bytes to the window).
 
-    A sequence holds at most a window of ids, so its group is bounded.
+    A sequence holds at most a window of ids, so its group is bounded. Sequences come from ``pack``: none is null or empty,
+    and each row is a piece of its own, whatever its id. Other columns are not read; an empty table gives no rows.
     """
     grouped = pieces.groupBy("sequence_id").agg(
         F.sum("length").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts")

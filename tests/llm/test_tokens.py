@@ -96,6 +96,16 @@ def test_pack_edge_cases(odd, empty):
     assert packing.pack(empty, WORD).collect() == []
 
 
+def test_groups_follow_bytes_and_equal_rows_are_dealt(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(None, "a b c d e f g h " * 40)] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    packed = packing.pack(df, WORD, window=2048, group_bytes=20_000)
+    groups = packed.groupBy(F.shiftright("sequence_id", 40).alias("g")).agg(F.count("*").alias("n")).collect()
+    assert len(groups) > 4 and max(r.n for r in groups) < 150 and sum(r.n for r in groups) == 300
+
+
 def test_arrow_files(spark, documents, corpus, monkeypatch):
     monkeypatch.setattr(arrowfiles, "BATCH_SEQUENCES", 3)
     ids = [[*plain(BYTE)(r[1]), 2] for r in sorted(corpus)]
