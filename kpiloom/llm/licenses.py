@@ -1,34 +1,45 @@
 """Licence statements in paragraphs: a sparse n-gram logistic regression names the family, templates confirm it.
 
 The classifier is trained when it is asked for, on the notices below, on variants of them and on a bounded number of
-paragraphs of the corpus without a licence word that resemble no notice. Its features are runs of one to three words of the notices. A run counts
-only if it holds a word that ordinary paragraphs lack, so a paragraph without such a word has no feature, is no licence
-by the intercept alone, and is left out before runs are built. Everything is DataFrame and ML functions.
+paragraphs of the corpus without a licence word that resemble no notice. Its features are runs of one to three words of
+the notices. A run counts only if it holds a word that ordinary paragraphs lack, so a paragraph without such a word has no
+feature, is no licence by the intercept alone, and is left out before runs are built. Licences that have no family here
+are a class of their own, and calibrate it: a family is believed only above what held-out statements of such licences
+reach, and only if a notice of the family confirms it by what no other family's notices hold. Everything is DataFrame and
+ML functions.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, NGram, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import staged
+from kpiloom.llm.common import named, staged
 
 NONE, UNKNOWN = "none", "unknown"
 
-#: Short notices by licence family, as their texts ask for them.
+#: Notices and heads by licence family, as their texts ask for them, and the identifiers of ``SPDX``.
 NOTICES = {
-    "agpl": ("Licensed under the GNU Affero General Public License, version 3.", "GNU AGPL v3 or later", "GNU Affero General Public License"),
+    "agpl": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "GNU AGPL v3 or later",
+        "GNU Affero General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    ),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Apache License Version 2.0, January 2004",
         "Licensed under Apache 2.0",
         "Apache License",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
     ),
     "bsd": (
         "Use of this source code is governed by a BSD-style license.",
@@ -36,6 +47,8 @@ NOTICES = {
         "BSD licensed",
         "BSD License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+        " following conditions are met: redistributions of source code must retain the above copyright notice",
     ),
     "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-nc": (
@@ -53,18 +66,43 @@ NOTICES = {
         "Licensed under the GNU GPL v3 or later",
         "Licensed under GPL 3",
         "GNU General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public"
+        " License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    ),
+    "lgpl": (
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "GNU LGPL v3 or later",
+        "GNU Lesser General Public License",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+        " Public License as published by the Free Software Foundation, either version 2.1 of the License, or any later version.",
     ),
-    "lgpl": ("Licensed under the GNU Lesser General Public License, version 2.1.", "GNU LGPL v3 or later", "GNU Lesser General Public License"),
     "mit": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "MIT licensed",
         "MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the Software), to deal in the Software without restriction",
+    ),
+    "mpl": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Mozilla Public License 2.0",
+        "Licensed under the Mozilla Public License, version 2.0.",
     ),
-    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License 2.0"),
     "reserved": ("All rights reserved.", "Copyright. All rights reserved. No part may be reproduced without written permission."),
 }
+SPDX = {
+    "agpl": ("AGPL-3.0-only", "AGPL-3.0-or-later"), "apache-2.0": ("Apache-2.0",), "bsd": ("BSD-2-Clause", "BSD-3-Clause"),
+    "cc-by": ("CC-BY-4.0",), "cc-by-nc": ("CC-BY-NC-4.0",), "cc-by-sa": ("CC-BY-SA-4.0",), "cc0": ("CC0-1.0",),
+    "gpl": ("GPL-2.0-only", "GPL-3.0", "GPL-3.0-or-later"), "lgpl": ("LGPL-2.1-only", "LGPL-3.0-or-later"), "mit": ("MIT",),
+    "mpl": ("MPL-2.0",),
+}
+#: Pairs of words that tell families of nearly the same wording apart; a notice that holds some of them needs one.
+NAMES = {
+    "agpl": ("gnu affero", "gnu agpl", "identifier agpl"), "gpl": ("gnu general", "gnu gpl", "under gpl", "identifier gpl"),
+    "lgpl": ("gnu lesser", "gnu lgpl", "identifier lgpl"),
+}
 #: Sentences with words of licences that state none.
 ORDINARY = (
     "She passed the test and got her driving license in the spring.",
@@ -88,15 +126,40 @@ GENERIC = (
     "This file is licensed under the license in the file.",
     "Use is subject to the license agreement.",
     "Licensed under the community license of the authors.",
+    "Licensed under the Eclipse Public License 2.0",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    "Licensed under the European Union Public Licence v1.2",
+    "Distributed under the European Union Public Licence.",
+    "This is free and unencumbered software released into the public domain.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "This software is provided 'as-is', without any express or implied warranty.",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "Released under the ISC License.",
+    "Licensed under the zlib license.",
+    "You may use it under the terms of the Artistic License 2.0.",
+    "Subject to the terms of the Common Development and Distribution License 1.0.",
+    "This font software is licensed under the SIL Open Font License, Version 1.1.",
+    "Licensed under the Microsoft Public License.",
+    "Licensed under the Python Software Foundation License.",
+    "Available under the Open Data Commons Open Database License.",
+    "Use of this software is governed by the Business Source License 1.1.",
+    "Licensed under the Elastic License 2.0.",
+    "The source is available under the Academic Free License version 3.0.",
+    "The author dedicates this work to the public domain.",
+    "All copyright and related rights in this work are waived.",
+    "SPDX-License-Identifier: EPL-2.0",
+    "SPDX-License-Identifier: Unlicense",
+    "SPDX-License-Identifier: ISC",
+    "SPDX-License-Identifier: LicenseRef-Proprietary",
 )
 
 #: Paragraphs of the corpus that train the class of ordinary text, at most.
 SAMPLE = 3000
-#: A family needs so much of a notice's runs of two words; a run of one word is dropped if so many of the distinct
-#: ordinary paragraphs hold it.
-MIN_SIMILARITY = 0.6
+#: A family needs so much of a notice's pairs of words, and so many of them if it has as many; the same goes for those of
+#: its pairs that no other family has. A word is no mark if so many of the distinct ordinary paragraphs hold it.
+MIN_SIMILARITY, MIN_PAIRS = 0.6, 4
 MAX_ORDINARY = 0.002
-#: Share of the held-out ordinary paragraphs that lie below the threshold.
+#: Share of the held-out statements of unknown licences, and of ordinary paragraphs, that lie below the threshold.
 BELIEVED = 0.95
 
 CUE = r"(?i)licen[sc]|copyright|copyleft|reserved|public domain|creative commons"
@@ -110,11 +173,13 @@ class Classifier:
     model: LogisticRegressionModel
     threshold: float
     held_out_accuracy: float
+    left_out: tuple[str, ...] = ()
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, paragraph (number from 0), body: the lines of every text that are not blank."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("paragraph", "body"))
+    """uid (of the row), doc_id, paragraph (number from 0), body: the lines of every text that are not blank."""
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), named(id_col).alias("doc_id"), named(text_col).alias("text"))
+    lines = rows.select("uid", "doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "body"))
     return lines.where(F.trim("body") != "")
 
 
@@ -131,9 +196,10 @@ def with_runs(rows: DataFrame) -> DataFrame:
     return rows.withColumn("runs", F.concat("words", "pairs", "triples")).drop("triples")
 
 
-def notices(spark: SparkSession) -> DataFrame:
-    """family, body: the fixed notices, a few dozen rows."""
-    rows = [(family, text) for family, texts in NOTICES.items() for text in texts]
+def notices(spark: SparkSession, left_out: tuple[str, ...] = ()) -> DataFrame:
+    """family, body: the fixed notices but those of families ``left_out``, a few dozen rows."""
+    rows = [(family, text) for family, texts in NOTICES.items() for text in texts if family not in left_out]
+    rows += [(family, f"SPDX-License-Identifier: {name}") for family, names in SPDX.items() for name in names if family not in left_out]
     rows += [(NONE, t) for t in ORDINARY] + [(UNKNOWN, t) for t in GENERIC]
     return spark.createDataFrame(rows, "family string, body string").coalesce(1)
 
@@ -147,6 +213,27 @@ def variants(rows: DataFrame) -> DataFrame:
     return rows.select("family", F.explode(several).alias("body")).distinct()
 
 
+def templates(spark: SparkSession, left_out: tuple[str, ...]) -> DataFrame:
+    """family, templates: for each notice its pairs of words, those that no other family has, how many of each it takes, and
+    the names it holds."""
+    rows = with_runs(with_words(notices(spark, left_out).where(~F.col("family").isin(NONE, UNKNOWN)))).select("family", "pairs").collect()
+    of_family: dict[str, set[str]] = {}
+    for row in rows:
+        of_family.setdefault(row["family"], set()).update(row["pairs"])
+
+    def needed(n: int) -> int:
+        return max(math.ceil(MIN_SIMILARITY * n), min(n, MIN_PAIRS))
+
+    made = []
+    for family, pairs in rows:
+        own = sorted(set(pairs) - set().union(*(p for f, p in of_family.items() if f != family)))
+        names = sorted(set(pairs) & set(NAMES.get(family, ())))
+        made.append((family, sorted(set(pairs)), own, names, needed(len(set(pairs))), needed(len(own))))
+    kinds = "family string, pairs array<string>, own array<string>, names array<string>, need int, need_own int"
+    template = F.struct("pairs", "own", "names", "need", "need_own")
+    return spark.createDataFrame(made, kinds).groupBy("family").agg(F.collect_list(template).alias("templates"))
+
+
 def words_of(rows: DataFrame, column: str) -> list[str]:
     """The distinct entries of a column of lists, sorted; for the few dozen notices."""
     return sorted(r[0] for r in rows.select(F.explode(column)).distinct().collect())
@@ -158,8 +245,8 @@ def ordinary_lines(lines: DataFrame, known: Column) -> DataFrame:
     The words and pairs of notices alone are kept of a line before equal lines become one, so that little is shuffled;
     these are stored, as a filter would else move below the shuffle and cut every line into words again for each notice.
     """
-    named = notices(lines.sparkSession).where(~F.col("family").isin(NONE, UNKNOWN))
-    pairs = [r[0] for r in NGram(n=2, inputCol="words", outputCol="pairs").transform(with_words(named)).select(F.array_distinct("pairs")).collect()]
+    listed = notices(lines.sparkSession).where(~F.col("family").isin(NONE, UNKNOWN))
+    pairs = [r[0] for r in NGram(n=2, inputCol="words", outputCol="pairs").transform(with_words(listed)).select(F.array_distinct("pairs")).collect()]
     every = F.array(*[F.lit(p) for p in sorted({p for own in pairs for p in own})])
     paired = NGram(n=2, inputCol="words", outputCol="pairs").transform(with_words(lines))
     kinds = paired.select("h", F.array_intersect(known, "words").alias("held_words"), F.array_intersect(every, "pairs").alias("held_pairs"))
@@ -169,16 +256,19 @@ def ordinary_lines(lines: DataFrame, known: Column) -> DataFrame:
     return kinds.where(~resembles).select("h", "held_words")
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Classifier:
+def train(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, left_out: tuple[str, ...] = ()
+) -> Classifier:
     """Fit the classifier; at most ``sample`` paragraphs of ``docs`` (those of the smallest hash) stand for ordinary text.
 
     Ordinary text are the distinct paragraphs without a cue that resemble no notice. The marks come from all of them, not
     from the sample, so a licence header that many documents carry takes no mark away. One row in five is held out. The
     class of unknown licences is calibrated on it: a family is believed only above the probability that ``BELIEVED`` of the
-    held-out ordinary paragraphs with a mark stay within for their likeliest family, and never below one half.
+    held-out statements of unknown licences, and of the ordinary paragraphs with a mark, stay within for their likeliest
+    family, and never below one half. Families ``left_out`` are not learnt; their statements are unknown then.
     """
     spark = docs.sparkSession
-    given = staged(with_runs(with_words(variants(notices(spark)))), "licence-notices")
+    given = staged(with_runs(with_words(variants(notices(spark, left_out)))), "licence-notices")
     known = F.array(*map(F.lit, words_of(given.where(F.col("family") != NONE), "words")))
     lines = paragraphs(docs, id_col, text_col).where(~F.col("body").rlike(CUE)).select("body", F.xxhash64("body").alias("h"))
     kinds = ordinary_lines(lines, known)
@@ -195,7 +285,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
     runs = runs.where(F.arrays_overlap(F.split("run", " "), F.array(*map(F.lit, marks))))
     vectors = CountVectorizerModel.from_vocabulary(sorted(r[0] for r in runs.collect()), inputCol="runs", outputCol="features")
     vectors.setBinary(True)
-    families = (NONE, UNKNOWN, *sorted(NOTICES))
+    families = (NONE, UNKNOWN, *sorted(set(NOTICES) - set(left_out)))
     label = (F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1).cast("double")
     # as in use, rows without a mark are left out; ordinary text weighs as much as all notices together
     rows = rows.where(F.arrays_overlap("words", F.array(*map(F.lit, marks))))
@@ -204,9 +294,9 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
     rows = vectors.transform(rows).select("family", "held", "features", label.alias("label"), weight.alias("weight"))
     model = LogisticRegression(family="multinomial", maxIter=60, regParam=0.001, weightCol="weight").fit(rows.where("not held").coalesce(1))
     held = scored(model.transform(rows.where("held")), families)
-    best = F.percentile(F.when(F.col("family") == NONE, F.col("likely")), F.lit(BELIEVED))
-    top, accuracy = held.agg(best, F.avg((F.col("predicted") == F.col("family")).cast("double"))).first()
-    return Classifier(families, tuple(marks), vectors, model, max(0.5, top or 0.0), accuracy or 0.0)
+    within = [F.percentile(F.when(F.col("family") == kind, F.col("likely")), F.lit(BELIEVED)) for kind in (NONE, UNKNOWN)]
+    plain, strange, accuracy = held.agg(*within, F.avg((F.col("predicted") == F.col("family")).cast("double"))).first()
+    return Classifier(families, tuple(marks), vectors, model, max(0.5, plain or 0.0, strange or 0.0), accuracy or 0.0, left_out)
 
 
 def scored(rows: DataFrame, families: tuple[str, ...]) -> DataFrame:
@@ -220,25 +310,46 @@ def scored(rows: DataFrame, families: tuple[str, ...]) -> DataFrame:
     )
 
 
+def statements(words: DataFrame) -> DataFrame:
+    """doc_id, paragraph, words: lines (uid, doc_id, paragraph, words) of a text that follow each other, as one.
+
+    A notice is wrapped over lines; a line that is blank, or has no mark, ends it. ``paragraph`` is that of its first line.
+    """
+    follows = F.col("paragraph") - F.row_number().over(Window.partitionBy("uid").orderBy("paragraph"))
+    grouped = words.withColumn("run", follows).groupBy("uid", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("paragraph", "words"))).alias("lines")
+    )
+    joined = F.flatten(F.transform("lines", lambda line: line["words"]))
+    return grouped.select("doc_id", F.col("lines")[0]["paragraph"].alias("paragraph"), joined.alias("words"))
+
+
 def find_licences(docs: DataFrame, classifier: Classifier, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The paragraphs that state a licence: doc_id, paragraph, family, similarity (to the family's nearest notice), probability.
 
-    family is ``unknown`` where no family is likely enough or no notice of it confirms the prediction. A paragraph is a
-    line that is not blank, numbered from 0 among all lines; null and empty texts have none. Null ids and repeated rows
-    are rows like others, each found on its own; an empty table gives no rows; other columns are not read.
+    family is ``unknown`` where no family is likely enough or no notice of it confirms the prediction. A paragraph is a run
+    of lines with a mark, numbered by its first line from 0 among all lines of the text, so a notice that is wrapped is
+    seen whole; what is no letter or digit, such as a comment's mark, does not count. A paragraph of several licences has
+    the likeliest family. Null and empty texts have none. Null ids and repeated rows are rows like others, each found on
+    its own; an empty table gives no rows; other columns are not read.
     """
     words = with_words(paragraphs(docs, id_col, text_col))
     # paragraphs that hold no mark have no feature: ordinary text by the intercept
     marked = words.where(F.arrays_overlap("words", F.array(*map(F.lit, classifier.marks))))
-    guessed = scored(classifier.model.transform(classifier.vectors.transform(with_runs(marked))), classifier.families)
+    whole = statements(marked.select("uid", "doc_id", "paragraph", "words"))
+    guessed = scored(classifier.model.transform(classifier.vectors.transform(with_runs(whole))), classifier.families)
     guessed = guessed.where(F.col("predicted") != NONE).select("doc_id", "paragraph", "predicted", "likely", "pairs")
-    known = with_runs(with_words(notices(docs.sparkSession).where(~F.col("family").isin(NONE, UNKNOWN))))
-    known = known.groupBy("family").agg(F.collect_list("pairs").alias("notices"))  # a few rows
-    alike = F.transform("notices", lambda n: F.size(F.array_intersect(n, "pairs")) / F.size(F.array_distinct(n)))
-    compared = guessed.join(known, guessed["predicted"] == known["family"], "left").withColumn("similarity", F.array_max(alike))
-    return compared.select("doc_id", "paragraph", confirmed(classifier.threshold).alias("family"), "similarity", F.col("likely").alias("probability"))
-
-
-def confirmed(threshold: float) -> Column:
-    sure = (F.col("likely") > threshold) & (F.col("similarity") >= MIN_SIMILARITY)
-    return F.when(sure, F.col("predicted")).otherwise(UNKNOWN)
+    known = templates(docs.sparkSession, classifier.left_out)  # a few rows
+
+    def alike(t: Column) -> Column:
+        shared = F.size(F.array_intersect(t["pairs"], "pairs"))
+        enough = (shared >= t["need"]) & (F.size(F.array_intersect(t["own"], "pairs")) >= t["need_own"])
+        enough &= (F.size(t["names"]) == 0) | F.arrays_overlap(t["names"], "pairs")
+        return F.struct(enough.alias("enough"), (shared / F.size(t["pairs"])).alias("similarity"))
+
+    nearest = F.array_max(F.transform("templates", alike))
+    compared = guessed.join(known, guessed["predicted"] == known["family"], "left").withColumn("nearest", nearest)
+    sure = (F.col("likely") > classifier.threshold) & F.col("nearest.enough")
+    return compared.select(
+        "doc_id", "paragraph", F.when(sure, F.col("predicted")).otherwise(UNKNOWN).alias("family"),
+        F.col("nearest.similarity").alias("similarity"), F.col("likely").alias("probability"),
+    )

@@ -165,6 +165,44 @@ def test_licences(spark, documents, corpus, odd, empty):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+PROBES = {
+    "Licensed under the Eclipse Public License 2.0": "unknown",
+    "Licensed under the European Union Public Licence v1.2": "unknown",
+    "This is free and unencumbered software released into the public domain.": "unknown",
+    "Distributed under the Blue Oak Model License 1.0.0": "unknown",
+    "# SPDX-License-Identifier: MIT": "mit",
+    "// SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+    "SPDX-License-Identifier: GPL-3.0": "gpl",
+    "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+    "# the Free Software Foundation, either version 3 of the License, or": "gpl",
+    " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+    " * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.": "lgpl",
+    "The project is made available under the Apache License, Version 2.0.": "apache-2.0",
+    "This code is released under the MIT License, see LICENSE for details.": "mit",
+    "Published under the terms of the Mozilla Public License 2.0": "mpl",
+    "You can use it under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+}
+
+
+def test_licence_probes(spark, documents):
+    found = licenses.train(documents)
+    rows = spark.createDataFrame([(i, f"quite plain words here\n\n{t}\n\nmore of them") for i, t in enumerate(PROBES)], "doc_id long, text string")
+    hits = {r.doc_id: r.family for r in licenses.find_licences(rows, found).collect()}
+    assert {t: hits.get(i) for i, t in enumerate(PROBES)} == PROBES
+    assert licenses.find_licences(rows, found).count() == len(PROBES)  # a wrapped notice is one paragraph
+
+
+@pytest.mark.parametrize("family", ["agpl", "lgpl", "gpl", "cc-by", "cc-by-nc", "cc-by-sa", "mpl", "mit", "bsd", "apache-2.0", "cc0"])
+def test_a_family_that_was_not_learnt_is_unknown(spark, documents, family):
+    found = licenses.train(documents.limit(60), sample=200, left_out=(family,))
+    texts = [*licenses.NOTICES[family], *(f"SPDX-License-Identifier: {n}" for n in licenses.SPDX[family])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hits = {texts[r.doc_id]: r.family for r in licenses.find_licences(rows, found).collect()}
+    assert set(hits.values()) <= {"unknown"}, hits
+    # the wording of cc0 is like no other licence's: of its three only the identifier is seen to be a licence at all
+    assert len(hits) >= (0.3 if family == "cc0" else 0.7) * len(texts)
+
+
 def plain_removal(rows, length):
     seen, out = set(), {}
     for doc_id, text in rows:
