@@ -30,7 +30,7 @@ STEPS = 16
 #: A query whose open rows are at most so many times k reads no further; with at most this share of rows open it goes on alone.
 FEW, ALONE = 4, 0.1
 #: The sample whose scores give each query a first bound, in rows and in bytes. It decides how soon reading stops, not what is found.
-SAMPLE_ROWS, SAMPLE_BYTES = 4096, 8 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 8192, 8 << 20
 
 #: Stands for no score.
 NONE = np.int64(-(1 << 62))
@@ -98,25 +98,41 @@ class Lists:
     def depth(self, step: int) -> int:
         return -(-self.n * step // STEPS)
 
-    def bounds(self, q: np.ndarray, depth: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bound of the given rows' scores for each query after ``depth`` entries of each list."""
-        x, n = self.x[rows], self.n
-        place = self.place[rows]
-        up, down = np.maximum(q, 0), np.minimum(q, 0)
-        top, bottom = place < depth, place >= n - depth
-        low = up @ np.where(top, x, self.falling[-1]).T
-        low += down @ np.where(bottom, x, self.falling[0]).T
-        high = up @ np.where(top, x, self.falling[depth - 1]).T
-        high += down @ np.where(bottom, x, self.falling[n - depth]).T
-        return low, high
-
-    def bounds_alone(self, q: np.ndarray, depth: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same for one query, which reads each list from one end only."""
-        up = q >= 0
-        read = np.where(up, self.place[rows] < depth, self.place[rows] >= self.n - depth)
-        least = np.where(up, self.falling[-1], self.falling[0])
-        most = np.where(up, self.falling[depth - 1], self.falling[self.n - depth])
-        return np.where(read, self.x[rows], least) @ q, np.where(read, self.x[rows], most) @ q
+    def upper(self, q: np.ndarray, depth: int, rows: np.ndarray) -> np.ndarray:
+        """Upper bound of the given rows' scores for each query after ``depth`` entries of each list."""
+        x, place = self.x[rows], self.place[rows]
+        high = np.maximum(q, 0) @ np.where(place < depth, x, self.falling[depth - 1]).T
+        high += np.minimum(q, 0) @ np.where(place >= self.n - depth, x, self.falling[self.n - depth]).T
+        return high
+
+    def lower(self, q: np.ndarray, depth: int, rows: np.ndarray) -> np.ndarray:
+        x, place = self.x[rows], self.place[rows]
+        low = np.maximum(q, 0) @ np.where(place < depth, x, self.falling[-1]).T
+        low += np.minimum(q, 0) @ np.where(place >= self.n - depth, x, self.falling[0]).T
+        return low
+
+
+class Reader:
+    """Bounds of the open rows of one query, which reads each list from one end only."""
+
+    def __init__(self, lists: Lists, q: np.ndarray, rows: np.ndarray) -> None:
+        self.lists, self.q, self.rows, self.up = lists, q, rows, q >= 0
+        self.place = np.where(self.up, lists.place[rows], lists.n - 1 - lists.place[rows])
+        self.parts = lists.x[rows] * q
+        self.least = np.where(self.up, lists.falling[-1], lists.falling[0]) * q
+
+    def bounds(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """What has been read of a row, and the least and the most of what has not."""
+        falling = self.lists.falling
+        most = np.where(self.up, falling[depth - 1], falling[self.lists.n - depth]) * self.q
+        read = (self.place < depth).astype(self.parts.dtype)
+        seen = np.einsum("ij,ij->i", read, self.parts)
+        missing = np.stack([self.least, most])
+        unread = missing.sum(axis=1) - read @ missing.T
+        return seen + unread[:, 0], seen + unread[:, 1]
+
+    def keep(self, chosen: np.ndarray) -> None:
+        self.rows, self.place, self.parts = self.rows[chosen], self.place[chosen], self.parts[chosen]
 
 
 def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -134,11 +150,10 @@ def best(
 
     ``known``: a score that k other rows reach, by query. A query's own rows are left out.
     """
-    known, is_open = known.copy(), q_ids[:, None] != ids[None, :]
-    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    known, up, down = known.copy(), np.maximum(q, 0), np.minimum(q, 0)
     # the block as a whole: nothing is read where its largest values cannot reach what is known
     waiting = np.flatnonzero(up @ lists.falling[0] + down @ lists.falling[-1] >= known)
-    rows = np.arange(lists.n)
+    rows, still = np.arange(lists.n), q_ids[waiting][:, None] != ids[None, :]  # which rows are open, by waiting query
     for step in range(1, STEPS + 1):
         if not len(waiting):
             return
@@ -149,31 +164,35 @@ def best(
         if not ready.any():
             continue
         now = waiting[ready]
-        low, high = lists.bounds(q[now], depth, rows)
-        still = is_open[np.ix_(now, rows)]
-        low = np.where(still, low, -np.inf)
-        rising = np.flatnonzero((low >= known[now][:, None]).sum(axis=1) >= k)
-        known[now[rising]] = np.maximum(known[now[rising]], kth_best(low[rising], k))
-        still &= high >= known[now][:, None]
-        alone = still.sum(axis=1) <= max(FEW * k, ALONE * lists.n) if step < STEPS else np.ones(len(now), bool)
-        for i, own in zip(now[alone].tolist(), still[alone]):
-            for row, score in read_alone(lists, ids, q[i], rows[own], step, k, known[i]):
+        own = still if ready.all() else still[ready]
+        bare = np.flatnonzero(known[now] == NONE)
+        if len(bare):  # without a known score the k-th best lower bound is the first one
+            known[now[bare]] = kth_best(np.where(own[bare], lists.lower(q[now[bare]], depth, rows), -np.inf), k)
+        own &= lists.upper(q[now], depth, rows) >= known[now][:, None]
+        few = np.count_nonzero(own, axis=1) <= max(FEW * k, ALONE * lists.n) if step < STEPS else np.ones(len(now), bool)
+        for i, open_rows in zip(now[few].tolist(), own[few]):
+            for row, score in read_alone(lists, ids, q[i], rows[open_rows], step, k, known[i]):
                 yield i, row, score
-        is_open[np.ix_(now, rows)] = still
-        waiting = np.setdiff1d(waiting, now[alone])
-        rows = rows[is_open[np.ix_(waiting, rows)].any(axis=0)]
+        if own is not still:
+            still[ready] = own
+        stay = ~np.isin(waiting, now[few])
+        waiting, still = waiting[stay], still[stay]
+        kept = still.any(axis=0)
+        if np.count_nonzero(kept) < 0.8 * len(kept):  # rows that are out for every query
+            rows, still = rows[kept], still[:, kept]
 
 
 def read_alone(
     lists: Lists, ids: np.ndarray, q: np.ndarray, rows: np.ndarray, step: int, k: int, known: np.int64
 ) -> list[tuple[int, int]]:
     """Go on reading for one query, with its open rows alone; (row id, score) of those that are resolved in the end."""
-    while len(rows) > FEW * k and step < STEPS:
+    reader = Reader(lists, q, rows)
+    while len(reader.rows) > FEW * k and step < STEPS:
         step += 1
-        low, high = lists.bounds_alone(q, lists.depth(step), rows)
+        low, high = reader.bounds(lists.depth(step))
         known = max(known, kth_best(low, k))
-        rows = rows[high >= known]
-    return resolved(lists, ids, q, rows, k, step)
+        reader.keep(high >= known)
+    return resolved(lists, ids, q, reader.rows, k, step)
 
 
 def resolved(lists: Lists, ids: np.ndarray, q: np.ndarray, rows: np.ndarray, k: int, step: int) -> list[tuple[int, int]]:
