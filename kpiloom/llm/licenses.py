@@ -162,6 +162,9 @@ MAX_ORDINARY = 0.002
 #: Share of the held-out statements of unknown licences, and of ordinary paragraphs, that lie below the threshold.
 BELIEVED = 0.95
 
+#: Words that by themselves are no part of a notice.
+PLAIN_WORDS = set("a all and any any are as at be by can for from if in is it may not no of on or the this to under was with you".split())
+
 CUE = r"(?i)licen[sc]|copyright|copyleft|reserved|public domain|creative commons"
 
 
@@ -248,8 +251,13 @@ def ordinary_lines(lines: DataFrame, known: Column) -> DataFrame:
     listed = notices(lines.sparkSession).where(~F.col("family").isin(NONE, UNKNOWN))
     pairs = [r[0] for r in NGram(n=2, inputCol="words", outputCol="pairs").transform(with_words(listed)).select(F.array_distinct("pairs")).collect()]
     every = F.array(*[F.lit(p) for p in sorted({p for own in pairs for p in own})])
-    paired = NGram(n=2, inputCol="words", outputCol="pairs").transform(with_words(lines))
-    kinds = paired.select("h", F.array_intersect(known, "words").alias("held_words"), F.array_intersect(every, "pairs").alias("held_pairs"))
+    telling = F.array(*[F.lit(w) for w in sorted({w for own in pairs for p in own for w in p.split()} - PLAIN_WORDS)])
+    # most lines hold words such as "the" alone: they have no part of a notice, and their pairs are not made
+    place = F.sequence(F.lit(1), F.size("words") - 1)
+    made = F.transform(place, lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))
+    some = (F.size("words") > 1) & F.arrays_overlap("words", telling)
+    held = F.when(some, F.array_intersect(every, made)).otherwise(F.array().cast("array<string>"))
+    kinds = with_words(lines).select("h", F.array_intersect(known, "words").alias("held_words"), held.alias("held_pairs"))
     kinds = staged(kinds.distinct(), "licence-lines")
     alike = [F.size(F.array_intersect("held_pairs", F.array(*map(F.lit, own)))) / len(own) for own in pairs]
     resembles = F.when(F.size("held_pairs") > 0, F.greatest(*alike)).otherwise(0.0) >= MIN_SIMILARITY
