@@ -202,11 +202,11 @@ def repeat_rows(
     def same(rows: DataFrame, line: DataFrame) -> Column:
         return rows["id"].eqNullSafe(line["of_id"]) & rows["source"].eqNullSafe(line["of_source"]) & (rows["size"] == line["of_size"])
 
-    single = sized.join(lines.where("n_rows = 1"), same(sized, lines)).select("row", F.col("n_copies").alias("own"))
-    repeated = staged(sized.join(lines.where("n_rows > 1"), same(sized, lines)).select("row", "mark", *key, "n_rows", "n_copies"), "repeated")
-    placed = with_places(repeated, [*[F.col(c).asc_nulls_first() for c in key], F.col("mark").asc()], "place")
-    starts = placed.groupBy(*[F.col(c).alias(f"of_{c}") for c in key]).agg(F.min("place").alias("start"))
-    numbered = placed.join(starts, same(placed, starts))
-    own = share(F.col("n_copies"), F.col("n_rows"), F.col("place") - F.col("start") + 1)
-    every = single.unionByName(numbered.select("row", own.alias("own")))
+    every = sized.join(lines.where("n_rows = 1"), same(sized, lines)).select("row", F.col("n_copies").alias("own"))
+    if not lines.where("n_rows > 1").isEmpty():  # else the rows are not dealt a second time
+        repeated = sized.join(lines.where("n_rows > 1"), same(sized, lines)).select("row", "mark", *key, "n_rows", "n_copies")
+        placed = with_places(staged(repeated, "repeated"), [*[F.col(c).asc_nulls_first() for c in key], F.col("mark").asc()], "place")
+        starts = placed.groupBy(*[F.col(c).alias(f"of_{c}") for c in key]).agg(F.min("place").alias("start"))
+        own = share(F.col("n_copies"), F.col("n_rows"), F.col("place") - F.col("start") + 1)
+        every = every.unionByName(placed.join(starts, same(placed, starts)).select("row", own.alias("own")))
     return every.withColumn("k", F.explode(F.array_repeat(F.lit(1), F.col("own").cast("int")))).select("row.*")
