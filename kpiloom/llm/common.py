@@ -43,9 +43,14 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker, for what is costly to build; callers bound its size."""
-    module = sys.modules.setdefault("_kpiloom_worker", types.ModuleType("_kpiloom_worker"))
-    return module.__dict__.setdefault(name, {})
+    """A dict that lives as long as the Python worker, for what is costly to build; callers bound its size.
+
+    A worker serves one operator at a time, so the caches of others go when an operator asks for its own.
+    """
+    kept = sys.modules.setdefault("_kpiloom_worker", types.ModuleType("_kpiloom_worker")).__dict__.setdefault("caches", {})
+    for other in [k for k in kept if k != name]:
+        del kept[other]
+    return kept.setdefault(name, {})
 
 
 def batches(rows: Iterable[tuple], schema: pa.Schema, max_rows: int = 2048, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

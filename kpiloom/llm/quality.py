@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from kpiloom.llm.common import as_rows, named, small_batches
+from kpiloom.llm.common import as_rows, named, small_batches, worker_cache
 
 SPACE = b"\t\n\x0b\x0c\r "
 SYMBOLS = b"#*$%&|<>"
@@ -215,6 +215,7 @@ def keep(docs: DataFrame, *, text_col: str = "text", window: int = 8) -> DataFra
     k = docs.columns.index(text_col)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("quality")  # what other operators have kept here goes
         for batch in given:
             good = [verdict(c[0], c[4], c[5])[1] for c in counts_of(batch.column(0).field(k).to_pylist(), window)]
             yield batch.filter(pa.array(good, pa.bool_()))

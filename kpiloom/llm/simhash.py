@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from kpiloom.llm.common import as_rows, batches, named, small_batches, staged
+from kpiloom.llm.common import as_rows, batches, named, small_batches, staged, worker_cache
 from kpiloom.llm.graph import components
 
 SEED = 42
@@ -215,6 +215,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     k = docs.columns.index(text_col)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("simhash")  # what other operators have kept here goes
         for batch in given:
             marks = [fingerprint(shingle_hashes(t, shingle)) for t in batch.column(0).field(k).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64())], ["row", "row_id", "id", "fp"])
