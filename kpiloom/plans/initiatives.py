@@ -351,33 +351,49 @@ def product_group() -> Column:
     return recode("product", fixed.PROMISE_GROUPS, fixed.OTHER_GROUP)
 
 
-def promise_sales(t: Tables, s: Settings, payment: bool = False) -> DataFrame:
-    """Sale lines of as many days before the promise launch as have passed since: d, c, p, tx, g, st, gb, prom, nw.
-
-    ``payment`` adds pmt and cr from the booked product. Lines without promise are kept when confirmed or active, or of
-    a new product group.
-    """
+def _promise_window(t: Tables, s: Settings) -> DataFrame:
+    """Sale lines of as many days before the promise launch as have passed since."""
     _, since = calendar.symmetric_window(s.promise_launch, s.as_of)
-    lines = channel_sales(t, s, since).where(F.col("creation_date") < F.lit(s.as_of)).select(
+    return channel_sales(t, s, since).where(F.col("creation_date") < F.lit(s.as_of)).select(
         F.col("creation_date").alias("d"), F.col("country_code").alias("c"), F.col("partner_id").alias("p"),
         F.col("transaction_code").alias("tx"), product_group().alias("g"),
         recode("transaction_status", fixed.STATUS_CODES).alias("st"), money("gb").alias("gb"), "origin_product_id",
-        F.col("transaction_code").cast("string").alias("_id"), "transaction_code",
+        F.col("transaction_code").cast("string").alias("_id"),
     ).where(F.col("st").isNotNull())
-    rows = flag_join(lines, promised_ids(t, s, since), "_id", "prom")
+
+
+def promise_lines(t: Tables, s: Settings) -> DataFrame:
+    """The sale lines that the promise metrics look at: d, c, p, tx, g, st, gb, origin_product_id, prom, nw.
+
+    Lines without promise are kept when confirmed or active, or of a new product group.
+    """
+    _, since = calendar.symmetric_window(s.promise_launch, s.as_of)
+    rows = flag_join(_promise_window(t, s), promised_ids(t, s, since), "_id", "prom").drop("_id")
     new = F.col("g").isin(*fixed.NEW_GROUPS)
-    rows = rows.where((F.col("prom") == 1) | F.col("st").isin("C", "A") | new).withColumn("nw", new.cast("int"))
+    return rows.where((F.col("prom") == 1) | F.col("st").isin("C", "A") | new).withColumn("nw", new.cast("int"))
+
+
+def promise_sales(t: Tables, s: Settings, payment: bool = False, base: DataFrame | None = None) -> DataFrame:
+    """``promise_lines`` without the booked product: d, c, p, tx, g, st, gb, prom, nw. ``base``: them, stored.
+
+    ``payment`` adds pmt and cr from the booked product.
+    """
+    rows = promise_lines(t, s) if base is None else base
     columns = ["d", "c", "p", "tx", "g", "st", "gb", "prom", "nw"]
     if not payment:
         return rows.select(*columns)
-    rows = with_product(rows, t, "payment_methods", "cancellation_reason", probe=lines)
+    probe = _promise_window(t, s) if base is None else base
+    rows = with_product(rows, t, "payment_methods", "cancellation_reason", probe=probe)
     return rows.select(*columns, F.col("payment_methods").alias("pmt"), F.col("cancellation_reason").alias("cr"))
 
 
-def pp_a(t: Tables, s: Settings) -> DataFrame:
-    """Sale per day, country, product group, status and promise; TT holds the distinct bookings of all groups."""
+def pp_a(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
+    """Sale per day, country, product group, status and promise; TT holds the distinct bookings of all groups.
+
+    ``base``: stored ``promise_lines``, also in the other promise metrics.
+    """
     out = entity_counts(
-        promise_sales(t, s), ["d", "c", "g", "st", "prom"], {"n": ("tx", None)}, {"gb": F.col("gb")},
+        promise_sales(t, s, base=base), ["d", "c", "g", "st", "prom"], {"n": ("tx", None)}, {"gb": F.col("gb")},
         totals=("g", {fixed.ALL_GROUPS: None}),
     )
     return _round_sums(out, "gb").withColumn("d", dates.iso_text("d"))
@@ -396,9 +412,9 @@ def promise_method() -> Column:
     )
 
 
-def pp_m(t: Tables, s: Settings) -> DataFrame:
+def pp_m(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Payment mix of the confirmed bookings of new products; a promise counts as such whatever paid it later."""
-    rows = promise_sales(t, s, payment=True).where((F.col("st") == "C") & (F.col("nw") == 1))
+    rows = promise_sales(t, s, payment=True, base=base).where((F.col("st") == "C") & (F.col("nw") == 1))
     rows = rows.withColumn("m", promise_method())
     out = entity_counts(rows, ["d", "c", "m"], {"n": ("tx", None)}, {"gb": F.col("gb")})
     return _round_sums(out, "gb").withColumn("d", dates.iso_text("d"))
@@ -415,15 +431,15 @@ def cancel_reason() -> Column:
     )
 
 
-def pp_x(t: Tables, s: Settings) -> DataFrame:
+def pp_x(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Reasons of the cancelled bookings with promise."""
-    rows = promise_sales(t, s, payment=True).where((F.col("st") == "X") & (F.col("prom") == 1))
+    rows = promise_sales(t, s, payment=True, base=base).where((F.col("st") == "X") & (F.col("prom") == 1))
     group = classify([(F.col("nw") == 1, "NU"), (F.col("g").isin(*fixed.KNOWN_GROUPS), "HO")], "OT")
     rows = rows.withColumns({"g2": group, "r": cancel_reason()})
     return entity_counts(rows, ["d", "c", "g2", "r"], {"n": ("tx", None)}).withColumn("d", dates.iso_text("d"))
 
 
-def pp_ctl(t: Tables, s: Settings) -> DataFrame:
+def pp_ctl(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Per agency with confirmed new products: bookings and value before and after the launch, and its promise use."""
     launch = F.lit(s.promise_launch)
     new = F.col("nw") == 1
@@ -431,7 +447,7 @@ def pp_ctl(t: Tables, s: Settings) -> DataFrame:
     before, after = F.col("d") < launch, F.col("d") >= launch
     promised = new & (F.col("prom") == 1) & after
     out = entity_counts(
-        promise_sales(t, s), ["p"],
+        promise_sales(t, s, base=base), ["p"],
         {
             "pre_n": ("tx", confirmed & before), "post_n": ("tx", confirmed & after),
             "post_prom": ("tx", F.col("st").isin("C", "A") & promised), "post_prom_c": ("tx", (F.col("st") == "C") & promised),
@@ -456,7 +472,7 @@ def promise_history(t: Tables, s: Settings) -> DataFrame:
     return sales.join(ids, "_id", "left_semi").select("p").distinct()
 
 
-def pp_ag(t: Tables, s: Settings) -> DataFrame:
+def pp_ag(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Per agency using the promise: its bookings before and after, old and new products, active and confirmed."""
     launch = F.lit(s.promise_launch)
     before, after = F.col("d") < launch, F.col("d") >= launch
@@ -470,20 +486,24 @@ def pp_ag(t: Tables, s: Settings) -> DataFrame:
         "act_pre": confirmed & before, "_any": promised & (active | confirmed),
     }
     agencies = entity_counts(
-        promise_sales(t, s), ["p"], {name: ("tx", predicate) for name, predicate in counts.items()}, maxima={"c": F.col("c")}
+        promise_sales(t, s, base=base), ["p"], {name: ("tx", predicate) for name, predicate in counts.items()}, maxima={"c": F.col("c")}
     ).where(F.col("_any") > 0)
     history = promise_history(t, s).withColumn("hist_prom", F.lit(1))
     out = agencies.join(history, "p", "left").withColumn("hist_prom", F.coalesce("hist_prom", F.lit(0)))
     return out.select("p", "c", *[n for n in counts if n not in ("_any",)], "hist_prom")
 
 
-def pp_agw(t: Tables, s: Settings) -> DataFrame:
+def pp_agw(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Agencies using the promise per seven-day block from the launch."""
-    rows = promise_sales(t, s).where(F.col("prom") == 1).withColumn("w", dates.block_index("d", F.lit(s.promise_launch)))
+    rows = promise_sales(t, s, base=base).where(F.col("prom") == 1).withColumn("w", dates.block_index("d", F.lit(s.promise_launch)))
     return entity_counts(
         rows, ["w"], {"ag_ac": ("p", F.col("st").isin("A", "C")), "ag_c": ("p", F.col("st") == "C")}
     )
 
 
 #: What several metrics are derived from; a board stores it once and hands it to each of them.
-BASES = {"wallet_daily": wallet_base, "wallet_agencies": wallet_base, "wallet_mix": wallet_base}
+BASES = {
+    "wallet_daily": wallet_base, "wallet_agencies": wallet_base, "wallet_mix": wallet_base,
+    "pp_a": promise_lines, "pp_m": promise_lines, "pp_x": promise_lines, "pp_ctl": promise_lines, "pp_ag": promise_lines,
+    "pp_agw": promise_lines,
+}

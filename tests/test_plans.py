@@ -184,3 +184,34 @@ def test_a_family_reads_its_facts_once(spark, family, tmp_path, monkeypatch):
     assert sorted(r for r in opened if r in facts) == sorted(facts)
     for key in keys:
         assert rows(kept[key]) == rows(metrics[key](tables, settings))
+
+
+# family: (metrics, their settings, keys, how often each fact is read)
+SHARED = {
+    # the agencies of earlier promises are of other days; two metrics look at the booked product
+    "promise board": (
+        "INITIATIVES", R.IMPACT, ("pp_a", "pp_m", "pp_x", "pp_ctl", "pp_ag", "pp_agw"),
+        {"sales": 2, "reservations": 2, "deferred": 2, "products": 2},
+    ),
+}
+
+
+@pytest.mark.parametrize("family", SHARED)
+def test_a_board_reads_the_facts_of_a_family_once(spark, family, tmp_path):
+    from collections import Counter
+
+    from kpiloom.plans import registry
+    from tests.conftest import rows
+
+    group, settings, keys, facts = SHARED[family]
+    metrics, tables, opened = getattr(registry, group), R.roles(spark, SF), []
+
+    class EachTime:  # notes a role whenever it is asked for
+        def __getattr__(self, role):
+            opened.append(role)
+            return getattr(tables, role)
+
+    kept = registry.stored(metrics, keys, EachTime(), settings, str(tmp_path))
+    assert {r: n for r, n in Counter(opened).items() if r in facts} == facts
+    for key in keys:
+        assert rows(kept[key]) == rows(metrics[key](tables, settings))
