@@ -24,8 +24,12 @@ def paired(left: DataFrame, right: DataFrame, by: list[str], left_n: str, right_
 
 def activation(quotes: DataFrame, sales: DataFrame, period: str, entity: str) -> DataFrame:
     """Of the entities that quoted in a period, those that also sold in it; and the number of quotes."""
-    pairs = paired(quotes, sales, [period, entity], "_q", "_s").where(F.col("_q") > 0)
-    counted = pairs.groupBy(period).agg(
+    return activation_shares(paired(quotes, sales, [period, entity], "_q", "_s"), period, entity)
+
+
+def activation_shares(pairs: DataFrame, period: str, entity: str) -> DataFrame:
+    """``activation`` from the number of quotes (_q) and sales (_s) per period and entity."""
+    counted = pairs.where(F.col("_q") > 0).groupBy(period).agg(
         F.count(entity).alias("quoting"),
         F.count(F.when(F.col("_s") > 0, F.col(entity))).alias("converted"),
         F.sum("_q").alias("quotes"),

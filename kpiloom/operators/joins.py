@@ -40,6 +40,8 @@ def skew_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
+    if how in ("inner", "left_semi"):  # as heavy_keys does, so that both read the same shuffle
+        left = left.where(F.col(on).isNotNull())
     # one entry per rows_per_part rows at most: a few megabytes for 10^12 rows
     heavy = F.broadcast(heavy_keys(left if probe is None else probe, on, rows_per_part))
     is_heavy = F.col(on) == F.col("_key")

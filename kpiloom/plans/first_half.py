@@ -67,6 +67,11 @@ def promise_base(t: Tables, s: Settings) -> DataFrame:
     return promise_status(t, s, (F.col("day") <= F.lit(s.as_of)) | (F.col("day") >= F.lit(s.weeks_from)))
 
 
+def promise_weeks(t: Tables, s: Settings) -> DataFrame:
+    """``promise_base`` of the two weekly metrics, which ask for no value."""
+    return promise_status(t, s, F.col("day") >= F.lit(s.weeks_from)).drop("gb")
+
+
 def _promises(t: Tables, s: Settings, base: DataFrame | None, deadline: Column) -> DataFrame:
     rows = promise_status(t, s, deadline) if base is None else base.where(deadline)
     return rows.withColumns({"semana_inicio": dates.week_start("day"), "mes_deadline": dates.month_start("day")})
@@ -152,15 +157,22 @@ def agency_requests(t: Tables, s: Settings, since: date | None = None, until: da
     )
 
 
-def kr22_sem(t: Tables, s: Settings) -> DataFrame:
-    """Agencies with requests per week."""
-    return entity_counts(agency_requests(t, s), ["semana_inicio"], {"cant_agencias_unicas": ("agency_code", None)})
+def request_base(t: Tables, s: Settings) -> DataFrame:
+    """The agencies with a request of each month and week, once."""
+    return agency_requests(t, s).distinct()
+
 
+def kr22_sem(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
+    """Agencies with requests per week. ``base``: a stored ``request_base``."""
+    rows = agency_requests(t, s) if base is None else base
+    return entity_counts(rows, ["semana_inicio"], {"cant_agencias_unicas": ("agency_code", None)})
 
-def kr22_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
+
+def kr22_sem_cum(t: Tables, s: Settings, by: str = "step", base: DataFrame | None = None) -> DataFrame:
     """Agencies with requests accumulated in the month. A week in two months counts the agencies of both; with
     ``by="period_step"`` there is a row per week and month."""
-    return requests_so_far(first_seen(agency_requests(t, s), "mes_inicio", "semana_inicio", "agency_code"), by)
+    rows = agency_requests(t, s) if base is None else base
+    return requests_so_far(first_seen(rows, "mes_inicio", "semana_inicio", "agency_code"), by)
 
 
 def requests_so_far(seen: DataFrame, by: str = "step") -> DataFrame:
@@ -250,8 +262,27 @@ def revenue_targets(t: Tables, sources=("FCST", "BDGT")) -> DataFrame:
     return out
 
 
-def kr31(t: Tables, s: Settings, sources=("FCST", "BDGT"), align_services: bool = False) -> DataFrame:
-    """Actual against planned net revenue per month.
+def revenue_base(t: Tables, s: Settings) -> DataFrame:
+    """Net revenue per day, country and kind of product, of all days that the three revenue metrics look at."""
+    lines = revenue_lines(t, s, min(s.revenue_from, s.weeks_from))
+    return lines.groupBy("gestion_date", revenue_country().alias("pais"), "buy_type_code").agg(F.sum("net_revenue").alias("net_revenue"))
+
+
+def revenue_weeks(t: Tables, s: Settings) -> DataFrame:
+    """Net revenue per day, which is enough for the two weekly metrics."""
+    return revenue_lines(t, s, s.weeks_from).groupBy("gestion_date").agg(F.sum("net_revenue").alias("net_revenue"))
+
+
+def _revenue(t: Tables, s: Settings, base: DataFrame | None, since: date) -> DataFrame:
+    if base is None:
+        return revenue_lines(t, s, since).withColumn("pais", revenue_country())
+    return base.where(F.col("gestion_date") >= F.lit(since))
+
+
+def kr31(
+    t: Tables, s: Settings, sources=("FCST", "BDGT"), align_services: bool = False, base: DataFrame | None = None
+) -> DataFrame:
+    """Actual against planned net revenue per month. ``base``: a stored ``revenue_base``.
 
     With both sources an actual that has a forecast and a budget row counts with each of them; pick one source to count
     it once. ``align_services`` gives the services of the actuals the label of the sheets.
@@ -259,11 +290,11 @@ def kr31(t: Tables, s: Settings, sources=("FCST", "BDGT"), align_services: bool
     services = fixed.SHEET_PRODUCTS["Dest. Serv."] if align_services else fixed.SERVICES
     # the years are chosen on each side: a filter above the full join would reach neither
     actual = (
-        revenue_lines(t, s, s.revenue_from)
+        _revenue(t, s, base, s.revenue_from)
         .where(F.year("gestion_date").isin(*s.revenue_years))
         .groupBy(
             F.year("gestion_date").alias("year"), F.month("gestion_date").alias("month"),
-            revenue_country().alias("pais"), revenue_product(services).alias("producto"),
+            "pais", revenue_product(services).alias("producto"),
         )
         .agg(F.sum("net_revenue").alias("net_revenue_real"))
     )
@@ -279,15 +310,15 @@ def kr31(t: Tables, s: Settings, sources=("FCST", "BDGT"), align_services: bool
     )
 
 
-def kr31_sem(t: Tables, s: Settings) -> DataFrame:
+def kr31_sem(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
     """Adjusted net revenue per week."""
-    weekly = revenue_lines(t, s, s.weeks_from).groupBy(dates.week_start("gestion_date").alias("semana_inicio"))
+    weekly = _revenue(t, s, base, s.weeks_from).groupBy(dates.week_start("gestion_date").alias("semana_inicio"))
     return weekly.agg(rounded(F.sum("net_revenue"), 2).alias("net_revenue_real"))
 
 
-def kr31_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
+def kr31_sem_cum(t: Tables, s: Settings, by: str = "step", base: DataFrame | None = None) -> DataFrame:
     """Adjusted net revenue accumulated in the month; a week in two months adds up both."""
-    lines = revenue_lines(t, s, s.weeks_from).select(
+    lines = _revenue(t, s, base, s.weeks_from).select(
         dates.month_start("gestion_date").alias("mes_inicio"), dates.week_start("gestion_date").alias("semana_inicio"),
         "net_revenue",
     )
@@ -332,18 +363,31 @@ def weekly_sides(t: Tables, s: Settings, since: date | None = None, until: date
     return quotes_between(t, s, first, last).withColumns(keys), confirmed_between(t, s, first, last).withColumns(keys)
 
 
-def kr32_sem(t: Tables, s: Settings) -> DataFrame:
-    """Share of the quoting agencies that sold in the same week."""
-    quotes, sold = weekly_sides(t, s)
-    return cohort.activation(quotes, sold, "semana_inicio", "agency").select(
+def activation_base(t: Tables, s: Settings) -> DataFrame:
+    """Quotes (_q) and sales (_s) of each agency per month and week."""
+    return cohort.paired(*weekly_sides(t, s), ["mes_inicio", "semana_inicio", "agency"], "_q", "_s")
+
+
+def kr32_sem(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame:
+    """Share of the quoting agencies that sold in the same week. ``base``: a stored ``activation_base``."""
+    if base is None:
+        shares = cohort.activation(*weekly_sides(t, s), "semana_inicio", "agency")
+    else:  # a week in two months has a row for each
+        weekly = base.groupBy("semana_inicio", "agency").agg(F.sum("_q").alias("_q"), F.sum("_s").alias("_s"))
+        shares = cohort.activation_shares(weekly, "semana_inicio", "agency")
+    return shares.select(
         "semana_inicio", F.col("quoting").alias("agencias_cotizadoras"),
         F.col("converted").alias("agencias_cotizaron_y_vendieron"), F.col("pct").alias("pct_activacion_comercial"),
     )
 
 
-def kr32_sem_cum(t: Tables, s: Settings, by: str = "step") -> DataFrame:
+def kr32_sem_cum(t: Tables, s: Settings, by: str = "step", base: DataFrame | None = None) -> DataFrame:
     """Agencies that quoted and bought up to each week of the month."""
-    both = cohort.activation_rows(*weekly_sides(t, s), "mes_inicio", "semana_inicio", "agency")
+    if base is None:
+        both = cohort.activation_rows(*weekly_sides(t, s), "mes_inicio", "semana_inicio", "agency")
+    else:
+        steps = [F.when(F.col(n) > 0, F.col("semana_inicio")).alias(n) for n in ("_q", "_s")]
+        both = base.select("mes_inicio", "agency", *steps)
     return activation_so_far(first_steps(both, "mes_inicio", "_q", "agency", {"sold": F.col("_s")}), by)
 
 
@@ -391,6 +435,11 @@ def booking_base(
     return known.select("day", *[F.when(booked, F.col(c)).alias(c) for c in ("partner_id", "transaction_code")]).distinct()
 
 
+def channel_bookings(t: Tables, s: Settings) -> DataFrame:
+    """``booking_base`` without the days that only have sales of other channels."""
+    return booking_base(t, s, days=False)
+
+
 def bookings_per(base: DataFrame, since: date, **grain: Column) -> DataFrame:
     """Bookings per partner and grain (named columns of ``day``)."""
     own = base.where((F.col("day") >= F.lit(since)) & F.col("transaction_code").isNotNull())
@@ -423,7 +472,7 @@ def kr33_sem(t: Tables, s: Settings, base: DataFrame | None = None) -> DataFrame
 
 def kr33_sem_cum(t: Tables, s: Settings, match_month: bool = False, base: DataFrame | None = None) -> DataFrame:
     """Uplift with the bookings accumulated to each week of the evaluated month."""
-    base = booking_base(t, s, days=False) if base is None else base
+    base = channel_bookings(t, s) if base is None else base
     weekly = bookings_per(base, s.weeks_from, semana_inicio=dates.week_start("day"), mes=dates.yyyymm("day"))
     return cohort.uplift_cumulative(_monthly(base, s), weekly, match_month=match_month)
 
@@ -432,4 +481,14 @@ def kr33_sem_cum(t: Tables, s: Settings, match_month: bool = False, base: DataFr
 BASES = {
     "kr21": promise_base, "kr21_sem": promise_base, "kr21_sem_cum": promise_base,
     "kr33": booking_base, "kr33_sem": booking_base, "kr33_sem_cum": booking_base,
+    "kr22_sem": request_base, "kr22_sem_cum": request_base,
+    "kr31": revenue_base, "kr31_sem": revenue_base, "kr31_sem_cum": revenue_base,
+    "kr32_sem": activation_base, "kr32_sem_cum": activation_base,
+}
+#: A smaller base of some of them, for runs without the others.
+NARROW = {
+    "kr21_sem": promise_weeks, "kr21_sem_cum": promise_weeks, "kr31_sem": revenue_weeks, "kr31_sem_cum": revenue_weeks,
+    "kr33_sem_cum": channel_bookings,
 }
+#: Metrics that read their base several times, so it is stored for one alone as well.
+REPEATED = ("kr33_sem_cum",)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
@@ -88,21 +87,39 @@ def keys_of(mode: str) -> list[str]:
 BASES: dict[Metric, Metric] = {
     getattr(module, name): base for module in (first_half, initiatives) for name, base in module.BASES.items()
 }
+NARROW: dict[Metric, Metric] = {getattr(first_half, name): base for name, base in first_half.NARROW.items()}
+REPEATED: set[Metric] = {getattr(first_half, name) for name in first_half.REPEATED}
 
 
 class Shared:
-    """Metrics of one run, with the bases that two or more of them share; a base is stored when it is first asked for."""
+    """Metrics of one run, with the bases that two or more of them share, or one reads several times; a base is stored
+    when it is first asked for."""
 
     def __init__(self, metrics: Mapping[str, Metric], keys: Iterable[str], t: Tables, s: Settings) -> None:
         self.metrics, self.t, self.s = metrics, t, s
-        uses = Counter(BASES[m] for m in {metrics[k] for k in keys} if m in BASES)
-        self.locks = {base: Lock() for base, n in uses.items() if n > 1}
+        families: dict[Metric, set[Metric]] = {}
+        for m in {metrics[k] for k in keys}:
+            if m in BASES:
+                families.setdefault(BASES[m], set()).add(m)
+        self.bases: dict[Metric, Metric] = {}
+        for base, family in families.items():
+            if len(family) > 1 or family & REPEATED:
+                narrow = {NARROW.get(m, base) for m in family}
+                self.bases |= dict.fromkeys(family, narrow.pop() if len(narrow) == 1 else base)
+        self.locks = {base: Lock() for base in self.bases.values()}
         self.stored: dict[Metric, DataFrame] = {}
 
     def rows(self, key: str) -> DataFrame:
         metric = self.metrics[key]
-        base = BASES.get(metric)
-        return metric(self.t, self.s, base=self.base(base)) if base in self.locks else metric(self.t, self.s)
+        base = self.bases.get(metric)
+        return metric(self.t, self.s, base=self.base(base)) if base else metric(self.t, self.s)
+
+    def spread(self, keys: Iterable[str]) -> list[str]:
+        """The keys, with one metric of each base in front, so that no base is waited for while others could be computed."""
+        first: dict[Metric, str] = {}
+        for key in (keys := list(keys)):
+            first.setdefault(self.bases.get(self.metrics[key], self.metrics[key]), key)
+        return [*first.values(), *(k for k in keys if k not in first.values())]
 
     def base(self, base: Metric) -> DataFrame:
         with self.locks[base]:
@@ -138,7 +155,7 @@ def stored(metrics: Mapping[str, Metric], keys: Iterable[str], t: Tables, s: Set
         shared.rows(key).write.mode("overwrite").parquet(f"{path}/{key}")
 
     with ThreadPoolExecutor(4) as pool:
-        list(pool.map(write, keys))
+        list(pool.map(write, shared.spread(keys)))
     return {key: spark.read.parquet(f"{path}/{key}") for key in keys}
 
 

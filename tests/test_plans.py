@@ -193,6 +193,13 @@ SHARED = {
         "INITIATIVES", R.IMPACT, ("pp_a", "pp_m", "pp_x", "pp_ctl", "pp_ag", "pp_agw"),
         {"sales": 2, "reservations": 2, "deferred": 2, "products": 2},
     ),
+    "promises by week": ("FIRST_HALF", R.FIRST, ("kr21_sem", "kr21_sem_cum"), {"deferred": 1, "cancellations": 1, "sales": 1}),
+    "revenue by week": ("FIRST_HALF", R.FIRST, ("kr31_sem", "kr31_sem_cum"), {"sales": 1, "profit": 1, "transactions": 1}),
+    "requests by week": ("FIRST_HALF", R.FIRST, ("kr22_sem", "kr22_sem_cum"), {"requests": 1, "transactions": 1}),
+    "revenue": (
+        "FIRST_HALF", R.FIRST, ("kr31", "kr31_sem", "kr31_sem_cum"), {"sales": 1, "profit": 1, "transactions": 1, "forecast": 1},
+    ),
+    "activation by week": ("FIRST_HALF", R.FIRST, ("kr32_sem", "kr32_sem_cum"), {"sales": 1, "quotations": 1}),
 }
 
 
@@ -215,3 +222,24 @@ def test_a_board_reads_the_facts_of_a_family_once(spark, family, tmp_path):
     assert {r: n for r, n in Counter(opened).items() if r in facts} == facts
     for key in keys:
         assert rows(kept[key]) == rows(metrics[key](tables, settings))
+
+
+def test_a_base_that_one_metric_reads_often_is_stored(spark):
+    from kpiloom.plans import registry
+    from tests.conftest import rows
+
+    shared = registry.Shared(registry.FIRST_HALF, ["kr33_sem_cum"], R.roles(spark, SF), R.FIRST)
+    out = shared.rows("kr33_sem_cum")
+    assert list(shared.stored) == [first_half.channel_bookings]
+    assert "lineitem" not in plan(out)
+    assert rows(out) == rows(first_half.kr33_sem_cum(R.roles(spark, SF), R.FIRST))
+    both = registry.Shared(registry.FIRST_HALF, ["kr33", "kr33_sem_cum"], R.roles(spark, SF), R.FIRST)
+    assert set(both.bases.values()) == {first_half.booking_base}
+    for keys, base in (
+        (("kr21_sem", "kr21_sem_cum"), first_half.promise_weeks), (("kr21", "kr21_sem"), first_half.promise_base),
+        (("kr31_sem", "kr31_sem_cum"), first_half.revenue_weeks), (("kr31", "kr31_sem_cum"), first_half.revenue_base),
+    ):
+        assert set(registry.Shared(registry.FIRST_HALF, keys, None, R.FIRST).bases.values()) == {base}
+    keys = ["kr32_sem", "kr32_sem_cum", "kr32", "kr33_sem_cum"]
+    waiting = registry.Shared(registry.FIRST_HALF, keys, R.roles(spark, SF), R.FIRST)
+    assert waiting.spread(keys) == ["kr32_sem", "kr32", "kr33_sem_cum", "kr32_sem_cum"]
